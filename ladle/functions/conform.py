@@ -111,6 +111,19 @@ def _conform_wide_decimal(c: Column, t: TargetType) -> tuple[Column, Column]:
     return F.when(ok, F.when(neg, F.concat(F.lit("-"), body)).otherwise(body)), ok
 
 
+def json_valid(s: Column) -> Column:
+    """True where ``s`` is exactly one JSON value.
+
+    Spark's JSON parser stops after the first value and ignores what follows,
+    so the text is also parsed wrapped as ``[s]`` and ``[s,0]``: a single
+    value gives arrays of exactly 1 and 2 elements.
+    """
+    w1 = F.concat(F.lit("["), s, F.lit("]"))
+    w2 = F.concat(F.lit("["), s, F.lit(",0]"))
+    return (F.try_parse_json(s).isNotNull() & F.try_parse_json(w1).isNotNull()
+            & (F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2))
+
+
 def micros_since_epoch(ts_ntz: Column) -> Column:
     """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ (time-zone free)."""
     return F.timestamp_diff("MICROSECOND", _epoch(), ts_ntz)
@@ -148,9 +161,9 @@ def datetime64_ticks(c: Column, dt: T.DataType, scale: int) -> Column:
         whole = F.split_part(s, F.lit("."), F.lit(1)).try_cast("timestamp_ntz")
         frac = F.rpad(F.split_part(s, F.lit("."), F.lit(2)), 9, "0")
         secs = F.timestamp_diff("SECOND", _epoch(), whole)
-        return secs * F.lit(10**scale) + F.substring(frac, 1, scale).try_cast("bigint")
+        return F.try_add(F.try_multiply(secs, F.lit(10**scale)), F.substring(frac, 1, scale).try_cast("bigint"))
     m = micros_since_epoch(_to_ntz(c, dt))
-    return m * F.lit(10 ** (scale - 6))
+    return F.try_multiply(m, F.lit(10 ** (scale - 6)))
 
 
 def conform(c: Column, src: T.DataType, t: TargetType | str, name: str,
@@ -221,7 +234,7 @@ def _conform_value(c: Column, src: T.DataType, t: TargetType, name: str, null_un
         return F.when(ok, s), ok
     if n == "JSON":
         s = c.cast("string")
-        ok = F.try_parse_json(s).isNotNull()
+        ok = json_valid(s)
         return F.when(ok, s), ok
     if n == "UUID":
         s = F.trim(c.cast("string"))
@@ -250,8 +263,11 @@ def _conform_value(c: Column, src: T.DataType, t: TargetType, name: str, null_un
             ok = ts.isNotNull() & ts.between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
             return F.when(ok, ts), ok
         ticks = datetime64_ticks(c, src, s)
-        lo_t = F.timestamp_diff("SECOND", _epoch(), F.lit(lo).cast("timestamp_ntz")) * F.lit(10**s)
-        hi_t = (F.timestamp_diff("SECOND", _epoch(), F.lit("2299-12-31 23:59:59").cast("timestamp_ntz")) + 1) * F.lit(10**s) - 1
+        import datetime as _dt
+        lo_s = int((_dt.datetime.fromisoformat(lo) - _dt.datetime(1970, 1, 1)).total_seconds())
+        hi_s = int((_dt.datetime(2299, 12, 31, 23, 59, 59) - _dt.datetime(1970, 1, 1)).total_seconds())
+        lo_t = F.lit(max(lo_s * 10**s, -(2**63)))
+        hi_t = F.lit(min((hi_s + 1) * 10**s - 1, 2**63 - 1))
         ok = ticks.isNotNull() & ticks.between(lo_t, hi_t)
         return F.when(ok, ticks), ok
     if n == "Array":
@@ -296,13 +312,18 @@ def coerce_to_integer(c: Column, src: T.DataType, name: str = "value") -> Confor
         v = F.when(c, F.lit(1)).otherwise(F.lit(0))
     elif isinstance(src, T.StringType):
         v = c.try_cast("int")
-    elif isinstance(src, T.NumericType):
-        v = F.when(F.abs(c.cast("double")) < F.lit(2.0**31), c.cast("double").cast("int"))
-        if isinstance(src, (T.ByteType, T.ShortType, T.IntegerType)):
-            v = c.cast("int")
-        elif isinstance(src, T.LongType):
-            # Java intValue() keeps the low 32 bits.
-            v = (F.pmod(c + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)).cast("int")
+    elif isinstance(src, (T.ByteType, T.ShortType, T.IntegerType)):
+        v = c.cast("int")
+    elif isinstance(src, (T.FloatType, T.DoubleType)):
+        # Java (int) of a floating value: NaN -> 0, saturating, truncated toward zero.
+        d = c.cast("double")
+        v = F.when(F.isnan(d), F.lit(0)).otherwise(
+            F.greatest(F.least(d, F.lit(2147483647.0)), F.lit(-2147483648.0)).cast("int"))
+    elif isinstance(src, (T.LongType, T.DecimalType)):
+        # Java intValue() of a long / big number keeps the low 32 bits.
+        whole = c.cast("decimal(38,0)") if isinstance(src, T.DecimalType) else c.cast("decimal(38,0)")
+        low = F.pmod(whole + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)
+        v = low.cast("int")
     else:
         v = F.lit(None).cast("int")
     err = F.when(c.isNotNull() & v.isNull(), F.lit(f"Cannot convert value of column {name} to Integer"))

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["flagship", "batches"]
+MODULES = ["flagship", "batches", "conformance"]
 
 
 def load_all() -> None:
