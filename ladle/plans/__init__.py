@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["flagship", "batches", "conformance"]
+MODULES = ["flagship", "batches", "conformance", "projections"]
 
 
 def load_all() -> None:
