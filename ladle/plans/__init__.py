@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["flagship", "batches", "conformance", "projections"]
+MODULES = ["flagship", "batches", "conformance", "projections", "io"]
 
 
 def load_all() -> None:
