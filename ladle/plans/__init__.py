@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["flagship", "batches", "conformance", "projections", "io"]
+MODULES = ["flagship", "batches", "conformance", "projections", "io", "failure_queries", "metric_queries", "rollups", "readbacks"]
 
 
 def load_all() -> None:
