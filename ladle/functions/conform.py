@@ -125,12 +125,17 @@ def json_valid(s: Column) -> Column:
 
 
 def micros_since_epoch(ts_ntz: Column) -> Column:
-    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ (time-zone free)."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts_ntz)
+    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ.
+
+    Uses the session time zone, which :func:`ladle.session.configure` pins to
+    UTC; under UTC the NTZ -> TIMESTAMP cast keeps the micros unchanged, so
+    this stays a cheap codegen expression.
+    """
+    return F.unix_micros(ts_ntz.cast("timestamp"))
 
 
 def ntz_from_micros(m: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", m, _epoch())
+    return F.timestamp_micros(m).cast("timestamp_ntz")
 
 
 def _to_ntz(c: Column, dt: T.DataType) -> Column:
@@ -149,6 +154,9 @@ def _to_ntz(c: Column, dt: T.DataType) -> Column:
 def _floor_to_scale(ts: Column, scale: int) -> Column:
     if scale >= 6:
         return ts
+    if scale in (0, 3):
+        unit = "second" if scale == 0 else "millisecond"
+        return F.date_trunc(unit, ts.cast("timestamp")).cast("timestamp_ntz")
     m = micros_since_epoch(ts)
     unit = 10 ** (6 - scale)
     return ntz_from_micros(m - F.pmod(m, F.lit(unit)))
@@ -160,7 +168,7 @@ def datetime64_ticks(c: Column, dt: T.DataType, scale: int) -> Column:
         s = F.regexp_replace(F.regexp_replace(F.trim(c), "T", " "), "Z$", "")
         whole = F.split_part(s, F.lit("."), F.lit(1)).try_cast("timestamp_ntz")
         frac = F.rpad(F.split_part(s, F.lit("."), F.lit(2)), 9, "0")
-        secs = F.timestamp_diff("SECOND", _epoch(), whole)
+        secs = F.unix_seconds(whole.cast("timestamp"))
         return F.try_add(F.try_multiply(secs, F.lit(10**scale)), F.substring(frac, 1, scale).try_cast("bigint"))
     m = micros_since_epoch(_to_ntz(c, dt))
     return F.try_multiply(m, F.lit(10 ** (scale - 6)))

@@ -13,7 +13,8 @@ Semantics (one writer = one shard, rows in a total order within the shard):
   after the flush.
 * End of input flushes the rest.
 
-Each row gets ``batch`` (0-based per shard). The reason a batch closed is
+Each row gets ``batch`` (0-based per shard) and ``_first`` (the row opens its
+batch). The reason a batch closed is
 ``rows`` / ``bytes`` (threshold reached; ``bytes`` wins when both hold),
 ``time`` (timer) or ``end`` (end of input).
 
@@ -141,16 +142,22 @@ def _make_fold(max_rows, max_bytes, max_time):
             cuts = np.flatnonzero(shard[1:] != shard[:-1]) + 1
             starts = np.concatenate(([0], cuts))
             ends = np.concatenate((cuts, [m]))
+            first = np.zeros(m, dtype=bool)
             for s, e in zip(starts, ends):
                 if state["shard"] != shard[s]:
                     state["shard"] = shard[s]
                     state["st"] = [0, 0, 0, None]
+                    state["last"] = -1
                 out_b, out_c, out_p = batch[s:e], close[s:e], prev[s:e]
                 _fold_run(sz[s:e], ts[s:e], state["st"], max_rows, max_bytes, max_time, out_b, out_c, out_p)
+                first[s] = out_b[0] != state["last"]
+                first[s + 1:e] = out_b[1:] != out_b[:-1]
+                state["last"] = int(out_b[-1])
             cols = [rb.column(i) for i in range(rb.num_columns)]
             names = list(rb.schema.names)
-            cols += [pa.array(batch, pa.int64()), pa.array(close, pa.string()), pa.array(prev, pa.string())]
-            names += ["batch", "_close", "_prev"]
+            cols += [pa.array(batch, pa.int64()), pa.array(close, pa.string()), pa.array(prev, pa.string()),
+                     pa.array(first, pa.bool_())]
+            names += ["batch", "_close", "_prev", "_first"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return fold
@@ -160,7 +167,7 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
                      max_rows: int | None = None, max_bytes: int | None = None, ts: Column | None = None,
                      max_time_ms: int | None = None, partitions: int | None = None,
                      keep_helpers: bool = False) -> DataFrame:
-    """Add ``shard``, ``batch``, ``_close``, ``_prev`` (see module doc).
+    """Add ``shard``, ``batch``, ``_close``, ``_prev``, ``_first`` (see module doc).
 
     ``order`` must give a total order within a shard and, with a time limit,
     start with the event time ``ts``. ``size`` is the per-row byte count.
@@ -178,7 +185,8 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
     d = d.repartition(nparts, "shard").sortWithinPartitions("shard", *_cols(order))
     schema = T.StructType(d.schema.fields + [T.StructField("batch", T.LongType(), False),
                                              T.StructField("_close", T.StringType(), True),
-                                             T.StructField("_prev", T.StringType(), True)])
+                                             T.StructField("_prev", T.StringType(), True),
+                                             T.StructField("_first", T.BooleanType(), False)])
     out = d.mapInArrow(_make_fold(max_rows or NO_LIMIT, max_bytes or NO_LIMIT, max_time), schema)
     if not keep_helpers:
         out = out.drop("_t") if max_time is not None else out

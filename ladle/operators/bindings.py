@@ -103,18 +103,23 @@ def bind_columns(df: DataFrame, bindings: Sequence[Binding], mode: str = "strict
     A key bound but absent from the record is treated as NULL.
     """
     check_bindings(bindings)
-    cols, errs = [F.col(k) for k in keep], []
-    for b in bindings:
+    # Stage 1 computes each typed value and its error once; stage 2 applies the
+    # mode on column references (Catalyst keeps the stages apart because the
+    # error is referenced twice), so no cast is evaluated repeatedly.
+    stage1 = [F.col(k) for k in keep]
+    for i, b in enumerate(bindings):
         if isinstance(b.src, str) and b.src not in df.columns:
             src_c, src_t = F.lit(None).cast(b.type.spark_type()), b.type.spark_type()
         else:
             src_c, src_t = b.source(), _source_type(df, b)
         r = conform(src_c, src_t, b.type, b.name, null_unsigned)
-        cols.append(apply_mode(r.value, r.error, mode).alias(b.name))
-        errs.append(r.error)
+        stage1 += [r.value.alias(f"__v{i}"), r.error.alias(f"__e{i}")]
+    s1 = df.select(*stage1)
+    cols = [F.col(k) for k in keep]
+    cols += [apply_mode(F.col(f"__v{i}"), F.col(f"__e{i}"), mode).alias(b.name) for i, b in enumerate(bindings)]
     if mode == "report":
-        cols.append(F.array_compact(F.array(*errs)).alias(ERRORS_COL))
-    return df.select(*cols)
+        cols.append(F.array_compact(F.array(*[F.col(f"__e{i}") for i in range(len(bindings))])).alias(ERRORS_COL))
+    return s1.select(*cols)
 
 
 def match_by_name(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:

@@ -63,15 +63,19 @@ def mark_bad(df: DataFrame, errors_col: str = "_errors") -> DataFrame:
     return df.withColumn("_bad", (F.size(F.col(errors_col)) > 0).cast("int"))
 
 
-def drop_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFrame:
-    """Drop every batch that holds a bad row; the others are kept whole.
+def flag_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFrame:
+    """``_batch_bad`` = 1 on every row of a batch that holds a bad row.
 
     The window is partitioned by (shard, batch): the fold's output is already
     hash-partitioned by shard, so no new exchange is needed.
     """
     w = Window.partitionBy("shard", "batch")
-    return (annotated.withColumn("_batch_bad", F.max(F.col(bad_col)).over(w))
-            .where(F.col("_batch_bad") == 0).drop("_batch_bad"))
+    return annotated.withColumn("_batch_bad", F.max(F.col(bad_col)).over(w))
+
+
+def drop_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFrame:
+    """Drop every batch that holds a bad row; the others are kept whole."""
+    return flag_corrupt_batches(annotated, bad_col).where(F.col("_batch_bad") == 0).drop("_batch_bad")
 
 
 def stop_on_corrupt(df: DataFrame, bad_col: str = "_bad", message: str = "Corrupt row in batch") -> DataFrame:

@@ -31,6 +31,29 @@ def load_metrics(annotated: DataFrame, header_bytes: int) -> DataFrame:
     )
 
 
+def observed_load_metrics(header_bytes: int) -> list:
+    """Aggregates for ``DataFrame.observe`` over annotated rows that carry
+    ``_batch_bad``: the load's counters gathered during the write itself (no
+    second pass). Flush reasons are read from the close stamps of the fold."""
+    kept = F.col("_batch_bad") == 0
+    first = F.col("_first")
+    n_rows_r = F.count_if(F.col("_close") == "rows")
+    n_bytes_r = F.count_if(F.col("_close") == "bytes") + F.count_if(F.col("_prev") == "bytes")
+    n_time_r = F.count_if(F.col("_prev") == "time")
+    return [
+        F.count_if(kept).cast("bigint").alias("records_sent"),
+        (F.coalesce(F.sum(F.when(kept, F.col("_size"))), F.lit(0)) + F.count_if(first & kept) * F.lit(header_bytes))
+        .cast("bigint").alias("bytes_sent"),
+        F.count_if(first).cast("bigint").alias("requests"),
+        F.count_if(first & ~kept).cast("bigint").alias("dropped_batches"),
+        F.count_if(~kept).cast("bigint").alias("dropped_records"),
+        n_rows_r.cast("bigint").alias("flushes_by_rows"),
+        n_bytes_r.cast("bigint").alias("flushes_by_bytes"),
+        n_time_r.cast("bigint").alias("flushes_by_time"),
+        (F.count_if(first) - n_rows_r - n_bytes_r - n_time_r).cast("bigint").alias("flushes_at_end"),
+    ]
+
+
 def flush_reason_counts(summary: DataFrame) -> DataFrame:
     """Flushes by reason (each flush counted once)."""
     return summary.groupBy("reason").agg(F.count(F.lit(1)).cast("bigint").alias("flushes"))

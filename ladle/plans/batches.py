@@ -74,16 +74,20 @@ def q_batch_by_count(spark, sf_dir):
 # -- bytes / rows / time fold --------------------------------------------------
 
 def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    a = annotate_batches(d.select("doc_id", raw_payload_bytes(F.col("text")).alias("sz")),
-                         F.pmod(F.col("doc_id"), F.lit(DOC_SHARDS)), ["doc_id"], size=F.col("sz"),
+    d = table(spark, sf_dir, "documents").select("doc_id", raw_payload_bytes(F.col("text")).alias("sz"))
+    # Records above the record limit (= the batch cap here) are rejected before
+    # they enter the buffer (report mode; see reject_oversized_record).
+    ok, _rejected = reject_oversized(d, F.col("sz"), max_bytes, mode="report")
+    a = annotate_batches(ok, F.pmod(F.col("doc_id"), F.lit(DOC_SHARDS)), ["doc_id"], size=F.col("sz"),
                          max_rows=max_rows, max_bytes=max_bytes)
     return batch_summary(a)
 
 
 DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', DOC_SHARDS)} AS shard, 0::BIGINT AS t, "
             f"(CASE WHEN text IS NULL THEN 0 WHEN text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
-            f"ELSE strlen(text) + 1 END)::BIGINT AS sz FROM documents")
+            f"ELSE strlen(text) + 1 END)::BIGINT AS sz FROM documents "
+            f"WHERE (CASE WHEN text IS NULL OR text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
+            f"ELSE strlen(text) + 1 END) <= {DOC_BATCH_BYTES}")
 
 SUMMARY_COLS = "shard, batch, n_rows, n_bytes, reason"
 

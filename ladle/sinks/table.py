@@ -6,10 +6,10 @@
     casts  ->  payload sizes  ->  batch annotation (one shuffle by writer shard)
     ->  failure policy  ->  defaults + column order  ->  append  ->  metrics
 
-Rows never come to the driver. Metrics come from an aggregate over the
-annotated rows, which are persisted (memory and disk) for the write and the
-metric pass, so the plan runs once; a lost executor only recomputes its
-partitions from lineage.
+Rows never come to the driver. Metrics are gathered with ``observe`` during
+the write itself, so the whole load is one job; a lost executor only
+recomputes its partitions from lineage (the fold is deterministic given the
+total order).
 """
 
 from __future__ import annotations
@@ -18,8 +18,7 @@ import os
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +33,8 @@ from ladle.operators.bindings import (
     check_bindings,
     default_for_omitted,
 )
-from ladle.operators.failures import RetryPolicy, drop_corrupt_batches, mark_bad, retry_batch
-from ladle.operators.metrics import load_metrics
+from ladle.operators.failures import RetryPolicy, flag_corrupt_batches, mark_bad, retry_batch
+from ladle.operators.metrics import observed_load_metrics
 
 
 class SchemaDriftError(ValueError):
@@ -149,18 +148,35 @@ def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOpt
     order = list(order or [b.name for b in bindings])
     declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
     check_drift(spark, path, declared)
-    ann = prepare(df, bindings, options, order, event_time).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        kept = drop_corrupt_batches(ann) if options.failure == "drop_batch" else ann
-        out = kept.select(*[b.name for b in bindings])
+    ann = prepare(df, bindings, options, order, event_time)
+    names = [b.name for b in bindings]
+    hdr = header_bytes([(b.name, b.type) for b in bindings])
+    metrics = _write_observed(ann, names, path, table, options, hdr)
+    return LoadResult(path, metrics)
+
+
+def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: TableSpec | None,
+                    options: LoadOptions, hdr: int) -> dict:
+    """Apply the failure policy and append, gathering the metrics in the same
+    job with ``observe`` (one pass; a retried write observes again)."""
+    if options.failure == "drop_batch":
+        flagged = flag_corrupt_batches(ann)
+    else:
+        flagged = ann.withColumn("_batch_bad", F.lit(0))
+    result = {}
+
+    def write():
+        obs = Observation("ladle_load")
+        observed = flagged.observe(obs, *observed_load_metrics(hdr))
+        out = observed.where(F.col("_batch_bad") == 0).select(*names)
         if table is not None:
             out = default_for_omitted(out, table)
-        retry_batch(lambda: _write(out, path, table), options.retry)
-        hdr = header_bytes([(b.name, b.type) for b in bindings])
-        metrics = load_metrics(ann, hdr).first().asDict()
-    finally:
-        ann.unpersist()
-    return LoadResult(path, metrics)
+        _write(out, path, table)
+        result.clear()
+        result.update(obs.get)
+
+    retry_batch(write, options.retry)
+    return result
 
 
 # -- raw text lines ------------------------------------------------------------
@@ -229,13 +245,7 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
     key = [c.name for c in table.columns]
     ann = mark_bad(annotate_batches(parsed, hash_shard(key, shards), key, size=F.col("_size"),
                                     max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes))
-    ann = ann.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        kept = drop_corrupt_batches(ann) if options.failure == "drop_batch" else ann
-        retry_batch(lambda: _write(kept.select(*table.names), path, table), options.retry)
-        metrics = load_metrics(ann, 0).first().asDict()
-    finally:
-        ann.unpersist()
+    metrics = _write_observed(ann, table.names, path, table, options, 0)
     return LoadResult(path, metrics)
 
 
