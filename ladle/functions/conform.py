@@ -181,7 +181,7 @@ def conform(c: Column, src: T.DataType, t: TargetType | str, name: str,
     value, ok = _conform_value(c, src, t, name, null_unsigned)
     is_null = c.isNull()
     if t.name in SMALL_UNSIGNED and null_unsigned == "zero":
-        value = F.coalesce(value, F.lit(0).cast(t.spark_type()))
+        value = F.when(is_null, F.lit(0).cast(t.spark_type())).otherwise(value)
         null_err = F.lit(None).cast("string")
     elif t.nullable:
         null_err = F.lit(None).cast("string")

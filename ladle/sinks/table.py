@@ -182,7 +182,7 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
 # -- raw text lines ------------------------------------------------------------
 
 def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_col: str = "value",
-              mode: str = "report") -> DataFrame:
+              mode: str = "report", keep: Sequence[str] = ()) -> DataFrame:
     """Parse raw CSV / JSON lines against the *table* schema (the server-side
     parse of a raw load), with the table's null and default rules.
 
@@ -221,7 +221,8 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
         cols.append(F.when(shape_err.isNull(), r.value).alias(c.name))
         errs.append(F.when(shape_err.isNull(), r.error))
     err_arr = F.array_compact(F.array(*errs))
-    out = lines.select(*cols, err_arr.alias(ERRORS_COL), raw_payload_bytes(F.col(line_col)).alias("_size"))
+    out = lines.select(*[F.col(k) for k in keep], *cols, err_arr.alias(ERRORS_COL),
+                       raw_payload_bytes(F.col(line_col)).alias("_size"))
     if mode == "strict":
         out = out.where(F.when(F.size(ERRORS_COL) > 0, F.raise_error(F.element_at(ERRORS_COL, 1))).isNull())
     return out
@@ -238,11 +239,14 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
         if ERRORS_COL in have.names or "value" in have.names and len(have.names) == 1:
             raise BacklogModeError("Target holds raw rows; drain the backlog before a raw load")
     mode = "strict" if options.failure == "stop" else "report"
+    # Lines are batched in arrival order: the id follows input partition and
+    # row order (deterministic for file sources, so a recomputed partition
+    # gets the same ids).
     parsed = parse_raw(lines.withColumn("_line_id", F.monotonically_increasing_id()), table, raw_format,
-                       line_col, mode)
+                       line_col, mode, keep=["_line_id"])
     parsed, _ = reject_oversized(parsed, F.col("_size"), options.max_record_bytes, mode="strict")
     shards = options.shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = [c.name for c in table.columns]
+    key = ["_line_id"]
     ann = mark_bad(annotate_batches(parsed, hash_shard(key, shards), key, size=F.col("_size"),
                                     max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes))
     metrics = _write_observed(ann, table.names, path, table, options, 0)

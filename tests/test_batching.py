@@ -1,0 +1,75 @@
+"""The flush fold against a row-at-a-time simulation of the writer's rules."""
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ladle.operators.batching import NO_LIMIT, _make_fold, annotate_batches, batch_summary, simulate_flush
+
+
+def _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk):
+    fold = _make_fold(max_rows, max_bytes, max_time)
+    n = len(sizes)
+    batches = []
+    for s in range(0, n, chunk):
+        e = min(n, s + chunk)
+        batches.append(pa.RecordBatch.from_arrays(
+            [pa.array(shard[s:e], pa.int32()), pa.array(sizes[s:e], pa.int64()), pa.array(times[s:e], pa.int64())],
+            names=["shard", "_size", "_t"]))
+    out = list(fold(iter(batches)))
+    return (np.concatenate([b.column("batch").to_numpy() for b in out]),
+            sum((b.column("_close").to_pylist() for b in out), []),
+            sum((b.column("_prev").to_pylist() for b in out), []),
+            np.concatenate([b.column("_first").to_numpy(zero_copy_only=False) for b in out]))
+
+
+def _reasons(batch, close, prev):
+    """Per-batch reason from the fold's stamps (as batch_summary derives it)."""
+    out = {}
+    for i, b in enumerate(batch):
+        if close[i]:
+            out[int(b)] = close[i]
+        if prev[i]:
+            out[int(b) - 1] = prev[i]
+    for b in set(int(x) for x in batch):
+        out.setdefault(b, "end")
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 50), min_size=1, max_size=120), st.integers(1, 9), st.integers(50, 200),
+       st.one_of(st.none(), st.integers(1, 30)), st.integers(1, 40), st.data())
+def test_fold_matches_simulation(sizes, max_rows, max_bytes, max_time, chunk, data):
+    gaps = data.draw(st.lists(st.integers(0, 10), min_size=len(sizes), max_size=len(sizes)))
+    times = list(np.cumsum(gaps))
+    shard = [0] * len(sizes)
+    batch, close, prev, first = _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk)
+    exp, exp_reasons = simulate_flush(sizes, times if max_time else None, max_rows, max_bytes, max_time)
+    assert list(batch) == exp
+    assert _reasons(batch, close, prev) == exp_reasons
+    assert list(first) == [i == 0 or exp[i] != exp[i - 1] for i in range(len(exp))]
+
+
+def test_fold_resets_per_shard():
+    sizes = [10] * 6
+    batch, _, _, first = _run_fold(sizes, [0] * 6, [0, 0, 0, 1, 1, 1], 2, NO_LIMIT, None, 2)
+    assert list(batch) == [0, 0, 1, 0, 0, 1]
+    assert list(first) == [True, False, True, True, False, True]
+
+
+def test_exact_cap_flushes_with_the_row():
+    b, reasons = simulate_flush([40, 60, 10], max_bytes=100)
+    assert b == [0, 0, 1] and reasons == {0: "bytes", 1: "end"}
+
+
+def test_annotate_batches_on_spark(spark):
+    rows = [(i, (i * 37) % 90 + 1, i // 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, sz long, shard_key long")
+    a = annotate_batches(df, F.lit(0), ["k"], size=F.col("sz"), max_rows=7, max_bytes=300)
+    got = [r.batch for r in a.orderBy("k").collect()]
+    exp, reasons = simulate_flush([r[1] for r in rows], max_rows=7, max_bytes=300)
+    assert got == exp
+    s = {r.batch: r.reason for r in batch_summary(a).collect()}
+    assert s == reasons
