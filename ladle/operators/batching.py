@@ -125,9 +125,60 @@ def _fold_run(sz, ts, st, max_rows, max_bytes, max_time, batch, close, prev):
     st[0], st[1], st[2], st[3] = c, b, bid, fire
 
 
-def _make_fold(max_rows, max_bytes, max_time):
+def _segments(shard, batch):
+    """Start offsets of (shard, batch) runs in a sorted chunk."""
+    m = len(batch)
+    change = np.ones(m, dtype=bool)
+    change[1:] = (shard[1:] != shard[:-1]) | (batch[1:] != batch[:-1])
+    return np.flatnonzero(change)
+
+
+def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_prev=None, next_shard=None):
+    """Append the batch columns to ``rb``.
+
+    Complete mode: every row gets its batch's close reason and badness. The
+    last batch of the slice is closed by its own stamp, or by the stamp on the
+    row that follows the slice (``next_prev``, same shard), else by the end of
+    the shard's input.
+    """
+    cols = [rb.column(i) for i in range(rb.num_columns)]
+    names = list(rb.schema.names)
+    cols += [pa.array(batch, pa.int64()), pa.array(first, pa.bool_())]
+    names += ["batch", "_first"]
+    if not complete:
+        cols += [pa.array(close, pa.string()), pa.array(prev, pa.string())]
+        names += ["_close", "_prev"]
+        return pa.RecordBatch.from_arrays(cols, names=names)
+    m = len(batch)
+    starts = _segments(shard, batch)
+    ends = np.append(starts[1:], m)
+    reason = np.empty(m, dtype=object)
+    batch_bad = np.zeros(m, dtype=np.int32)
+    seg_bad = np.maximum.reduceat(bad, starts) if bad is not None else np.zeros(len(starts), dtype=np.int32)
+    for i, (a, e) in enumerate(zip(starts, ends)):
+        r = close[e - 1]
+        if r is None:
+            if e < m:
+                nxt_prev, nxt_shard = prev[e], shard[e]
+            else:
+                nxt_prev, nxt_shard = next_prev, next_shard
+            if nxt_shard is not None and nxt_shard == shard[a]:
+                r = nxt_prev
+        reason[a:e] = r if r is not None else "end"
+        batch_bad[a:e] = seg_bad[i]
+    cols += [pa.array(reason, pa.string()), pa.array(batch_bad, pa.int32())]
+    names += ["reason", "_batch_bad"]
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
+    """The per-partition fold. In ``complete`` mode the rows of the open batch
+    are held (at most ``max_rows`` rows / ``max_bytes`` bytes) and each batch is
+    emitted whole, carrying its close reason and whether it holds a bad row."""
+
     def fold(batches):
-        state = {"shard": None, "st": None}
+        state = {"shard": None, "st": None, "last": -1}
+        held = None  # (RecordBatch, batch, first, close, prev, shard, bad) of the open batch
         for rb in batches:
             m = rb.num_rows
             if m == 0:
@@ -136,29 +187,43 @@ def _make_fold(max_rows, max_bytes, max_time):
             sz = rb.column("_size").to_numpy(zero_copy_only=False).astype(np.int64)
             ts = (rb.column("_t").to_numpy(zero_copy_only=False).astype(np.int64)
                   if max_time is not None else np.zeros(m, dtype=np.int64))
+            bad = (rb.column(bad_col).to_numpy(zero_copy_only=False).astype(np.int32)
+                   if bad_col is not None else None)
             batch = np.zeros(m, dtype=np.int64)
             close = np.full(m, None, dtype=object)
             prev = np.full(m, None, dtype=object)
-            cuts = np.flatnonzero(shard[1:] != shard[:-1]) + 1
-            starts = np.concatenate(([0], cuts))
-            ends = np.concatenate((cuts, [m]))
             first = np.zeros(m, dtype=bool)
-            for s, e in zip(starts, ends):
+            cuts = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+            for s, e in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [m]))):
                 if state["shard"] != shard[s]:
                     state["shard"] = shard[s]
                     state["st"] = [0, 0, 0, None]
                     state["last"] = -1
-                out_b, out_c, out_p = batch[s:e], close[s:e], prev[s:e]
-                _fold_run(sz[s:e], ts[s:e], state["st"], max_rows, max_bytes, max_time, out_b, out_c, out_p)
+                out_b = batch[s:e]
+                _fold_run(sz[s:e], ts[s:e], state["st"], max_rows, max_bytes, max_time, out_b, close[s:e], prev[s:e])
                 first[s] = out_b[0] != state["last"]
                 first[s + 1:e] = out_b[1:] != out_b[:-1]
                 state["last"] = int(out_b[-1])
-            cols = [rb.column(i) for i in range(rb.num_columns)]
-            names = list(rb.schema.names)
-            cols += [pa.array(batch, pa.int64()), pa.array(close, pa.string()), pa.array(prev, pa.string()),
-                     pa.array(first, pa.bool_())]
-            names += ["batch", "_close", "_prev", "_first"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            if not complete:
+                yield _with_batch_cols(rb, batch, first, close, prev, shard, bad, False)
+                continue
+            if held is not None:
+                rb = pa.Table.from_batches([held[0], rb]).combine_chunks().to_batches()[0]
+                batch, first, close, prev, shard = (np.concatenate((held[1], batch)), np.concatenate((held[2], first)),
+                                                    np.concatenate((held[3], close)), np.concatenate((held[4], prev)),
+                                                    np.concatenate((held[5], shard)))
+                bad = np.concatenate((held[6], bad)) if bad is not None else None
+            n = rb.num_rows
+            # Hold the last batch unless a threshold already closed it on its last row.
+            cut = n if close[n - 1] is not None else int(_segments(shard, batch)[-1])
+            if cut > 0:
+                yield _with_batch_cols(rb.slice(0, cut), batch[:cut], first[:cut], close[:cut], prev[:cut],
+                                       shard[:cut], bad[:cut] if bad is not None else None, True,
+                                       prev[cut] if cut < n else None, shard[cut] if cut < n else None)
+            held = None if cut == n else (rb.slice(cut), batch[cut:], first[cut:], close[cut:], prev[cut:],
+                                          shard[cut:], bad[cut:] if bad is not None else None)
+        if held is not None:
+            yield _with_batch_cols(held[0], held[1], held[2], held[3], held[4], held[5], held[6], True)
 
     return fold
 
@@ -166,12 +231,18 @@ def _make_fold(max_rows, max_bytes, max_time):
 def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column], size: Column | None = None,
                      max_rows: int | None = None, max_bytes: int | None = None, ts: Column | None = None,
                      max_time_ms: int | None = None, partitions: int | None = None,
-                     keep_helpers: bool = False) -> DataFrame:
-    """Add ``shard``, ``batch``, ``_close``, ``_prev``, ``_first`` (see module doc).
+                     keep_helpers: bool = False, complete: bool = False, bad: str | None = None) -> DataFrame:
+    """Add ``shard``, ``batch``, ``_first`` and either the close stamps
+    ``_close``/``_prev`` (streaming emission) or, with ``complete=True``, the
+    per-batch ``reason`` and ``_batch_bad`` (max of the int column ``bad``) on
+    every row (see module doc).
 
     ``order`` must give a total order within a shard and, with a time limit,
     start with the event time ``ts``. ``size`` is the per-row byte count.
+    ``complete`` holds one open batch per task, so it needs a row or byte limit.
     """
+    if complete and max_rows is None and max_bytes is None:
+        raise ValueError("complete batches need a row or byte limit (bounded memory)")
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = df.withColumn("shard", shard.cast("int"))
@@ -183,22 +254,29 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
         d = d.withColumn("_t", micros_since_epoch(ts.cast("timestamp_ntz")))
         max_time = int(max_time_ms) * 1000
     d = d.repartition(nparts, "shard").sortWithinPartitions("shard", *_cols(order))
-    schema = T.StructType(d.schema.fields + [T.StructField("batch", T.LongType(), False),
-                                             T.StructField("_close", T.StringType(), True),
-                                             T.StructField("_prev", T.StringType(), True),
-                                             T.StructField("_first", T.BooleanType(), False)])
-    out = d.mapInArrow(_make_fold(max_rows or NO_LIMIT, max_bytes or NO_LIMIT, max_time), schema)
-    if not keep_helpers:
-        out = out.drop("_t") if max_time is not None else out
+    extra = [T.StructField("batch", T.LongType(), False), T.StructField("_first", T.BooleanType(), False)]
+    if complete:
+        extra += [T.StructField("reason", T.StringType(), True), T.StructField("_batch_bad", T.IntegerType(), False)]
+    else:
+        extra += [T.StructField("_close", T.StringType(), True), T.StructField("_prev", T.StringType(), True)]
+    schema = T.StructType(d.schema.fields + extra)
+    out = d.mapInArrow(_make_fold(max_rows or NO_LIMIT, max_bytes or NO_LIMIT, max_time, complete, bad), schema)
+    if not keep_helpers and max_time is not None:
+        out = out.drop("_t")
     return out
 
 
 def batch_summary(annotated: DataFrame, extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per (shard, batch): rows, bytes, and the reason it closed.
 
-    The close reason is on the batch's last row, or on the next batch's first
-    row (overflow / timer), else the batch ended with the input.
+    With complete batches the reason is on every row. Otherwise it is on the
+    batch's last row, or on the next batch's first row (overflow / timer),
+    else the batch ended with the input.
     """
+    if "reason" in annotated.columns:
+        return annotated.groupBy("shard", "batch").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("_size").alias("n_bytes"), F.max("reason").alias("reason"),
+            *extra_aggs)
     per = annotated.groupBy("shard", "batch").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("_size").alias("n_bytes"),

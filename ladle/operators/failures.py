@@ -74,8 +74,13 @@ def flag_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFra
 
 
 def drop_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFrame:
-    """Drop every batch that holds a bad row; the others are kept whole."""
-    return flag_corrupt_batches(annotated, bad_col).where(F.col("_batch_bad") == 0).drop("_batch_bad")
+    """Drop every batch that holds a bad row; the others are kept whole.
+
+    Batches emitted whole by the fold (``complete=True``) already carry
+    ``_batch_bad``, so this is a plain filter; otherwise a window per batch.
+    """
+    flagged = annotated if "_batch_bad" in annotated.columns else flag_corrupt_batches(annotated, bad_col)
+    return flagged.where(F.col("_batch_bad") == 0).drop("_batch_bad")
 
 
 def stop_on_corrupt(df: DataFrame, bad_col: str = "_bad", message: str = "Corrupt row in batch") -> DataFrame:

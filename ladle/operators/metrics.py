@@ -16,42 +16,27 @@ REASONS = ("rows", "bytes", "time", "end")
 
 
 def load_metrics(annotated: DataFrame, header_bytes: int) -> DataFrame:
-    """One row of counters for a load. ``annotated`` has shard, batch, _size,
-    _bad, _close, _prev (see :mod:`ladle.operators.batching`)."""
-    per = annotated.groupBy("shard", "batch").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_size").alias("b"), F.max("_bad").alias("bad"))
-    sent = F.col("bad") == 0
-    return per.agg(
-        F.sum(F.when(sent, F.col("n")).otherwise(0)).cast("bigint").alias("records_sent"),
-        (F.sum(F.when(sent, F.col("b")).otherwise(0)) + F.count_if(sent) * F.lit(header_bytes))
-        .cast("bigint").alias("bytes_sent"),
-        F.count(F.lit(1)).cast("bigint").alias("requests"),
-        F.count_if(~sent).cast("bigint").alias("dropped_batches"),
-        F.sum(F.when(~sent, F.col("n")).otherwise(0)).cast("bigint").alias("dropped_records"),
-    )
+    """The same counters as :func:`observed_load_metrics`, as a one-row DataFrame."""
+    return annotated.agg(*observed_load_metrics(header_bytes))
 
 
 def observed_load_metrics(header_bytes: int) -> list:
-    """Aggregates for ``DataFrame.observe`` over annotated rows that carry
-    ``_batch_bad``: the load's counters gathered during the write itself (no
-    second pass). Flush reasons are read from the close stamps of the fold."""
+    """Aggregates for ``DataFrame.observe`` over complete-batch rows (with
+    ``_first``, ``reason``, ``_batch_bad``, ``_size``): the load's counters,
+    gathered during the write itself (no second pass)."""
     kept = F.col("_batch_bad") == 0
     first = F.col("_first")
-    n_rows_r = F.count_if(F.col("_close") == "rows")
-    n_bytes_r = F.count_if(F.col("_close") == "bytes") + F.count_if(F.col("_prev") == "bytes")
-    n_time_r = F.count_if(F.col("_prev") == "time")
-    return [
+    out = [
         F.count_if(kept).cast("bigint").alias("records_sent"),
         (F.coalesce(F.sum(F.when(kept, F.col("_size"))), F.lit(0)) + F.count_if(first & kept) * F.lit(header_bytes))
         .cast("bigint").alias("bytes_sent"),
         F.count_if(first).cast("bigint").alias("requests"),
         F.count_if(first & ~kept).cast("bigint").alias("dropped_batches"),
         F.count_if(~kept).cast("bigint").alias("dropped_records"),
-        n_rows_r.cast("bigint").alias("flushes_by_rows"),
-        n_bytes_r.cast("bigint").alias("flushes_by_bytes"),
-        n_time_r.cast("bigint").alias("flushes_by_time"),
-        (F.count_if(first) - n_rows_r - n_bytes_r - n_time_r).cast("bigint").alias("flushes_at_end"),
     ]
+    names = {"rows": "flushes_by_rows", "bytes": "flushes_by_bytes", "time": "flushes_by_time", "end": "flushes_at_end"}
+    out += [F.count_if(first & (F.col("reason") == r)).cast("bigint").alias(n) for r, n in names.items()]
+    return out
 
 
 def flush_reason_counts(summary: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES):
     # they enter the buffer (report mode; see reject_oversized_record).
     ok, _rejected = reject_oversized(d, F.col("sz"), max_bytes, mode="report")
     a = annotate_batches(ok, F.pmod(F.col("doc_id"), F.lit(DOC_SHARDS)), ["doc_id"], size=F.col("sz"),
-                         max_rows=max_rows, max_bytes=max_bytes)
+                         max_rows=max_rows, max_bytes=max_bytes, complete=True)
     return batch_summary(a)
 
 

@@ -123,8 +123,8 @@ def corrupt_batches(spark, sf_dir):
         .otherwise(F.col("o_totalprice").cast("string")).alias("price"))
     typed = bind_columns(o, [of("o_orderkey", "o_orderkey", "Int64"), of("price", "o_totalprice", "Float64")],
                          mode="report")
-    ann = annotate_batches(typed, F.pmod(F.col("o_orderkey"), F.lit(4)), ["o_orderkey"], max_rows=500)
-    return mark_bad(ann)
+    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(4)), ["o_orderkey"], max_rows=500,
+                            complete=True, bad="_bad")
 
 
 CORRUPT_BATCHES_SQL = f"""

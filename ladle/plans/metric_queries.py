@@ -105,7 +105,7 @@ def q_metric_flush_reasons(spark, sf_dir):
 SELECT shard, count(*) FILTER (WHERE bad = 1)::BIGINT AS dropped_batches FROM pb GROUP BY shard""")
 def q_metric_dropped_batches(spark, sf_dir):
     """Batches dropped as corrupt, per shard."""
-    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_bad").alias("bad"))
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_batch_bad").alias("bad"))
     return per.groupBy("shard").agg(F.count_if(F.col("bad") == 1).cast("bigint").alias("dropped_batches"))
 
 
@@ -113,7 +113,7 @@ def q_metric_dropped_batches(spark, sf_dir):
 SELECT shard, coalesce(sum(n) FILTER (WHERE bad = 1), 0)::BIGINT AS dropped_records FROM pb GROUP BY shard""")
 def q_metric_dropped_records(spark, sf_dir):
     """Rows dropped with their corrupt batches, per shard."""
-    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_bad").alias("bad"),
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_batch_bad").alias("bad"),
                                                                        F.count(F.lit(1)).alias("n"))
     return per.groupBy("shard").agg(
         F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).cast("bigint").alias("dropped_records"))

@@ -38,10 +38,11 @@ SELECT o_custkey, l_partkey AS element, count(*) AS count
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey""")
 def q_rollup_concat_arrays(spark, sf_dir):
     """groupArrayArray of per-order part-key arrays per customer, kept as a multiset."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    # Each lineitem row carries its part keys as an array value; arrays are
+    # concatenated per customer as a multiset, so no group is ever collected.
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.array("l_partkey").alias("arr"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    per_order = li.groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("arr"))
-    j = per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
     return concat_arrays(j, ["o_custkey"], "arr")
 
 

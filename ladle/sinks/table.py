@@ -33,7 +33,7 @@ from ladle.operators.bindings import (
     check_bindings,
     default_for_omitted,
 )
-from ladle.operators.failures import RetryPolicy, flag_corrupt_batches, mark_bad, retry_batch
+from ladle.operators.failures import RetryPolicy, mark_bad, retry_batch
 from ladle.operators.metrics import observed_load_metrics
 
 
@@ -128,11 +128,11 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
     typed, _ = reject_oversized(typed, F.col("_size"), options.max_record_bytes, mode="strict")
     shards = options.shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordering = ([event_time] if event_time else []) + [o for o in order if o != event_time]
-    ann = annotate_batches(typed, hash_shard(order, shards), ordering, size=F.col("_size"),
-                           max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
-                           ts=F.col(event_time) if event_time else None,
-                           max_time_ms=options.max_time_in_buffer_ms if event_time else None)
-    return mark_bad(ann)
+    return annotate_batches(mark_bad(typed), hash_shard(order, shards), ordering, size=F.col("_size"),
+                            max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
+                            ts=F.col(event_time) if event_time else None,
+                            max_time_ms=options.max_time_in_buffer_ms if event_time else None,
+                            complete=True, bad="_bad")
 
 
 def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOptions | None = None,
@@ -159,10 +159,10 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
                     options: LoadOptions, hdr: int) -> dict:
     """Apply the failure policy and append, gathering the metrics in the same
     job with ``observe`` (one pass; a retried write observes again)."""
-    if options.failure == "drop_batch":
-        flagged = flag_corrupt_batches(ann)
-    else:
-        flagged = ann.withColumn("_batch_bad", F.lit(0))
+    # Batches come whole from the fold with ``_batch_bad`` set, so the drop
+    # policy is a filter (no window, no extra exchange). Under "stop" a bad
+    # value has already raised.
+    flagged = ann
     result = {}
 
     def write():
@@ -247,8 +247,9 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
     parsed, _ = reject_oversized(parsed, F.col("_size"), options.max_record_bytes, mode="strict")
     shards = options.shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = ["_line_id"]
-    ann = mark_bad(annotate_batches(parsed, hash_shard(key, shards), key, size=F.col("_size"),
-                                    max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes))
+    ann = annotate_batches(mark_bad(parsed), hash_shard(key, shards), key, size=F.col("_size"),
+                           max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
+                           complete=True, bad="_bad")
     metrics = _write_observed(ann, table.names, path, table, options, 0)
     return LoadResult(path, metrics)
 

@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 from ladle.operators.batching import NO_LIMIT, _make_fold, annotate_batches, batch_summary, simulate_flush
 
 
-def _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk):
-    fold = _make_fold(max_rows, max_bytes, max_time)
+def _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk, complete=False, bad=None):
+    fold = _make_fold(max_rows, max_bytes, max_time, complete, "_bad" if bad is not None else None)
     n = len(sizes)
     batches = []
     for s in range(0, n, chunk):
         e = min(n, s + chunk)
-        batches.append(pa.RecordBatch.from_arrays(
-            [pa.array(shard[s:e], pa.int32()), pa.array(sizes[s:e], pa.int64()), pa.array(times[s:e], pa.int64())],
-            names=["shard", "_size", "_t"]))
+        arrays = [pa.array(shard[s:e], pa.int32()), pa.array(sizes[s:e], pa.int64()), pa.array(times[s:e], pa.int64())]
+        names = ["shard", "_size", "_t"]
+        if bad is not None:
+            arrays.append(pa.array(bad[s:e], pa.int32()))
+            names.append("_bad")
+        batches.append(pa.RecordBatch.from_arrays(arrays, names=names))
     out = list(fold(iter(batches)))
+    if complete:
+        return out
     return (np.concatenate([b.column("batch").to_numpy() for b in out]),
             sum((b.column("_close").to_pylist() for b in out), []),
             sum((b.column("_prev").to_pylist() for b in out), []),
@@ -52,6 +57,39 @@ def test_fold_matches_simulation(sizes, max_rows, max_bytes, max_time, chunk, da
     assert list(first) == [i == 0 or exp[i] != exp[i - 1] for i in range(len(exp))]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 50), st.integers(0, 10), st.integers(0, 30)),
+                min_size=1, max_size=120),
+       st.integers(1, 9), st.integers(50, 200), st.one_of(st.none(), st.integers(1, 30)), st.integers(1, 40))
+def test_complete_batches_match_simulation(rows, max_rows, max_bytes, max_time, chunk):
+    """Complete mode over several shards and chunkings: same batches, reasons and per-batch badness."""
+    rows = sorted(rows, key=lambda r: r[0])
+    shard = [r[0] for r in rows]
+    sizes = [r[1] for r in rows]
+    bad = [1 if r[3] == 0 else 0 for r in rows]
+    times, t, prev_s = [], 0, None
+    for r in rows:
+        t = 0 if r[0] != prev_s else t
+        t += r[2]
+        prev_s = r[0]
+        times.append(t)
+    out = _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk, complete=True, bad=bad)
+    got = [(s_, b, rsn, bb) for rb in out for s_, b, rsn, bb in zip(
+        rb.column("shard").to_pylist(), rb.column("batch").to_pylist(), rb.column("reason").to_pylist(),
+        rb.column("_batch_bad").to_pylist())]
+    assert len(got) == len(rows)
+    exp = []
+    for sh in sorted(set(shard)):
+        idx = [i for i in range(len(rows)) if shard[i] == sh]
+        b, reasons = simulate_flush([sizes[i] for i in idx], [times[i] for i in idx] if max_time else None,
+                                    max_rows, max_bytes, max_time)
+        per_bad = {}
+        for k, i in zip(b, idx):
+            per_bad[k] = max(per_bad.get(k, 0), bad[i])
+        exp += [(sh, k, reasons[k], per_bad[k]) for k in b]
+    assert got == exp
+
+
 def test_fold_resets_per_shard():
     sizes = [10] * 6
     batch, _, _, first = _run_fold(sizes, [0] * 6, [0, 0, 0, 1, 1, 1], 2, NO_LIMIT, None, 2)
