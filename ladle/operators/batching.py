@@ -237,6 +237,10 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
     per-batch ``reason`` and ``_batch_bad`` (max of the int column ``bad``) on
     every row (see module doc).
 
+    ``shard=None`` makes every input partition one writer that batches its
+    rows in arrival order (like parallel sink writers; no shuffle). A shard
+    column instead hash-distributes rows to writers and orders each writer's
+    rows by ``order`` (one shuffle; batches independent of the input layout).
     ``order`` must give a total order within a shard and, with a time limit,
     start with the event time ``ts``. ``size`` is the per-row byte count.
     ``complete`` holds one open batch per task, so it needs a row or byte limit.
@@ -245,7 +249,8 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
         raise ValueError("complete batches need a row or byte limit (bounded memory)")
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.withColumn("shard", shard.cast("int"))
+    local = shard is None
+    d = df.withColumn("shard", F.spark_partition_id() if local else shard.cast("int"))
     d = d.withColumn("_size", (size if size is not None else F.lit(0)).cast("bigint"))
     max_time = None
     if max_time_ms is not None:
@@ -253,7 +258,13 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
             raise ValueError("time limit needs an event-time column")
         d = d.withColumn("_t", micros_since_epoch(ts.cast("timestamp_ntz")))
         max_time = int(max_time_ms) * 1000
-    d = d.repartition(nparts, "shard").sortWithinPartitions("shard", *_cols(order))
+    if local:
+        # One writer per input partition, rows in arrival (read) order: no
+        # exchange at all. A time limit orders each partition by event time.
+        if order:
+            d = d.sortWithinPartitions(*_cols(order))
+    else:
+        d = d.repartition(nparts, "shard").sortWithinPartitions("shard", *_cols(order))
     extra = [T.StructField("batch", T.LongType(), False), T.StructField("_first", T.BooleanType(), False)]
     if complete:
         extra += [T.StructField("reason", T.StringType(), True), T.StructField("_batch_bad", T.IntegerType(), False)]

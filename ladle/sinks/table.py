@@ -59,6 +59,9 @@ class LoadOptions:
     max_batch_bytes: int = 5 * 1024 * 1024
     max_time_in_buffer_ms: int = 5_000
     max_record_bytes: int = 1024 * 1024
+    # None: each input partition is one writer batching in arrival order (no
+    # shuffle). A number: rows are hash-sharded to that many writers by the
+    # ``order`` key and sorted, so batches do not depend on the input layout.
     shards: int | None = None
     failure: str = "stop"  # "stop" | "drop_batch"
     retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
@@ -126,9 +129,12 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
         typed = typed.withColumn(ERRORS_COL, F.array().cast("array<string>"))
     typed = typed.withColumn("_size", row_payload_bytes([(b.name, b.type) for b in bindings]))
     typed, _ = reject_oversized(typed, F.col("_size"), options.max_record_bytes, mode="strict")
-    shards = options.shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordering = ([event_time] if event_time else []) + [o for o in order if o != event_time]
-    return annotate_batches(mark_bad(typed), hash_shard(order, shards), ordering, size=F.col("_size"),
+    if options.shards:
+        shard = hash_shard(order, options.shards)
+        ordering = ([event_time] if event_time else []) + [o for o in order if o != event_time]
+    else:
+        shard, ordering = None, ([event_time] if event_time else [])
+    return annotate_batches(mark_bad(typed), shard, ordering, size=F.col("_size"),
                             max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
                             ts=F.col(event_time) if event_time else None,
                             max_time_ms=options.max_time_in_buffer_ms if event_time else None,
@@ -239,15 +245,16 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
         if ERRORS_COL in have.names or "value" in have.names and len(have.names) == 1:
             raise BacklogModeError("Target holds raw rows; drain the backlog before a raw load")
     mode = "strict" if options.failure == "stop" else "report"
-    # Lines are batched in arrival order: the id follows input partition and
-    # row order (deterministic for file sources, so a recomputed partition
-    # gets the same ids).
+    # Lines are batched in arrival order: per input partition by default, or
+    # hash-sharded by an id that follows input partition and row order
+    # (deterministic for file sources, so a recomputed partition gets the same
+    # ids).
     parsed = parse_raw(lines.withColumn("_line_id", F.monotonically_increasing_id()), table, raw_format,
                        line_col, mode, keep=["_line_id"])
     parsed, _ = reject_oversized(parsed, F.col("_size"), options.max_record_bytes, mode="strict")
-    shards = options.shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = ["_line_id"]
-    ann = annotate_batches(mark_bad(parsed), hash_shard(key, shards), key, size=F.col("_size"),
+    shard = hash_shard(key, options.shards) if options.shards else None
+    ann = annotate_batches(mark_bad(parsed), shard, key if options.shards else [], size=F.col("_size"),
                            max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
                            complete=True, bad="_bad")
     metrics = _write_observed(ann, table.names, path, table, options, 0)

@@ -147,3 +147,16 @@ def test_stream_restart_no_loss(spark, tmp):
     stream_load(file_stream(spark, src, schema, 1), b, out, ckpt)
     got = sorted(r.k for r in read_loaded(spark, out).collect())
     assert got == list(range(200))
+
+
+def test_partition_local_writers_need_no_shuffle(spark, tmp):
+    """Default load: each input partition is one writer, batching in arrival order."""
+    df = spark.range(0, 1000, numPartitions=2).select(F.col("id").alias("k"))
+    from ladle.sinks.table import prepare
+
+    ann = prepare(df, [of("k", "k", "Int64")], LoadOptions(max_batch_size=100), ["k"])
+    plan = ann._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(max_batch_size=100), order=["k"])
+    assert res.metrics["requests"] == 10 and res.metrics["flushes_by_rows"] == 10
+    assert read_table(spark, os.path.join(tmp, "t")).count() == 1000
