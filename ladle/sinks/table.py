@@ -143,7 +143,7 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
 
 def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOptions | None = None,
          order: Sequence[str] | None = None, table: TableSpec | None = None,
-         event_time: str | None = None) -> LoadResult:
+         event_time: str | None = None, write_mode: str = "append", drift_path: str | None = None) -> LoadResult:
     """Append ``df`` to the Parquet table at ``path`` through ``bindings``.
 
     ``order`` names target columns giving the total order rows are sent in
@@ -153,16 +153,16 @@ def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOpt
     spark = df.sparkSession
     order = list(order or [b.name for b in bindings])
     declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
-    check_drift(spark, path, declared)
+    check_drift(spark, drift_path or path, declared)
     ann = prepare(df, bindings, options, order, event_time)
     names = [b.name for b in bindings]
     hdr = header_bytes([(b.name, b.type) for b in bindings])
-    metrics = _write_observed(ann, names, path, table, options, hdr)
+    metrics = _write_observed(ann, names, path, table, options, hdr, write_mode)
     return LoadResult(path, metrics)
 
 
 def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: TableSpec | None,
-                    options: LoadOptions, hdr: int) -> dict:
+                    options: LoadOptions, hdr: int, write_mode: str = "append") -> dict:
     """Apply the failure policy and append, gathering the metrics in the same
     job with ``observe`` (one pass; a retried write observes again)."""
     # Batches come whole from the fold with ``_batch_bad`` set, so the drop
@@ -177,7 +177,7 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
         out = observed.where(F.col("_batch_bad") == 0).select(*names)
         if table is not None:
             out = default_for_omitted(out, table)
-        _write(out, path, table)
+        _write(out, path, table, write_mode)
         result.clear()
         result.update(obs.get)
 

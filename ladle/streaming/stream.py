@@ -16,28 +16,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.operators.bindings import Binding, TableSpec, bind_columns, default_for_omitted
-from ladle.operators.failures import RetryPolicy, retry_batch
+from ladle.operators.bindings import Binding, TableSpec
+from ladle.sinks.table import LoadOptions, load
 
 BATCH_COL = "_batch_id"
 
 
-def batch_writer(bindings: Sequence[Binding], path: str, table: TableSpec | None = None, mode: str = "strict",
-                 retry: RetryPolicy | None = None,
+class StreamLoadReport:
+    """Metrics of each committed micro-batch (small dicts kept on the driver)."""
+
+    def __init__(self):
+        self.batches: dict[int, dict] = {}
+
+    def totals(self) -> dict:
+        out: dict = {}
+        for m in self.batches.values():
+            for k, v in m.items():
+                out[k] = out.get(k, 0) + (v or 0)
+        return out
+
+
+def batch_writer(bindings: Sequence[Binding], path: str, table: TableSpec | None = None,
+                 options: LoadOptions | None = None, order: Sequence[str] | None = None,
+                 event_time: str | None = None, report: StreamLoadReport | None = None,
                  fault: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of a stream load.
+    """The ``foreachBatch`` function of a stream load: the same :func:`load`
+    (checked casts, batching, failure policy, observed metrics) per micro-batch,
+    written to ``_batch_id=<id>`` with overwrite so a replay is idempotent.
 
     ``fault(batch_id)`` is a test hook called after the batch is written and
     before it is committed (it may raise to simulate a crash).
     """
-    retry = retry or RetryPolicy.forever()
+    options = options or LoadOptions()
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        typed = bind_columns(batch_df, bindings, mode=mode)
-        if table is not None:
-            typed = default_for_omitted(typed, table)
         target = os.path.join(path, f"{BATCH_COL}={batch_id}")
-        retry_batch(lambda: typed.write.mode("overwrite").parquet(target), retry)
+        res = load(batch_df, bindings, target, options, order=order, table=table, event_time=event_time,
+                   write_mode="overwrite", drift_path=path)
+        if report is not None:
+            report.batches[batch_id] = res.metrics
         if fault is not None:
             fault(batch_id)
 
@@ -45,10 +62,18 @@ def batch_writer(bindings: Sequence[Binding], path: str, table: TableSpec | None
 
 
 def stream_load(stream: DataFrame, bindings: Sequence[Binding], path: str, checkpoint: str,
-                table: TableSpec | None = None, available_now: bool = True, processing_time: str | None = None,
-                fault: Callable[[int], None] | None = None, query_name: str | None = None):
-    """Start (and, with ``available_now``, finish) a stream load."""
-    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, table, fault=fault))
+                table: TableSpec | None = None, options: LoadOptions | None = None,
+                order: Sequence[str] | None = None, event_time: str | None = None,
+                available_now: bool = True, processing_time: str | None = None,
+                fault: Callable[[int], None] | None = None, query_name: str | None = None,
+                report: StreamLoadReport | None = None):
+    """Start (and, with ``available_now``, finish) a stream load.
+
+    Restarting on the same ``checkpoint`` resumes from the committed offsets;
+    the micro-batch in flight at a crash is replayed and overwrites its folder.
+    """
+    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, table, options, order, event_time, report,
+                                                     fault))
     w = w.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

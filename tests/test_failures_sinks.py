@@ -144,9 +144,15 @@ def test_stream_restart_no_loss(spark, tmp):
 
     with pytest.raises(Exception):
         stream_load(file_stream(spark, src, schema, 1), b, out, ckpt, fault=crash)
-    stream_load(file_stream(spark, src, schema, 1), b, out, ckpt)
+    from ladle.streaming.stream import StreamLoadReport
+
+    rep = StreamLoadReport()
+    stream_load(file_stream(spark, src, schema, 1), b, out, ckpt, report=rep)
     got = sorted(r.k for r in read_loaded(spark, out).collect())
     assert got == list(range(200))
+    # the replayed micro-batch (2) and the rest were loaded by the restarted query
+    assert min(rep.batches) == 2 and rep.totals()["records_sent"] == sum(
+        1 for r in read_loaded(spark, out).where("_batch_id >= 2").collect())
 
 
 def test_partition_local_writers_need_no_shuffle(spark, tmp):
