@@ -109,8 +109,11 @@ def q_batch_by_count_and_bytes(spark, sf_dir):
 
 def event_batches(spark, sf_dir, max_rows=None, max_bytes=None, max_time_ms=SIX_HOURS_MS, annotated=False):
     e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
+    # With a row or byte limit the fold emits whole batches (bounded memory);
+    # time-only batching streams rows out with close stamps instead.
     a = annotate_batches(e, F.pmod(F.col("event_id"), F.lit(EVENT_SHARDS)), ["ts", "event_id"], size=F.col("sz"),
-                         max_rows=max_rows, max_bytes=max_bytes, ts=F.col("ts"), max_time_ms=max_time_ms)
+                         max_rows=max_rows, max_bytes=max_bytes, ts=F.col("ts"), max_time_ms=max_time_ms,
+                         complete=max_rows is not None or max_bytes is not None)
     return a if annotated else batch_summary(a)
 
 

@@ -211,19 +211,19 @@ def q_conform_datetime64(spark, sf_dir):
 
 
 @register("conform_array", """
-SELECT o_orderkey, CASE WHEN bool_or(l_partkey * 40 > 65535) THEN NULL
-                        ELSE to_json(list_sort(list(l_partkey * 40))) END AS value,
-       bool_or(l_partkey * 40 > 65535) AS bad
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN greatest(l_partkey * 40, l_suppkey * 400, l_linenumber) > 65535 THEN NULL
+            ELSE to_json([l_partkey * 40, l_suppkey * 400, l_linenumber]) END AS value,
+       greatest(l_partkey * 40, l_suppkey * 400, l_linenumber) > 65535 AS bad
+FROM lineitem""")
 def q_conform_array(spark, sf_dir):
-    """Per-order Array(UInt16) of part keys x 40 (large keys overflow UInt16)."""
-    li = table(spark, sf_dir, "lineitem")
-    o = orders(spark, sf_dir).select("o_orderkey")
-    arr = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_orderkey").agg(
-        F.array_sort(F.collect_list(F.col("l_partkey") * 40)).alias("parts"))
-    r = conform(F.col("parts"), arr.schema["parts"].dataType, "Array(UInt16)", "parts")
-    return arr.select("o_orderkey", F.when(r.error.isNull(), F.to_json(r.value)).alias("value"),
-                      r.error.isNotNull().alias("bad"))
+    """Per-row Array(UInt16) built from lineitem keys (large keys overflow UInt16)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.array(F.col("l_partkey") * 40, F.col("l_suppkey") * 400, F.col("l_linenumber").cast("bigint")).alias("arr"))
+    r = conform(F.col("arr"), li.schema["arr"].dataType, "Array(UInt16)", "arr")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     F.when(r.error.isNull(), F.to_json(r.value)).alias("value"), r.error.isNotNull().alias("bad"))
 
 
 @register("conform_map", """

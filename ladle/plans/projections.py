@@ -141,15 +141,19 @@ def q_split_by_ordinal(spark, sf_dir):
 
 
 @register("project_composites", """
-SELECT l_orderkey, to_json(list_sort(list(l_partkey))) AS parts, count(*) AS n_parts,
-       min(l_linenumber) AS t_first_line, max(l_returnflag) AS t_max_flag
-FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       to_json(list_sort([l_partkey, l_suppkey])) AS parts, to_json(map([l_returnflag], [l_linestatus])) AS flags,
+       l_linenumber AS t_line, l_returnflag AS t_flag
+FROM lineitem""")
 def q_project_composites(spark, sf_dir):
-    """Per-order Array(Int64) of part keys (sorted) and a Tuple(Int32, String)."""
-    li = table(spark, sf_dir, "lineitem")
-    g = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("parts_arr"),
-                                     F.struct(F.min("l_linenumber"), F.max("l_returnflag")).alias("tup"))
-    b = bind_columns(g, [array("parts_arr", "parts", "Int64"), of("tup", "tup", "Tuple(Int32, String)")],
-                     keep=["l_orderkey"])
-    return b.select("l_orderkey", F.to_json("parts").alias("parts"), F.size("parts").alias("n_parts"),
-                    F.col("tup._1").alias("t_first_line"), F.col("tup._2").alias("t_max_flag"))
+    """Per-row Array(Int64) (sorted keys), Map(String, String) and Tuple(Int32, String) columns."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.array_sort(F.array("l_partkey", "l_suppkey")).alias("parts_arr"),
+        F.create_map("l_returnflag", "l_linestatus").alias("flags_map"),
+        F.struct("l_linenumber", "l_returnflag").alias("tup"))
+    b = bind_columns(li, [array("parts_arr", "parts", "Int64"), of("flags_map", "flags", "Map(String, String)"),
+                          of("tup", "tup", "Tuple(Int32, String)")],
+                     keep=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return b.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_json("parts").alias("parts"),
+                    F.to_json("flags").alias("flags"), F.col("tup._1").alias("t_line"), F.col("tup._2").alias("t_flag"))
