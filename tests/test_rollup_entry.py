@@ -46,3 +46,21 @@ def test_oracles_on_smallest_tables(spark):
     res = compare(spark, SF_SMALL, verbose=False)
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "rows_only")}
     assert not bad, bad
+
+
+def test_streaming_rollup_equals_batch_rollup(spark, tmp):
+    from ladle.streaming.rollup_stream import read_rollup, stream_rollup
+    from ladle.streaming.stream import file_stream
+
+    o = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet")).select(
+        "o_custkey", F.col("o_totalprice").alias("mx"), F.col("o_orderstatus").alias("last"),
+        F.struct("o_orderdate", "o_orderkey").alias("ord"))
+    src = os.path.join(tmp, "in")
+    o.repartition(5, "o_custkey").write.parquet(src)
+    specs = [("mx", "max", None), ("last", "anyLast", "ord")]
+    out = os.path.join(tmp, "rollup")
+    stream_rollup(file_stream(spark, src, spark.read.parquet(src).schema, 2), ["o_custkey"], specs, out,
+                  os.path.join(tmp, "ckpt"))
+    got = {r.o_custkey: (r.mx, r.last) for r in read_rollup(spark, out).collect()}
+    exp = {r.o_custkey: (r.mx, r.last) for r in rollup(o, ["o_custkey"], specs).collect()}
+    assert got == exp
