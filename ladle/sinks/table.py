@@ -66,6 +66,11 @@ class LoadOptions:
     failure: str = "stop"  # "stop" | "drop_batch"
     retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
     null_unsigned: str = "zero"
+    # Target: any Spark writer ("parquet" by default; e.g. "jdbc" with url/dbtable
+    # options); free-form writer options are passed through unchanged.
+    target_format: str = "parquet"
+    writer_options: dict = field(default_factory=dict)
+    require_table: bool = False  # preflight: the target must already exist
 
     def validate(self) -> "LoadOptions":
         for name in ("max_batch_size", "max_in_flight", "max_buffered", "max_batch_bytes",
@@ -106,10 +111,31 @@ def check_drift(spark: SparkSession, path: str, declared: T.StructType) -> None:
                                    f"table has {have[f.name].simpleString()}")
 
 
-def _write(df: DataFrame, path: str, table: TableSpec | None, mode: str = "append") -> None:
+def _write(df: DataFrame, path: str, table: TableSpec | None, mode: str = "append",
+           options: LoadOptions | None = None) -> None:
     if table is not None and table.sort_key:
         df = df.sortWithinPartitions(*table.sort_key)
-    df.write.mode(mode).parquet(path)
+    fmt = options.target_format if options else "parquet"
+    w = df.write.format(fmt).mode(mode).options(**(options.writer_options if options else {}))
+    if fmt == "jdbc":
+        w.save()
+    else:
+        w.save(path)
+
+
+def check_backlog_mode(spark: SparkSession, path: str, raw: bool, df: DataFrame | None = None,
+                       line_col: str = "value") -> None:
+    """A typed load refuses a target that holds an undrained raw backlog (a
+    table of text lines); a raw load needs a text line column as input."""
+    if raw:
+        if df is not None and (line_col not in df.columns
+                               or not isinstance(df.schema[line_col].dataType, (T.StringType, T.BinaryType))):
+            raise BacklogModeError(f"A raw load needs a text column {line_col!r}; got typed rows")
+        return
+    if table_exists(spark, path):
+        cols = spark.read.parquet(path).schema
+        if len(cols) == 1 and cols[0].name == line_col and isinstance(cols[0].dataType, T.StringType):
+            raise BacklogModeError("Target holds a raw backlog; drain it with a raw load before a typed load")
 
 
 @dataclass
@@ -153,7 +179,10 @@ def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOpt
     spark = df.sparkSession
     order = list(order or [b.name for b in bindings])
     declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
-    check_drift(spark, drift_path or path, declared)
+    preflight(spark, drift_path or path, must_exist=options.require_table)
+    if options.target_format == "parquet":
+        check_backlog_mode(spark, drift_path or path, raw=False)
+        check_drift(spark, drift_path or path, declared)
     ann = prepare(df, bindings, options, order, event_time)
     names = [b.name for b in bindings]
     hdr = header_bytes([(b.name, b.type) for b in bindings])
@@ -177,7 +206,7 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
         out = observed.where(F.col("_batch_bad") == 0).select(*names)
         if table is not None:
             out = default_for_omitted(out, table)
-        _write(out, path, table, write_mode)
+        _write(out, path, table, write_mode, options)
         result.clear()
         result.update(obs.get)
 
@@ -240,10 +269,8 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
     raw line size, and policed like a typed load."""
     options = (options or LoadOptions()).validate()
     spark = lines.sparkSession
-    if table_exists(spark, path):
-        have = spark.read.parquet(path).schema
-        if ERRORS_COL in have.names or "value" in have.names and len(have.names) == 1:
-            raise BacklogModeError("Target holds raw rows; drain the backlog before a raw load")
+    check_backlog_mode(spark, path, raw=True, df=lines, line_col=line_col)
+    preflight(spark, path, must_exist=options.require_table)
     mode = "strict" if options.failure == "stop" else "report"
     # Lines are batched in arrival order: per input partition by default, or
     # hash-sharded by an id that follows input partition and row order

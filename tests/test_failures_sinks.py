@@ -166,3 +166,26 @@ def test_partition_local_writers_need_no_shuffle(spark, tmp):
     res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(max_batch_size=100), order=["k"])
     assert res.metrics["requests"] == 10 and res.metrics["flushes_by_rows"] == 10
     assert read_table(spark, os.path.join(tmp, "t")).count() == 1000
+
+
+def test_backlog_guards_and_writer_options(spark, tmp):
+    from ladle.sinks.table import BacklogModeError
+
+    backlog = os.path.join(tmp, "backlog")
+    spark.createDataFrame([("1,alpha",), ("2,beta",)], "value string").write.parquet(backlog)
+    typed = spark.createDataFrame([(1, "alpha")], "id int, name string")
+    b = [of("id", "id", "Int32"), of("name", "name", "String")]
+    with pytest.raises(BacklogModeError):
+        load(typed, b, backlog, order=["id"])
+    spec = TableSpec.of("t", [("id", "Int32"), ("name", "String")])
+    with pytest.raises(BacklogModeError):
+        load_raw(typed, spec, os.path.join(tmp, "x"))
+    # drain the backlog through a raw load into a typed table
+    out = os.path.join(tmp, "drained")
+    load_raw(spark.read.parquet(backlog), spec, out, "csv")
+    assert sorted(tuple(r) for r in read_table(spark, out).collect()) == [(1, "alpha"), (2, "beta")]
+    with pytest.raises(FileNotFoundError):
+        load(typed, b, os.path.join(tmp, "missing"), LoadOptions(require_table=True), order=["id"])
+    js = os.path.join(tmp, "as_json")
+    load(typed, b, js, LoadOptions(target_format="json", writer_options={"compression": "gzip"}), order=["id"])
+    assert spark.read.json(js).count() == 1
