@@ -138,6 +138,9 @@ def q_batch_by_all_limits(spark, sf_dir):
     return event_batches(spark, sf_dir, max_rows=EVENT_ROWS, max_bytes=EVENT_BYTES)
 
 
+STREAM_ALL_LIMITS_SQL = ALL_LIMITS_SQL + f" SELECT {SUMMARY_COLS} FROM batch_summary"
+
+
 @register("flush_reason", ALL_LIMITS_SQL + " SELECT shard, batch, reason FROM batch_summary")
 def q_flush_reason(spark, sf_dir):
     """Why each events batch closed: rows / bytes / time / end."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.sizes import normalize_raw_line
 from ladle.operators.bindings import TableSpec, bind_columns, of
+from ladle.plans.batches import STREAM_ALL_LIMITS_SQL
 from ladle.plans.registry import register, scratch_path, table
 from ladle.sinks.table import LoadOptions, load, load_raw, read_table
 from ladle.sources.text import Field, parse_delimited, scan_text_lines
@@ -196,3 +197,40 @@ def q_replay_raw_backlog(spark, sf_dir):
     path = scratch_path(spark, "nation-table")
     load_raw(spark.read.text(backlog), NATION_SPEC, path, "csv")
     return read_table(spark, path)
+
+
+@register("stream_batch_by_all_limits", STREAM_ALL_LIMITS_SQL)
+def q_stream_batch_by_all_limits(spark, sf_dir):
+    """batch_by_all_limits on a stream: events arrive as time-ordered files, and the
+    flush state of each writer carries across micro-batches (applyInPandasWithState)."""
+    from ladle.functions.sizes import row_payload_bytes
+    from ladle.operators.batching import batch_summary
+    from ladle.plans.batches import EVENT_BYTES, EVENT_COLUMNS, EVENT_ROWS, EVENT_SHARDS, SIX_HOURS_MS, typed_events
+    from ladle.streaming.batching_stream import stream_annotate_batches
+
+    e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
+    src = scratch_path(spark, "events-by-time")
+    # Files in event-time order: one range per file, written one after another
+    # so the file source lists them in arrival order.
+    bounds = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    n_files = 4
+    span = (bounds.hi - bounds.lo) / n_files
+    for i in range(n_files):
+        lo = bounds.lo + span * i
+        part = e.where(F.col("ts") >= F.lit(lo))
+        if i < n_files - 1:
+            part = part.where(F.col("ts") < F.lit(bounds.lo + span * (i + 1)))
+        part.coalesce(1).write.parquet(f"{src}/part={i:03d}")
+    schema = e.schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
+    ann = stream_annotate_batches(stream, F.pmod(F.col("event_id"), F.lit(EVENT_SHARDS)), ["ts", "event_id"],
+                                  F.col("sz"), EVENT_ROWS, EVENT_BYTES, F.col("ts"), SIX_HOURS_MS)
+    out, ckpt = scratch_path(spark, "events-annotated"), scratch_path(spark, "events-annotated-ckpt")
+
+    def write(batch_df, batch_id):
+        batch_df.write.mode("overwrite").parquet(f"{out}/_batch_id={batch_id}")
+
+    ann.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True) \
+        .start().awaitTermination()
+    return batch_summary(spark.read.parquet(out).drop("_batch_id")).select(
+        "shard", "batch", "n_rows", "n_bytes", "reason")
