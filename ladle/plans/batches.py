@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import header_bytes, raw_payload_bytes, row_payload_bytes
@@ -17,6 +19,9 @@ from ladle.plans.oracle_sql import fold_sql, str_bytes_sql
 from ladle.plans.registry import register, table
 
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# Writers per table: one per ROWS_PER_SHARD rows, never fewer than the
+# fixture's count (4 or 8), so the number of tasks grows with the data.
+ROWS_PER_SHARD = int(os.environ.get("LADLE_ROWS_PER_SHARD", "1000000"))
 LINEITEM_SHARDS = 4
 DOC_SHARDS = 4
 EVENT_SHARDS = 8
@@ -44,14 +49,26 @@ def typed_events(spark, sf_dir):
     return bind_columns(e, [of(c, c, t) for c, t in EVENT_COLUMNS])
 
 
-def pmod_sql(col: str, n: int) -> str:
+def pmod_sql(col: str, n: int | str) -> str:
     return f"((({col}) % {n}) + {n}) % {n}"
 
 
+def writer_shards(df, minimum: int) -> int:
+    """Writers for a table: one per ROWS_PER_SHARD rows, at least ``minimum``.
+    (A row count is one scalar on the driver; Parquet serves it from footers.)"""
+    n = df.count()
+    return max(minimum, -(-n // ROWS_PER_SHARD))
+
+
+def shards_sql(tbl: str, minimum: int) -> str:
+    return f"(SELECT greatest({minimum}, CAST(ceil(count(*) / {ROWS_PER_SHARD}.0) AS BIGINT)) FROM {tbl})"
+
+
 # -- count -------------------------------------------------------------------
 
-def lineitem_count_batches(spark, sf_dir, max_rows=500, shards=LINEITEM_SHARDS):
+def lineitem_count_batches(spark, sf_dir, max_rows=500):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
+    shards = writer_shards(li, LINEITEM_SHARDS)
     b = batch_by_count(li, max_rows, F.pmod(F.col("l_orderkey"), F.lit(shards)).cast("int"), LINEITEM_ORDER)
     return count_batch_summary(b, max_rows, [F.min("l_orderkey").alias("min_orderkey"),
                                              F.max("l_orderkey").alias("max_orderkey")])
@@ -59,8 +76,8 @@ def lineitem_count_batches(spark, sf_dir, max_rows=500, shards=LINEITEM_SHARDS):
 
 @register("batch_by_count", f"""
 WITH b AS (
-  SELECT l_orderkey, {pmod_sql('l_orderkey', 4)} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('l_orderkey', 4)}
+  SELECT l_orderkey, {pmod_sql('l_orderkey', shards_sql('lineitem', LINEITEM_SHARDS))} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('l_orderkey', shards_sql('lineitem', LINEITEM_SHARDS))}
                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 500 AS batch
   FROM lineitem)
 SELECT shard, batch, count(*) AS n_rows, min(l_orderkey) AS min_orderkey, max(l_orderkey) AS max_orderkey,
@@ -74,16 +91,18 @@ def q_batch_by_count(spark, sf_dir):
 # -- bytes / rows / time fold --------------------------------------------------
 
 def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES):
-    d = table(spark, sf_dir, "documents").select("doc_id", raw_payload_bytes(F.col("text")).alias("sz"))
+    docs = table(spark, sf_dir, "documents")
+    shards = writer_shards(docs, DOC_SHARDS)
+    d = docs.select("doc_id", raw_payload_bytes(F.col("text")).alias("sz"))
     # Records above the record limit (= the batch cap here) are rejected before
     # they enter the buffer (report mode; see reject_oversized_record).
     ok, _rejected = reject_oversized(d, F.col("sz"), max_bytes, mode="report")
-    a = annotate_batches(ok, F.pmod(F.col("doc_id"), F.lit(DOC_SHARDS)), ["doc_id"], size=F.col("sz"),
+    a = annotate_batches(ok, F.pmod(F.col("doc_id"), F.lit(shards)), ["doc_id"], size=F.col("sz"),
                          max_rows=max_rows, max_bytes=max_bytes, complete=True)
     return batch_summary(a)
 
 
-DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', DOC_SHARDS)} AS shard, 0::BIGINT AS t, "
+DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', shards_sql('documents', DOC_SHARDS))} AS shard, 0::BIGINT AS t, "
             f"(CASE WHEN text IS NULL THEN 0 WHEN text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
             f"ELSE strlen(text) + 1 END)::BIGINT AS sz FROM documents "
             f"WHERE (CASE WHEN text IS NULL OR text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
@@ -109,15 +128,16 @@ def q_batch_by_count_and_bytes(spark, sf_dir):
 
 def event_batches(spark, sf_dir, max_rows=None, max_bytes=None, max_time_ms=SIX_HOURS_MS, annotated=False):
     e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
+    shards = writer_shards(table(spark, sf_dir, "events"), EVENT_SHARDS)
     # With a row or byte limit the fold emits whole batches (bounded memory);
     # time-only batching streams rows out with close stamps instead.
-    a = annotate_batches(e, F.pmod(F.col("event_id"), F.lit(EVENT_SHARDS)), ["ts", "event_id"], size=F.col("sz"),
+    a = annotate_batches(e, F.pmod(F.col("event_id"), F.lit(shards)), ["ts", "event_id"], size=F.col("sz"),
                          max_rows=max_rows, max_bytes=max_bytes, ts=F.col("ts"), max_time_ms=max_time_ms,
                          complete=max_rows is not None or max_bytes is not None)
     return a if annotated else batch_summary(a)
 
 
-EVENT_BASE = (f"SELECT event_id, ts, {pmod_sql('event_id', EVENT_SHARDS)} AS shard, epoch_us(ts)::BIGINT AS t, "
+EVENT_BASE = (f"SELECT event_id, ts, {pmod_sql('event_id', shards_sql('events', EVENT_SHARDS))} AS shard, epoch_us(ts)::BIGINT AS t, "
               f"{EVENTS_PAYLOAD_SQL}::BIGINT AS sz FROM events")
 
 
@@ -198,8 +218,8 @@ ORDERS_HEADER = header_bytes(ORDER_COLUMNS)
 
 @register("batch_header_bytes", f"""
 WITH b AS (
-  SELECT {pmod_sql('o_orderkey', 4)} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', 4)} ORDER BY o_orderkey) - 1) // 500 AS batch,
+  SELECT {pmod_sql('o_orderkey', shards_sql('orders', 4))} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', shards_sql('orders', 4))} ORDER BY o_orderkey) - 1) // 500 AS batch,
          {ORDERS_PAYLOAD_SQL} AS sz
   FROM orders)
 SELECT shard, count(DISTINCT batch)::BIGINT AS n_batches, sum(sz)::BIGINT AS payload_bytes,
@@ -208,7 +228,8 @@ FROM b GROUP BY shard""")
 def q_batch_header_bytes(spark, sf_dir):
     """Names-and-types header bytes: one header per 500-row orders batch."""
     o = typed_orders(spark, sf_dir).withColumn("sz", row_payload_bytes(ORDER_COLUMNS))
-    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(4)).cast("int"), ["o_orderkey"])
+    shards = writer_shards(table(spark, sf_dir, "orders"), 4)
+    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(shards)).cast("int"), ["o_orderkey"])
     per = b.groupBy("shard", "batch").agg(F.sum("sz").alias("sz"))
     return per.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_batches"),

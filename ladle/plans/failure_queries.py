@@ -15,7 +15,7 @@ from ladle.operators.failures import (
     retry_batch,
     stop_on_corrupt,
 )
-from ladle.plans.batches import pmod_sql
+from ladle.plans.batches import pmod_sql, shards_sql, writer_shards
 from ladle.plans.registry import register, scratch_path, table
 from ladle.sinks.table import parse_raw, read_table
 
@@ -123,14 +123,15 @@ def corrupt_batches(spark, sf_dir):
         .otherwise(F.col("o_totalprice").cast("string")).alias("price"))
     typed = bind_columns(o, [of("o_orderkey", "o_orderkey", "Int64"), of("price", "o_totalprice", "Float64")],
                          mode="report")
-    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(4)), ["o_orderkey"], max_rows=500,
+    shards = writer_shards(table(spark, sf_dir, "orders"), 4)
+    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(shards)), ["o_orderkey"], max_rows=500,
                             complete=True, bad="_bad")
 
 
 CORRUPT_BATCHES_SQL = f"""
 WITH b AS (
-  SELECT o_orderkey, {pmod_sql('o_orderkey', 4)} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', 4)} ORDER BY o_orderkey) - 1) // 500 AS batch,
+  SELECT o_orderkey, {pmod_sql('o_orderkey', shards_sql('orders', 4))} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', shards_sql('orders', 4))} ORDER BY o_orderkey) - 1) // 500 AS batch,
          CASE WHEN o_orderkey % 997 = 0 THEN 1 ELSE 0 END AS bad
   FROM orders),
 pb AS (SELECT shard, batch, count(*) AS n, max(bad) AS bad FROM b GROUP BY shard, batch)"""

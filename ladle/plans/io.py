@@ -205,7 +205,8 @@ def q_stream_batch_by_all_limits(spark, sf_dir):
     flush state of each writer carries across micro-batches (applyInPandasWithState)."""
     from ladle.functions.sizes import row_payload_bytes
     from ladle.operators.batching import batch_summary
-    from ladle.plans.batches import EVENT_BYTES, EVENT_COLUMNS, EVENT_ROWS, EVENT_SHARDS, SIX_HOURS_MS, typed_events
+    from ladle.plans.batches import (EVENT_BYTES, EVENT_COLUMNS, EVENT_ROWS, EVENT_SHARDS, SIX_HOURS_MS, typed_events,
+                                     writer_shards)
     from ladle.streaming.batching_stream import stream_annotate_batches
 
     e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
@@ -223,7 +224,8 @@ def q_stream_batch_by_all_limits(spark, sf_dir):
         part.coalesce(1).write.parquet(f"{src}/part={i:03d}")
     schema = e.schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
-    ann = stream_annotate_batches(stream, F.pmod(F.col("event_id"), F.lit(EVENT_SHARDS)), ["ts", "event_id"],
+    shards = writer_shards(table(spark, sf_dir, "events"), EVENT_SHARDS)
+    ann = stream_annotate_batches(stream, F.pmod(F.col("event_id"), F.lit(shards)), ["ts", "event_id"],
                                   F.col("sz"), EVENT_ROWS, EVENT_BYTES, F.col("ts"), SIX_HOURS_MS)
     out, ckpt = scratch_path(spark, "events-annotated"), scratch_path(spark, "events-annotated-ckpt")
 
