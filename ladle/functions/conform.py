@@ -38,11 +38,6 @@ from ladle.functions.types import (
 )
 
 NULL_MSG = "Null value for non-nullable column: "
-
-
-
-def _epoch():
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 _UUID_RE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
@@ -65,10 +60,6 @@ def _not_integral(c: Column, dt: T.DataType) -> Column:
     return c != F.floor(c)
 
 
-def _bad(msg: str) -> Column:
-    return F.lit(msg)
-
-
 def canonical_integer(c: Column) -> tuple[Column, Column]:
     """(canonical digit string, is_negative) of an integer text; NULL if not an integer."""
     s = F.trim(c.cast("string"))

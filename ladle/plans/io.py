@@ -6,12 +6,10 @@ and read them back, so the whole write path runs on each call.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import normalize_raw_line
-from ladle.operators.bindings import TableSpec, bind_columns, of
+from ladle.operators.bindings import TableSpec, of
 from ladle.plans.batches import STREAM_ALL_LIMITS_SQL
 from ladle.plans.registry import register, scratch_path, table
 from ladle.sinks.table import LoadOptions, load, load_raw, read_table

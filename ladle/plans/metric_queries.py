@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import row_payload_bytes
-from ladle.operators.batching import annotate_batches, batch_by_count, batch_summary, count_batch_summary
-from ladle.operators.metrics import batch_distribution, flush_reason_counts, latency_window, send_time
+from ladle.operators.batching import batch_by_count, count_batch_summary
+from ladle.operators.metrics import flush_reason_counts, latency_window, send_time
 from ladle.plans.batches import (
     DOC_BASE,
     DOC_BATCH_BYTES,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ladle.functions.conform import conform
 from ladle.operators.bindings import (
     TableSpec,
     array,
@@ -14,7 +13,6 @@ from ladle.operators.bindings import (
     fixed_string,
     match_by_name,
     of,
-    scalar,
 )
 from ladle.plans.registry import register, table
 

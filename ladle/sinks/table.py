@@ -18,13 +18,13 @@ import os
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.conform import conform
 from ladle.functions.sizes import header_bytes, normalize_raw_line, raw_payload_bytes, row_payload_bytes
-from ladle.operators.batching import annotate_batches, batch_summary, hash_shard, reject_oversized
+from ladle.operators.batching import annotate_batches, hash_shard, reject_oversized
 from ladle.operators.bindings import (
     ERRORS_COL,
     Binding,

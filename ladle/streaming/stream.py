@@ -13,7 +13,6 @@ import os
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.operators.bindings import Binding, TableSpec
