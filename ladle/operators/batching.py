@@ -247,8 +247,6 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
     """
     if complete and max_rows is None and max_bytes is None:
         raise ValueError("complete batches need a row or byte limit (bounded memory)")
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     local = shard is None
     d = df.withColumn("shard", F.spark_partition_id() if local else shard.cast("int"))
     d = d.withColumn("_size", (size if size is not None else F.lit(0)).cast("bigint"))
@@ -264,7 +262,10 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
         if order:
             d = d.sortWithinPartitions(*_cols(order))
     else:
-        d = d.repartition(nparts, "shard").sortWithinPartitions("shard", *_cols(order))
+        # Without an explicit count AQE may coalesce small shard partitions
+        # (several shards per task are fine: the fold resets per shard run).
+        d = (d.repartition(partitions, "shard") if partitions else d.repartition("shard"))
+        d = d.sortWithinPartitions("shard", *_cols(order))
     extra = [T.StructField("batch", T.LongType(), False), T.StructField("_first", T.BooleanType(), False)]
     if complete:
         extra += [T.StructField("reason", T.StringType(), True), T.StructField("_batch_bad", T.IntegerType(), False)]
