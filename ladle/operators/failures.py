@@ -113,24 +113,73 @@ class RetriesExhausted(RuntimeError):
     pass
 
 
+class BatchTimeout(TimeoutError):
+    """A batch write ran longer than its request timeout (retriable when the
+    policy says so)."""
+
+
+def run_with_timeout(write: Callable[[], None], timeout_s: float | None, spark=None) -> None:
+    """Run one batch write; past ``timeout_s`` seconds cancel its Spark jobs
+    (job group) and raise :class:`BatchTimeout`."""
+    if not timeout_s:
+        write()
+        return
+    import threading
+    import uuid
+
+    group = f"ladle-batch-{uuid.uuid4().hex[:12]}"
+    err: list[BaseException] = []
+
+    def target():
+        try:
+            if spark is not None:
+                spark.sparkContext.setJobGroup(group, "ladle batch write", interruptOnCancel=True)
+            write()
+        except BaseException as e:  # noqa: BLE001 - re-raised in the caller
+            err.append(e)
+
+    t = threading.Thread(target=target, daemon=True)
+    t.start()
+    t.join(timeout_s)
+    if t.is_alive():
+        if spark is not None:
+            spark.sparkContext.cancelJobGroup(group)
+        t.join(30)
+        raise BatchTimeout(f"Batch write exceeded its request timeout of {timeout_s} s")
+    if err:
+        raise err[0]
+
+
 def retry_batch(write: Callable[[], None], policy: RetryPolicy,
                 classify_exc: Callable[[BaseException], str] | None = None,
                 on_retry: Callable[[int, BaseException], None] | None = None,
-                sleep_s: float = 0.0) -> int:
+                sleep_s: float = 0.0, timeout_s: float | None = None, on_timeout: str = "fail",
+                spark=None) -> int:
     """Run ``write`` (one batch) until it succeeds; transient errors are retried
     as the policy allows, others re-raised at once. Returns the attempts used.
 
+    ``timeout_s`` bounds each attempt; a timed-out attempt fails the load
+    (``on_timeout="fail"``) or is retried (``"retry"``).
+
     Spark already retries failed *tasks*; this loop covers a failed batch
     commit (e.g. inside ``foreachBatch``), which Spark does not retry.
     """
-    classify_exc = classify_exc or (lambda e: classify_message(str(e)))
+    if on_timeout not in ("fail", "retry"):
+        raise ValueError("on_timeout must be 'fail' or 'retry'")
+    base = classify_exc or (lambda e: classify_message(str(e)))
+
+    def kind(e: BaseException) -> str:
+        if isinstance(e, BatchTimeout):
+            return RETRIABLE if on_timeout == "retry" else FATAL
+        return base(e)
+
     attempt = 1
     while True:
         try:
-            write()
+            run_with_timeout(write, timeout_s, spark)
             return attempt
         except Exception as e:  # noqa: BLE001
-            if classify_exc(e) != RETRIABLE:
+            if kind(e) != RETRIABLE:
                 raise
             if not policy.allows(attempt + 1):
                 raise RetriesExhausted(f"Batch failed after {attempt} attempts") from e

@@ -15,6 +15,7 @@ total order).
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -71,6 +72,10 @@ class LoadOptions:
     target_format: str = "parquet"
     writer_options: dict = field(default_factory=dict)
     require_table: bool = False  # preflight: the target must already exist
+    # Request timeout per batch write: past it the write's Spark jobs are
+    # cancelled and the load fails ("fail") or the write is retried ("retry").
+    timeout_s: float | None = None
+    on_timeout: str = "fail"
 
     def validate(self) -> "LoadOptions":
         for name in ("max_batch_size", "max_in_flight", "max_buffered", "max_batch_bytes",
@@ -93,10 +98,18 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def preflight(spark: SparkSession, path: str, must_exist: bool = False) -> None:
-    """Check the target before writing (the sink pings its server 3 times)."""
-    if must_exist and not table_exists(spark, path):
-        raise FileNotFoundError(f"Target table {path} does not exist")
+def preflight(spark: SparkSession, path: str, must_exist: bool = False, attempts: int = 3,
+              wait_s: float = 1.0) -> None:
+    """Check the target before writing: up to ``attempts`` checks, ``wait_s``
+    apart (the sink pings its server 3 times, 1 s apart), then fail."""
+    if not must_exist:
+        return
+    for i in range(attempts):
+        if table_exists(spark, path):
+            return
+        if i + 1 < attempts:
+            time.sleep(wait_s)
+    raise FileNotFoundError(f"Target table {path} does not exist")
 
 
 def check_drift(spark: SparkSession, path: str, declared: T.StructType) -> None:
@@ -210,7 +223,8 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
         result.clear()
         result.update(obs.get)
 
-    retry_batch(write, options.retry)
+    retry_batch(write, options.retry, timeout_s=options.timeout_s, on_timeout=options.on_timeout,
+                spark=ann.sparkSession)
     return result
 
 

@@ -189,3 +189,22 @@ def test_backlog_guards_and_writer_options(spark, tmp):
     js = os.path.join(tmp, "as_json")
     load(typed, b, js, LoadOptions(target_format="json", writer_options={"compression": "gzip"}), order=["id"])
     assert spark.read.json(js).count() == 1
+
+
+def test_batch_timeout_fails_or_retries(spark, tmp):
+    import time as _t
+
+    from ladle.operators.failures import BatchTimeout
+
+    calls = {"n": 0}
+
+    def slow_then_fast():
+        calls["n"] += 1
+        if calls["n"] == 1:
+            # a Spark job that outlives the timeout: it is cancelled
+            spark.range(0, 8, numPartitions=8).rdd.map(lambda x: _t.sleep(5) or x).count()
+
+    with pytest.raises(BatchTimeout):
+        retry_batch(slow_then_fast, RetryPolicy.forever(), timeout_s=1.0, spark=spark)
+    calls["n"] = 0
+    assert retry_batch(slow_then_fast, RetryPolicy.limited(1), timeout_s=1.0, on_timeout="retry", spark=spark) == 2
