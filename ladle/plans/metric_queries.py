@@ -134,14 +134,15 @@ def q_metric_retries(spark, sf_dir):
 def _latency_sql(cond: str) -> str:
     return f"""
 SELECT count(*)::BIGINT AS samples, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean,
-       quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.99) AS p99
+       round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99
 FROM (SELECT value FROM events WHERE {cond} ORDER BY ts DESC, event_id DESC LIMIT 1000)"""
 
 
 def _latency(spark, sf_dir, cond):
     e = table(spark, sf_dir, "events").where(cond)
     s = latency_window(e, "value", ["ts", "event_id"], 1000)
-    return s.withColumn("mean", F.round("mean", 6))
+    return (s.withColumn("mean", F.round("mean", 6)).withColumn("p50", F.round("p50", 6))
+            .withColumn("p99", F.round("p99", 6)))
 
 
 @register("metric_write_latency", _latency_sql("event_type <> 'error'"))
