@@ -19,14 +19,21 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"  # exact values, no float rounding
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if STRICT:
+            return v
         return round(v, 6) if abs(v) < 1e12 else float(f"{v:.9g}")
     if isinstance(v, Decimal):
+        if STRICT:
+            return str(v)
         return _norm(float(v)) if v != v.to_integral_value() or abs(v) < 2**53 else str(v)
     if hasattr(v, "isoformat"):
         return v.isoformat()
