@@ -30,6 +30,7 @@ def register(key: str, sql: str | None = None):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__module__ = fn.__module__
         QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
