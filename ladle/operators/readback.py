@@ -38,8 +38,22 @@ def first_containing(df: DataFrame, col: str, needle: str, order_by: Sequence[st
     return df.where(F.col(col).contains(needle)).orderBy(*order_by).limit(1)
 
 
+def _set_comparable(df: DataFrame) -> DataFrame:
+    """Maps cannot take part in set operations: compare them as sorted entry arrays."""
+    from pyspark.sql import types as T
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.MapType):
+            c = F.array_sort(F.map_entries(c))
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def round_trip_diff(written: DataFrame, read: DataFrame) -> DataFrame:
     """Rows missing after the round trip and rows that appeared (both 0 when equal)."""
+    written, read = _set_comparable(written), _set_comparable(read.select(*written.columns))
     d = (written.exceptAll(read).select(F.lit("missing").alias("side"))
          .unionByName(read.exceptAll(written).select(F.lit("extra").alias("side"))))
     return d.agg(F.count_if(F.col("side") == "missing").cast("bigint").alias("n_missing"),
