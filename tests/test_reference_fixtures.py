@@ -83,3 +83,20 @@ def test_every_value_class_round_trips_through_parquet(spark, tmp):
 
     r = round_trip_diff(df, spark.read.parquet(p)).first()
     assert (r.n_missing, r.n_extra) == (0, 0)
+
+
+def test_opaque_record_mapper(spark):
+    """A user mapper over opaque records (one pandas batch at a time), then typed bindings."""
+    import pandas as pd
+
+    from ladle.operators.bindings import map_records
+
+    raw = spark.createDataFrame([("a=1;b=x",), ("a=2;b=y",)], "rec string")
+
+    def to_map(pdf: pd.DataFrame) -> pd.DataFrame:
+        kv = pdf["rec"].str.split(";").map(lambda parts: dict(p.split("=") for p in parts))
+        return pd.DataFrame({"a": kv.map(lambda d: d["a"]), "b": kv.map(lambda d: d["b"])})
+
+    mapped = map_records(raw, to_map, "a string, b string")
+    out = bind_columns(mapped, [of("a", "a", "UInt8"), of("b", "b", "FixedString(1)")]).orderBy("a").collect()
+    assert [tuple(r) for r in out] == [(1, "x"), (2, "y")]
