@@ -106,13 +106,13 @@ def json_valid(s: Column) -> Column:
     """True where ``s`` is exactly one JSON value.
 
     Spark's JSON parser stops after the first value and ignores what follows,
-    so the text is also parsed wrapped as ``[s]`` and ``[s,0]``: a single
-    value gives arrays of exactly 1 and 2 elements.
+    so the text is parsed wrapped as ``[s]`` and ``[s,0]``: only a single value
+    gives arrays of exactly 1 and 2 elements (a ``]`` inside ``s`` would close
+    the array early and break the second count). Invalid text gives NULL.
     """
     w1 = F.concat(F.lit("["), s, F.lit("]"))
     w2 = F.concat(F.lit("["), s, F.lit(",0]"))
-    return (F.try_parse_json(s).isNotNull() & F.try_parse_json(w1).isNotNull()
-            & (F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2))
+    return F.coalesce((F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2), F.lit(False))
 
 
 def micros_since_epoch(ts_ntz: Column) -> Column:

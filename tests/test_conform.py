@@ -122,10 +122,11 @@ def test_composites(spark):
 
 
 def test_json_valid(spark):
-    cases = ['{"a": 1}', '[1, 2]', '"s"', '1', '{"a": 1}}', '1, 2', '1] [2', '{', '']
+    cases = ['{"a": 1}', '[1, 2]', '"s"', '1', 'null', '{"a": [1, {"b": null}]}',
+             '{"a": 1}}', '1, 2', '1] [2', '{', '', '  ', '1,0] x [', '[1] [2]']
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     got = [r.ok for r in df.select(json_valid(F.col("s")).alias("ok")).collect()]
-    assert got == [True, True, True, True, False, False, False, False, False]
+    assert got == [True] * 6 + [False] * 8
 
 
 def test_coerce_to_integer(spark):
