@@ -8,6 +8,10 @@ All row work runs on executors as DataFrame expressions.
 """
 
 from ladle.functions.types import TargetType, parse_type
-from ladle.operators.bindings import Binding, bind_columns
+from ladle.operators.bindings import Binding, TableSpec, bind_columns, of
+from ladle.operators.failures import RetryPolicy
+from ladle.sinks.table import LoadOptions, LoadResult, load, load_raw
+from ladle.streaming.stream import stream_load
 
-__all__ = ["TargetType", "parse_type", "Binding", "bind_columns"]
+__all__ = ["TargetType", "parse_type", "Binding", "TableSpec", "bind_columns", "of", "RetryPolicy", "LoadOptions",
+           "LoadResult", "load", "load_raw", "stream_load"]

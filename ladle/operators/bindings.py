@@ -94,14 +94,18 @@ def _source_type(df: DataFrame, b: Binding) -> T.DataType:
 
 
 def bind_columns(df: DataFrame, bindings: Sequence[Binding], mode: str = "strict", null_unsigned: str = "zero",
-                 keep: Iterable[str] = ()) -> DataFrame:
+                 keep: Iterable[str] = (), json_as: str = "string") -> DataFrame:
     """Rename, order and type the columns in one projection.
 
     ``mode="strict"`` raises on the first bad value; ``mode="report"`` nulls bad
     values and adds an ``_errors`` array column listing each row's problems.
     ``keep`` carries extra source columns (e.g. a key) through unchanged.
     A key bound but absent from the record is treated as NULL.
+    ``json_as="variant"`` stores JSON columns as ``VARIANT`` (parsed once)
+    instead of the validated text.
     """
+    if json_as not in ("string", "variant"):
+        raise ValueError("json_as must be 'string' or 'variant'")
     check_bindings(bindings)
     # Stage 1 computes each typed value and its error once; stage 2 applies the
     # mode on column references (Catalyst keeps the stages apart because the
@@ -116,7 +120,11 @@ def bind_columns(df: DataFrame, bindings: Sequence[Binding], mode: str = "strict
         stage1 += [r.value.alias(f"__v{i}"), r.error.alias(f"__e{i}")]
     s1 = df.select(*stage1)
     cols = [F.col(k) for k in keep]
-    cols += [apply_mode(F.col(f"__v{i}"), F.col(f"__e{i}"), mode).alias(b.name) for i, b in enumerate(bindings)]
+    for i, b in enumerate(bindings):
+        v = apply_mode(F.col(f"__v{i}"), F.col(f"__e{i}"), mode)
+        if json_as == "variant" and b.type.name == "JSON":
+            v = F.try_parse_json(v)
+        cols.append(v.alias(b.name))
     if mode == "report":
         cols.append(F.array_compact(F.array(*[F.col(f"__e{i}") for i in range(len(bindings))])).alias(ERRORS_COL))
     return s1.select(*cols)

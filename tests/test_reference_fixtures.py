@@ -100,3 +100,11 @@ def test_opaque_record_mapper(spark):
     mapped = map_records(raw, to_map, "a string, b string")
     out = bind_columns(mapped, [of("a", "a", "UInt8"), of("b", "b", "FixedString(1)")]).orderBy("a").collect()
     assert [tuple(r) for r in out] == [(1, "x"), (2, "y")]
+
+
+def test_json_as_variant(spark):
+    df = spark.createDataFrame([('{"bar": "foo", "n": 3}',)], "j string")
+    v = bind_columns(df, [of("j", "j", "JSON")], json_as="variant")
+    assert v.schema["j"].dataType.typeName() == "variant"
+    r = v.select(F.variant_get("j", "$.bar", "string").alias("bar"), F.variant_get("j", "$.n", "int").alias("n")).first()
+    assert (r.bar, r.n) == ("foo", 3)
