@@ -208,3 +208,15 @@ def test_batch_timeout_fails_or_retries(spark, tmp):
         retry_batch(slow_then_fast, RetryPolicy.forever(), timeout_s=1.0, spark=spark)
     calls["n"] = 0
     assert retry_batch(slow_then_fast, RetryPolicy.limited(1), timeout_s=1.0, on_timeout="retry", spark=spark) == 2
+
+
+def test_drop_batch_plan_has_one_shuffle(spark):
+    """Whole batches from the fold: the drop policy adds no exchange of its own."""
+    from ladle.sinks.table import prepare
+
+    df = spark.range(0, 1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    b = [of("k", "k", "Int64"), of("v", "v", "Int32")]
+    hashed = prepare(df, b, LoadOptions(failure="drop_batch", shards=4), ["k"]).where("_batch_bad = 0")
+    assert hashed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    local = prepare(df, b, LoadOptions(failure="drop_batch"), ["k"]).where("_batch_bad = 0")
+    assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString()
