@@ -63,7 +63,8 @@ class LoadOptions:
     # None: each input partition is one writer batching in arrival order (no
     # shuffle). A number: rows are hash-sharded to that many writers by the
     # ``order`` key and sorted, so batches do not depend on the input layout.
-    shards: int | None = None
+    # "auto": a number sized from the plan's size estimate (see auto_shards).
+    shards: int | str | None = None
     failure: str = "stop"  # "stop" | "drop_batch"
     retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
     null_unsigned: str = "zero"
@@ -157,6 +158,17 @@ class LoadResult:
     metrics: dict
 
 
+BYTES_PER_WRITER = 256 * 1024 * 1024
+
+
+def auto_shards(df: DataFrame, bytes_per_writer: int = BYTES_PER_WRITER) -> int:
+    """Writers for ``df`` from the optimizer's size estimate (no job runs): at
+    least the default parallelism, one more per ``bytes_per_writer``."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    return max(parallelism, -(-size // bytes_per_writer))
+
+
 def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, order: Sequence[str],
             event_time: str | None = None) -> DataFrame:
     """Checked, sized and batch-annotated rows (lazy; nothing runs yet)."""
@@ -169,7 +181,8 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
     typed = typed.withColumn("_size", row_payload_bytes([(b.name, b.type) for b in bindings]))
     typed, _ = reject_oversized(typed, F.col("_size"), options.max_record_bytes, mode="strict")
     if options.shards:
-        shard = hash_shard(order, options.shards)
+        n = auto_shards(df) if options.shards == "auto" else int(options.shards)
+        shard = hash_shard(order, n)
         ordering = ([event_time] if event_time else []) + [o for o in order if o != event_time]
     else:
         shard, ordering = None, ([event_time] if event_time else [])
@@ -294,7 +307,8 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
                        line_col, mode, keep=["_line_id"])
     parsed, _ = reject_oversized(parsed, F.col("_size"), options.max_record_bytes, mode="strict")
     key = ["_line_id"]
-    shard = hash_shard(key, options.shards) if options.shards else None
+    n = (auto_shards(lines) if options.shards == "auto" else int(options.shards)) if options.shards else None
+    shard = hash_shard(key, n) if n else None
     ann = annotate_batches(mark_bad(parsed), shard, key if options.shards else [], size=F.col("_size"),
                            max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
                            complete=True, bad="_bad")

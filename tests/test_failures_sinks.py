@@ -220,3 +220,14 @@ def test_drop_batch_plan_has_one_shuffle(spark):
     assert hashed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     local = prepare(df, b, LoadOptions(failure="drop_batch"), ["k"]).where("_batch_bad = 0")
     assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString()
+
+
+def test_auto_shards_from_plan_statistics(spark, tmp):
+    from ladle.sinks.table import auto_shards
+
+    df = spark.range(0, 5000).select(F.col("id").alias("k"))
+    assert auto_shards(df) >= spark.sparkContext.defaultParallelism
+    assert auto_shards(df, bytes_per_writer=1024) > auto_shards(df)
+    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(shards="auto", max_batch_size=100),
+               order=["k"])
+    assert res.metrics["records_sent"] == 5000
