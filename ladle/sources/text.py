@@ -62,11 +62,10 @@ def parse_delimited(df: DataFrame, fields: Sequence[Field], line_col: str = LINE
             continue
         present = n > F.lit(f.index)
         raw = F.when(present, F.trim(F.element_at(parts, f.index + 1)))
-        missing = F.when(~present, F.lit(f"Index {f.index} out of bounds for length ")).otherwise(None)
-        missing = F.when(~present, F.concat(missing, n.cast("string")))
+        missing = F.when(~present, F.concat(F.lit(f"Index {f.index} out of bounds for length "), n.cast("string")))
         if f.kind == "date":
             v = F.try_to_date(raw, "yyyy-MM-dd")
-            bad = F.when(present & v.isNull(), F.concat(F.lit(f"Text '"), raw, F.lit(f"' could not be parsed for {f.name}")))
+            bad = F.when(present & v.isNull(), F.concat(F.lit("Text '"), raw, F.lit(f"' could not be parsed for {f.name}")))
         elif f.kind == "string":
             v, bad = raw, F.lit(None).cast("string")
         elif f.kind == "int_blank_zero":

@@ -108,3 +108,19 @@ def test_json_as_variant(spark):
     assert v.schema["j"].dataType.typeName() == "variant"
     r = v.select(F.variant_get("j", "$.bar", "string").alias("bar"), F.variant_get("j", "$.n", "int").alias("n")).first()
     assert (r.bar, r.n) == ("foo", 3)
+
+
+def test_delimited_record_rules(spark):
+    """Blank integers become 0, fields are trimmed, trailing empty fields are dropped
+    (so a short row fails by index), dates are strict."""
+    from ladle.sources.text import Field, parse_delimited
+
+    fields = [Field("date", "date", 0), Field("key", "string", 1), Field("a", "int_blank_zero", 2),
+              Field("b", "int_blank_zero", 3), Field("z", "zero")]
+    lines = spark.createDataFrame([(0, "2020-01-01, k1 , ,7"), (1, "2020-01-01,k2,3,"), (2, "2020-1-01,k3,1,2"),
+                                   (3, "2020-01-01,k4,x,2")], "id int, value string")
+    out = parse_delimited(lines, fields, mode="report", keep=["id"]).orderBy("id").collect()
+    assert tuple(out[0])[:6] == (0, __import__("datetime").date(2020, 1, 1), "k1", 0, 7, 0) and out[0]._errors == []
+    assert out[1].b is None and out[1]._errors == ["Index 3 out of bounds for length 3"]
+    assert out[2].date is None and "could not be parsed" in out[2]._errors[0]
+    assert out[3].a is None and out[3]._errors == ['For input string: "x"']
