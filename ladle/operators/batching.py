@@ -133,7 +133,8 @@ def _segments(shard, batch):
     return np.flatnonzero(change)
 
 
-def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_prev=None, next_shard=None):
+def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_prev=None, next_shard=None,
+                     sz=None):
     """Append the batch columns to ``rb``.
 
     Complete mode: every row gets its batch's close reason and badness. The
@@ -155,6 +156,10 @@ def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_p
     reason = np.empty(m, dtype=object)
     batch_bad = np.zeros(m, dtype=np.int32)
     seg_bad = np.maximum.reduceat(bad, starts) if bad is not None else np.zeros(len(starts), dtype=np.int32)
+    seg_rows = np.diff(np.append(starts, m)).astype(np.int64)
+    seg_bytes = np.add.reduceat(sz, starts).astype(np.int64)
+    batch_rows = np.repeat(seg_rows, seg_rows)
+    batch_bytes = np.repeat(seg_bytes, seg_rows)
     for i, (a, e) in enumerate(zip(starts, ends)):
         r = close[e - 1]
         if r is None:
@@ -166,8 +171,9 @@ def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_p
                 r = nxt_prev
         reason[a:e] = r if r is not None else "end"
         batch_bad[a:e] = seg_bad[i]
-    cols += [pa.array(reason, pa.string()), pa.array(batch_bad, pa.int32())]
-    names += ["reason", "_batch_bad"]
+    cols += [pa.array(reason, pa.string()), pa.array(batch_bad, pa.int32()), pa.array(batch_rows, pa.int64()),
+             pa.array(batch_bytes, pa.int64())]
+    names += ["reason", "_batch_bad", "_batch_rows", "_batch_bytes"]
     return pa.RecordBatch.from_arrays(cols, names=names)
 
 
@@ -178,7 +184,7 @@ def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
 
     def fold(batches):
         state = {"shard": None, "st": None, "last": -1}
-        held = None  # (RecordBatch, batch, first, close, prev, shard, bad) of the open batch
+        held = None  # (RecordBatch, batch, first, close, prev, shard, bad, size) of the open batch
         for rb in batches:
             m = rb.num_rows
             if m == 0:
@@ -213,17 +219,20 @@ def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
                                                     np.concatenate((held[3], close)), np.concatenate((held[4], prev)),
                                                     np.concatenate((held[5], shard)))
                 bad = np.concatenate((held[6], bad)) if bad is not None else None
+                sz = np.concatenate((held[7], sz))
             n = rb.num_rows
             # Hold the last batch unless a threshold already closed it on its last row.
             cut = n if close[n - 1] is not None else int(_segments(shard, batch)[-1])
             if cut > 0:
                 yield _with_batch_cols(rb.slice(0, cut), batch[:cut], first[:cut], close[:cut], prev[:cut],
                                        shard[:cut], bad[:cut] if bad is not None else None, True,
-                                       prev[cut] if cut < n else None, shard[cut] if cut < n else None)
+                                       prev[cut] if cut < n else None, shard[cut] if cut < n else None,
+                                       sz=sz[:cut])
             held = None if cut == n else (rb.slice(cut), batch[cut:], first[cut:], close[cut:], prev[cut:],
-                                          shard[cut:], bad[cut:] if bad is not None else None)
+                                          shard[cut:], bad[cut:] if bad is not None else None, sz[cut:])
         if held is not None:
-            yield _with_batch_cols(held[0], held[1], held[2], held[3], held[4], held[5], held[6], True)
+            yield _with_batch_cols(held[0], held[1], held[2], held[3], held[4], held[5], held[6], True,
+                                   sz=held[7])
 
     return fold
 
@@ -234,8 +243,8 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
                      keep_helpers: bool = False, complete: bool = False, bad: str | None = None) -> DataFrame:
     """Add ``shard``, ``batch``, ``_first`` and either the close stamps
     ``_close``/``_prev`` (streaming emission) or, with ``complete=True``, the
-    per-batch ``reason`` and ``_batch_bad`` (max of the int column ``bad``) on
-    every row (see module doc).
+    per-batch ``reason``, ``_batch_bad`` (max of the int column ``bad``),
+    ``_batch_rows`` and ``_batch_bytes`` on every row (see module doc).
 
     ``shard=None`` makes every input partition one writer that batches its
     rows in arrival order (like parallel sink writers; no shuffle). A shard
@@ -268,7 +277,8 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
         d = d.sortWithinPartitions("shard", *_cols(order))
     extra = [T.StructField("batch", T.LongType(), False), T.StructField("_first", T.BooleanType(), False)]
     if complete:
-        extra += [T.StructField("reason", T.StringType(), True), T.StructField("_batch_bad", T.IntegerType(), False)]
+        extra += [T.StructField("reason", T.StringType(), True), T.StructField("_batch_bad", T.IntegerType(), False),
+                  T.StructField("_batch_rows", T.LongType(), False), T.StructField("_batch_bytes", T.LongType(), False)]
     else:
         extra += [T.StructField("_close", T.StringType(), True), T.StructField("_prev", T.StringType(), True)]
     schema = T.StructType(d.schema.fields + extra)

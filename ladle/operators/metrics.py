@@ -36,6 +36,11 @@ def observed_load_metrics(header_bytes: int) -> list:
     ]
     names = {"rows": "flushes_by_rows", "bytes": "flushes_by_bytes", "time": "flushes_by_time", "end": "flushes_at_end"}
     out += [F.count_if(first & (F.col("reason") == r)).cast("bigint").alias(n) for r, n in names.items()]
+    # Batch-size distributions (rows and bytes per batch), read on each batch's first row.
+    for col, name in (("_batch_rows", "rows_per_batch"), ("_batch_bytes", "bytes_per_batch")):
+        v = F.when(first, F.col(col))
+        out += [F.min(v).alias(f"{name}_min"), F.avg(v).alias(f"{name}_avg"), F.max(v).alias(f"{name}_max"),
+                F.percentile_approx(v, 0.5).alias(f"{name}_p50"), F.percentile_approx(v, 0.99).alias(f"{name}_p99")]
     return out
 
 

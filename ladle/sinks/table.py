@@ -236,8 +236,11 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
         result.clear()
         result.update(obs.get)
 
-    retry_batch(write, options.retry, timeout_s=options.timeout_s, on_timeout=options.on_timeout,
-                spark=ann.sparkSession)
+    t0 = time.time()
+    attempts = retry_batch(write, options.retry, timeout_s=options.timeout_s, on_timeout=options.on_timeout,
+                           spark=ann.sparkSession)
+    result["retries"] = attempts - 1
+    result["write_seconds"] = round(time.time() - t0, 3)
     return result
 
 

@@ -78,6 +78,18 @@ def test_complete_batches_match_simulation(rows, max_rows, max_bytes, max_time,
         rb.column("shard").to_pylist(), rb.column("batch").to_pylist(), rb.column("reason").to_pylist(),
         rb.column("_batch_bad").to_pylist())]
     assert len(got) == len(rows)
+    # per-batch totals carried on every row
+    tot = {}
+    for rb in out:
+        for s_, b, n_, by in zip(rb.column("shard").to_pylist(), rb.column("batch").to_pylist(),
+                                 rb.column("_batch_rows").to_pylist(), rb.column("_batch_bytes").to_pylist()):
+            tot.setdefault((s_, b), set()).add((n_, by))
+    counts = {}
+    for (s_, b), sz_ in zip([(g[0], g[1]) for g in got], sizes):
+        c = counts.setdefault((s_, b), [0, 0])
+        c[0] += 1
+        c[1] += sz_
+    assert {k: {tuple(v)} for k, v in counts.items()} == tot
     exp = []
     for sh in sorted(set(shard)):
         idx = [i for i in range(len(rows)) if shard[i] == sh]
