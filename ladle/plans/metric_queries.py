@@ -12,10 +12,12 @@ from ladle.plans.batches import (
     DOC_BATCH_BYTES,
     DOC_BATCH_ROWS,
     LINEITEM_ORDER,
+    LINEITEM_SHARD_KEY_SQL,
     ORDER_COLUMNS,
     ORDERS_HEADER,
     ORDERS_PAYLOAD_SQL,
     doc_batches,
+    lineitem_shard_key,
     pmod_sql,
     shards_sql,
     writer_shards,
@@ -45,14 +47,14 @@ def q_metric_bytes_sent(spark, sf_dir):
 def lineitem_batches(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
     shards = writer_shards(li, 4)
-    b = batch_by_count(li, 500, F.pmod(F.col("l_orderkey"), F.lit(shards)).cast("int"), LINEITEM_ORDER)
+    b = batch_by_count(li, 500, F.pmod(lineitem_shard_key(), F.lit(shards)).cast("int"), LINEITEM_ORDER)
     return count_batch_summary(b, 500)
 
 
 LI_BATCH_SQL = f"""
 WITH b AS (
-  SELECT {pmod_sql('l_orderkey', shards_sql('lineitem', 4))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('l_orderkey', shards_sql('lineitem', 4))}
+  SELECT {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', 4))} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', 4))}
                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 500 AS batch
   FROM lineitem),
 pb AS (SELECT shard, batch, count(*) AS n_rows FROM b GROUP BY shard, batch)"""
