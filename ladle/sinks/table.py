@@ -246,42 +246,47 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
 
 # -- raw text lines ------------------------------------------------------------
 
+CSV_FIELD_RE = r'(?:^|,)(?:"(?:[^"]|"")*"|[^,]*)'
+
+
 def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_col: str = "value",
               mode: str = "report", keep: Sequence[str] = ()) -> DataFrame:
     """Parse raw CSV / JSON lines against the *table* schema (the server-side
     parse of a raw load), with the table's null and default rules.
 
-    An empty CSV field, or a JSON key that is absent, takes the column DEFAULT,
-    else NULL (an error for a non-nullable non-string column). Lines with the
-    wrong field count, or that are not JSON objects, are corrupt.
+    CSV: an empty field takes the column DEFAULT, else '' for strings and NULL
+    otherwise (an error for a non-nullable column); a line with the wrong
+    number of fields (quotes respected) is corrupt. JSON: an absent key takes
+    the DEFAULT, else NULL; an explicit ``null`` stays NULL; a line that is not
+    a JSON object is corrupt.
     """
     n = len(table.columns)
     payload = normalize_raw_line(F.col(line_col))
     body = F.regexp_replace(payload, "\n$", "")
     if raw_format == "csv":
-        schema = ", ".join(f"`_f{i}` STRING" for i in range(n + 1))
+        schema = ", ".join(f"`_f{i}` STRING" for i in range(n))
+        # No text equals the null marker, so a NULL field can only be an empty one.
         rec = F.from_csv(body, schema, {"nullValue": "\u0001", "emptyValue": ""})
         fields = [rec[f"_f{i}"] for i in range(n)]
-        shape_err = F.when(rec.isNull() | rec[f"_f{n - 1}"].isNull() | rec[f"_f{n}"].isNotNull(),
-                           F.lit(f"Expected {n} fields"))
-        empties = [f == "" for f in fields]
+        shape_err = F.when(F.regexp_count(body, F.lit(CSV_FIELD_RE)) != F.lit(n), F.lit(f"Expected {n} fields"))
+        absent = [f.isNull() for f in fields]
     elif raw_format == "json":
         schema = ", ".join(f"`{c.name}` STRING" for c in table.columns)
         rec = F.from_json(body, schema, {"mode": "PERMISSIVE"})
-        obj_ok = F.try_parse_json(body).isNotNull() & F.trim(body).startswith("{")
+        keys = F.json_object_keys(body)
         fields = [rec[c.name] for c in table.columns]
-        shape_err = F.when(~obj_ok | rec.isNull(), F.lit("Cannot parse JSON object"))
-        empties = [f.isNull() for f in fields]
+        shape_err = F.when(keys.isNull() | rec.isNull(), F.lit("Cannot parse JSON object"))
+        absent = [~F.coalesce(F.array_contains(keys, c.name), F.lit(False)) for c in table.columns]
     else:
         raise ValueError("raw_format must be 'csv' or 'json'")
     cols, errs = [], [shape_err]
-    for c, f, empty in zip(table.columns, fields, empties):
-        if c.type.name in ("String", "FixedString") and raw_format == "csv":
-            src = f
-        else:
-            src = F.when(~empty, f)
+    for c, f, miss in zip(table.columns, fields, absent):
         if c.default is not None:
-            src = F.when(empty, F.expr(c.default).cast("string")).otherwise(src)
+            src = F.when(miss, F.expr(c.default).cast("string")).otherwise(f)
+        elif raw_format == "csv" and c.type.name in ("String", "FixedString"):
+            src = F.when(miss, F.lit("")).otherwise(f)
+        else:
+            src = F.when(~miss, f)
         r = conform(src, T.StringType(), c.type, c.name)
         cols.append(F.when(shape_err.isNull(), r.value).alias(c.name))
         errs.append(F.when(shape_err.isNull(), r.error))

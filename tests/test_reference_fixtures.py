@@ -124,3 +124,21 @@ def test_delimited_record_rules(spark):
     assert out[1].b is None and out[1]._errors == ["Index 3 out of bounds for length 3"]
     assert out[2].date is None and "could not be parsed" in out[2]._errors[0]
     assert out[3].a is None and out[3]._errors == ['For input string: "x"']
+
+
+def test_raw_parse_quotes_defaults_and_field_count(spark):
+    from ladle.sinks.table import parse_raw
+
+    spec = TableSpec.of("t", [("id", "Int32"), ("name", "String"), ("status", "Nullable(Int32)", "99"),
+                              ("note", "String", "'omg'")])
+    csv = spark.createDataFrame([('1,"Smith, John",,x',), ("2,b,5,",), ("3,c,7",), ("4,d,1,n,extra",)], "value string")
+    out = {r.id: r for r in parse_raw(csv, spec, "csv").collect() if r.id is not None}
+    assert out[1].name == "Smith, John" and out[1].status == 99 and out[1]._errors == []
+    assert out[2].status == 5 and out[2].note == "omg"  # empty field -> DEFAULT
+    bad = parse_raw(csv, spec, "csv").where("size(_errors) > 0").count()
+    assert bad == 2  # a short row and a long row are corrupt
+    js = spark.createDataFrame([('{"id": 5, "name": "e"}',), ('{"id": 6, "name": "f", "status": null}',)],
+                               "value string")
+    jo = {r.id: r for r in parse_raw(js, spec, "json").collect()}
+    assert jo[5].status == 99 and jo[5].note == "omg" and jo[5]._errors == []
+    assert jo[6].status is None  # an explicit null stays NULL even with a DEFAULT
