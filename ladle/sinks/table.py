@@ -240,6 +240,8 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
     attempts = retry_batch(write, options.retry, timeout_s=options.timeout_s, on_timeout=options.on_timeout,
                            spark=ann.sparkSession)
     result["retries"] = attempts - 1
+    # A retried write re-submits every batch: retries count as requests again.
+    result["requests_submitted"] = (result.get("requests") or 0) * attempts
     result["write_seconds"] = round(time.time() - t0, 3)
     return result
 

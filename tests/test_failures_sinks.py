@@ -96,6 +96,7 @@ def test_load_metrics_and_drift(spark, tmp):
     assert res.metrics["requests"] >= 13  # sum over shards of ceil(rows / 100)
     assert res.metrics["flushes_by_rows"] + res.metrics["flushes_at_end"] == res.metrics["requests"]
     assert res.metrics["rows_per_batch_max"] == 100 and res.metrics["retries"] == 0
+    assert res.metrics["requests_submitted"] == res.metrics["requests"]
     assert res.metrics["bytes_per_batch_min"] > 0 and res.metrics["write_seconds"] > 0
     assert read_table(spark, path).count() == 1234
     with pytest.raises(SchemaDriftError):
