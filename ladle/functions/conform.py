@@ -37,6 +37,8 @@ from ladle.functions.types import (
     parse_type,
 )
 
+# The error text for a NULL in a non-nullable column (the column
+# name follows), as the target reports it.
 NULL_MSG = "Null value for non-nullable column: "
 _UUID_RE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 

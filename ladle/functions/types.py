@@ -42,16 +42,16 @@ DATETIME_BOUNDS = {
     "DateTime": ("1970-01-01 00:00:00", "2106-02-07 06:28:15"),
     "DateTime64": ("1900-01-01 00:00:00", "2299-12-31 23:59:59.999999"),
 }
-# Fixed byte widths of the row binary encoding (used for payload sizes).
+# Byte widths of the row binary encoding (used for payload sizes).
 FIXED_WIDTH = {
     "Int8": 1, "Int16": 2, "Int32": 4, "Int64": 8, "Int128": 16, "Int256": 32,
     "UInt8": 1, "UInt16": 2, "UInt32": 4, "UInt64": 8, "UInt128": 16, "UInt256": 32,
     "Float32": 4, "Float64": 8, "Bool": 1, "UUID": 16,
     "Date": 2, "Date32": 4, "DateTime": 4, "DateTime64": 8,
 }
-# Declared decimal families: name -> (max precision, storage width in bytes).
+# Declared decimal families, name -> (max precision, storage width in bytes).
 DECIMAL_FAMILIES = {"Decimal32": (9, 4), "Decimal64": (18, 8), "Decimal128": (38, 16), "Decimal256": (76, 32)}
-# Types the README lists but the writer cannot encode (its dispatcher has no case).
+# Types the target documents but the writer cannot encode.
 UNSUPPORTED = {"Enum8", "Enum16", "Time", "Time64", "Variant", "Dynamic", "Nothing", "IntervalSecond",
                "IntervalDay", "IPv4", "IPv6", "Object", "Nested", "Point", "Ring", "Polygon"}
 SIMPLE_NAMES = set(INT_BOUNDS) | {"Float32", "Float64", "Bool", "String", "JSON", "UUID", "Date", "Date32", "DateTime"}

@@ -324,9 +324,8 @@ def reject_oversized(df: DataFrame, size: Column, max_record_bytes: int, mode: s
     """
     if mode == "strict":
         chk = F.when(size > F.lit(max_record_bytes),
-                     F.raise_error(F.concat(F.lit("The request entry sent to the buffer was of size "),
-                                            size.cast("string"),
-                                            F.lit(f", when the maxRecordSizeInBytes was set to {max_record_bytes}."))))
+                     F.raise_error(F.concat(F.lit("Record of "), size.cast("string"),
+                                            F.lit(f" bytes exceeds the record limit of {max_record_bytes} bytes"))))
         return df.where(chk.isNull()), None
     return df.where(size <= F.lit(max_record_bytes)), df.where(size > F.lit(max_record_bytes))
 

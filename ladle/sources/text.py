@@ -46,6 +46,8 @@ def split_fields(line: Column, sep: str = ",") -> Column:
     return F.when(trimmed == "", F.array(F.lit(""))).otherwise(F.split(trimmed, esc, -1))
 
 
+# Error texts follow the JDK's wording for the same failures (index, number
+# and date parsing), so report-mode messages read like the original errors.
 def parse_delimited(df: DataFrame, fields: Sequence[Field], line_col: str = LINE_COL, sep: str = ",",
                     mode: str = "strict", keep: Sequence[str] = ()) -> DataFrame:
     """Parse delimited text records into typed columns.
