@@ -142,3 +142,26 @@ def test_raw_parse_quotes_defaults_and_field_count(spark):
     jo = {r.id: r for r in parse_raw(js, spec, "json").collect()}
     assert jo[5].status == 99 and jo[5].note == "omg" and jo[5]._errors == []
     assert jo[6].status is None  # an explicit null stays NULL even with a DEFAULT
+
+
+def test_gzip_text_stream_to_typed_table(spark, tmp):
+    """gzip CSV files -> text stream -> parsed records -> typed load per micro-batch."""
+    from ladle.sources.text import Field, parse_delimited, scan_text_lines
+    from ladle.streaming.stream import StreamLoadReport, read_loaded, stream_load
+
+    src = os.path.join(tmp, "lines")
+    o = spark.read.parquet(os.path.join("/root/testdata/sf0.001", "orders.parquet"))
+    lines = o.select(F.concat_ws(",", F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderstatus"),
+                                 F.col("o_custkey").cast("string")).alias("value"))
+    lines.repartition(3).write.option("compression", "gzip").text(src)
+    fields = [Field("date", "date", 0), Field("location_key", "string", 1), Field("new_confirmed", "int_blank_zero", 2)]
+    parsed = parse_delimited(scan_text_lines(spark, src, stream=True, max_files_per_trigger=1), fields)
+    rep = StreamLoadReport()
+    out = os.path.join(tmp, "covid")
+    stream_load(parsed, [of("date", "date", "Date"), of("location_key", "location_key", "LowCardinality(String)"),
+                         of("new_confirmed", "new_confirmed", "Int32")], out, os.path.join(tmp, "ckpt"), report=rep)
+    assert len(rep.batches) == 3 and rep.totals()["records_sent"] == o.count()
+    got = read_loaded(spark, out).drop("_batch_id")
+    exp = o.select(F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderstatus").alias("location_key"),
+                   F.col("o_custkey").cast("int").alias("new_confirmed"))
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
