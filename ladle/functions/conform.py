@@ -132,16 +132,19 @@ def ntz_from_micros(m: Column) -> Column:
 
 
 def _to_ntz(c: Column, dt: T.DataType) -> Column:
-    """Source value as a UTC wall-clock TIMESTAMP_NTZ (session time zone is UTC)."""
+    """Source value as a UTC wall-clock TIMESTAMP_NTZ (session time zone is UTC).
+
+    Text with a zone (``Z``, ``+02:00``) is converted to UTC; text without one
+    is taken as UTC. Other types (numbers) are not date-times: NULL, i.e. a
+    rejected value.
+    """
     if isinstance(dt, T.TimestampNTZType):
         return c
     if isinstance(dt, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
     if isinstance(dt, T.StringType):
-        s = F.regexp_replace(F.trim(c), "T", " ")
-        s = F.regexp_replace(s, "Z$", "")
-        return s.try_cast("timestamp_ntz")
-    return c.try_cast("timestamp_ntz")
+        return F.trim(c).try_cast("timestamp").cast("timestamp_ntz")
+    return F.lit(None).cast("timestamp_ntz")
 
 
 def _floor_to_scale(ts: Column, scale: int) -> Column:

@@ -134,3 +134,12 @@ def test_coerce_to_integer(spark):
     rows = df.select(*[coerce_to_integer(F.col(c), df.schema[c].dataType, c).value.alias(c) for c in "sdbl"]).collect()
     assert tuple(rows[0]) == (12, 3, 1, 5)
     assert tuple(rows[1]) == (None, -(2**31), 0, -1)
+
+
+def test_datetime_text_with_zones_and_numbers(spark):
+    assert _one(spark, "2024-01-01T10:00:00+02:00", T.StringType(), "DateTime").v == dt.datetime(2024, 1, 1, 8, 0)
+    assert _one(spark, "2024-01-01T10:00:00.5Z", T.StringType(), "DateTime64(3)").v == \
+        dt.datetime(2024, 1, 1, 10, 0, 0, 500000)
+    r = _one(spark, 1700000000, T.LongType(), "DateTime")
+    assert r.v is None and "Cannot convert" in r.e
+    assert _one(spark, 5, T.IntegerType(), "Date").v is None
