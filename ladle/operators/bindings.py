@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.conform import apply_mode, conform
-from ladle.functions.types import TargetType, UnsupportedTypeError, parse_type
+from ladle.functions.types import TargetType, parse_type
 
 RESERVED_RAW = "__ladle_raw__"
 ERRORS_COL = "_errors"
@@ -79,12 +79,7 @@ def check_bindings(bindings: Sequence[Binding]) -> None:
         if b.name in seen:
             raise ValueError(f"Duplicate target column {b.name}")
         seen.add(b.name)
-        try:
-            b.type.spark_type()
-        except UnsupportedTypeError:
-            raise
-        except Exception as e:  # pragma: no cover - defensive
-            raise UnsupportedTypeError(str(e)) from e
+        b.type.spark_type()  # raises UnsupportedTypeError for types the writer cannot encode
 
 
 def _source_type(df: DataFrame, b: Binding) -> T.DataType:
