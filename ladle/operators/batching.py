@@ -317,17 +317,24 @@ def count_batch_summary(batched: DataFrame, max_rows: int, extra_aggs: Sequence[
     return per.withColumn("reason", F.when(F.col("n_rows") >= max_rows, F.lit("rows")).otherwise(F.lit("end")))
 
 
-def reject_oversized(df: DataFrame, size: Column, max_record_bytes: int, mode: str = "strict") -> tuple[DataFrame, DataFrame | None]:
+def reject_oversized(df: DataFrame, size: Column | str, max_record_bytes: int,
+                     mode: str = "strict") -> tuple[DataFrame, DataFrame | None]:
     """Rows larger than ``max_record_bytes`` (equal is allowed).
 
-    strict: raise on the first one; report: return (ok rows, rejected rows).
+    strict: ``size`` must name a column the rest of the plan consumes; it is
+    rewritten in place to raise on the first oversized row (a projection: a
+    filter would be pushed below, and re-run, the casts). report: return
+    (ok rows, rejected rows).
     """
+    c = F.col(size) if isinstance(size, str) else size
     if mode == "strict":
-        chk = F.when(size > F.lit(max_record_bytes),
-                     F.raise_error(F.concat(F.lit("Record of "), size.cast("string"),
-                                            F.lit(f" bytes exceeds the record limit of {max_record_bytes} bytes"))))
-        return df.where(chk.isNull()), None
-    return df.where(size <= F.lit(max_record_bytes)), df.where(size > F.lit(max_record_bytes))
+        name = size if isinstance(size, str) else c._jc.toString()
+        if name not in df.columns:
+            raise ValueError("strict record check needs the size as an existing column")
+        msg = F.concat(F.lit("Record of "), c.cast("string"),
+                       F.lit(f" bytes exceeds the record limit of {max_record_bytes} bytes"))
+        return df.withColumn(name, F.when(c > F.lit(max_record_bytes), F.raise_error(msg)).otherwise(c)), None
+    return df.where(c <= F.lit(max_record_bytes)), df.where(c > F.lit(max_record_bytes))
 
 
 def simulate_flush(sizes, times=None, max_rows=NO_LIMIT, max_bytes=NO_LIMIT, max_time=None):

@@ -84,8 +84,24 @@ def drop_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFra
 
 
 def stop_on_corrupt(df: DataFrame, bad_col: str = "_bad", message: str = "Corrupt row in batch") -> DataFrame:
-    """Fail the job at the first bad row (default policy)."""
-    return df.where(F.when(F.col(bad_col) == 1, F.raise_error(F.lit(message))).isNull())
+    """Fail the job at the first bad row (default policy).
+
+    A projection, not a filter: a filter would be pushed below the casts and
+    make Spark evaluate them twice.
+    """
+    return df.withColumn(bad_col, F.when(F.col(bad_col) == 1, F.raise_error(F.lit(message))).otherwise(F.col(bad_col)))
+
+
+def error_rows(df: DataFrame, errors_col: str = "_errors") -> DataFrame:
+    """Rows with at least one error, with the checks evaluated once.
+
+    A plain ``where(size(_errors) > 0)`` is pushed below the parsing and cast
+    projections with their expressions inlined, so the whole parse runs again
+    inside the filter. Filtering on a generated column cannot be pushed below
+    the generator (``explode_outer`` also adds no inferred pre-filter).
+    """
+    first = F.explode_outer(F.slice(F.col(errors_col), 1, 1)).alias("__first_error")
+    return df.select("*", first).where(F.col("__first_error").isNotNull()).drop("__first_error")
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ from ladle.operators.failures import (
     RetryPolicy,
     classify,
     drop_corrupt_batches,
+    error_rows,
     mark_bad,
     retry_batch,
     stop_on_corrupt,
@@ -113,7 +114,7 @@ def corrupted_order_lines(spark, sf_dir):
 def q_find_corrupt_rows(spark, sf_dir):
     """CSV lines of orders whose price field cannot be parsed into the target type."""
     p = parse_raw(corrupted_order_lines(spark, sf_dir), ORDERS_RAW_SPEC, "csv", mode="report")
-    return p.where(F.size("_errors") > 0).select("o_orderkey", F.size("_errors").alias("n_errors"))
+    return error_rows(p).select("o_orderkey", F.size("_errors").alias("n_errors"))
 
 
 def corrupt_batches(spark, sf_dir):

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.functions.conform import conform
 from ladle.functions.sizes import header_bytes, normalize_raw_line, raw_payload_bytes, row_payload_bytes
 from ladle.operators.batching import annotate_batches, hash_shard, reject_oversized
 from ladle.operators.bindings import (
@@ -264,40 +263,47 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
     number of fields (quotes respected) is corrupt. JSON: an absent key takes
     the DEFAULT, else NULL; an explicit ``null`` stays NULL; a line that is not
     a JSON object is corrupt.
+
+    Staged projections: each line is parsed once (one struct column), then the
+    typed values come from :func:`bind_columns` over plain field references.
     """
+    keep = list(keep)
     n = len(table.columns)
-    payload = normalize_raw_line(F.col(line_col))
-    body = F.regexp_replace(payload, "\n$", "")
+    body = F.regexp_replace(normalize_raw_line(F.col(line_col)), "\n$", "")
+    s1 = lines.select(*keep, F.col(line_col).alias("__line"), body.alias("__body"))
     if raw_format == "csv":
         schema = ", ".join(f"`_f{i}` STRING" for i in range(n))
         # No text equals the null marker, so a NULL field can only be an empty one.
-        rec = F.from_csv(body, schema, {"nullValue": "\u0001", "emptyValue": ""})
-        fields = [rec[f"_f{i}"] for i in range(n)]
-        shape_err = F.when(F.regexp_count(body, F.lit(CSV_FIELD_RE)) != F.lit(n), F.lit(f"Expected {n} fields"))
+        s2 = s1.select(*keep, "__line", F.from_csv("__body", schema, {"nullValue": "\u0001", "emptyValue": ""})
+                       .alias("__rec"), F.regexp_count("__body", F.lit(CSV_FIELD_RE)).alias("__nf"))
+        shape_err = F.when(F.col("__nf") != F.lit(n), F.lit(f"Expected {n} fields"))
+        fields = [F.col("__rec")[f"_f{i}"] for i in range(n)]
         absent = [f.isNull() for f in fields]
     elif raw_format == "json":
         schema = ", ".join(f"`{c.name}` STRING" for c in table.columns)
-        rec = F.from_json(body, schema, {"mode": "PERMISSIVE"})
-        keys = F.json_object_keys(body)
-        fields = [rec[c.name] for c in table.columns]
-        shape_err = F.when(keys.isNull() | rec.isNull(), F.lit("Cannot parse JSON object"))
-        absent = [~F.coalesce(F.array_contains(keys, c.name), F.lit(False)) for c in table.columns]
+        s2 = s1.select(*keep, "__line", F.from_json("__body", schema, {"mode": "PERMISSIVE"}).alias("__rec"),
+                       F.json_object_keys("__body").alias("__keys"))
+        shape_err = F.when(F.col("__keys").isNull() | F.col("__rec").isNull(), F.lit("Cannot parse JSON object"))
+        fields = [F.col("__rec")[c.name] for c in table.columns]
+        absent = [~F.coalesce(F.array_contains("__keys", c.name), F.lit(False)) for c in table.columns]
     else:
         raise ValueError("raw_format must be 'csv' or 'json'")
-    cols, errs = [], [shape_err]
-    for c, f, miss in zip(table.columns, fields, absent):
+    srcs = []
+    for i, (c, f, miss) in enumerate(zip(table.columns, fields, absent)):
         if c.default is not None:
             src = F.when(miss, F.expr(c.default).cast("string")).otherwise(f)
         elif raw_format == "csv" and c.type.name in ("String", "FixedString"):
             src = F.when(miss, F.lit("")).otherwise(f)
         else:
             src = F.when(~miss, f)
-        r = conform(src, T.StringType(), c.type, c.name)
-        cols.append(F.when(shape_err.isNull(), r.value).alias(c.name))
-        errs.append(F.when(shape_err.isNull(), r.error))
-    err_arr = F.array_compact(F.array(*errs))
-    out = lines.select(*[F.col(k) for k in keep], *cols, err_arr.alias(ERRORS_COL),
-                       raw_payload_bytes(F.col(line_col)).alias("_size"))
+        srcs.append(src.alias(f"__s{i}"))
+    s3 = s2.select(*keep, "__line", shape_err.alias("__shape"), *srcs)
+    typed = bind_columns(s3, [Binding(f"__s{i}", c.name, c.type) for i, c in enumerate(table.columns)],
+                         mode="report", keep=[*keep, "__line", "__shape"])
+    ok = F.col("__shape").isNull()
+    out = typed.select(*keep, *[F.when(ok, F.col(c.name)).alias(c.name) for c in table.columns],
+                       F.when(ok, F.col(ERRORS_COL)).otherwise(F.array(F.col("__shape"))).alias(ERRORS_COL),
+                       raw_payload_bytes(F.col("__line")).alias("_size"))
     if mode == "strict":
         out = out.where(F.when(F.size(ERRORS_COL) > 0, F.raise_error(F.element_at(ERRORS_COL, 1))).isNull())
     return out

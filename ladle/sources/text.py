@@ -54,17 +54,22 @@ def parse_delimited(df: DataFrame, fields: Sequence[Field], line_col: str = LINE
 
     A missing field or an unparsable value is an error: strict mode raises,
     report mode nulls the value and lists the problem in ``_errors``.
+    Staged projections: the line is split once, each field is extracted once,
+    and values and errors are derived from those columns.
     """
-    parts = split_fields(F.col(line_col), sep)
-    n = F.size(parts)
-    cols, errs = [F.col(k) for k in keep], []
-    for f in fields:
-        if f.kind == "zero":
-            cols.append(F.lit(0).alias(f.name))
-            continue
-        present = n > F.lit(f.index)
-        raw = F.when(present, F.trim(F.element_at(parts, f.index + 1)))
-        missing = F.when(~present, F.concat(F.lit(f"Index {f.index} out of bounds for length "), n.cast("string")))
+    keep = list(keep)
+    s1 = df.select(*keep, split_fields(F.col(line_col), sep).alias("__parts"))
+    s1 = s1.select(*keep, "__parts", F.size("__parts").alias("__n"))
+    parsed = [f for f in fields if f.kind != "zero"]
+    raws = [F.when(F.col("__n") > F.lit(f.index), F.trim(F.element_at("__parts", f.index + 1))).alias(f"__r{i}")
+            for i, f in enumerate(parsed)]
+    s2 = s1.select(*keep, "__n", *raws)
+    stage = [F.col(k) for k in keep]
+    for i, f in enumerate(parsed):
+        raw = F.col(f"__r{i}")
+        present = F.col("__n") > F.lit(f.index)
+        missing = F.when(~present, F.concat(F.lit(f"Index {f.index} out of bounds for length "),
+                                            F.col("__n").cast("string")))
         if f.kind == "date":
             v = F.try_to_date(raw, "yyyy-MM-dd")
             bad = F.when(present & v.isNull(), F.concat(F.lit("Text '"), raw, F.lit(f"' could not be parsed for {f.name}")))
@@ -75,9 +80,15 @@ def parse_delimited(df: DataFrame, fields: Sequence[Field], line_col: str = LINE
             bad = F.when(present & v.isNull(), F.concat(F.lit('For input string: "'), raw, F.lit('"')))
         else:
             raise ValueError(f"unknown field kind {f.kind}")
-        err = F.coalesce(missing, bad)
-        cols.append(apply_mode(v, err, mode).alias(f.name))
-        errs.append(err)
+        stage += [v.alias(f"__v{i}"), F.coalesce(missing, bad).alias(f"__e{i}")]
+    s3 = s2.select(*stage)
+    cols, k = [F.col(c) for c in keep], 0
+    for f in fields:
+        if f.kind == "zero":
+            cols.append(F.lit(0).alias(f.name))
+        else:
+            cols.append(apply_mode(F.col(f"__v{k}"), F.col(f"__e{k}"), mode).alias(f.name))
+            k += 1
     if mode == "report":
-        cols.append(F.array_compact(F.array(*errs)).alias("_errors"))
-    return df.select(*cols)
+        cols.append(F.array_compact(F.array(*[F.col(f"__e{i}") for i in range(len(parsed))])).alias("_errors"))
+    return s3.select(*cols)
