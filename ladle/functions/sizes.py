@@ -96,4 +96,6 @@ def normalize_raw_line(c: Column) -> Column:
 
 
 def raw_payload_bytes(c: Column) -> Column:
-    return F.octet_length(normalize_raw_line(c))
+    """Bytes of the normalized line, computed without building it (no text copy)."""
+    n = F.octet_length(c)
+    return F.when(c.isNull(), F.lit(None)).when(c.endswith("\n") | (n == 0), n).otherwise(n + 1)
