@@ -305,7 +305,13 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
                        F.when(ok, F.col(ERRORS_COL)).otherwise(F.array(F.col("__shape"))).alias(ERRORS_COL),
                        raw_payload_bytes(F.col("__line")).alias("_size"))
     if mode == "strict":
-        out = out.where(F.when(F.size(ERRORS_COL) > 0, F.raise_error(F.element_at(ERRORS_COL, 1))).isNull())
+        # Raise in a projection on every output column (a filter would be
+        # pushed below, and re-run, the parse; a single check column could be
+        # pruned away by a caller that does not read it).
+        bad = F.size(ERRORS_COL) > 0
+        raise_first = F.raise_error(F.element_at(ERRORS_COL, 1))
+        out = out.select(*keep, *[F.when(bad, raise_first).otherwise(F.col(c.name)).alias(c.name)
+                                  for c in table.columns], ERRORS_COL, "_size")
     return out
 
 

@@ -165,3 +165,14 @@ def test_gzip_text_stream_to_typed_table(spark, tmp):
     exp = o.select(F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderstatus").alias("location_key"),
                    F.col("o_custkey").cast("int").alias("new_confirmed"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_strict_raw_load_stops_on_a_bad_line(spark, tmp):
+    import pytest
+
+    spec = TableSpec.of("t", [("id", "Int32"), ("name", "String")])
+    lines = spark.createDataFrame([("1,a",), ("x,b",), ("3,c",)], "value string")
+    with pytest.raises(Exception, match="Cannot convert value of column id"):
+        load_raw(lines, spec, os.path.join(tmp, "t"), "csv")
+    with pytest.raises(Exception, match="Expected 2 fields"):
+        load_raw(spark.createDataFrame([("1,a,zzz",)], "value string"), spec, os.path.join(tmp, "u"), "csv")
