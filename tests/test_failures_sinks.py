@@ -234,3 +234,17 @@ def test_auto_shards_from_plan_statistics(spark, tmp):
     res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(shards="auto", max_batch_size=100),
                order=["k"])
     assert res.metrics["records_sent"] == 5000
+
+
+def test_hot_key_spreads_over_writers(spark):
+    """A business key holding a third of all rows does not pile up in one writer:
+    writers come from a hash of the unique key."""
+    from ladle.operators.batching import annotate_batches, hash_shard
+
+    n = 30000
+    df = spark.range(n).select(F.col("id").alias("line"),
+                               F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("orderkey"))
+    ann = annotate_batches(df, hash_shard(["orderkey", "line"], 8), ["orderkey", "line"], size=F.lit(10),
+                           max_rows=500, complete=True)
+    per = [r["count"] for r in ann.groupBy("shard").count().collect()]
+    assert len(per) == 8 and max(per) < 1.3 * n / 8
