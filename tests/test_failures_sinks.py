@@ -248,3 +248,18 @@ def test_hot_key_spreads_over_writers(spark):
                            max_rows=500, complete=True)
     per = [r["count"] for r in ann.groupBy("shard").count().collect()]
     assert len(per) == 8 and max(per) < 1.3 * n / 8
+
+
+def test_empty_inputs(spark, tmp):
+    empty = spark.createDataFrame([], "k long, v string")
+    b = [of("k", "k", "Int64"), of("v", "v", "String")]
+    res = load(empty, b, os.path.join(tmp, "e"), LoadOptions(shards=4), order=["k"])
+    assert res.metrics["records_sent"] == 0 and res.metrics["requests"] == 0
+    res2 = load(empty, b, os.path.join(tmp, "e2"), order=["k"])
+    assert res2.metrics["records_sent"] == 0
+    spec = TableSpec.of("t", [("k", "Int64"), ("v", "String")])
+    assert load_raw(spark.createDataFrame([], "value string"), spec, os.path.join(tmp, "r"), "csv").metrics[
+        "records_sent"] == 0
+    from ladle.operators.batching import annotate_batches, batch_summary
+
+    assert batch_summary(annotate_batches(empty, F.lit(0), ["k"], max_rows=5, complete=True)).count() == 0
