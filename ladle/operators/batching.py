@@ -258,12 +258,13 @@ def annotate_batches(df: DataFrame, shard: Column, order: Sequence[str | Column]
         raise ValueError("complete batches need a row or byte limit (bounded memory)")
     local = shard is None
     d = df.withColumn("shard", F.spark_partition_id() if local else shard.cast("int"))
-    d = d.withColumn("_size", (size if size is not None else F.lit(0)).cast("bigint"))
+    d = d.withColumn("_size", F.coalesce((size if size is not None else F.lit(0)).cast("bigint"), F.lit(0)))
     max_time = None
     if max_time_ms is not None:
         if ts is None:
             raise ValueError("time limit needs an event-time column")
-        d = d.withColumn("_t", micros_since_epoch(ts.cast("timestamp_ntz")))
+        # Rows without an event time sort first and count as arriving at the earliest instant.
+        d = d.withColumn("_t", F.coalesce(micros_since_epoch(ts.cast("timestamp_ntz")), F.lit(-(2**62))))
         max_time = int(max_time_ms) * 1000
     if local:
         # One writer per input partition, rows in arrival (read) order: no

@@ -276,14 +276,16 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
         # No text equals the null marker, so a NULL field can only be an empty one.
         s2 = s1.select(*keep, "__line", F.from_csv("__body", schema, {"nullValue": "\u0001", "emptyValue": ""})
                        .alias("__rec"), F.regexp_count("__body", F.lit(CSV_FIELD_RE)).alias("__nf"))
-        shape_err = F.when(F.col("__nf") != F.lit(n), F.lit(f"Expected {n} fields"))
+        shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
+                     .when(F.col("__nf") != F.lit(n), F.lit(f"Expected {n} fields")))
         fields = [F.col("__rec")[f"_f{i}"] for i in range(n)]
         absent = [f.isNull() for f in fields]
     elif raw_format == "json":
         schema = ", ".join(f"`{c.name}` STRING" for c in table.columns)
         s2 = s1.select(*keep, "__line", F.from_json("__body", schema, {"mode": "PERMISSIVE"}).alias("__rec"),
                        F.json_object_keys("__body").alias("__keys"))
-        shape_err = F.when(F.col("__keys").isNull() | F.col("__rec").isNull(), F.lit("Cannot parse JSON object"))
+        shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
+                     .when(F.col("__keys").isNull() | F.col("__rec").isNull(), F.lit("Cannot parse JSON object")))
         fields = [F.col("__rec")[c.name] for c in table.columns]
         absent = [~F.coalesce(F.array_contains("__keys", c.name), F.lit(False)) for c in table.columns]
     else:
@@ -303,7 +305,7 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
     ok = F.col("__shape").isNull()
     out = typed.select(*keep, *[F.when(ok, F.col(c.name)).alias(c.name) for c in table.columns],
                        F.when(ok, F.col(ERRORS_COL)).otherwise(F.array(F.col("__shape"))).alias(ERRORS_COL),
-                       raw_payload_bytes(F.col("__line")).alias("_size"))
+                       F.coalesce(raw_payload_bytes(F.col("__line")), F.lit(0)).alias("_size"))
     if mode == "strict":
         # Raise in a projection on every output column (a filter would be
         # pushed below, and re-run, the parse; a single check column could be

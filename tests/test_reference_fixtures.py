@@ -176,3 +176,11 @@ def test_strict_raw_load_stops_on_a_bad_line(spark, tmp):
         load_raw(lines, spec, os.path.join(tmp, "t"), "csv")
     with pytest.raises(Exception, match="Expected 2 fields"):
         load_raw(spark.createDataFrame([("1,a,zzz",)], "value string"), spec, os.path.join(tmp, "u"), "csv")
+
+
+def test_null_raw_records_are_corrupt(spark, tmp):
+    spec = TableSpec.of("t", [("id", "Int32"), ("name", "String")])
+    lines = spark.createDataFrame([("1,a",), (None,), ("3,c",)], "value string")
+    res = load_raw(lines, spec, os.path.join(tmp, "t"), "csv",
+                   LoadOptions(max_batch_size=1, failure="drop_batch", shards=1))
+    assert res.metrics["records_sent"] == 2 and res.metrics["dropped_records"] == 1
