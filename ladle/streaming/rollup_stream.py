@@ -47,8 +47,13 @@ def read_rollup(spark: SparkSession, path: str, before: int | None = None) -> Da
 
 
 def stream_rollup(stream: DataFrame, key: Sequence[str], specs: Sequence[tuple[str, str, str | None]], path: str,
-                  checkpoint: str, available_now: bool = True, processing_time: str | None = None):
-    """Keep ``path`` equal to the rollup of everything the stream delivered."""
+                  checkpoint: str, available_now: bool = True, processing_time: str | None = None,
+                  fault=None):
+    """Keep ``path`` equal to the rollup of everything the stream delivered.
+
+    ``fault(batch_id)`` is a test hook run after a version is written and
+    before the micro-batch commits (it may raise to simulate a crash).
+    """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -56,6 +61,8 @@ def stream_rollup(stream: DataFrame, key: Sequence[str], specs: Sequence[tuple[s
         prev = read_rollup(spark, path, before=batch_id)
         merged = partial if prev is None else remerge([prev, partial], key, specs)
         merged.write.mode("overwrite").parquet(os.path.join(path, f"{VERSION_COL}={batch_id}"))
+        if fault is not None:
+            fault(batch_id)
         for v in versions(spark, path):
             if v < batch_id - 1:
                 p, fs = _fs(spark, os.path.join(path, f"{VERSION_COL}={v}"))
