@@ -184,3 +184,41 @@ def test_null_raw_records_are_corrupt(spark, tmp):
     res = load_raw(lines, spec, os.path.join(tmp, "t"), "csv",
                    LoadOptions(max_batch_size=1, failure="drop_batch", shards=1))
     assert res.metrics["records_sent"] == 2 and res.metrics["dropped_records"] == 1
+
+
+def test_streaming_fold_recovers_state_after_a_crash(spark, tmp):
+    import pytest
+
+    from ladle.operators.batching import annotate_batches, batch_summary
+    from ladle.streaming.batching_stream import stream_annotate_batches
+
+    rows = [(i, i * 1000, (i * 37) % 50 + 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, t long, sz long").withColumn(
+        "ts", F.timestamp_seconds(F.col("t")).cast("timestamp_ntz"))
+    src = os.path.join(tmp, "in")
+    for i in range(4):  # time-ordered files, written one after another
+        df.where((F.col("k") >= i * 100) & (F.col("k") < (i + 1) * 100)).coalesce(1).write.parquet(f"{src}/part={i}")
+    schema = spark.read.parquet(f"{src}/part=0").schema
+    shard = F.pmod(F.col("k"), F.lit(3))
+    out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
+
+    def start(crash_at=None):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
+        ann = stream_annotate_batches(stream, shard, ["ts", "k"], F.col("sz"), 7, 120, F.col("ts"), 30_000)
+
+        def write(bdf, bid):
+            bdf.write.mode("overwrite").parquet(f"{out}/_batch_id={bid}")
+            if bid == crash_at:
+                raise RuntimeError("crash")
+
+        ann.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True) \
+            .start().awaitTermination()
+
+    with pytest.raises(Exception):
+        start(crash_at=2)
+    start()
+    got = sorted(tuple(r) for r in batch_summary(spark.read.parquet(out).drop("_batch_id")).collect())
+    exp = sorted(tuple(r) for r in batch_summary(annotate_batches(
+        df, shard, ["ts", "k"], size=F.col("sz"), max_rows=7, max_bytes=120, ts=F.col("ts"),
+        max_time_ms=30_000)).collect())
+    assert got == exp
