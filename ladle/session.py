@@ -61,7 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="ladle-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a shared folder: written tables and stream "
+                               "checkpoints must survive the loss of any machine")
+        d = tempfile.mkdtemp(prefix="ladle-ckpt-")  # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
