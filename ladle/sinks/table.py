@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -229,7 +230,7 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
     result = {}
 
     def write():
-        obs = Observation("ladle_load")
+        obs = Observation(f"ladle_load_{uuid.uuid4().hex[:12]}")
         observed = flagged.observe(obs, *observed_load_metrics(hdr))
         out = observed.where(F.col("_batch_bad") == 0).select(*names)
         if table is not None:
