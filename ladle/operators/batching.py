@@ -70,8 +70,20 @@ def batch_by_count(df: DataFrame, max_rows: int, shard: Column, order: Sequence[
 def _fold_run(sz, ts, st, max_rows, max_bytes, max_time, batch, close, prev):
     """Fold one shard run (arrays of one shard, in order) from state ``st``.
 
-    ``st`` = [c, b, next_batch, fire] is updated in place. ``sz``/``ts`` are
-    int64 arrays; ``fire`` is None or a time (same unit as ts).
+    ``st`` = [c, b, next_batch, fire] is updated in place: rows and bytes of
+    the open batch, the id the next row joins, and the pending timer (None or
+    a time in the unit of ``ts``). ``batch``/``close``/``prev`` are filled in.
+
+    Invariant after every row: c < max_rows and b < max_bytes (else the batch
+    would have been flushed), so all buffered rows belong to the open batch.
+    Hence whole stretches of rows can be assigned at once: the open batch
+    takes rows until the first row whose arrival reaches a limit (found with
+    ``searchsorted`` on prefix sums). That row either fits (the batch closes
+    with it: ``close`` stamp) or overflows the byte cap (the batch closes
+    before it and it opens the next one: ``prev`` stamp on it). A timer splits
+    the run into segments [anchor, anchor + max_time); at the segment end the
+    open batch closes ("time" stamp on the next row) and the next row sets a
+    new timer. Python work is per batch and per timer segment, not per row.
     """
     m = len(sz)
     P = np.zeros(m + 1, dtype=np.int64)
