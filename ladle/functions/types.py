@@ -136,6 +136,8 @@ class TargetType:
             s = f"FixedString({self.size})"
         elif n == "DateTime64":
             s = f"DateTime64({self.scale}" + (f", '{self.tz}')" if self.tz else ")")
+        elif n == "DateTime" and self.tz:
+            s = f"DateTime('{self.tz}')"
         elif n in ("Array", "Map", "Tuple"):
             s = f"{n}(" + ", ".join(a.ddl() for a in self.args) + ")"
         else:

@@ -23,6 +23,9 @@ def test_wrappers():
     tup = parse_type("Tuple(String, Int64, Bool)")
     assert [f.name for f in tup.spark_type().fields] == ["_1", "_2", "_3"]
     assert parse_type("Nullable(Decimal(38, 4))").ddl() == "Nullable(Decimal(38, 4))"
+    for decl in ("DateTime('UTC')", "DateTime64(3, 'UTC')", "LowCardinality(Nullable(String))", "FixedString(4)",
+                 "Map(String, UInt64)", "Tuple(Int32, String)", "SimpleAggregateFunction(sum, Decimal(38, 4))"):
+        assert parse_type(decl).ddl() == decl
 
 
 @pytest.mark.parametrize("decl", ["Enum8('a' = 1)", "Time", "Variant(String)", "IPv4"])
