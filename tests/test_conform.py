@@ -143,3 +143,63 @@ def test_datetime_text_with_zones_and_numbers(spark):
     r = _one(spark, 1700000000, T.LongType(), "DateTime")
     assert r.v is None and "Cannot convert" in r.e
     assert _one(spark, 5, T.IntegerType(), "Date").v is None
+
+
+def test_wide_integers_against_python_ints(spark):
+    """Digit-string bound checks for 128/256-bit types vs exact Python integers."""
+    import random
+
+    from ladle.functions.types import INT_BOUNDS
+
+    rng = random.Random(7)
+    vals = []
+    for _ in range(2000):
+        bits = rng.choice([8, 63, 64, 100, 127, 128, 129, 200, 255, 256, 257])
+        v = rng.getrandbits(bits) * rng.choice([1, -1])
+        text = str(v)
+        if rng.random() < 0.2:  # leading zeros and explicit plus signs are still integers
+            text = ("-" if v < 0 else rng.choice(["", "+"])) + "000" + str(abs(v))
+        if rng.random() < 0.05:
+            text = text + "x"
+        vals.append(text)
+    for t in ("Int128", "Int256", "UInt128", "UInt256"):
+        lo, hi = INT_BOUNDS[t]
+        vals += [str(lo), str(hi), str(lo - 1), str(hi + 1)]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ("Int128", "Int256", "UInt128", "UInt256"):
+        lo, hi = INT_BOUNDS[t]
+        r = conform(F.col("s"), T.StringType(), t, "c")
+        got = df.select("s", r.value.alias("v"), r.error.isNull().alias("ok")).collect()
+        for row in got:
+            try:
+                iv = int(row.s)
+            except ValueError:
+                iv = None
+            exp_ok = iv is not None and lo <= iv <= hi
+            assert row.ok == exp_ok, (t, row.s)
+            if exp_ok:
+                assert row.v == str(iv), (t, row.s, row.v)
+
+
+def test_decimal256_against_python_decimals(spark):
+    import random
+    from decimal import Decimal as D
+
+    rng = random.Random(11)
+    vals = []
+    for _ in range(1500):
+        ip = str(rng.getrandbits(rng.choice([10, 100, 200, 240, 260])))
+        fp = "".join(rng.choice("0123456789") for _ in range(rng.choice([0, 1, 3, 5])))
+        txt = ("-" if rng.random() < 0.5 else "") + ip + ("." + fp if fp or rng.random() < 0.1 else "")
+        vals.append(txt)
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    p, sc = 76, 3
+    r = conform(F.col("s"), T.StringType(), f"Decimal({p}, {sc})", "c")
+    for row in df.select("s", r.value.alias("v"), r.error.isNull().alias("ok")).collect():
+        d = D(row.s)
+        int_digits = len(str(abs(int(d)))) if abs(int(d)) > 0 else 0
+        frac = row.s.split(".")[1].rstrip("0") if "." in row.s else ""
+        exp_ok = int_digits <= p - sc and len(frac) <= sc
+        assert row.ok == exp_ok, row.s
+        if exp_ok:
+            assert D(row.v) == d and len(row.v.split(".")[1]) == sc, (row.s, row.v)
