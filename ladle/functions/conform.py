@@ -196,7 +196,15 @@ def _conform_value(c: Column, src: T.DataType, t: TargetType, name: str, null_un
         ok = v.isNotNull() & ~_not_integral(c, src)
         return F.when(ok, v), ok
     if n in SMALL_UNSIGNED or n == "UInt64":
-        wide = c.try_cast("decimal(20,0)") if n == "UInt64" else c.try_cast("bigint")
+        if n == "UInt64" and isinstance(src, (T.FloatType, T.DoubleType)):
+            # double -> decimal goes through the shortest decimal text and is
+            # inexact above 2^53; via bigint it is exact (2^63.. shifted down first).
+            d = c.cast("double")
+            two63 = F.lit(float(2**63))
+            big = (d - two63).try_cast("bigint").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+            wide = F.when(d >= two63, big).otherwise(d.try_cast("bigint").cast("decimal(20,0)"))
+        else:
+            wide = c.try_cast("decimal(20,0)") if n == "UInt64" else c.try_cast("bigint")
         lo, hi = INT_BOUNDS[n]
         lo_c, hi_c = ((F.lit(str(lo)).cast("decimal(20,0)"), F.lit(str(hi)).cast("decimal(20,0)")) if n == "UInt64"
                       else (F.lit(lo), F.lit(hi)))
@@ -204,7 +212,14 @@ def _conform_value(c: Column, src: T.DataType, t: TargetType, name: str, null_un
         ok = ok & ~_not_integral(c, src)
         return F.when(ok, wide.cast(st)), ok
     if n in WIDE_INTS:
-        if _fractional(src):
+        if isinstance(src, (T.FloatType, T.DoubleType)):
+            # Exact through bigint inside the 64-bit range; beyond it Spark's
+            # decimal text of the double is used.
+            d = c.cast("double")
+            in_long = F.abs(d) < F.lit(float(2**63))
+            c = F.when(~_not_integral(c, src),
+                       F.when(in_long, d.try_cast("bigint").cast("string")).otherwise(d.try_cast("decimal(38,0)").cast("string")))
+        elif _fractional(src):
             c = F.when(~_not_integral(c, src), c.cast("decimal(38,0)"))
         return _conform_wide_int(c, t)
     if n in ("Float32", "Float64"):

@@ -203,3 +203,30 @@ def test_decimal256_against_python_decimals(spark):
         assert row.ok == exp_ok, row.s
         if exp_ok:
             assert D(row.v) == d and len(row.v.split(".")[1]) == sc, (row.s, row.v)
+
+
+def test_narrow_integers_against_python(spark):
+    import random
+
+    from ladle.functions.types import INT_BOUNDS
+
+    rng = random.Random(3)
+    ints = [rng.choice([1, -1]) * rng.getrandbits(rng.choice([6, 7, 8, 9, 15, 16, 17, 31, 32, 33, 62, 63]))
+            for _ in range(1500)]
+    ints += [b for t in ("Int8", "Int16", "Int32", "Int64", "UInt8", "UInt16", "UInt32") for b in INT_BOUNDS[t]]
+    dbls = [float(i) + rng.choice([0.0, 0.0, 0.5, -0.25]) for i in ints[:800]]
+    df_l = spark.createDataFrame([(i,) for i in ints], "x long")
+    df_s = spark.createDataFrame([(str(i),) for i in ints], "x string")
+    df_d = spark.createDataFrame([(d,) for d in dbls], "x double")
+    for t in ("Int8", "Int16", "Int32", "Int64", "UInt8", "UInt16", "UInt32", "UInt64"):
+        lo, hi = INT_BOUNDS[t]
+        for df, conv in ((df_l, int), (df_s, int), (df_d, float)):
+            src = df.schema["x"].dataType
+            r = conform(F.col("x"), src, t, "c")
+            for row in df.select("x", r.value.alias("v"), r.error.isNull().alias("ok")).collect():
+                x = conv(row.x)
+                whole = float(x).is_integer() if isinstance(x, float) else True
+                exp_ok = whole and lo <= x <= hi
+                assert row.ok == exp_ok, (t, row.x)
+                if exp_ok:
+                    assert int(row.v) == int(x), (t, row.x, row.v)
