@@ -230,3 +230,21 @@ def test_narrow_integers_against_python(spark):
                 assert row.ok == exp_ok, (t, row.x)
                 if exp_ok:
                     assert int(row.v) == int(x), (t, row.x, row.v)
+
+
+def test_datetime64_floor_against_python(spark):
+    import random
+
+    rng = random.Random(5)
+    epoch = dt.datetime(1970, 1, 1)
+    lo_us = int((dt.datetime(1900, 1, 1) - epoch).total_seconds() * 1e6)
+    hi_us = int((dt.datetime(2299, 12, 31, 23, 59, 59) - epoch).total_seconds() * 1e6)
+    micros = [rng.randint(lo_us, hi_us) for _ in range(1500)] + [lo_us, hi_us, -1, 0, 1, -999_999, -1_000_001]
+    tss = [epoch + dt.timedelta(microseconds=m) for m in micros]
+    df = spark.createDataFrame([(t,) for t in tss], "x timestamp_ntz")
+    for scale in range(0, 7):
+        r = conform(F.col("x"), T.TimestampNTZType(), f"DateTime64({scale})", "c")
+        unit = 10 ** (6 - scale)
+        for row, m in zip(df.select(r.value.alias("v")).collect(), micros):
+            exp = epoch + dt.timedelta(microseconds=(m // unit) * unit)  # floor, also before 1970
+            assert row.v == exp, (scale, m, row.v, exp)
