@@ -248,3 +248,26 @@ def test_datetime64_floor_against_python(spark):
         for row, m in zip(df.select(r.value.alias("v")).collect(), micros):
             exp = epoch + dt.timedelta(microseconds=(m // unit) * unit)  # floor, also before 1970
             assert row.v == exp, (scale, m, row.v, exp)
+
+
+def test_date_bounds_and_float32_range_against_python(spark):
+    import random
+    import struct
+
+    rng = random.Random(9)
+    days = [rng.randint(-40000, 150000) for _ in range(1500)]
+    dates = [dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in days if -700000 < d < 2900000]
+    df = spark.createDataFrame([(d,) for d in dates], "x date")
+    for t, lo, hi in (("Date", dt.date(1970, 1, 1), dt.date(2149, 6, 6)),
+                      ("Date32", dt.date(1900, 1, 1), dt.date(2299, 12, 31))):
+        r = conform(F.col("x"), T.DateType(), t, "c")
+        for row, d in zip(df.select(r.value.alias("v"), r.error.isNull().alias("ok")).collect(), dates):
+            assert row.ok == (lo <= d <= hi) and (row.v == d if row.ok else row.v is None), (t, d)
+    fmax = struct.unpack("f", struct.pack("I", 0x7F7FFFFF))[0]
+    vals = [rng.uniform(-1, 1) * 10 ** rng.randint(0, 40) for _ in range(1000)] + [fmax, -fmax, fmax * 1.0000001]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = conform(F.col("x"), T.DoubleType(), "Float32", "c")
+    for row, v in zip(df.select(r.value.alias("v"), r.error.isNull().alias("ok")).collect(), vals):
+        assert row.ok == (abs(v) <= fmax), v
+        if row.ok:
+            assert row.v == struct.unpack("f", struct.pack("f", v))[0], v
