@@ -251,7 +251,13 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
 
 # -- raw text lines ------------------------------------------------------------
 
-CSV_FIELD_RE = r'(?:^|,)(?:"(?:[^"]|"")*"|[^,]*)'
+CSV_QUOTED_RE = r'"(?:[^"]|"")*"'
+
+
+def _csv_field_count(body):
+    """Fields of a CSV line: commas outside quoted segments, plus one."""
+    bare = F.regexp_replace(body, CSV_QUOTED_RE, "")
+    return F.length(bare) - F.length(F.regexp_replace(bare, ",", "")) + 1
 
 
 def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_col: str = "value",
@@ -275,8 +281,9 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
     if raw_format == "csv":
         schema = ", ".join(f"`_f{i}` STRING" for i in range(n))
         # No text equals the null marker, so a NULL field can only be an empty one.
-        s2 = s1.select(*keep, "__line", F.from_csv("__body", schema, {"nullValue": "\u0001", "emptyValue": ""})
-                       .alias("__rec"), F.regexp_count("__body", F.lit(CSV_FIELD_RE)).alias("__nf"))
+        # Quotes inside quoted fields are doubled (RFC 4180), hence escape='"'.
+        s2 = s1.select(*keep, "__line", F.from_csv("__body", schema, {"nullValue": "\u0001", "emptyValue": "", "escape": '"'})
+                       .alias("__rec"), _csv_field_count(F.col("__body")).alias("__nf"))
         shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
                      .when(F.col("__nf") != F.lit(n), F.lit(f"Expected {n} fields")))
         fields = [F.col("__rec")[f"_f{i}"] for i in range(n)]

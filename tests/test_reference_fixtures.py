@@ -222,3 +222,33 @@ def test_streaming_fold_recovers_state_after_a_crash(spark, tmp):
         df, shard, ["ts", "k"], size=F.col("sz"), max_rows=7, max_bytes=120, ts=F.col("ts"),
         max_time_ms=30_000)).collect())
     assert got == exp
+
+
+def test_csv_lines_against_python_csv(spark):
+    """Quote-aware field splitting and counting vs Python's csv module."""
+    import csv
+    import io
+    import random
+
+    from ladle.sinks.table import parse_raw
+
+    rng = random.Random(13)
+    alphabet = ["a", "b", " ", ",", '"', "x", "1"]
+    spec = TableSpec.of("t", [("c0", "String"), ("c1", "String"), ("c2", "String")])
+    lines, expected = [], []
+    for _ in range(600):
+        n = rng.choice([3, 3, 3, 2, 4])
+        fields = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 5))) for _ in range(n)]
+        buf = io.StringIO()
+        csv.writer(buf, quoting=csv.QUOTE_MINIMAL, lineterminator="").writerow(fields)
+        lines.append(buf.getvalue())
+        parsed = next(csv.reader([buf.getvalue()]))
+        expected.append(tuple(parsed) if len(parsed) == 3 else None)
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    out = {r.i: r for r in parse_raw(df, spec, "csv", keep=["i"]).collect()}
+    for i, exp in enumerate(expected):
+        r = out[i]
+        if exp is None:
+            assert r._errors == ["Expected 3 fields"], (lines[i], r)
+        else:
+            assert (r.c0, r.c1, r.c2) == exp and r._errors == [], (lines[i], r, exp)
