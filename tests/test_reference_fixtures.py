@@ -252,3 +252,52 @@ def test_csv_lines_against_python_csv(spark):
             assert r._errors == ["Expected 3 fields"], (lines[i], r)
         else:
             assert (r.c0, r.c1, r.c2) == exp and r._errors == [], (lines[i], r, exp)
+
+
+def test_json_lines_against_python_json(spark):
+    import json
+    import random
+
+    from ladle.sinks.table import parse_raw
+
+    rng = random.Random(17)
+    spec = TableSpec.of("t", [("a", "Int32"), ("b", "String"), ("c", "Nullable(Int32)", "5")])
+    lines, expected = [], []
+    for _ in range(500):
+        obj = {}
+        for k in ("a", "b", "c", "extra"):
+            roll = rng.random()
+            if roll < 0.2:
+                continue  # absent
+            if roll < 0.3:
+                obj[k] = None
+            elif k == "b":
+                obj[k] = rng.choice(["x", "y, z", 'q"uote', ""])
+            elif k == "extra":
+                obj[k] = {"nested": [1, 2]}
+            else:
+                obj[k] = rng.randint(-1000, 1000)
+        text = json.dumps(obj)
+        broken = rng.random() < 0.05
+        if broken:
+            text = text[:-1]  # drop the closing brace
+        lines.append(text)
+        if broken:
+            expected.append("corrupt")
+            continue
+        a = obj.get("a")
+        b = obj.get("b")
+        c = obj["c"] if "c" in obj else 5
+        errs = [] if a is not None else ["Null value for non-nullable column: a"]
+        errs += [] if b is not None else ["Null value for non-nullable column: b"]
+        expected.append((a, b, c, errs))
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    out = {r.i: r for r in parse_raw(df, spec, "json", keep=["i"]).collect()}
+    for i, exp in enumerate(expected):
+        r = out[i]
+        if exp == "corrupt":
+            assert r._errors == ["Cannot parse JSON object"], (lines[i], r)
+        else:
+            a, b, c, errs = exp
+            assert r._errors == errs, (lines[i], r)
+            assert (r.a, r.b, r.c) == (a, b, c), (lines[i], r)
