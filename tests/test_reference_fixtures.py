@@ -301,3 +301,64 @@ def test_json_lines_against_python_json(spark):
             a, b, c, errs = exp
             assert r._errors == errs, (lines[i], r)
             assert (r.a, r.b, r.c) == (a, b, c), (lines[i], r)
+
+
+def test_delimited_records_against_a_python_model(spark):
+    """parse_delimited vs a Python model: split dropping trailing empty fields,
+    trim, blank int -> 0, strict yyyy-MM-dd."""
+    import random
+    import re
+
+    from ladle.sources.text import Field, parse_delimited
+
+    rng = random.Random(23)
+    fields = [Field("d", "date", 0), Field("k", "string", 1), Field("x", "int_blank_zero", 2),
+              Field("y", "int_blank_zero", 3), Field("z", "zero")]
+
+    def java_split(line):
+        parts = line.split(",")
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts or [""]
+
+    def model(line):
+        p = java_split(line)
+        out, errs = {}, []
+        for f in fields:
+            if f.kind == "zero":
+                out[f.name] = 0
+                continue
+            if len(p) <= f.index:
+                out[f.name] = None
+                errs.append("missing")
+                continue
+            raw = p[f.index].strip()
+            if f.kind == "date":
+                ok = re.fullmatch(r"\d{4}-\d{2}-\d{2}", raw) is not None
+                try:
+                    val = dt.date.fromisoformat(raw) if ok else None
+                except ValueError:
+                    val = None
+                out[f.name] = val
+                errs += [] if val is not None else ["date"]
+            elif f.kind == "string":
+                out[f.name] = raw
+            else:
+                if raw == "":
+                    out[f.name] = 0
+                elif re.fullmatch(r"[+-]?\d{1,9}", raw):
+                    out[f.name] = int(raw)
+                else:
+                    out[f.name] = None
+                    errs.append("int")
+        return out, len(errs)
+
+    pieces = ["2020-01-01", "2021-13-01", "2020-1-1", " 2022-02-28 ", "k1", " k 2 ", "", " ", "7", "-3", "+4", "x"]
+    lines = [",".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    out = {r.i: r for r in parse_delimited(df, fields, mode="report", keep=["i"]).collect()}
+    for i, line in enumerate(lines):
+        exp, n_err = model(line)
+        r = out[i]
+        assert len(r._errors) == n_err, (line, r)
+        assert all(getattr(r, k) == v for k, v in exp.items()), (line, r, exp)
