@@ -263,3 +263,40 @@ def test_empty_inputs(spark, tmp):
     from ladle.operators.batching import annotate_batches, batch_summary
 
     assert batch_summary(annotate_batches(empty, F.lit(0), ["k"], max_rows=5, complete=True)).count() == 0
+
+
+def test_classify_random_cause_chains(spark):
+    import random
+
+    from pyspark.sql import types as T
+
+    from ladle.operators.failures import CORRUPTION_CODES, classify
+
+    rng = random.Random(29)
+    kinds = ["server", "connect", "socket_timeout", "io", "other"]
+    msgs = [None, "Read timed out after 1 s", "x Read timed out after", "Write timed out after 2",
+            "Insert failed: y", "a Connection reset by peer", "Broken pipe", "Connection timed out!", "boom"]
+
+    def model(chain):
+        servers = [c for c in chain if c[0] == "server"]
+        kind, code, retry, msg = servers[0] if servers else chain[-1]
+        if kind == "server":
+            return "retriable" if retry else "corruption" if code in CORRUPTION_CODES else "fatal"
+        if kind in ("connect", "socket_timeout"):
+            return "retriable"
+        if kind == "io" and msg is not None and (
+                msg.startswith("Read timed out after") or msg.startswith("Write timed out after")
+                or any(p in msg for p in ("Insert failed", "Connection reset by peer", "Broken pipe",
+                                          "Connection timed out"))):
+            return "retriable"
+        return "fatal"
+
+    chains = [[(rng.choice(kinds), rng.choice([6, 27, 60, 117, 252, None]), rng.random() < 0.3, rng.choice(msgs))
+               for _ in range(rng.randint(1, 4))] for _ in range(400)]
+    cause = T.StructType([T.StructField("kind", T.StringType()), T.StructField("code", T.IntegerType()),
+                          T.StructField("retryable", T.BooleanType()), T.StructField("message", T.StringType())])
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(chains)],
+                               T.StructType([T.StructField("i", T.IntegerType()),
+                                             T.StructField("causes", T.ArrayType(cause))]))
+    got = {r.i: r.cat for r in df.select("i", classify(F.col("causes")).alias("cat")).collect()}
+    assert all(got[i] == model(c) for i, c in enumerate(chains))
