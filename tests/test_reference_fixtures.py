@@ -362,3 +362,48 @@ def test_delimited_records_against_a_python_model(spark):
         r = out[i]
         assert len(r._errors) == n_err, (line, r)
         assert all(getattr(r, k) == v for k, v in exp.items()), (line, r, exp)
+
+
+def test_payload_sizes_against_a_python_model(spark):
+    import random
+
+    rng = random.Random(31)
+
+    def vlen(n):
+        k = 1
+        while n >= 128:
+            n >>= 7
+            k += 1
+        return k
+
+    def sbytes(s):
+        b = len(s.encode())
+        return vlen(b) + b
+
+    cols = [("i8", "Int8"), ("u64", "UInt64"), ("d", "Decimal(20, 2)"), ("s", "String"), ("ns", "Nullable(String)"),
+            ("fs", "FixedString(3)"), ("dt", "Date32"), ("ts", "DateTime64(6)"), ("arr", "Array(String)"),
+            ("m", "Map(String, Int32)"), ("t", "Tuple(Int64, String)"), ("nu", "Nullable(UInt16)")]
+    rows, expected = [], []
+    for _ in range(300):
+        s = "é" * rng.randint(0, 200)
+        ns = None if rng.random() < 0.3 else "x" * rng.randint(0, 300)
+        arr = ["ab" * rng.randint(0, 70) for _ in range(rng.randint(0, 4))]
+        m = {f"k{j}": j for j in range(rng.randint(0, 3))}
+        t = (rng.randint(0, 9), "z" * rng.randint(0, 5))
+        nu = None if rng.random() < 0.5 else 7
+        rows.append((s, ns, arr, m, t, nu))
+        expected.append(1 + 8 + 16 + sbytes(s) + (1 if ns is None else 1 + sbytes(ns)) + 3 + 4 + 8
+                        + vlen(len(arr)) + sum(sbytes(a) for a in arr)
+                        + vlen(len(m)) + sum(sbytes(k) + 4 for k in m)
+                        + 8 + sbytes(t[1]) + (1 if nu is None else 1 + 2))
+    from ladle.functions.sizes import row_payload_bytes
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, s string, ns string, arr array<string>, m map<string,int>, "
+                               "t struct<_1:bigint,_2:string>, nu int")
+    df = df.select("i", F.lit(1).cast("tinyint").alias("i8"), F.lit(5).cast("decimal(20,0)").alias("u64"),
+                   F.lit(1.5).cast("decimal(20,2)").alias("d"), "s", "ns", F.lit("abc").alias("fs"),
+                   F.current_date().alias("dt"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), "arr", "m", "t",
+                   "nu")
+    got = {r.i: r.n for r in df.select("i", row_payload_bytes(cols).alias("n")).collect()}
+    assert all(got[i] == e for i, e in enumerate(expected))
