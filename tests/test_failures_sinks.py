@@ -300,3 +300,23 @@ def test_classify_random_cause_chains(spark):
                                              T.StructField("causes", T.ArrayType(cause))]))
     got = {r.i: r.cat for r in df.select("i", classify(F.col("causes")).alias("cat")).collect()}
     assert all(got[i] == model(c) for i, c in enumerate(chains))
+
+
+def test_load_with_event_time_limit(spark, tmp):
+    """Time flushes through load(): one writer, rows in event-time order."""
+    from ladle.operators.batching import simulate_flush
+
+    rows = [(i, i * 700, (i * 13) % 40 + 1) for i in range(300)]  # 0.7 s apart
+    df = spark.createDataFrame(rows, "k long, t long, n int").withColumn(
+        "ts", F.timestamp_seconds(F.col("t") / 1000).cast("timestamp_ntz")).drop("t").coalesce(1)
+    b = [of("k", "k", "Int64"), of("ts", "ts", "DateTime64(3)"), of("n", "n", "Int32")]
+    res = load(df, b, os.path.join(tmp, "t"), LoadOptions(max_batch_size=20, max_time_in_buffer_ms=5000),
+               order=["k"], event_time="ts")
+    sizes = [8 + 8 + 4] * len(rows)
+    _, reasons = simulate_flush(sizes, [r[1] * 1000 for r in rows], 20, 5 * 1024 * 1024, 5000 * 1000)
+    by = {"rows": 0, "bytes": 0, "time": 0, "end": 0}
+    for r in reasons.values():
+        by[r] += 1
+    m = res.metrics
+    assert (m["flushes_by_rows"], m["flushes_by_time"], m["flushes_at_end"]) == (by["rows"], by["time"], by["end"])
+    assert m["requests"] == len(reasons) and m["records_sent"] == 300
