@@ -255,9 +255,11 @@ CSV_QUOTED_RE = r'"(?:[^"]|"")*"'
 
 
 def _csv_field_count(body):
-    """Fields of a CSV line: commas outside quoted segments, plus one."""
-    bare = F.regexp_replace(body, CSV_QUOTED_RE, "")
-    return F.length(bare) - F.length(F.regexp_replace(bare, ",", "")) + 1
+    """Fields of a CSV line: commas outside quoted segments, plus one (the
+    quoted-segment regex only runs on lines that contain a quote)."""
+    def commas(x):
+        return F.length(x) - F.length(F.replace(x, F.lit(","), F.lit(""))) + 1
+    return F.when(body.contains('"'), commas(F.regexp_replace(body, CSV_QUOTED_RE, ""))).otherwise(commas(body))
 
 
 def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_col: str = "value",
