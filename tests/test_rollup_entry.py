@@ -90,3 +90,27 @@ def test_streaming_rollup_is_exactly_once_across_a_crash(spark, tmp):
     got = {r.o_custkey: (r.mx, r.tot) for r in read_rollup(spark, out).collect()}
     exp = {r.o_custkey: (r.mx, r.tot) for r in rollup(o, ["o_custkey"], specs).collect()}
     assert got == exp  # the replayed micro-batch did not add its sums twice
+
+
+def test_remerge_random_splits(spark):
+    import random
+
+    rng = random.Random(41)
+    rows = [(rng.randint(0, 20), i, rng.choice(["a", "b", None]), rng.randint(-50, 50),
+             [rng.randint(0, 5) for _ in range(rng.randint(0, 3))], {rng.choice("xyz"): rng.randint(1, 9)})
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, ord int, last string, v int, arr array<int>, m map<string,int>") \
+        .withColumn("mx", F.col("v")).withColumn("mn", F.col("v")).withColumn("tot", F.col("v"))
+    specs = [("mx", "max", None), ("mn", "min", None), ("tot", "sum", None), ("last", "anyLast", "ord")]
+    whole = sorted(tuple(r) for r in rollup(df, ["k"], specs).select("k", "mx", "mn", "tot", "last").collect())
+    c_whole = sorted(map(tuple, concat_arrays(df, ["k"], "arr").collect()))
+    m_whole = sorted(map(tuple, sum_map(df, ["k"], "m").collect()))
+    for seed in range(3):
+        cut = F.pmod(F.xxhash64("ord", F.lit(seed)), F.lit(3)) == 0
+        a, b = df.where(cut), df.where(~cut)
+        merged = remerge([rollup(a, ["k"], specs), rollup(b, ["k"], specs)], ["k"], specs)
+        assert sorted(tuple(r) for r in merged.select("k", "mx", "mn", "tot", "last").collect()) == whole
+        assert sorted(map(tuple, remerge_concat([concat_arrays(a, ["k"], "arr"), concat_arrays(b, ["k"], "arr")],
+                                                ["k"]).collect())) == c_whole
+        assert sorted(map(tuple, remerge_sum_map([sum_map(a, ["k"], "m"), sum_map(b, ["k"], "m")],
+                                                 ["k"]).collect())) == m_whole
