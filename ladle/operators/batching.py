@@ -145,23 +145,17 @@ def _segments(shard, batch):
     return np.flatnonzero(change)
 
 
-def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_prev=None, next_shard=None,
-                     sz=None):
-    """Append the batch columns to ``rb``.
-
-    Complete mode: every row gets its batch's close reason and badness. The
-    last batch of the slice is closed by its own stamp, or by the stamp on the
-    row that follows the slice (``next_prev``, same shard), else by the end of
-    the shard's input.
+def _batch_arrays(batch, first, close, prev, shard, bad, complete, next_prev=None, next_shard=None, sz=None):
+    """The columns the fold adds, as (name, pyarrow array) pairs.
+
+    Complete mode: every row gets its batch's close reason, badness and
+    totals. The last batch of the slice is closed by its own stamp, or by the
+    stamp on the row that follows the slice (``next_prev``, same shard), else
+    by the end of the shard's input.
     """
-    cols = [rb.column(i) for i in range(rb.num_columns)]
-    names = list(rb.schema.names)
-    cols += [pa.array(batch, pa.int64()), pa.array(first, pa.bool_())]
-    names += ["batch", "_first"]
+    out = [("batch", pa.array(batch, pa.int64())), ("_first", pa.array(first, pa.bool_()))]
     if not complete:
-        cols += [pa.array(close, pa.string()), pa.array(prev, pa.string())]
-        names += ["_close", "_prev"]
-        return pa.RecordBatch.from_arrays(cols, names=names)
+        return out + [("_close", pa.array(close, pa.string())), ("_prev", pa.array(prev, pa.string()))]
     m = len(batch)
     starts = _segments(shard, batch)
     ends = np.append(starts[1:], m)
@@ -170,8 +164,6 @@ def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_p
     seg_bad = np.maximum.reduceat(bad, starts) if bad is not None else np.zeros(len(starts), dtype=np.int32)
     seg_rows = np.diff(np.append(starts, m)).astype(np.int64)
     seg_bytes = np.add.reduceat(sz, starts).astype(np.int64)
-    batch_rows = np.repeat(seg_rows, seg_rows)
-    batch_bytes = np.repeat(seg_bytes, seg_rows)
     for i, (a, e) in enumerate(zip(starts, ends)):
         r = close[e - 1]
         if r is None:
@@ -183,10 +175,16 @@ def _with_batch_cols(rb, batch, first, close, prev, shard, bad, complete, next_p
                 r = nxt_prev
         reason[a:e] = r if r is not None else "end"
         batch_bad[a:e] = seg_bad[i]
-    cols += [pa.array(reason, pa.string()), pa.array(batch_bad, pa.int32()), pa.array(batch_rows, pa.int64()),
-             pa.array(batch_bytes, pa.int64())]
-    names += ["reason", "_batch_bad", "_batch_rows", "_batch_bytes"]
-    return pa.RecordBatch.from_arrays(cols, names=names)
+    return out + [("reason", pa.array(reason, pa.string())), ("_batch_bad", pa.array(batch_bad, pa.int32())),
+                  ("_batch_rows", pa.array(np.repeat(seg_rows, seg_rows), pa.int64())),
+                  ("_batch_bytes", pa.array(np.repeat(seg_bytes, seg_rows), pa.int64()))]
+
+
+def _attach(rb, added, lo=0, hi=None):
+    """``rb`` plus rows [lo, hi) of the added columns (no copy of ``rb``)."""
+    hi = rb.num_rows + lo if hi is None else hi
+    cols = [rb.column(i) for i in range(rb.num_columns)] + [a.slice(lo, hi - lo) for _, a in added]
+    return pa.RecordBatch.from_arrays(cols, names=list(rb.schema.names) + [n for n, _ in added])
 
 
 def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
@@ -196,7 +194,7 @@ def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
 
     def fold(batches):
         state = {"shard": None, "st": None, "last": -1}
-        held = None  # (RecordBatch, batch, first, close, prev, shard, bad, size) of the open batch
+        held = None  # (Arrow slices, batch, first, close, prev, shard, size, bad) of the open batch
         for rb in batches:
             m = rb.num_rows
             if m == 0:
@@ -223,28 +221,42 @@ def _make_fold(max_rows, max_bytes, max_time, complete=False, bad_col=None):
                 first[s + 1:e] = out_b[1:] != out_b[:-1]
                 state["last"] = int(out_b[-1])
             if not complete:
-                yield _with_batch_cols(rb, batch, first, close, prev, shard, bad, False)
+                yield _attach(rb, _batch_arrays(batch, first, close, prev, shard, bad, False))
                 continue
+            # Complete mode: the open batch's rows are held as zero-copy slices
+            # of their Arrow chunks; only the small per-row arrays are joined.
+            pieces = [rb]
             if held is not None:
-                rb = pa.Table.from_batches([held[0], rb]).combine_chunks().to_batches()[0]
-                batch, first, close, prev, shard = (np.concatenate((held[1], batch)), np.concatenate((held[2], first)),
-                                                    np.concatenate((held[3], close)), np.concatenate((held[4], prev)),
-                                                    np.concatenate((held[5], shard)))
-                bad = np.concatenate((held[6], bad)) if bad is not None else None
-                sz = np.concatenate((held[7], sz))
-            n = rb.num_rows
+                pieces = held[0] + [rb]
+                batch, first, close, prev, shard, sz = (np.concatenate((h, x)) for h, x in zip(
+                    held[1:7], (batch, first, close, prev, shard, sz)))
+                bad = np.concatenate((held[7], bad)) if bad is not None else None
+            n = len(batch)
             # Hold the last batch unless a threshold already closed it on its last row.
             cut = n if close[n - 1] is not None else int(_segments(shard, batch)[-1])
             if cut > 0:
-                yield _with_batch_cols(rb.slice(0, cut), batch[:cut], first[:cut], close[:cut], prev[:cut],
-                                       shard[:cut], bad[:cut] if bad is not None else None, True,
-                                       prev[cut] if cut < n else None, shard[cut] if cut < n else None,
-                                       sz=sz[:cut])
-            held = None if cut == n else (rb.slice(cut), batch[cut:], first[cut:], close[cut:], prev[cut:],
-                                          shard[cut:], bad[cut:] if bad is not None else None, sz[cut:])
+                added = _batch_arrays(batch[:cut], first[:cut], close[:cut], prev[:cut], shard[:cut],
+                                      bad[:cut] if bad is not None else None, True,
+                                      prev[cut] if cut < n else None, shard[cut] if cut < n else None, sz=sz[:cut])
+            off, keep_pieces = 0, []
+            for p in pieces:
+                lo, hi = off, off + p.num_rows
+                if lo < cut:
+                    take = min(hi, cut) - lo
+                    yield _attach(p.slice(0, take), added, lo, lo + take)
+                    if take < p.num_rows:
+                        keep_pieces.append(p.slice(take))
+                else:
+                    keep_pieces.append(p)
+                off = hi
+            held = None if cut == n else (keep_pieces, batch[cut:], first[cut:], close[cut:], prev[cut:],
+                                          shard[cut:], sz[cut:], bad[cut:] if bad is not None else None)
         if held is not None:
-            yield _with_batch_cols(held[0], held[1], held[2], held[3], held[4], held[5], held[6], True,
-                                   sz=held[7])
+            added = _batch_arrays(held[1], held[2], held[3], held[4], held[5], held[7], True, sz=held[6])
+            off = 0
+            for p in held[0]:
+                yield _attach(p, added, off, off + p.num_rows)
+                off += p.num_rows
 
     return fold
 
