@@ -1,5 +1,9 @@
 """§2.4 type conformance: checked casts in report mode over the supplied tables.
 
+Every row of the table is processed. Expressions on the key (e.g. ``key % 300``)
+only *shape* input values so that some fall outside the target range; they
+never filter rows.
+
 Each query feeds a derived column (with values outside the target range or
 format on purpose) through :func:`ladle.functions.conform.conform` and returns
 ``(id, value, bad)``: the typed value (NULL when rejected) and the reject flag.

@@ -1,4 +1,9 @@
-"""§2.6 failure handling queries."""
+"""§2.6 failure handling queries.
+
+Whole tables are processed; ``key % 997`` only injects the corrupt values the
+failure policies act on (the fixture of the reference tests), it is not a
+filter.
+"""
 
 from __future__ import annotations
 

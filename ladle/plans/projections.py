@@ -1,4 +1,8 @@
-"""§2.3 projections, defaults, null rules and row policies."""
+"""§2.3 projections, defaults, null rules and row policies.
+
+Whole tables are processed; key-modulo expressions only decide which values
+are nulled to exercise the null rules, they never filter rows for cost.
+"""
 
 from __future__ import annotations
 
