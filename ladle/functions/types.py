@@ -177,6 +177,15 @@ def parse_type(decl: str | TargetType) -> TargetType:
     """Parse a target type declaration (driver side, once per binding)."""
     if isinstance(decl, TargetType):
         return decl
+    try:
+        return _parse(decl)
+    except UnsupportedTypeError:
+        raise
+    except (IndexError, ValueError) as e:
+        raise UnsupportedTypeError(f"Cannot parse type: {decl!r}") from e
+
+
+def _parse(decl: str) -> TargetType:
     m = _CALL.match(decl)
     if not m:
         raise UnsupportedTypeError(f"Cannot parse type: {decl!r}")

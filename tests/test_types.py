@@ -32,3 +32,9 @@ def test_wrappers():
 def test_unsupported(decl):
     with pytest.raises(UnsupportedTypeError):
         parse_type(decl).spark_type()
+
+
+@pytest.mark.parametrize("decl", ["Array()", "Map(String)", "Decimal(x, 2)", "Tuple(", "DateTime64(12)", ""])
+def test_malformed_declarations(decl):
+    with pytest.raises(UnsupportedTypeError):
+        parse_type(decl).spark_type()
