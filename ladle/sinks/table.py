@@ -69,6 +69,7 @@ class LoadOptions:
     # "auto": a number sized from the plan's size estimate (see auto_shards).
     shards: int | str | None = None
     failure: str = "stop"  # "stop" | "drop_batch"
+    json_as: str = "string"  # JSON columns stored as validated text, or "variant"
     retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
     null_unsigned: str = "zero"
     # Target: any Spark writer ("parquet" by default; e.g. "jdbc" with url/dbtable
@@ -178,7 +179,7 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
     options.validate()
     check_bindings(bindings)
     mode = "strict" if options.failure == "stop" else "report"
-    typed = bind_columns(df, bindings, mode=mode, null_unsigned=options.null_unsigned)
+    typed = bind_columns(df, bindings, mode=mode, null_unsigned=options.null_unsigned, json_as=options.json_as)
     if mode == "strict":
         typed = typed.withColumn(ERRORS_COL, F.array().cast("array<string>"))
     typed = typed.withColumn("_size", row_payload_bytes([(b.name, b.type) for b in bindings]))

@@ -407,3 +407,15 @@ def test_payload_sizes_against_a_python_model(spark):
                    "nu")
     got = {r.i: r.n for r in df.select("i", row_payload_bytes(cols).alias("n")).collect()}
     assert all(got[i] == e for i, e in enumerate(expected))
+
+
+def test_load_json_as_variant(spark, tmp):
+    df = spark.createDataFrame([(1, '{"bar": "foo"}'), (2, '{"bar": "baz"}')], "id long, j string")
+    out = os.path.join(tmp, "v")
+    from ladle.sinks.table import load
+
+    load(df, [of("id", "id", "Int64"), of("j", "j", "JSON")], out, LoadOptions(json_as="variant"), order=["id"])
+    back = read_table(spark, out)
+    assert back.schema["j"].dataType.typeName() == "variant"
+    assert sorted(r.bar for r in back.select(F.variant_get("j", "$.bar", "string").alias("bar")).collect()) == \
+        ["baz", "foo"]
