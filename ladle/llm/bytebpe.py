@@ -1,10 +1,14 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token's bytes form a linked list. Every adjacent pair whose bytes have a
-merge rank sits in the bucket of that rank; a two-level bitmap over the ranks
-finds the lowest bucket that is not empty by find-first-set. A merge changes two
-neighbouring pairs, which are pushed anew; their former entries stay behind and
-are skipped as stale. Merging n bytes takes O(n log n) however long the pre-token is.
+The bytes of many pre-tokens form one linked list, cut between pre-tokens. Every
+adjacent pair that has a merge rank sits in the bucket of that rank; a two-level
+bitmap over the ranks finds the lowest bucket in use by find-first-set. The whole
+bucket is then merged at once: entries whose pair has changed since are stale and
+skipped, overlapping ones are taken alternately from the left, and the changed
+neighbour pairs are pushed anew. Where a merge opens a pair of lower rank, the later
+entries of that pre-token are put back, so that every pre-token sees its merges in
+exact order. The cost per byte doesn't depend on the length of
+a pre-token.
 
 Edge cases: a null text encodes as the empty text (no ids, empty bytes); null
 keys, ties and repeated rows pass through row by row; an empty table gives an
@@ -16,7 +20,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -25,90 +28,141 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 LEAF_BITS = 8
+LEAF_MASK = (1 << LEAF_BITS) - 1
 #: Pre-tokens kept encoded per Python worker, and the longest kept; beyond, the merge runs again.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 CACHE_PIECE_CHARS = 64
-#: Ids gathered before a record batch is sent back to the JVM.
-BATCH_IDS = 2_000_000
+#: Characters of text encoded together; a longer document goes alone.
+CHUNK_CHARS = 6_000_000
+
+
+class Merges:
+    """The merge table of a vocabulary: which two token ids join into which."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        found: dict[int, int] = {}
+        self.none = max(ranks.values(), default=0) + 1
+        self.width = self.none + 1
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    found[left * self.width + right] = rank
+        order = np.array(sorted(found), np.int64)
+        self.pairs = np.append(order, np.iinfo(np.int64).max)
+        self.ranks = np.array([found[int(x)] for x in order] + [-1], np.int32)
+        self.of_byte = np.array([ranks[bytes([x])] for x in range(256)], np.int32)
+        #: Ranks whose token takes part in a pair of lower rank.
+        lowest = np.full(self.width, np.iinfo(np.int32).max, np.int32)
+        for part in (order // self.width, order % self.width):
+            np.minimum.at(lowest, part, self.ranks[:-1])
+        self.opens_lower = lowest < np.arange(self.width)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, -1 without one."""
+        pair = left.astype(np.int64) * self.width + right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.ranks[at], np.int32(-1))
 
 
 class RankQueue:
-    """Positions by merge rank; ``pop`` gives the lowest rank's leftmost position."""
+    """Positions by merge rank, with a bitmap of ranks in use by block and one of blocks."""
 
     def __init__(self) -> None:
         self.root = 0
         self.leaves: dict[int, int] = {}
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        block = rank >> LEAF_BITS
-        self.leaves[block] = self.leaves.get(block, 0) | 1 << (rank & (1 << LEAF_BITS) - 1)
-        self.root |= 1 << block
-
-    def pop(self) -> tuple[int, int]:
-        root = self.root
-        block = (root & -root).bit_length() - 1
+        self.buckets: dict[int, list[np.ndarray]] = {}
+
+    def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        if len(ranks) > 1:
+            order = np.argsort(ranks, kind="stable")
+            ranks, positions = ranks[order], positions[order]
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()]
+        else:
+            cuts = [0] * len(ranks)
+        ends = [*cuts[1:], len(ranks)]
+        for rank, first, end in zip(ranks[cuts].tolist(), cuts, ends):
+            bucket = self.buckets.get(rank)
+            if bucket is None:
+                self.buckets[rank] = [positions[first:end]]
+                block = rank >> LEAF_BITS
+                self.leaves[block] = self.leaves.get(block, 0) | 1 << (rank & LEAF_MASK)
+                self.root |= 1 << block
+            else:
+                bucket.append(positions[first:end])
+
+    def pop(self) -> tuple[int, np.ndarray]:
+        """The lowest rank and its positions, ascending."""
+        block = (self.root & -self.root).bit_length() - 1
         leaf = self.leaves[block]
         low = leaf & -leaf
         rank = block << LEAF_BITS | low.bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.leaves[block] = leaf ^ low
-            if leaf == low:
-                self.root = root ^ 1 << block
-        return rank, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    rank_of = ranks.get
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair_rank: list[int | None] = [None] * n
+        self.leaves[block] = leaf ^ low
+        if leaf == low:
+            self.root ^= 1 << block
+        bucket = self.buckets.pop(rank)
+        return rank, np.unique(bucket[0] if len(bucket) == 1 else np.concatenate(bucket))
+
+
+def merge(pieces: list[bytes], merges: Merges) -> list[tuple[int, ...]]:
+    """Ids of each pre-token."""
+    flat = np.frombuffer(b"".join(pieces), np.uint8)
+    n = len(flat)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ends = np.cumsum(sizes)
+    piece = np.repeat(np.arange(len(pieces)), sizes)
+    # Position n stands for "none": it links to itself and pairs with nothing.
+    ids = np.append(merges.of_byte[flat], np.int32(merges.none))
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    after[n] = n
+    after[ends[sizes > 0] - 1] = n
+    before[(ends - sizes)[sizes > 0]] = n
+    pair_rank = merges.rank(ids, ids[after])
     queue = RankQueue()
-    push = queue.push
-    for i in range(n - 1):
-        rank = rank_of(piece[i:i + 2])
-        if rank is not None:
-            pair_rank[i] = rank
-            push(rank, i)
+    at = np.flatnonzero(pair_rank >= 0)
+    queue.push(pair_rank[at], at)
+    alive = np.ones(n, bool)
     while queue.root:
-        rank, i = queue.pop()
-        if pair_rank[i] != rank:
-            continue  # stale: this pair was merged or has grown
-        j = after[i]
-        k = after[j]
-        pair_rank[j] = None
-        after[i] = k
-        if k < n:
-            before[k] = i
-            rank = rank_of(piece[i:after[k]])
-            pair_rank[i] = rank
-            if rank is not None:
-                push(rank, i)
-        else:
-            pair_rank[i] = None
-        h = before[i]
-        if h >= 0:
-            rank = rank_of(piece[h:k])
-            pair_rank[h] = rank
-            if rank is not None:
-                push(rank, h)
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i:after[i]]])
-        i = after[i]
-    return ids
+        rank, at = queue.pop()
+        at = at[pair_rank[at] == rank]  # the others are stale
+        over = at[:0]
+        if len(at) > 1:
+            runs_on = np.append(False, after[at[:-1]] == at[1:])
+            if runs_on.any():
+                index = np.arange(len(at))
+                take = (index - np.maximum.accumulate(np.where(runs_on, 0, index))) % 2 == 0
+                over, at = at[~take], at[take]
+        elif not len(at):
+            continue
+        while True:
+            gone = after[at]
+            right, former = after[gone], ids[at]
+            ids[at] = rank
+            after[at] = right
+            before[right] = at
+            changed = np.concatenate((at, before[at]))
+            ranks = merges.rank(ids[changed], ids[np.concatenate((right, at))])
+            has = ranks >= 0
+            if not merges.opens_lower[rank] or len(at) == 1 or not (lower := has & (ranks < rank)).any():
+                break
+            first = np.append(True, piece[at[1:]] != piece[at[:-1]])
+            wait = ~first & np.isin(piece[at], piece[changed[lower]])
+            if not wait.any():
+                break
+            # A lower rank has opened in a pre-token with later entries: take those back.
+            ids[at], after[at] = former, gone
+            before[right] = gone
+            back = np.concatenate((at[wait], over))
+            queue.push(np.full(len(back), rank), back)
+            at, over = at[~wait], over[:0]
+        alive[gone] = False
+        pair_rank[gone] = -1
+        pair_rank[changed] = ranks
+        pair_rank[n] = -1
+        queue.push(ranks[has], changed[has])
+    out = ids[:n][alive].tolist()
+    cuts = np.append(0, np.cumsum(np.bincount(piece[alive], minlength=len(pieces)))).tolist()
+    return [tuple(out[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 class Codec:
@@ -121,25 +175,22 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
+        self.merges = Merges(self.ranks)
         self.cache: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        cache, ranks = self.cache, self.ranks
-        pieces = self.pieces(text)
-        found = list(map(cache.get, pieces))
-        if None in found:
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-            for at, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[at]
-                    ids = cache.get(piece)
-                    if ids is None:
-                        ids = tuple(merge(piece.encode(), ranks))
-                        if len(piece) <= CACHE_PIECE_CHARS:
-                            cache[piece] = ids
-                    found[at] = ids
-        return list(chain.from_iterable(found))
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. The pre-tokens of all of them that aren't kept yet merge together."""
+        split = [self.pieces(text) for text in texts]
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        new = list(set(chain.from_iterable(split)).difference(self.cache))
+        found = self.cache
+        found.update(zip(new, merge([x.encode() for x in new], self.merges)))
+        out = [list(chain.from_iterable(map(found.__getitem__, pieces))) for pieces in split]
+        for piece in new:
+            if len(piece) > CACHE_PIECE_CHARS:
+                del found[piece]
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -163,27 +214,25 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text: str = "text", key:
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
 
-        def batch(keys: pa.Array, lists: list[np.ndarray], raw: list[bytes]) -> pa.RecordBatch:
+        def batch(keys: pa.Array, lists: list[list[int]]) -> pa.RecordBatch:
             ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            columns = [keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))]
+            flat = np.fromiter(chain.from_iterable(lists), np.int32, ends[-1])
+            columns = [keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
             if decoded:
-                columns.append(pa.array(raw, pa.binary()))
+                columns.append(pa.array(map(own.decode, lists), pa.binary()))
             return pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
         for rows in batches:
-            keys, lists, raw, held, first = rows.column(0), [], [], 0, 0
-            for at, value in enumerate(rows.column(1)):
-                ids = own.encode(value.as_py() or "")
-                lists.append(np.array(ids, np.int32))
-                if decoded:
-                    raw.append(own.decode(ids))
-                held += len(ids)
-                if held >= BATCH_IDS:
-                    yield batch(keys.slice(first, len(lists)), lists, raw)
-                    lists, raw, held, first = [], [], 0, at + 1
-            if lists:
-                yield batch(keys.slice(first, len(lists)), lists, raw)
+            keys, chunk, held, first = rows.column(0), [], 0, 0
+            for value in rows.column(1):
+                value = value.as_py() or ""
+                if chunk and held + len(value) > CHUNK_CHARS:
+                    yield batch(keys.slice(first, len(chunk)), own.encode(chunk))
+                    first, chunk, held = first + len(chunk), [], 0
+                chunk.append(value)
+                held += len(value)
+            if chunk:
+                yield batch(keys.slice(first, len(chunk)), own.encode(chunk))
 
     return docs.select(docs[key], docs[text]).mapInArrow(encode_batches, schema)
 
