@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe
-from ladle.plans.registry import table
+from ladle.llm import bytebpe, sequences
+from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
 QUERIES = {}
@@ -35,3 +35,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's ids, written as Arrow sequence files in key order and read back."""
+    folder = scratch_path(spark, "sequences")
+    manifest = sequences.write_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, folder)
+    return sequences.read(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
