@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, sequences
+from ladle.llm import bytebpe, lines, sequences
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -43,3 +43,11 @@ def op8_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "sequences")
     manifest = sequences.write_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, folder)
     return sequences.read(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every whole text, and the verdict of the line field."""
+    docs = table(spark, sf_dir, "documents")
+    return lines.judge(docs, lines.fit(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share")
