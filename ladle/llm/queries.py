@@ -7,10 +7,10 @@ and derives the digest columns from what the operator returns.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, sequences
+from ladle.llm import bytebpe, chat, lines, secrets, sequences
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -83,3 +83,19 @@ SELECT conv_id, count(*) AS n_turns,
        bool_and((before, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'),
                                    ('assistant', 'tool'), ('tool', 'assistant'), ('tool', 'tool')) AND (NOT is_last OR role = 'assistant')) AS valid
 FROM steps GROUP BY conv_id"""
+
+
+@query
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every whole text, through a ledger that starts empty."""
+    folder = scratch_path(spark, "secrets")
+    found = secrets.scan(table(spark, sf_dir, "documents"), f"{folder}/ledger", work=f"{folder}/work")
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    base = F.filter("spans", lambda s: s["rule"] < len(kinds))
+
+    def count(rule: int, kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(i, kind) for i, kind in enumerate(kinds)]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
