@@ -2,8 +2,8 @@
 
 Documents are tokenized where they lie, dealt to shards by ranges of their key and
 written in key order. A shard is one Arrow IPC file whose record batches hold
-``SEQUENCES`` rows of two fixed-size lists: ``tokens`` and ``mask`` (0 marks the
-padding behind a shard's last document). Sequence i of a shard is row
+``SEQUENCES`` rows of two fixed-size lists: ``tokens`` and the bits of ``mask``
+(false marks the padding behind a shard's last document). Sequence i of a shard is row
 ``i % SEQUENCES`` of batch ``i // SEQUENCES``, so a reader maps the file and takes
 it without copying. An index file beside it has each document's place.
 
@@ -35,13 +35,13 @@ from pyspark.sql import types as T
 
 LENGTH = 2048
 SEQUENCES = 256
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 800_000
 #: Characters of text tokenized together; a longer document goes alone.
 CHUNK_CHARS = 6_000_000
 #: Words of one call of the tokenizer.
 TOGETHER = 512
 #: A word that any tokenizer with word ends takes as one piece, and what may follow it up to white space.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)").fullmatch
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
 WORDS = re.compile(r"[^ \t-\r]+")
 
@@ -65,45 +65,56 @@ class WordTokenizer:
         self.word_ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AÀ") == "aà"
         self.cache: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Adds the words to the cache."""
-        plain: dict[str, list[tuple[str, str]]] = {}
-        odd: list[str] = []
+        """Adds the words to the cache; of plain words, only stems not seen before are tokenized."""
+        stems, cache, plain, odd, fresh, marks_seen = self.stems, self.cache, [], [], {}, set()
         for word in words:
-            match = PLAIN.fullmatch(word)
+            match = PLAIN(word)
             if match:
-                letters, marks = match.groups()
-                plain.setdefault(letters.lower() if self.lowers else letters, []).append((word, marks))
+                stem, marks = match.groups()
+                if self.lowers:
+                    stem = stem.lower()
+                plain.append((word, stem, marks))
+                if stem not in stems:
+                    fresh[stem] = None
+                if marks and marks not in stems:
+                    marks_seen.add(marks)
             else:
                 odd.append(word)
-        marks = list({m for forms in plain.values() for _, m in forms if m})
-        ids = {word: np.array(x, self.dtype).tobytes() for word, x in zip(odd + marks, self._encode(odd + marks))}
-        ids[""] = b""
-        self.cache.update((word, ids[word]) for word in odd)
-        letters = list(plain)
-        for at in range(0, len(letters), TOGETHER):
-            some = letters[at:at + TOGETHER]
+        for known, some in ((cache, odd), (stems, list(marks_seen))):
+            known.update((x, np.array(ids, self.dtype).tobytes()) for x, ids in zip(some, self._encode(some)))
+        fresh = list(fresh)
+        for at in range(0, len(fresh), TOGETHER):
+            some = fresh[at:at + TOGETHER]
             joined = np.array(self._encode([" ".join(some)])[0], np.int64)
             raw, ends = joined.astype(self.dtype).tobytes(), (np.flatnonzero(self.word_ends[joined]) + 1) * self.dtype.itemsize
             assert len(ends) == len(some), "a word is not one piece"
-            start = 0
-            for word, end in zip(some, ends.tolist()):
-                for form, mark in plain[word]:
-                    self.cache[form] = raw[start:end] + ids[mark]
-                start = end
+            ends = [0, *ends.tolist()]
+            stems.update(zip(some, map(raw.__getitem__, map(slice, ends, ends[1:]))))
+        for word, stem, marks in plain:
+            cache[word] = stems[stem] + stems[marks] if marks else stems[stem]
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """The ids of each text and the end id, little-endian, as ``dtype``."""
         split = [WORDS.findall(x) if INFORMATION_SEPARATORS.search(x) else x.split() for x in texts]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
-        self._learn(list({w for words in split for w in words}.difference(self.cache)))
-        ids = self.cache.__getitem__
-        return [b"".join(map(ids, words)) + end for words in split]
+        if len(self.stems) > CACHE_ENTRIES:
+            self.stems.clear()
+        ids = self.cache.get
+        found = [list(map(ids, words)) for words in split]
+        missing = [i for i, x in enumerate(found) if None in x]
+        new = {w for i in missing for w, x in zip(split[i], found[i]) if x is None}
+        if new:
+            self._learn(list(new))
+            for i in missing:
+                found[i] = map(ids, split[i])
+        return [b"".join(x) + end for x in found]
 
 
 @lru_cache(maxsize=4)
@@ -167,7 +178,7 @@ class _Shard:
         self.files.create_dir(base, recursive=True)
         self.name, self.shard, self.length, self.dtype = f"{base}/shard-{shard:06d}", shard, length, dtype
         self.attempt = f"{base}/_attempt-{uuid.uuid4().hex}"
-        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.index = pa.schema([("key", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())])
         self.sinks = [self.files.open_output_stream(f"{self.attempt}.{kind}") for kind in ("arrow", "index")]
         self.writers = [pa.ipc.new_file(sink, schema) for sink, schema in zip(self.sinks, (self.schema, self.index))]
@@ -200,8 +211,8 @@ class _Shard:
         self.held, self.held_bytes = [rest.tobytes()], rest.nbytes
 
     def _batch(self, ids: np.ndarray, size: int) -> None:
-        tokens, mask = np.zeros(size, self.dtype), np.zeros(size, np.uint8)
-        tokens[:len(ids)], mask[:len(ids)] = ids, 1
+        tokens, mask = np.zeros(size, self.dtype), np.zeros(size, bool)
+        tokens[:len(ids)], mask[:len(ids)] = ids, True
         self.writers[0].write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (tokens, mask)], schema=self.schema))
 
@@ -256,21 +267,20 @@ class Sequences:
         source = pa.memory_map(path) if isinstance(files, pafs.LocalFileSystem) else files.open_input_file(path)
         self.file = pa.ipc.open_file(source)
         self.length = self.file.schema.field("tokens").type.list_size
-        self.at, self.columns = -1, []
+        self.at, self.columns = -1, None
 
-    def batch(self, at: int) -> list[np.ndarray]:
+    def batch(self, at: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if at != self.at:
-            rows = self.file.get_batch(at)
-            self.at, self.columns = at, [x.values.to_numpy(zero_copy_only=True) for x in rows.columns]
+            tokens, mask = (x.values for x in self.file.get_batch(at).columns)
+            self.at, self.columns = at, (tokens.to_numpy(zero_copy_only=True), mask)
         return self.columns
 
     def tokens(self, i: int) -> np.ndarray:
         at = i % SEQUENCES * self.length
         return self.batch(i // SEQUENCES)[0][at:at + self.length]
 
-    def mask(self, i: int) -> np.ndarray:
-        at = i % SEQUENCES * self.length
-        return self.batch(i // SEQUENCES)[1][at:at + self.length]
+    def mask(self, i: int) -> pa.BooleanArray:
+        return self.batch(i // SEQUENCES)[1].slice(i % SEQUENCES * self.length, self.length)
 
     def span(self, offset: int, n: int) -> np.ndarray:
         """Ids from ``offset`` on in the shard."""
