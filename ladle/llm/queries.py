@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, secrets, sequences
+from ladle.llm import bytebpe, chat, lines, nearcopies, secrets, sequences
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -99,3 +99,10 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count(i, kind) for i, kind in enumerate(kinds)]
     return found.select("doc_id", *counts, F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"),
                         secrets.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document: the least doc_id among its exact and near copies."""
+    found = nearcopies.classes(table(spark, sf_dir, "documents"), scratch_path(spark, "nearcopies"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
