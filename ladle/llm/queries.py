@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, nearcopies, secrets, sequences
+from ladle.llm import bytebpe, chat, lines, nearcopies, ngrams, secrets, sequences
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -106,3 +106,12 @@ def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document: the least doc_id among its exact and near copies."""
     found = nearcopies.classes(table(spark, sf_dir, "documents"), scratch_path(spark, "nearcopies"))
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a model of the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = ngrams.train(docs.where(~ngrams.held_out(F.col("doc_id"))), scratch_path(spark, "ngrams"))
+    return ngrams.score(docs, model).select("doc_id", ngrams.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
+                                            F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
