@@ -24,21 +24,19 @@ other columns are dropped.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladle.llm.shingles import GOLDEN, mix
+from ladle.llm.arrays import add_up, dealt, load, merged, packed_rows, save, shard_of
+from ladle.llm.shingles import mix
 
 #: White space can't be part of a word.
 END = xxhash.xxh64_intdigest(b"\n")
@@ -71,44 +69,6 @@ def tokens(texts: list[str], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) if found else np.empty(0, np.uint64)), sizes
 
 
-def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    """Equal ranges of 64-bit hashes; grows with the hash."""
-    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
-def pack(keys: np.ndarray, columns: list[np.ndarray]) -> bytes:
-    """Ascending keys and their counts, compressed by byte planes."""
-    planes = [np.diff(keys, prepend=np.uint64(0)), *columns]
-    raw = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in planes)
-    return len(keys).to_bytes(8, "little") + zstandard.compress(raw, 1)
-
-
-def unpack(packed: bytes, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Keys and ``width`` columns of 8-byte counts."""
-    n = int.from_bytes(packed[:8], "little")
-    planes = np.frombuffer(zstandard.decompress(packed[8:]), np.uint8).reshape(1 + width, 8, n)
-    keys, *columns = (np.ascontiguousarray(x.T).reshape(-1).view(np.uint64) for x in planes)
-    return np.cumsum(keys, dtype=np.uint64), columns
-
-
-def add_up(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Equal keys as one, ascending, their counts added."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
-    return keys[starts], [np.add.reduceat(c[order], starts) if len(keys) else c for c in columns]
-
-
-def _packed_rows(shard: np.ndarray, keys: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """A packed row for each shard; ``shard`` must not shrink along the keys' order within a shard."""
-    order = np.argsort(shard, kind="stable")
-    shard, keys, columns = shard[order], keys[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.empty(0, np.int64)
-    ends = np.append(cuts[1:], len(shard)).astype(np.int64)
-    rows = [pack(keys[a:b], [c[a:b] for c in columns]) for a, b in zip(cuts, ends)]
-    return _batch(shard[cuts].tolist(), rows)
-
-
 def _batch(shards: list[int], packed: list[bytes | None], total: list[int] | None = None, distinct: list[int] | None = None,
            seen: list[list[int]] | None = None) -> pa.RecordBatch:
     none = [None] * len(shards)
@@ -132,35 +92,6 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.n
         yield np.concatenate(held), np.concatenate(sizes)
 
 
-def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in folder and not folder.startswith("file:"):
-        return pafs.LocalFileSystem(), folder
-    return pafs.FileSystem.from_uri(folder)
-
-
-def save(folder: str, name: str, array: np.ndarray) -> None:
-    """Writes under a name of its own, then moves: a task that runs again replaces the file by the same bytes."""
-    files, base = _file_system(folder)
-    files.create_dir(base, recursive=True)
-    attempt = f"{base}/_attempt-{uuid.uuid4().hex}"
-    with files.open_output_stream(attempt) as out:
-        out.write(np.ascontiguousarray(array))
-    files.move(attempt, f"{base}/{name}")
-
-
-def load(folder: str, name: str, dtype: str) -> np.ndarray:
-    """The array of a file: mapped where the folder is mounted, else read."""
-    files, base = _file_system(folder)
-    path = f"{base}/{name}"
-    size = files.get_file_info(path).size or 0
-    if not size:
-        return np.empty(0, dtype)
-    if isinstance(files, pafs.LocalFileSystem):
-        return np.memmap(path, dtype, "r")
-    with files.open_input_file(path) as source:
-        return np.frombuffer(source.read(), dtype)
-
-
 @dataclass(frozen=True)
 class Model:
     """What scoring needs besides the files: ids before each shard of words, and sums over the corpus."""
@@ -231,34 +162,6 @@ def _pair_keys(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return context << np.uint64(32) | ids.astype(np.uint64)
 
 
-def _merge(reduced: Callable[[int, np.ndarray, list[np.ndarray]], Iterator[pa.RecordBatch]], width: int) -> Callable:
-    """A task over whole shards: adds up the packed rows of each and hands them to ``reduced``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
-        waiting: dict[int, list] = {}
-
-        def settle(shard: int) -> None:
-            parts = waiting.pop(shard, []) + ([held[shard]] if shard in held else [])
-            held[shard] = add_up(np.concatenate([k for k, _ in parts]), [np.concatenate(c) for c in zip(*(c for _, c in parts))])
-
-        for rows in batches:
-            for shard, packed in zip(rows.column(0).to_pylist(), rows.column(1)):
-                waiting.setdefault(shard, []).append(unpack(packed.as_py(), width))
-                if sum(len(k) for k, _ in waiting[shard]) > max(1_000_000, len(held[shard][0]) if shard in held else 0):
-                    settle(shard)
-        for shard in list(waiting):
-            settle(shard)
-        for shard in sorted(held):
-            yield from reduced(shard, *held.pop(shard))
-
-    return run
-
-
-def _shuffled(packed: DataFrame, shards: int) -> DataFrame:
-    return packed.select("shard", "packed").repartitionById(shards, F.col("shard"))
-
-
 def _seen(counts: np.ndarray) -> list[int]:
     """How many counts are 1, 2, 3 and 4."""
     return np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5].tolist()
@@ -287,7 +190,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, _ in _chunks(batches, CHUNK_TOKENS):
             words, counts = np.unique(hashes, return_counts=True)
-            yield _packed_rows(shard_of(words, shards), words, [counts.astype(np.uint64)])
+            yield _batch(*packed_rows(shard_of(words, shards), words, [counts.astype(np.uint64)]))
 
     def save_words(shard: int, words: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         save(folder, f"words-{shard}", words.astype("<u8"))
@@ -295,7 +198,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
         yield _batch([shard], [None], [int(columns[0].sum())], [len(words)])
 
     # A row per shard: this is what the driver gets to see of the vocabulary.
-    sums = {r.shard: r for r in kept(_shuffled(texts.mapInArrow(count_words, PACKED), shards).mapInArrow(_merge(save_words, 1), PACKED), "_words").collect()}
+    sums = {r.shard: r for r in kept(dealt(texts.mapInArrow(count_words, PACKED), shards).mapInArrow(merged(save_words, 1), PACKED), "_words").collect()}
     sizes = [sums[i].distinct if i in sums else 0 for i in range(shards)]
     before = tuple(np.cumsum([0, *sizes[:-1]]).tolist())
 
@@ -304,7 +207,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
         for hashes, sizes in _chunks(batches, CHUNK_TOKENS):
             words, at = np.unique(hashes, return_inverse=True)
             pairs, counts = np.unique(_pair_keys(own.words(words, False)[0][at], sizes), return_counts=True)
-            yield _packed_rows(shard_of(mix(pairs), shards), pairs, [counts.astype(np.uint64)])
+            yield _batch(*packed_rows(shard_of(mix(pairs), shards), pairs, [counts.astype(np.uint64)]))
 
     def save_pairs(shard: int, pairs: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         counts = columns[0]
@@ -316,9 +219,9 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
         after = [counts, *((counts == k).astype(np.uint64) for k in (1, 2)), (counts > 2).astype(np.uint64)]
         ids, stats = add_up(np.concatenate((word, context)), [np.concatenate((a, b)) for a, b in zip([one, *[nothing] * 4], [nothing, *after])])
         of = np.searchsorted(np.array(before), ids.astype(np.int64), side="right") - 1
-        yield _packed_rows(np.where(ids == BEGIN, shards, of), ids, stats)
+        yield _batch(*packed_rows(np.where(ids == BEGIN, shards, of), ids, stats))
 
-    paired = kept(_shuffled(texts.mapInArrow(count_pairs, PACKED), shards).mapInArrow(_merge(save_pairs, 1), PACKED), "_pairs")
+    paired = kept(dealt(texts.mapInArrow(count_pairs, PACKED), shards).mapInArrow(merged(save_pairs, 1), PACKED), "_pairs")
 
     def save_stats(shard: int, ids: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         begin = shard == shards
@@ -330,7 +233,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
         over = [int((contexts == 1).sum()), int((contexts == 2).sum()), int((contexts > 2).sum())]
         yield _batch([shard], [None], [None], [None], [_seen(contexts) + over])
 
-    stats = kept(_shuffled(paired.where("packed is not null"), shards + 1).mapInArrow(_merge(save_stats, len(WORD_STATS)), PACKED), "_stats")
+    stats = kept(dealt(paired.where("packed is not null"), shards + 1).mapInArrow(merged(save_stats, len(WORD_STATS)), PACKED), "_stats")
     totals = [F.coalesce(F.sum(F.get("seen", F.lit(i))), F.lit(0)).alias(f"s{i}") for i in range(7)]
     of_pairs = paired.where("packed is null").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct"),
                                                   *totals[:4]).first()

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, nearcopies, ngrams, secrets, sequences
+from ladle.llm import bytebpe, chat, lines, nearcopies, ngrams, secrets, sequences, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -115,3 +115,12 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ngrams.train(docs.where(~ngrams.held_out(F.col("doc_id"))), scratch_path(spark, "ngrams"))
     return ngrams.score(docs, model).select("doc_id", ngrams.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                                             F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query
+def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text without the bytes that lie in a 200-byte string found elsewhere too."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), scratch_path(spark, "suffixes"))
+    size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
