@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, nearcopies, ngrams, secrets, sequences, suffixes
+from ladle.llm import bytebpe, chat, lines, nearcopies, neighbours, ngrams, secrets, sequences, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -124,3 +124,10 @@ def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every 50th vector, among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 50 = 0"), neighbours.fit(vectors))
