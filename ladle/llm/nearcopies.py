@@ -15,9 +15,11 @@ the connected components of the links.
    equal registers first, then exactly on the shingles. This links most copies.
 4. Buckets whose members still lie in several classes are searched for the rest, in
    blocks: the members outside the bucket's largest class against those of other
-   classes. Only pairs whose registers agree go on to the exact comparison. Pairs
-   within a class are never listed, so a large group of copies costs its size, not
-   its square.
+   classes, by registers and, where those agree, exactly. For that the shingles of
+   these nodes lie in sorted arrays in the shared folder, which the workers map. Two
+   nodes are compared in the first bucket they share, a node that has met a class is
+   not compared with the class again, and only links are handed on. Pairs within a
+   class are never looked at, so a large group of copies costs its size, not its square.
 
 Edge cases: a null text, and one without words, is linked to nothing, but equal
 texts are one class; a null key takes its class from equal texts with a key, if
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ladle.llm.arrays import load, save
 from ladle.llm.components import components
 from ladle.llm.shingles import GOLDEN, WordHashes, mix, shingles
 
@@ -172,42 +175,90 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(take, "node long, items binary, weights binary")
 
 
-def _rest(members: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of different classes whose registers agree, in blocks of each bucket.
+SHARD = T.StructType([T.StructField("shard", T.IntegerType())])
 
-    ``members`` has (bucket, block, asks, node, class, registers): in each (bucket,
-    block), those that ask come first and are compared with the others.
+
+def _save_sets(sets: DataFrame, folder: str, shards: int) -> DataFrame:
+    """Keeps (node, items, weights) as arrays by node, in ``shards`` files each; gives a row per shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for rows in batches:
+            for shard, *row in zip(*(c.to_pylist() for c in rows.columns)):
+                held.setdefault(shard, []).append(row)
+        for shard, rows in held.items():
+            rows = sorted({r[0]: r for r in rows}.values())
+            items = [np.frombuffer(x, np.uint64) for _, x, _ in rows]
+            weights = [np.frombuffer(w, np.uint32) if w else np.ones(len(x), np.uint32) for x, (_, _, w) in zip(items, rows)]
+            for name, array in (("nodes", np.array([r[0] for r in rows], "<i8")), ("ends", np.cumsum([len(x) for x in items], dtype="<i8")),
+                                ("items", np.concatenate(items).astype("<u8")), ("weights", np.concatenate(weights).astype("<u4"))):
+                save(folder, f"{name}-{shard}", array)
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], names=["shard"])
+
+    shard = F.pmod(F.col("node"), F.lit(shards)).cast("int").alias("shard")
+    return sets.select(shard, "node", "items", "weights").repartitionById(shards, F.col("shard")).mapInArrow(run, SHARD)
+
+
+class _Sets:
+    """The kept shingles, as seen by one worker."""
+
+    def __init__(self, folder: str, shards: int) -> None:
+        self.folder, self.shards, self.arrays = folder, shards, {}
+
+    def __getitem__(self, node: int) -> tuple[np.ndarray, np.ndarray]:
+        shard = node % self.shards
+        if shard not in self.arrays:
+            self.arrays[shard] = [load(self.folder, f"{name}-{shard}", kind) for name, kind in (("nodes", "<i8"), ("ends", "<i8"), ("items", "<u8"), ("weights", "<u4"))]
+        nodes, ends, items, weights = self.arrays[shard]
+        at = int(np.searchsorted(nodes, node))
+        own = slice(int(ends[at - 1]) if at else 0, int(ends[at]))
+        return items[own], weights[own]
+
+
+def _rest(members: DataFrame, folder: str, shards: int, least: float, least_agreement: float) -> DataFrame:
+    """Links (a, b, similarity) between classes, in blocks of each bucket.
+
+    ``members`` has (bucket, block, asks, node, class, registers, buckets): in each
+    (bucket, block), those that ask come first and are compared with the others.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ask_rows, rows_held = None, [], []
+        sets, current, asks, others = _Sets(folder, shards), None, [], []
 
-        def found(asks: list, others: list) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[pa.RecordBatch]:
             if not asks or not others:
                 return
-            node, label, raw = zip(*others)
-            node, label = np.array(node, np.int64), np.array(label, np.int64)
-            there = np.array([np.frombuffer(x, np.uint8) for x in raw])
+            node, label, raw, shared = zip(*others)
+            label = np.array(label, np.int64)
+            there, shared = np.array([np.frombuffer(x, np.uint8) for x in raw]), np.array(shared, np.int64)
             out = []
-            for own, own_label, own_raw in asks:
-                other = label != own_label
-                if other.any():
-                    near = (there[other] == np.frombuffer(own_raw, np.uint8)).mean(1) >= least
-                    out += [(min(own, x), max(own, x)) for x in node[other][near].tolist()]
+            for own, own_label, own_raw, own_buckets in asks:
+                near = np.flatnonzero(label != own_label)
+                near = near[(there[near] == np.frombuffer(own_raw, np.uint8)).mean(1) >= least_agreement]
+                common = shared[near] == np.array(own_buckets, np.int64)
+                first = common.argmax(1) if len(near) else near
+                near = near[shared[near, first] == current[0]]
+                met, mine = set(), None
+                for i in near.tolist():
+                    if label[i] not in met:
+                        mine = sets[own] if mine is None else mine
+                        alike = similarity(*mine, *sets[node[i]])
+                        if alike >= least - 1e-9:
+                            met.add(label[i])
+                            out.append((min(own, node[i]), max(own, node[i]), alike))
             if out:
-                a, b = zip(*set(out))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])
 
         for rows in batches:
-            for bucket, block, asks, node, label, raw in zip(*(c.to_pylist() for c in rows.columns)):
+            for bucket, block, asking, *row in zip(*(c.to_pylist() for c in rows.columns)):
                 if (bucket, block) != current:
-                    yield from found(ask_rows, rows_held)
-                    current, ask_rows, rows_held = (bucket, block), [], []
-                (ask_rows if asks else rows_held).append((node, label, raw))
-        yield from found(ask_rows, rows_held)
+                    yield from found()
+                    current, asks, others = (bucket, block), [], []
+                (asks if asking else others).append(row)
+        yield from found()
 
-    dealt = members.select("bucket", "block", "asks", "node", "class", "registers").repartition("bucket", "block")
-    return dealt.sortWithinPartitions("bucket", "block", F.desc("asks"), "node").mapInArrow(search, "a long, b long")
+    dealt = members.select("bucket", "block", "asks", "node", "class", "registers", "buckets").repartition("bucket", "block")
+    return dealt.sortWithinPartitions("bucket", "block", F.desc("asks"), "node").mapInArrow(search, "a long, b long, similarity double")
 
 
 def classes(docs: DataFrame, work: str, *, text: str = "text", key: str = "doc_id", width: int = WIDTH, least: float = SIMILARITY,
@@ -251,7 +302,7 @@ def classes(docs: DataFrame, work: str, *, text: str = "text", key: str = "doc_i
     mixed = by_class.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("largest"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n")).where(
         "classes > 1").select("bucket", F.col("largest.class").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("across"),
                               F.ceil((F.col("n") - F.col("largest.n")) / BLOCK).cast("int").alias("down"))
-    open_members = kept(others.join(mixed, "bucket").join(of_node, "node"), "open")
+    open_members = kept(others.join(mixed, "bucket").join(nodes, "node"), "open")
     # A grid of blocks: who asks is dealt over its rows, who is held over its columns.
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -259,8 +310,9 @@ def classes(docs: DataFrame, work: str, *, text: str = "text", key: str = "doc_i
     asking = open_members.where(F.col("class") != F.col("largest")).withColumn("column", each("across")).withColumn(
         "row", own("down")).withColumn("asks", F.lit(True))
     blocks = held.unionByName(asking).withColumn("block", F.col("row") * F.col("across") + F.col("column"))
-    rest = kept(_rest(blocks, least_agreement), "rest").distinct()
-    more = kept(_verified(rest, sets, least), "more-links")
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept(_save_sets(sets.join(open_members.select("node").distinct(), "node"), f"{work}/arrays", shards), "shards")
+    more = kept(_rest(blocks, f"{work}/arrays", shards, least, least_agreement), "more-links")
     labels = components(links.unionByName(more), f"{work}/all-classes")
     return signed.select("key", "address").join(first, "address").join(labels, "node", "left").select(
         F.col("key").alias(key), F.coalesce("label", "node").alias("class_id"))
