@@ -216,3 +216,24 @@ def judge(docs: DataFrame, field: Field, *, text: str = "text", key: str = "doc_
 
     arrow = [pa.field(x, pa.int64()) for x in longs] + [pa.field("base_failed", pa.bool_()), pa.field("content_share", pa.float64()), pa.field("kept", pa.bool_())]
     return docs.select(docs[key], docs[text]).mapInArrow(judge_batches, schema)
+
+
+def keep(docs: DataFrame, field: Field, *, text: str = "text", keep_share: float = KEEP_SHARE) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns."""
+    place = docs.columns.index(text)
+    weights = np.array(field.emission)
+
+    def passes(value: str) -> bool:
+        words_of, features, _ = _lines(value)
+        words = [w for line in words_of for w in line]
+        if len(words) < LEAST_WORDS or 100 * repeated_words(words) > MOST_REPEATED_PERCENT * len(words):
+            return False
+        chars = [sum(map(len, line)) for line in words_of]
+        states = field.decode((np.array(features) @ weights).tolist())
+        return sum(c for c, state in zip(chars, states) if not state) >= keep_share * max(1, sum(chars))
+
+    def keep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            yield rows.filter(pa.array([passes(x.as_py() or "") for x in rows.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(keep_batches, docs.schema)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, nearcopies, neighbours, ngrams, secrets, sequences, suffixes
+from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, secrets, sequences, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -131,3 +131,16 @@ def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest of every 50th vector, among all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where("vec_id % 50 = 0"), neighbours.fit(vectors))
+
+
+#: Shares of tokens that the mixture aims at.
+TARGETS = {"good": 0.96, "poor": 0.02, "toxic": 0.02}
+
+
+@query
+def op3_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected domains and the rate at which it enters the mixture."""
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    found = mixing.rates(table(spark, sf_dir, "documents"), labelled, TARGETS, scratch_path(spark, "mixing"))
+    shares = [F.get("posterior", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(sorted(TARGETS))]
+    return found.select("doc_id", "n_tokens", *shares, "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
