@@ -105,7 +105,7 @@ def fit_rates(table: DataFrame, targets: list[float], work: str) -> DataFrame:
         down = sum((F.lit(float(m)) * x for m, x in zip(move, p)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - down)
         if step % 8 == 0:  # a short expression again
-            state.drop("rate").withColumn("rate", rate).write.parquet(f"{work}/step-{step}")
+            state.withColumn("rate", rate).write.parquet(f"{work}/step-{step}")
             state, rate = spark.read.parquet(f"{work}/step-{step}"), F.col("rate")
     return state.withColumn("rate", rate)
 

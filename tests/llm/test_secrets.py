@@ -1,0 +1,58 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from ladle.llm import secrets
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    return sorted(found + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32])
+
+
+def texts():
+    rng = random.Random(2)
+    bits = ["token", "Api_Key", "PASSWORD", "=", ": ", '"', "'", "abc", "12345678", "AKIA", "ABCDEFGH1234", "deadbeef" * 4, " ", "é🙂", "\n", "-----BEGIN PRIVATE KEY-----"]
+    return ["".join(rng.choices(bits, k=rng.randint(0, 30))) for _ in range(300)]
+
+
+def test_spans(spark, docs, empty, work):
+    rows = [(i, t) for i, t in enumerate(texts())] + [(5, texts()[5]), (None, texts()[6])]
+    every = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    folder = work()
+    found = secrets.scan(every, f"{folder}/ledger", work=f"{folder}/a").collect()
+    base = lambda spans: [tuple(s) for s in spans if s.rule < 3]
+    assert sorted((str(r.doc_id), base(r.spans)) for r in found) == sorted((str(r.doc_id), brute(r.text or "")) for r in every.collect())
+    assert any(s.rule == 3 for r in found for s in r.spans)
+    # A second scan adds nothing; a new version adds all blobs once more; both give the same findings.
+    blobs = every.select(F.sha2(F.coalesce("text", F.lit("")), 256)).distinct().count()
+    again = secrets.scan(every, f"{folder}/ledger", work=f"{folder}/b").collect()
+    assert spark.read.parquet(f"{folder}/ledger").count() == blobs
+    assert sorted(map(str, again)) == sorted(map(str, found))
+    newer = secrets.scan(every, f"{folder}/ledger", version="next", rules=secrets.BASE_RULES, work=f"{folder}/c").collect()
+    assert spark.read.parquet(f"{folder}/ledger").count() == 2 * blobs
+    assert sorted((str(r.doc_id), base(r.spans)) for r in newer) == sorted((str(r.doc_id), base(r.spans)) for r in found)
+    assert secrets.scan(empty, f"{folder}/other", work=f"{folder}/d").collect() == []
+
+
+def test_redaction(spark, docs, work):
+    rows = [(i, t) for i, t in enumerate(texts())]
+    every = spark.createDataFrame(rows + [(None, None)], "doc_id long, text string")
+    folder = work()
+    got = {r.doc_id: r.text for r in secrets.redact(every, f"{folder}/ledger", work=f"{folder}/a").collect()}
+    assert len(got) == len(rows) + 1 and got[None] is None
+    for i, text in rows:
+        if not brute(text) and "BEGIN" not in text:
+            assert got[i] == text
+        spans = brute(text) + [(m.start(), 3, m.end()) for m in re.finditer("-----BEGIN PRIVATE KEY-----", text)]
+        out, at = "", 0
+        for a, _, b in sorted(spans):
+            if a >= at:
+                out, at = out + text[at:a] + secrets.MARK, b
+            at = max(at, b)
+        assert got[i] == out + text[at:]
+    assert secrets.redact(docs, f"{folder}/more", work=f"{folder}/b").columns == docs.columns
