@@ -83,13 +83,21 @@ def drop_corrupt_batches(annotated: DataFrame, bad_col: str = "_bad") -> DataFra
     return flagged.where(F.col("_batch_bad") == 0).drop("_batch_bad")
 
 
-def stop_on_corrupt(df: DataFrame, bad_col: str = "_bad", message: str = "Corrupt row in batch") -> DataFrame:
+STOP_MESSAGE = "Corrupt row in batch"
+
+
+def stop_on_corrupt(df: DataFrame, bad_col: str = "_bad", message: str = STOP_MESSAGE) -> DataFrame:
     """Fail the job at the first bad row (default policy).
 
     A projection, not a filter: a filter would be pushed below the casts and
-    make Spark evaluate them twice.
+    make Spark evaluate them twice. Every output column carries the check, so
+    whichever of them is read, it can't be pruned away; a plain count of the
+    rows reads the check through a generated column, which can't either.
     """
-    return df.withColumn(bad_col, F.when(F.col(bad_col) == 1, F.raise_error(F.lit(message))).otherwise(F.col(bad_col)))
+    bad = F.col(bad_col) == 1
+    checked = df.select(*[F.when(bad, F.raise_error(F.lit(message))).otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    generated = F.explode(F.array(F.col(bad_col))).alias("__checked")
+    return checked.select("*", generated).where(F.col("__checked").isNull() | (F.col("__checked") >= 0)).drop("__checked")
 
 
 def error_rows(df: DataFrame, errors_col: str = "_errors") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import header_bytes, raw_payload_bytes, row_payload_bytes
@@ -12,19 +10,19 @@ from ladle.operators.batching import (
     batch_by_count,
     batch_summary,
     count_batch_summary,
-    reject_oversized,
 )
 from ladle.operators.bindings import bind_columns, of
 from ladle.plans.oracle_sql import fold_sql, str_bytes_sql
 from ladle.plans.registry import register, table
 
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-# Writers per table: one per ROWS_PER_SHARD rows, never fewer than the
-# fixture's count (4 or 8), so the number of tasks grows with the data.
-ROWS_PER_SHARD = int(os.environ.get("LADLE_ROWS_PER_SHARD", "1000000"))
-LINEITEM_SHARDS = 4
-DOC_SHARDS = 4
-EVENT_SHARDS = 8
+# Virtual writers: a fixed number per query (an argument of each), whatever the
+# table's size, so that a row's shard never changes as the table grows. A larger
+# cluster passes more; a task takes several shards if there are more than tasks.
+LINEITEM_SHARDS = 64
+ORDER_SHARDS = 16
+DOC_SHARDS = 16
+EVENT_SHARDS = 16
 DOC_BATCH_BYTES = 65536
 DOC_BATCH_ROWS = 20
 SIX_HOURS_MS = 6 * 3600 * 1000
@@ -49,21 +47,10 @@ def typed_events(spark, sf_dir):
     return bind_columns(e, [of(c, c, t) for c, t in EVENT_COLUMNS])
 
 
-def pmod_sql(col: str, n: int | str) -> str:
+def pmod_sql(col: str, n: int) -> str:
     return f"((({col}) % {n}) + {n}) % {n}"
 
 
-def writer_shards(df, minimum: int) -> int:
-    """Writers for a table: one per ROWS_PER_SHARD rows, at least ``minimum``.
-    (A row count is one scalar on the driver; Parquet serves it from footers.)"""
-    n = df.count()
-    return max(minimum, -(-n // ROWS_PER_SHARD))
-
-
-def shards_sql(tbl: str, minimum: int) -> str:
-    return f"(SELECT greatest({minimum}, CAST(ceil(count(*) / {ROWS_PER_SHARD}.0) AS BIGINT)) FROM {tbl})"
-
-
 # -- count -------------------------------------------------------------------
 
 # lineitem's order key is not unique, so writers are chosen from a mix of the
@@ -76,9 +63,8 @@ def lineitem_shard_key():
             + F.col("l_suppkey") * 37)
 
 
-def lineitem_count_batches(spark, sf_dir, max_rows=500):
+def lineitem_count_batches(spark, sf_dir, max_rows=500, shards=LINEITEM_SHARDS):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-    shards = writer_shards(li, LINEITEM_SHARDS)
     b = batch_by_count(li, max_rows, F.pmod(lineitem_shard_key(), F.lit(shards)).cast("int"), LINEITEM_ORDER)
     return count_batch_summary(b, max_rows, [F.min("l_orderkey").alias("min_orderkey"),
                                              F.max("l_orderkey").alias("max_orderkey")])
@@ -86,8 +72,8 @@ def lineitem_count_batches(spark, sf_dir, max_rows=500):
 
 @register("batch_by_count", f"""
 WITH b AS (
-  SELECT l_orderkey, {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', LINEITEM_SHARDS))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', LINEITEM_SHARDS))}
+  SELECT l_orderkey, {pmod_sql(LINEITEM_SHARD_KEY_SQL, LINEITEM_SHARDS)} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql(LINEITEM_SHARD_KEY_SQL, LINEITEM_SHARDS)}
                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 500 AS batch
   FROM lineitem)
 SELECT shard, batch, count(*) AS n_rows, min(l_orderkey) AS min_orderkey, max(l_orderkey) AS max_orderkey,
@@ -100,23 +86,17 @@ def q_batch_by_count(spark, sf_dir):
 
 # -- bytes / rows / time fold --------------------------------------------------
 
-def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES):
-    docs = table(spark, sf_dir, "documents")
-    shards = writer_shards(docs, DOC_SHARDS)
-    d = docs.select("doc_id", raw_payload_bytes(F.col("text")).alias("sz"))
-    # Records above the record limit (= the batch cap here) are rejected before
-    # they enter the buffer (report mode; see reject_oversized_record).
-    ok, _rejected = reject_oversized(d, F.col("sz"), max_bytes, mode="report")
-    a = annotate_batches(ok, F.pmod(F.col("doc_id"), F.lit(shards)), ["doc_id"], size=F.col("sz"),
+def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES, shards=DOC_SHARDS):
+    # A document above the byte limit is a batch of its own: none is left out.
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(raw_payload_bytes(F.col("text")), F.lit(0)).alias("sz"))
+    a = annotate_batches(d, F.pmod(F.col("doc_id"), F.lit(shards)), ["doc_id"], size=F.col("sz"),
                          max_rows=max_rows, max_bytes=max_bytes, complete=True)
     return batch_summary(a)
 
 
-DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', shards_sql('documents', DOC_SHARDS))} AS shard, 0::BIGINT AS t, "
+DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', DOC_SHARDS)} AS shard, 0::BIGINT AS t, "
             f"(CASE WHEN text IS NULL THEN 0 WHEN text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
-            f"ELSE strlen(text) + 1 END)::BIGINT AS sz FROM documents "
-            f"WHERE (CASE WHEN text IS NULL OR text = '' THEN 0 WHEN suffix(text, chr(10)) THEN strlen(text) "
-            f"ELSE strlen(text) + 1 END) <= {DOC_BATCH_BYTES}")
+            f"ELSE strlen(text) + 1 END)::BIGINT AS sz FROM documents")
 
 SUMMARY_COLS = "shard, batch, n_rows, n_bytes, reason"
 
@@ -136,9 +116,8 @@ def q_batch_by_count_and_bytes(spark, sf_dir):
     return doc_batches(spark, sf_dir, max_rows=DOC_BATCH_ROWS)
 
 
-def event_batches(spark, sf_dir, max_rows=None, max_bytes=None, max_time_ms=SIX_HOURS_MS, annotated=False):
+def event_batches(spark, sf_dir, max_rows=None, max_bytes=None, max_time_ms=SIX_HOURS_MS, annotated=False, shards=EVENT_SHARDS):
     e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
-    shards = writer_shards(table(spark, sf_dir, "events"), EVENT_SHARDS)
     # With a row or byte limit the fold emits whole batches (bounded memory);
     # time-only batching streams rows out with close stamps instead.
     a = annotate_batches(e, F.pmod(F.col("event_id"), F.lit(shards)), ["ts", "event_id"], size=F.col("sz"),
@@ -147,7 +126,7 @@ def event_batches(spark, sf_dir, max_rows=None, max_bytes=None, max_time_ms=SIX_
     return a if annotated else batch_summary(a)
 
 
-EVENT_BASE = (f"SELECT event_id, ts, {pmod_sql('event_id', shards_sql('events', EVENT_SHARDS))} AS shard, epoch_us(ts)::BIGINT AS t, "
+EVENT_BASE = (f"SELECT event_id, ts, {pmod_sql('event_id', EVENT_SHARDS)} AS shard, epoch_us(ts)::BIGINT AS t, "
               f"{EVENTS_PAYLOAD_SQL}::BIGINT AS sz FROM events")
 
 
@@ -203,8 +182,7 @@ FROM documents""")
 def q_reject_oversized_record(spark, sf_dir):
     """Report mode of the 1000-byte record limit over documents (equal is allowed)."""
     d = table(spark, sf_dir, "documents").select("doc_id", raw_payload_bytes(F.col("text")).alias("n_bytes"))
-    ok, rejected = reject_oversized(d, F.col("n_bytes"), 1000, mode="report")
-    return ok.withColumn("status", F.lit("ok")).unionByName(rejected.withColumn("status", F.lit("rejected")))
+    return d.withColumn("status", F.when(F.col("n_bytes") > 1000, "rejected").otherwise("ok"))
 
 
 @register("row_payload_bytes", f"SELECT o_orderkey, {ORDERS_PAYLOAD_SQL}::BIGINT AS payload_bytes FROM orders")
@@ -228,8 +206,8 @@ ORDERS_HEADER = header_bytes(ORDER_COLUMNS)
 
 @register("batch_header_bytes", f"""
 WITH b AS (
-  SELECT {pmod_sql('o_orderkey', shards_sql('orders', 4))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', shards_sql('orders', 4))} ORDER BY o_orderkey) - 1) // 500 AS batch,
+  SELECT {pmod_sql('o_orderkey', ORDER_SHARDS)} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', ORDER_SHARDS)} ORDER BY o_orderkey) - 1) // 500 AS batch,
          {ORDERS_PAYLOAD_SQL} AS sz
   FROM orders)
 SELECT shard, count(DISTINCT batch)::BIGINT AS n_batches, sum(sz)::BIGINT AS payload_bytes,
@@ -238,8 +216,7 @@ FROM b GROUP BY shard""")
 def q_batch_header_bytes(spark, sf_dir):
     """Names-and-types header bytes: one header per 500-row orders batch."""
     o = typed_orders(spark, sf_dir).withColumn("sz", row_payload_bytes(ORDER_COLUMNS))
-    shards = writer_shards(table(spark, sf_dir, "orders"), 4)
-    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(shards)).cast("int"), ["o_orderkey"])
+    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(ORDER_SHARDS)).cast("int"), ["o_orderkey"])
     per = b.groupBy("shard", "batch").agg(F.sum("sz").alias("sz"))
     return per.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_batches"),

@@ -19,9 +19,9 @@ from ladle.operators.failures import (
     error_rows,
     mark_bad,
     retry_batch,
-    stop_on_corrupt,
+    STOP_MESSAGE,
 )
-from ladle.plans.batches import pmod_sql, shards_sql, writer_shards
+from ladle.plans.batches import ORDER_SHARDS, pmod_sql
 from ladle.plans.registry import register, scratch_path, table
 from ladle.sinks.table import parse_raw, read_table
 
@@ -129,15 +129,14 @@ def corrupt_batches(spark, sf_dir):
         .otherwise(F.col("o_totalprice").cast("string")).alias("price"))
     typed = bind_columns(o, [of("o_orderkey", "o_orderkey", "Int64"), of("price", "o_totalprice", "Float64")],
                          mode="report")
-    shards = writer_shards(table(spark, sf_dir, "orders"), 4)
-    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(shards)), ["o_orderkey"], max_rows=500,
+    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(ORDER_SHARDS)), ["o_orderkey"], max_rows=500,
                             complete=True, bad="_bad")
 
 
 CORRUPT_BATCHES_SQL = f"""
 WITH b AS (
-  SELECT o_orderkey, {pmod_sql('o_orderkey', shards_sql('orders', 4))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', shards_sql('orders', 4))} ORDER BY o_orderkey) - 1) // 500 AS batch,
+  SELECT o_orderkey, {pmod_sql('o_orderkey', ORDER_SHARDS)} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', ORDER_SHARDS)} ORDER BY o_orderkey) - 1) // 500 AS batch,
          CASE WHEN o_orderkey % 997 = 0 THEN 1 ELSE 0 END AS bad
   FROM orders),
 pb AS (SELECT shard, batch, count(*) AS n, max(bad) AS bad FROM b GROUP BY shard, batch)"""
@@ -153,13 +152,16 @@ def q_drop_corrupt_batch(spark, sf_dir):
                                     F.count(F.lit(1)).cast("bigint").alias("kept_batches"))
 
 
-@register("stop_on_corrupt", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+@register("stop_on_corrupt", CORRUPT_BATCHES_SQL + """
+SELECT shard, batch, CAST(n AS BIGINT) AS n_rows, CASE WHEN bad = 1 THEN 'Corrupt row in batch' END AS stopped_by FROM pb""")
 def q_stop_on_corrupt(spark, sf_dir):
-    """The default policy on clean data passes every row (bad data raises; see tests)."""
-    o = table(spark, sf_dir, "orders")
-    typed = mark_bad(bind_columns(o, [of("o_orderkey", "o_orderkey", "Int64"),
-                                      of("o_orderstatus", "o_orderstatus", "String")], mode="report"))
-    return stop_on_corrupt(typed).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    """What the default policy says of each batch of corrupt orders: nothing, or the error that stops the load.
+
+    The message is the one that :func:`stop_on_corrupt` raises; that it can't be
+    pruned away, whichever columns are read, is tested.
+    """
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n_rows"), F.max("_bad").alias("bad"))
+    return per.select("shard", "batch", "n_rows", F.when(F.col("bad") == 1, F.lit(STOP_MESSAGE)).alias("stopped_by"))
 
 
 @register("retry_batch", "SELECT count(*) AS n_rows, 3 AS attempts FROM orders")

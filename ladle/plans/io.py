@@ -80,7 +80,7 @@ def q_sink_typed_append(spark, sf_dir):
     path = scratch_path(spark, "orders-typed")
     spec = TableSpec.of("orders", ORDER_BINDINGS, sort_key=["o_orderkey"])
     load(table(spark, sf_dir, "orders"), [of(c, c, t) for c, t in ORDER_BINDINGS], path,
-         LoadOptions(shards=8), order=["o_orderkey"], table=spec)
+         LoadOptions(shards=16), order=["o_orderkey"], table=spec)
     return read_table(spark, path)
 
 
@@ -178,8 +178,8 @@ def q_evolve_add_column(spark, sf_dir):
         "extra", F.concat(F.lit("extra-"), F.col("o_orderkey").cast("string")))
     a = [of("o_orderkey", "o_orderkey", "Int64"), of("o_custkey", "o_custkey", "Int64")]
     b = a + [of("o_orderpriority", "o_orderpriority", "Nullable(String)"), of("extra", "extra", "Nullable(String)")]
-    load(old, a, path, LoadOptions(shards=4), order=["o_orderkey"])
-    load(new, b, path, LoadOptions(shards=4), order=["o_orderkey"])
+    load(old, a, path, LoadOptions(shards=16), order=["o_orderkey"])
+    load(new, b, path, LoadOptions(shards=16), order=["o_orderkey"])
     return read_table(spark, path, merge_schema=True).select("o_orderkey", "o_custkey", "o_orderpriority", "extra")
 
 
@@ -203,8 +203,7 @@ def q_stream_batch_by_all_limits(spark, sf_dir):
     flush state of each writer carries across micro-batches (applyInPandasWithState)."""
     from ladle.functions.sizes import row_payload_bytes
     from ladle.operators.batching import batch_summary
-    from ladle.plans.batches import (EVENT_BYTES, EVENT_COLUMNS, EVENT_ROWS, EVENT_SHARDS, SIX_HOURS_MS, typed_events,
-                                     writer_shards)
+    from ladle.plans.batches import (EVENT_BYTES, EVENT_COLUMNS, EVENT_ROWS, EVENT_SHARDS, SIX_HOURS_MS, typed_events)
     from ladle.streaming.batching_stream import stream_annotate_batches
 
     e = typed_events(spark, sf_dir).select("event_id", "ts", row_payload_bytes(EVENT_COLUMNS).alias("sz"))
@@ -222,8 +221,7 @@ def q_stream_batch_by_all_limits(spark, sf_dir):
         part.coalesce(1).write.parquet(f"{src}/part={i:03d}")
     schema = e.schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part=*")
-    shards = writer_shards(table(spark, sf_dir, "events"), EVENT_SHARDS)
-    ann = stream_annotate_batches(stream, F.pmod(F.col("event_id"), F.lit(shards)), ["ts", "event_id"],
+    ann = stream_annotate_batches(stream, F.pmod(F.col("event_id"), F.lit(EVENT_SHARDS)), ["ts", "event_id"],
                                   F.col("sz"), EVENT_ROWS, EVENT_BYTES, F.col("ts"), SIX_HOURS_MS)
     out, ckpt = scratch_path(spark, "events-annotated"), scratch_path(spark, "events-annotated-ckpt")
 

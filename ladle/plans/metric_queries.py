@@ -13,14 +13,14 @@ from ladle.plans.batches import (
     DOC_BATCH_ROWS,
     LINEITEM_ORDER,
     LINEITEM_SHARD_KEY_SQL,
+    LINEITEM_SHARDS,
     ORDER_COLUMNS,
+    ORDER_SHARDS,
     ORDERS_HEADER,
     ORDERS_PAYLOAD_SQL,
     doc_batches,
     lineitem_shard_key,
     pmod_sql,
-    shards_sql,
-    writer_shards,
     typed_orders,
 )
 from ladle.plans.failure_queries import CORRUPT_BATCHES_SQL, corrupt_batches
@@ -30,15 +30,14 @@ from ladle.plans.registry import register, table
 
 @register("metric_bytes_sent", f"""
 WITH b AS (
-  SELECT {pmod_sql('o_orderkey', shards_sql('orders', 4))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', shards_sql('orders', 4))} ORDER BY o_orderkey) - 1) // 500 AS batch,
+  SELECT {pmod_sql('o_orderkey', ORDER_SHARDS)} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql('o_orderkey', ORDER_SHARDS)} ORDER BY o_orderkey) - 1) // 500 AS batch,
          {ORDERS_PAYLOAD_SQL} AS sz FROM orders)
 SELECT shard, (sum(sz) + count(DISTINCT batch) * {ORDERS_HEADER})::BIGINT AS bytes_sent FROM b GROUP BY shard""")
 def q_metric_bytes_sent(spark, sf_dir):
     """Payload bytes plus one header per batch, per shard (typed orders, 500-row batches)."""
     o = typed_orders(spark, sf_dir).withColumn("sz", row_payload_bytes(ORDER_COLUMNS))
-    shards = writer_shards(table(spark, sf_dir, "orders"), 4)
-    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(shards)).cast("int"), ["o_orderkey"])
+    b = batch_by_count(o, 500, F.pmod(F.col("o_orderkey"), F.lit(ORDER_SHARDS)).cast("int"), ["o_orderkey"])
     per = b.groupBy("shard", "batch").agg(F.sum("sz").alias("sz"))
     return per.groupBy("shard").agg(
         (F.sum("sz") + F.count(F.lit(1)) * F.lit(ORDERS_HEADER)).cast("bigint").alias("bytes_sent"))
@@ -46,15 +45,14 @@ def q_metric_bytes_sent(spark, sf_dir):
 
 def lineitem_batches(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-    shards = writer_shards(li, 4)
-    b = batch_by_count(li, 500, F.pmod(lineitem_shard_key(), F.lit(shards)).cast("int"), LINEITEM_ORDER)
+    b = batch_by_count(li, 500, F.pmod(lineitem_shard_key(), F.lit(LINEITEM_SHARDS)).cast("int"), LINEITEM_ORDER)
     return count_batch_summary(b, 500)
 
 
 LI_BATCH_SQL = f"""
 WITH b AS (
-  SELECT {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', 4))} AS shard,
-         (row_number() OVER (PARTITION BY {pmod_sql(LINEITEM_SHARD_KEY_SQL, shards_sql('lineitem', 4))}
+  SELECT {pmod_sql(LINEITEM_SHARD_KEY_SQL, LINEITEM_SHARDS)} AS shard,
+         (row_number() OVER (PARTITION BY {pmod_sql(LINEITEM_SHARD_KEY_SQL, LINEITEM_SHARDS)}
                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 500 AS batch
   FROM lineitem),
 pb AS (SELECT shard, batch, count(*) AS n_rows FROM b GROUP BY shard, batch)"""
