@@ -44,6 +44,13 @@ def observed_load_metrics(header_bytes: int) -> list:
     return out
 
 
+def sent_metrics() -> list:
+    """The counters of a load that forms no batches: rows and payload bytes sent, none dropped."""
+    return [F.count(F.lit(1)).cast("bigint").alias("records_sent"), F.coalesce(F.sum("_size"), F.lit(0)).cast("bigint").alias("bytes_sent"),
+            F.coalesce(F.sum(F.lit(0)), F.lit(0)).cast("bigint").alias("dropped_records"),
+            F.coalesce(F.sum(F.lit(0)), F.lit(0)).cast("bigint").alias("dropped_batches")]
+
+
 def flush_reason_counts(summary: DataFrame) -> DataFrame:
     """Flushes by reason (each flush counted once)."""
     return summary.groupBy("reason").agg(F.count(F.lit(1)).cast("bigint").alias("flushes"))

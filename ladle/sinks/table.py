@@ -20,6 +20,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +36,17 @@ from ladle.operators.bindings import (
     default_for_omitted,
 )
 from ladle.operators.failures import RetryPolicy, mark_bad, retry_batch
-from ladle.operators.metrics import observed_load_metrics
+from ladle.operators.metrics import observed_load_metrics, sent_metrics
 
 
 class SchemaDriftError(ValueError):
     """Declared column types differ from the target table's."""
 
 
+class UnknownColumnError(ValueError):
+    """A bound column that the declared table does not have."""
+
+
 class BacklogModeError(ValueError):
     """Typed and raw loads cannot be mixed on one backlog."""
 
@@ -66,14 +71,20 @@ class LoadOptions:
     # None: each input partition is one writer batching in arrival order (no
     # shuffle). A number: rows are hash-sharded to that many writers by the
     # ``order`` key and sorted, so batches do not depend on the input layout.
-    # "auto": a number sized from the plan's size estimate (see auto_shards).
-    shards: int | str | None = None
+    # The number never follows the data's size: a row's writer, and with it the
+    # rows that ``drop_batch`` drops, stay the same as a table grows. ``order``
+    # must be unique, else equal rows pile up in one writer.
+    shards: int | None = None
     failure: str = "stop"  # "stop" | "drop_batch"
+    # Under "stop" batches change nothing that is written, so rows go from the
+    # casts to the writer. Ask for the batch metrics to have them formed anyway.
+    batch_metrics: bool = False
     json_as: str = "string"  # JSON columns stored as validated text, or "variant"
     retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
     null_unsigned: str = "zero"
     # Target: any Spark writer ("parquet" by default; e.g. "jdbc" with url/dbtable
-    # options); free-form writer options are passed through unchanged.
+    # options, which gets ``max_batch_size`` as its batch size), or "table": a table
+    # of the catalog, by name. Free-form writer options are passed through unchanged.
     target_format: str = "parquet"
     writer_options: dict = field(default_factory=dict)
     require_table: bool = False  # preflight: the target must already exist
@@ -93,8 +104,14 @@ class LoadOptions:
             raise ValueError("max_batch_bytes must be at least max_record_bytes")
         if self.failure not in ("stop", "drop_batch"):
             raise ValueError("failure must be 'stop' or 'drop_batch'")
+        if self.shards is not None and (not isinstance(self.shards, int) or self.shards <= 0):
+            raise ValueError("shards must be a positive number or None")
         return self
 
+    @property
+    def forms_batches(self) -> bool:
+        return self.failure == "drop_batch" or self.batch_metrics
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -103,30 +120,77 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def target_schema(spark: SparkSession, path: str, options: "LoadOptions | None" = None) -> T.StructType | None:
+    """The target's columns, or None if it does not exist yet (or its reader cannot tell).
+
+    Files are found below ``path`` at any depth, so a table that streams and batch
+    loads have written in turn is seen whole.
+    """
+    fmt = options.target_format if options else "parquet"
+    if fmt == "table":
+        return spark.table(path).schema if spark.catalog.tableExists(path) else None
+    if fmt == "jdbc":
+        try:
+            return spark.read.format("jdbc").options(**options.writer_options).load().schema
+        except Exception as e:  # noqa: BLE001 - a table that is not there; anything else is the writer's to report
+            if options.require_table:
+                raise FileNotFoundError(f"Target table {options.writer_options.get('dbtable')} cannot be read: {e}") from e
+            return None
+    if not table_exists(spark, path):
+        return None
+    if fmt not in ("parquet", "orc"):
+        return T.StructType([])
+    try:
+        return read_table(spark, path, fmt=fmt).schema
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):  # a folder without files yet
+            return T.StructType([])
+        raise
+
+
 def preflight(spark: SparkSession, path: str, must_exist: bool = False, attempts: int = 3,
-              wait_s: float = 1.0) -> None:
+              wait_s: float = 1.0, options: "LoadOptions | None" = None) -> None:
     """Check the target before writing: up to ``attempts`` checks, ``wait_s``
     apart (the sink pings its server 3 times, 1 s apart), then fail."""
     if not must_exist:
         return
     for i in range(attempts):
-        if table_exists(spark, path):
-            return
+        try:
+            if target_schema(spark, path, options) is not None:
+                return
+        except FileNotFoundError:
+            if i + 1 == attempts:
+                raise
         if i + 1 < attempts:
             time.sleep(wait_s)
     raise FileNotFoundError(f"Target table {path} does not exist")
 
 
-def check_drift(spark: SparkSession, path: str, declared: T.StructType) -> None:
+def check_drift(spark: SparkSession, path: str, declared: T.StructType, options: "LoadOptions | None" = None) -> None:
     """Reject a load whose declared types differ from the existing table's."""
-    if not table_exists(spark, path):
+    existing = target_schema(spark, path, options)
+    if existing is None:
         return
-    existing = spark.read.parquet(path).schema
     have = {f.name: f.dataType for f in existing.fields}
     for f in declared.fields:
-        if f.name in have and have[f.name] != f.dataType:
+        if f.name in have and have[f.name] != f.dataType and (options is None or options.target_format != "jdbc"):
             raise SchemaDriftError(f"Column {f.name}: declared {f.dataType.simpleString()}, "
                                    f"table has {have[f.name].simpleString()}")
+        if have and f.name not in have and options is not None and options.target_format in ("jdbc", "table"):
+            raise UnknownColumnError(f"Column {f.name} is not in the target table {path}")
+
+
+def check_declared(bindings: Sequence[Binding], table: TableSpec | None) -> None:
+    """Reject bound columns that the declared table lacks or has with another type."""
+    if table is None:
+        return
+    have = {c.name: c.type for c in table.columns}
+    for b in bindings:
+        if b.name not in have:
+            raise UnknownColumnError(f"Column {b.name} is not declared in table {table.name}")
+        if have[b.name].spark_type() != b.type.spark_type():
+            raise SchemaDriftError(f"Column {b.name}: bound as {b.type.spark_type().simpleString()}, "
+                                   f"declared {have[b.name].spark_type().simpleString()}")
 
 
 def _write(df: DataFrame, path: str, table: TableSpec | None, mode: str = "append",
@@ -134,7 +198,13 @@ def _write(df: DataFrame, path: str, table: TableSpec | None, mode: str = "appen
     if table is not None and table.sort_key:
         df = df.sortWithinPartitions(*table.sort_key)
     fmt = options.target_format if options else "parquet"
-    w = df.write.format(fmt).mode(mode).options(**(options.writer_options if options else {}))
+    extra = dict(options.writer_options) if options else {}
+    if fmt == "table":
+        df.write.format(extra.pop("provider", "parquet")).mode(mode).options(**extra).saveAsTable(path)
+        return
+    if fmt == "jdbc":
+        extra.setdefault("batchsize", str(options.max_batch_size))
+    w = df.write.format(fmt).mode(mode).options(**extra)
     if fmt == "jdbc":
         w.save()
     else:
@@ -150,8 +220,8 @@ def check_backlog_mode(spark: SparkSession, path: str, raw: bool, df: DataFrame
                                or not isinstance(df.schema[line_col].dataType, (T.StringType, T.BinaryType))):
             raise BacklogModeError(f"A raw load needs a text column {line_col!r}; got typed rows")
         return
-    if table_exists(spark, path):
-        cols = spark.read.parquet(path).schema
+    cols = target_schema(spark, path)
+    if cols is not None:
         if len(cols) == 1 and cols[0].name == line_col and isinstance(cols[0].dataType, T.StringType):
             raise BacklogModeError("Target holds a raw backlog; drain it with a raw load before a typed load")
 
@@ -162,17 +232,6 @@ class LoadResult:
     metrics: dict
 
 
-BYTES_PER_WRITER = 256 * 1024 * 1024
-
-
-def auto_shards(df: DataFrame, bytes_per_writer: int = BYTES_PER_WRITER) -> int:
-    """Writers for ``df`` from the optimizer's size estimate (no job runs): at
-    least the default parallelism, one more per ``bytes_per_writer``."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    return max(parallelism, -(-size // bytes_per_writer))
-
-
 def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, order: Sequence[str],
             event_time: str | None = None) -> DataFrame:
     """Checked, sized and batch-annotated rows (lazy; nothing runs yet)."""
@@ -184,9 +243,12 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
         typed = typed.withColumn(ERRORS_COL, F.array().cast("array<string>"))
     typed = typed.withColumn("_size", row_payload_bytes([(b.name, b.type) for b in bindings]))
     typed, _ = reject_oversized(typed, F.col("_size"), options.max_record_bytes, mode="strict")
+    if not options.forms_batches:
+        if options.shards:
+            typed = typed.repartition(options.shards, *order).sortWithinPartitions(*([event_time] if event_time else []), *order)
+        return typed
     if options.shards:
-        n = auto_shards(df) if options.shards == "auto" else int(options.shards)
-        shard = hash_shard(order, n)
+        shard = hash_shard(order, options.shards)
         ordering = ([event_time] if event_time else []) + [o for o in order if o != event_time]
     else:
         shard, ordering = None, ([event_time] if event_time else [])
@@ -197,22 +259,31 @@ def prepare(df: DataFrame, bindings: Sequence[Binding], options: LoadOptions, or
                             complete=True, bad="_bad")
 
 
+def check_before_load(spark: SparkSession, path: str, declared: T.StructType, options: LoadOptions) -> None:
+    """What a typed load asks of its target: that it is there if it must be, holds no raw backlog, and has the same types."""
+    preflight(spark, path, must_exist=options.require_table, options=options)
+    if options.target_format == "parquet":
+        check_backlog_mode(spark, path, raw=False)
+    check_drift(spark, path, declared, options)
+
+
 def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOptions | None = None,
          order: Sequence[str] | None = None, table: TableSpec | None = None,
-         event_time: str | None = None, write_mode: str = "append", drift_path: str | None = None) -> LoadResult:
+         event_time: str | None = None, write_mode: str = "append", check_target: bool = True) -> LoadResult:
     """Append ``df`` to the Parquet table at ``path`` through ``bindings``.
 
     ``order`` names target columns giving the total order rows are sent in
     (and the shard hash); ``event_time`` enables the time limit on event time.
+    ``check_target=False`` leaves out the target's checks (a stream makes them
+    once, when it starts).
     """
-    options = options or LoadOptions()
+    options = (options or LoadOptions()).validate()
     spark = df.sparkSession
     order = list(order or [b.name for b in bindings])
     declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
-    preflight(spark, drift_path or path, must_exist=options.require_table)
-    if options.target_format == "parquet":
-        check_backlog_mode(spark, drift_path or path, raw=False)
-        check_drift(spark, drift_path or path, declared)
+    check_declared(bindings, table)
+    if check_target:
+        check_before_load(spark, path, declared, options)
     ann = prepare(df, bindings, options, order, event_time)
     names = [b.name for b in bindings]
     hdr = header_bytes([(b.name, b.type) for b in bindings])
@@ -232,8 +303,10 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
 
     def write():
         obs = Observation(f"ladle_load_{uuid.uuid4().hex[:12]}")
-        observed = flagged.observe(obs, *observed_load_metrics(hdr))
-        out = observed.where(F.col("_batch_bad") == 0).select(*names)
+        if "_batch_bad" in flagged.columns:
+            out = flagged.observe(obs, *observed_load_metrics(hdr)).where(F.col("_batch_bad") == 0).select(*names)
+        else:
+            out = flagged.observe(obs, *sent_metrics()).select(*names)
         if table is not None:
             out = default_for_omitted(out, table)
         _write(out, path, table, write_mode, options)
@@ -335,7 +408,7 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
     options = (options or LoadOptions()).validate()
     spark = lines.sparkSession
     check_backlog_mode(spark, path, raw=True, df=lines, line_col=line_col)
-    preflight(spark, path, must_exist=options.require_table)
+    preflight(spark, path, must_exist=options.require_table, options=options)
     mode = "strict" if options.failure == "stop" else "report"
     # Lines are batched in arrival order: per input partition by default, or
     # hash-sharded by an id that follows input partition and row order
@@ -345,8 +418,10 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
                        line_col, mode, keep=["_line_id"])
     parsed, _ = reject_oversized(parsed, F.col("_size"), options.max_record_bytes, mode="strict")
     key = ["_line_id"]
-    n = (auto_shards(lines) if options.shards == "auto" else int(options.shards)) if options.shards else None
-    shard = hash_shard(key, n) if n else None
+    if not options.forms_batches:
+        rows = parsed.repartition(options.shards, *key) if options.shards else parsed
+        return LoadResult(path, _write_observed(rows, table.names, path, table, options, 0))
+    shard = hash_shard(key, options.shards) if options.shards else None
     ann = annotate_batches(mark_bad(parsed), shard, key if options.shards else [], size=F.col("_size"),
                            max_rows=options.max_batch_size, max_bytes=options.max_batch_bytes,
                            complete=True, bad="_bad")
@@ -354,8 +429,9 @@ def load_raw(lines: DataFrame, table: TableSpec, path: str, raw_format: str = "c
     return LoadResult(path, metrics)
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def read_table(spark: SparkSession, path: str, merge_schema: bool = True, fmt: str = "parquet") -> DataFrame:
+    """All rows below ``path``, whether batch loads or streams wrote them."""
+    return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).option("recursiveFileLookup", "true").load(path)
 
 
 def table_path(base: str, name: str) -> str:

@@ -1,72 +1,93 @@
-"""Streaming rollups: each micro-batch's partial rollup is merged into the table.
-
-The rollup table is versioned by micro-batch: batch ``k`` reads version
-``k-1``, re-merges it with its own partial rollup and writes version ``k``
-(overwrite). A replayed micro-batch rewrites the same version from the same
-input, so the result is exactly once; older versions are removed once a newer
-one is committed. Re-merging works because every rollup function keeps what
-it needs to merge again (see :mod:`ladle.operators.rollup`).
+"""Streaming rollups: each micro-batch adds its partial rollup to the table.
+
+A micro-batch writes the rollup of its own rows only, to a folder of its own
+(``_stream=<stream>/_batch_id=<id>``, overwritten if it is replayed), so the cost
+of a micro-batch follows the micro-batch and not the table, and the result is
+exactly once. Readers merge the partials: every rollup function keeps what it needs
+to merge again (see :mod:`ladle.operators.rollup`). Several streams may feed one
+table, one after another or together.
+
+``compact_rollup`` writes the merged table elsewhere when there are many partials.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ladle.operators.rollup import remerge, rollup
+from ladle.streaming.stream import batch_folder, stream_id
 
-VERSION_COL = "_version"
+SPEC_FILE = "_ladle_rollup.json"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, SPEC_FILE))
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions of a rollup table (a listing, on the driver)."""
-    p, fs = _fs(spark, path)
+def rollup_spec(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[str, str, str | None]]] | None:
+    """Key and functions of a rollup table, None if there is none."""
+    p, fs = _file(spark, path)
     if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(VERSION_COL + "=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def read_rollup(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    vs = [v for v in versions(spark, path) if before is None or v < before]
-    if not vs:
         return None
-    return spark.read.parquet(os.path.join(path, f"{VERSION_COL}={vs[-1]}"))
+    source = fs.open(p)
+    try:
+        found = json.loads(source.readLine())
+    finally:
+        source.close()
+    return found["key"], [tuple(s) for s in found["specs"]]
+
+
+def _keep_spec(spark: SparkSession, path: str, key: Sequence[str], specs: Sequence[tuple[str, str, str | None]]) -> None:
+    own = list(key), [tuple(s) for s in specs]
+    there = rollup_spec(spark, path)
+    if there is not None and there != own:
+        raise ValueError(f"The rollup table {path} has another key or other functions: {there}")
+    if there is None:
+        p, fs = _file(spark, path)
+        out = fs.create(p, False)
+        out.writeBytes(json.dumps({"key": own[0], "specs": own[1]}) + "\n")
+        out.close()
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rollup of everything delivered so far; None before the first row."""
+    spec = rollup_spec(spark, path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if spec is None or not any(s.isDirectory() for s in fs.listStatus(p)):
+        return None
+    partials = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    return remerge([partials], *spec)
+
+
+def compact_rollup(spark: SparkSession, path: str, target: str) -> None:
+    """Writes the merged table to ``target``, a new rollup table of one partial that streams can go on with."""
+    key, specs = rollup_spec(spark, path)
+    _keep_spec(spark, target, key, specs)
+    read_rollup(spark, path).write.parquet(batch_folder(target, "compacted", 0))
 
 
 def stream_rollup(stream: DataFrame, key: Sequence[str], specs: Sequence[tuple[str, str, str | None]], path: str,
                   checkpoint: str, available_now: bool = True, processing_time: str | None = None,
                   fault=None):
-    """Keep ``path`` equal to the rollup of everything the stream delivered.
+    """Keep ``path`` the rollup of everything the stream delivered.
 
-    ``fault(batch_id)`` is a test hook run after a version is written and
+    ``fault(batch_id)`` is a test hook run after a partial is written and
     before the micro-batch commits (it may raise to simulate a crash).
     """
+    spark = stream.sparkSession
+    _keep_spec(spark, path, key, specs)
+    name = stream_id(spark, checkpoint)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        partial = rollup(batch_df, key, specs)
-        prev = read_rollup(spark, path, before=batch_id)
-        merged = partial if prev is None else remerge([prev, partial], key, specs)
-        merged.write.mode("overwrite").parquet(os.path.join(path, f"{VERSION_COL}={batch_id}"))
+        rollup(batch_df, key, specs).write.mode("overwrite").parquet(batch_folder(path, name, batch_id))
         if fault is not None:
             fault(batch_id)
-        for v in versions(spark, path):
-            if v < batch_id - 1:
-                p, fs = _fs(spark, os.path.join(path, f"{VERSION_COL}={v}"))
-                fs.delete(p, True)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")

@@ -1,47 +1,83 @@
 """Structured Streaming loads: restart without loss, schema evolution, backlog.
 
-A stream is loaded micro-batch by micro-batch with ``foreachBatch``. Each
-micro-batch is written to its own folder ``_batch_id=<id>`` with overwrite,
-so a micro-batch replayed after a failure replaces its earlier partial output
-instead of duplicating it: exactly-once on top of Spark's replayable sources
-and checkpointed offsets (stronger than the sink's at-least-once).
+A stream is loaded micro-batch by micro-batch with ``foreachBatch``. Each is
+written to its own folder ``_stream=<stream>/_batch_id=<id>`` with overwrite, so a
+micro-batch replayed after a failure replaces its earlier partial output instead
+of duplicating it: exactly-once on top of Spark's replayable sources and
+checkpointed offsets (stronger than the sink's at-least-once). The stream's name is
+drawn once and kept with its checkpoint: another stream, whose batch numbers start
+at 0 again, or a batch load into the same table adds rows and replaces none.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.operators.bindings import Binding, TableSpec
-from ladle.sinks.table import LoadOptions, load
+from ladle.sinks.table import LoadOptions, check_before_load, load, read_table
 
 BATCH_COL = "_batch_id"
+STREAM_COL = "_stream"
+STREAM_FILE = "ladle-stream"
+#: Micro-batches whose metrics a report keeps.
+REPORTED = 1000
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream with this checkpoint, drawn when it is first asked for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint, STREAM_FILE))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        with_name = fs.open(path)
+        try:
+            return with_name.readLine()
+        finally:
+            with_name.close()
+    name = uuid.uuid4().hex[:16]
+    out = fs.create(path, False)
+    out.writeBytes(name + "\n")
+    out.close()
+    return name
+
+
+def batch_folder(path: str, stream: str, batch_id: int) -> str:
+    return os.path.join(path, f"{STREAM_COL}={stream}", f"{BATCH_COL}={batch_id}")
 
 
 class StreamLoadReport:
-    """Metrics of each committed micro-batch (small dicts kept on the driver)."""
+    """Metrics of the last ``REPORTED`` committed micro-batches, and counts over all of them."""
 
     def __init__(self):
         self.batches: dict[int, dict] = {}
+        self._counts: dict = {}
+
+    def add(self, batch_id: int, metrics: dict) -> None:
+        self.batches[batch_id] = metrics
+        if len(self.batches) > REPORTED:
+            del self.batches[min(self.batches)]
+        for name, value in metrics.items():
+            # Averages, extremes and percentiles of micro-batches don't add up.
+            if not name.startswith(("rows_per_batch", "bytes_per_batch")):
+                self._counts[name] = self._counts.get(name, 0) + (value or 0)
 
     def totals(self) -> dict:
-        out: dict = {}
-        for m in self.batches.values():
-            for k, v in m.items():
-                out[k] = out.get(k, 0) + (v or 0)
-        return out
+        """Sums of the counters (rows, bytes, requests, drops, retries, seconds)."""
+        return dict(self._counts)
 
 
-def batch_writer(bindings: Sequence[Binding], path: str, table: TableSpec | None = None,
+def batch_writer(bindings: Sequence[Binding], path: str, stream: str, table: TableSpec | None = None,
                  options: LoadOptions | None = None, order: Sequence[str] | None = None,
                  event_time: str | None = None, report: StreamLoadReport | None = None,
                  fault: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of a stream load: the same :func:`load`
     (checked casts, batching, failure policy, observed metrics) per micro-batch,
-    written to ``_batch_id=<id>`` with overwrite so a replay is idempotent.
+    written to the micro-batch's folder with overwrite so a replay is idempotent.
 
     ``fault(batch_id)`` is a test hook called after the batch is written and
     before it is committed (it may raise to simulate a crash).
@@ -49,11 +85,10 @@ def batch_writer(bindings: Sequence[Binding], path: str, table: TableSpec | None
     options = options or LoadOptions()
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        target = os.path.join(path, f"{BATCH_COL}={batch_id}")
-        res = load(batch_df, bindings, target, options, order=order, table=table, event_time=event_time,
-                   write_mode="overwrite", drift_path=path)
+        res = load(batch_df, bindings, batch_folder(path, stream, batch_id), options, order=order, table=table,
+                   event_time=event_time, write_mode="overwrite", check_target=False)
         if report is not None:
-            report.batches[batch_id] = res.metrics
+            report.add(batch_id, res.metrics)
         if fault is not None:
             fault(batch_id)
 
@@ -71,7 +106,10 @@ def stream_load(stream: DataFrame, bindings: Sequence[Binding], path: str, check
     Restarting on the same ``checkpoint`` resumes from the committed offsets;
     the micro-batch in flight at a crash is replayed and overwrites its folder.
     """
-    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, table, options, order, event_time, report,
+    spark, options = stream.sparkSession, (options or LoadOptions()).validate()
+    declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
+    check_before_load(spark, path, declared, options)  # once, not per micro-batch
+    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, stream_id(spark, checkpoint), table, options, order, event_time, report,
                                                      fault))
     w = w.option("checkpointLocation", checkpoint)
     if query_name:
@@ -84,8 +122,9 @@ def stream_load(stream: DataFrame, bindings: Sequence[Binding], path: str, check
 
 
 def read_loaded(spark: SparkSession, path: str) -> DataFrame:
-    """The loaded table (all micro-batch folders), schemas merged."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The loaded table, schemas merged, with the micro-batch of each row (null for batch loads)."""
+    place = F.regexp_extract(F.col("_metadata.file_path"), f"/{BATCH_COL}=([0-9]+)/", 1)
+    return read_table(spark, path).withColumn(BATCH_COL, F.when(place != "", place.cast("bigint")))
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1,

@@ -91,7 +91,7 @@ def test_load_metrics_and_drift(spark, tmp):
     path = os.path.join(tmp, "t")
     df = spark.range(1234).select(F.col("id").alias("k"), (F.col("id") * 2).cast("string").alias("s"))
     res = load(df, [of("k", "k", "Int64"), of("s", "s", "String")], path,
-               LoadOptions(shards=3, max_batch_size=100), order=["k"])
+               LoadOptions(shards=3, max_batch_size=100, batch_metrics=True), order=["k"])
     assert res.metrics["records_sent"] == 1234 and res.metrics["dropped_records"] == 0
     assert res.metrics["requests"] >= 13  # sum over shards of ceil(rows / 100)
     assert res.metrics["flushes_by_rows"] + res.metrics["flushes_at_end"] == res.metrics["requests"]
@@ -163,10 +163,10 @@ def test_partition_local_writers_need_no_shuffle(spark, tmp):
     df = spark.range(0, 1000, numPartitions=2).select(F.col("id").alias("k"))
     from ladle.sinks.table import prepare
 
-    ann = prepare(df, [of("k", "k", "Int64")], LoadOptions(max_batch_size=100), ["k"])
+    ann = prepare(df, [of("k", "k", "Int64")], LoadOptions(max_batch_size=100, batch_metrics=True), ["k"])
     plan = ann._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(max_batch_size=100), order=["k"])
+    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(max_batch_size=100, batch_metrics=True), order=["k"])
     assert res.metrics["requests"] == 10 and res.metrics["flushes_by_rows"] == 10
     assert read_table(spark, os.path.join(tmp, "t")).count() == 1000
 
@@ -225,15 +225,72 @@ def test_drop_batch_plan_has_one_shuffle(spark):
     assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString()
 
 
-def test_auto_shards_from_plan_statistics(spark, tmp):
-    from ladle.sinks.table import auto_shards
+def test_writers_do_not_follow_the_size(spark, tmp):
+    """Ten times the table: the same writer for each key, and the same shares of rows."""
+    from ladle.operators.batching import hash_shard
+
+    with pytest.raises(ValueError, match="shards"):
+        LoadOptions(shards="auto").validate()
+    df = spark.range(0, 500).select(F.col("id").alias("k"))
+    ten = df.crossJoin(spark.range(10).select(F.col("id").alias("copy")))
+    once = {r.k: r.s for r in df.select("k", hash_shard(["k"], 16).alias("s")).collect()}
+    assert all(once[r.k] == r.s for r in ten.select("k", hash_shard(["k"], 16).alias("s")).distinct().collect())
+
+
+def test_stop_check_survives_pruning(spark):
+    df = spark.createDataFrame([(i, "x" if i == 7 else str(i), "c") for i in range(20)], "k long, v string, c string")
+    typed = mark_bad(bind_columns(df, [of("k", "k", "Int64"), of("v", "v", "Int32"), of("c", "c", "String")], mode="report"))
+    for read in (lambda d: d.select("c").collect(), lambda d: d.select("k").collect(), lambda d: d.count(), lambda d: d.groupBy("c").count().collect()):
+        with pytest.raises(Exception, match="Corrupt row"):
+            read(stop_on_corrupt(typed))
+    assert stop_on_corrupt(typed.where("k > 7")).count() == 12
+
+
+def test_streams_and_batch_loads_share_a_table(spark, tmp):
+    """Two streams with checkpoints of their own, then a batch load: all rows stay."""
+    b, out = [of("k", "k", "Int64")], os.path.join(tmp, "out")
+    for name, first in (("a", 0), ("b", 10)):
+        src = os.path.join(tmp, name)
+        spark.range(first, first + 10).select(F.col("id").alias("k")).repartition(2).write.parquet(src)
+        stream_load(file_stream(spark, src, spark.read.parquet(src).schema, 1), b, out, os.path.join(tmp, f"ckpt-{name}"))
+    load(spark.range(20, 23).select(F.col("id").alias("k")), b, out)
+    assert sorted(r.k for r in read_loaded(spark, out).collect()) == list(range(23))
+    assert sorted(r.k for r in read_table(spark, out).collect()) == list(range(23))
+    with pytest.raises(SchemaDriftError):
+        load(spark.range(3).select(F.col("id").alias("k")), [of("k", "k", "String")], out)
+
+
+def test_undeclared_columns_and_catalog_tables(spark, tmp):
+    from ladle.operators.bindings import TableSpec
+    from ladle.sinks.table import UnknownColumnError
+
+    spec = TableSpec.of("t", [("a", "Int32")])
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    with pytest.raises(UnknownColumnError, match="b"):
+        load(df, [of("a", "a", "Int32"), of("b", "b", "Int32")], os.path.join(tmp, "t"), table=spec)
+    with pytest.raises(SchemaDriftError, match="a"):
+        load(df, [of("a", "a", "String")], os.path.join(tmp, "t"), table=spec)
+    options = LoadOptions(target_format="table", writer_options={"path": os.path.join(tmp, "managed")})
+    with pytest.raises(FileNotFoundError):
+        preflight(spark, "ladle_test_table", must_exist=True, attempts=1, options=options)
+    try:
+        for _ in range(2):
+            load(df, [of("a", "a", "Int32"), of("b", "b", "Int32")], "ladle_test_table", options)
+        assert sorted(map(tuple, spark.table("ladle_test_table").collect())) == [(1, 2), (1, 2)]
+        with pytest.raises(UnknownColumnError, match="a2"):
+            load(df, [of("a", "a2", "Int32"), of("b", "b", "Int32")], "ladle_test_table", options)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ladle_test_table")
+
+
+def test_load_without_batches_stays_in_the_jvm(spark, tmp):
+    from ladle.sinks.table import prepare
 
-    df = spark.range(0, 5000).select(F.col("id").alias("k"))
-    assert auto_shards(df) >= spark.sparkContext.defaultParallelism
-    assert auto_shards(df, bytes_per_writer=1024) > auto_shards(df)
-    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"), LoadOptions(shards="auto", max_batch_size=100),
-               order=["k"])
-    assert res.metrics["records_sent"] == 5000
+    df = spark.range(100).select(F.col("id").alias("k"))
+    plan = prepare(df, [of("k", "k", "Int64")], LoadOptions(), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
+    res = load(df, [of("k", "k", "Int64")], os.path.join(tmp, "t"))
+    assert res.metrics["records_sent"] == 100 and res.metrics["bytes_sent"] == 800 and res.metrics["dropped_records"] == 0
 
 
 def test_hot_key_spreads_over_writers(spark):
@@ -253,7 +310,7 @@ def test_hot_key_spreads_over_writers(spark):
 def test_empty_inputs(spark, tmp):
     empty = spark.createDataFrame([], "k long, v string")
     b = [of("k", "k", "Int64"), of("v", "v", "String")]
-    res = load(empty, b, os.path.join(tmp, "e"), LoadOptions(shards=4), order=["k"])
+    res = load(empty, b, os.path.join(tmp, "e"), LoadOptions(shards=4, batch_metrics=True), order=["k"])
     assert res.metrics["records_sent"] == 0 and res.metrics["requests"] == 0
     res2 = load(empty, b, os.path.join(tmp, "e2"), order=["k"])
     assert res2.metrics["records_sent"] == 0
@@ -310,7 +367,7 @@ def test_load_with_event_time_limit(spark, tmp):
     df = spark.createDataFrame(rows, "k long, t long, n int").withColumn(
         "ts", F.timestamp_seconds(F.col("t") / 1000).cast("timestamp_ntz")).drop("t").coalesce(1)
     b = [of("k", "k", "Int64"), of("ts", "ts", "DateTime64(3)"), of("n", "n", "Int32")]
-    res = load(df, b, os.path.join(tmp, "t"), LoadOptions(max_batch_size=20, max_time_in_buffer_ms=5000),
+    res = load(df, b, os.path.join(tmp, "t"), LoadOptions(max_batch_size=20, max_time_in_buffer_ms=5000, batch_metrics=True),
                order=["k"], event_time="ts")
     sizes = [8 + 8 + 4] * len(rows)
     _, reasons = simulate_flush(sizes, [r[1] * 1000 for r in rows], 20, 5 * 1024 * 1024, 5000 * 1000)

@@ -114,3 +114,17 @@ def test_remerge_random_splits(spark):
                                                 ["k"]).collect())) == c_whole
         assert sorted(map(tuple, remerge_sum_map([sum_map(a, ["k"], "m"), sum_map(b, ["k"], "m")],
                                                  ["k"]).collect())) == m_whole
+
+
+def test_two_streams_feed_one_rollup(spark, tmp):
+    from ladle.streaming.rollup_stream import compact_rollup, read_rollup, stream_rollup
+
+    out, specs = os.path.join(tmp, "rollup"), [("v", "sum", None)]
+    for name in ("a", "b"):
+        src = os.path.join(tmp, name)
+        spark.createDataFrame([(1, 2), (2, 3), (1, 100)], "k int, v long").repartition(2).write.parquet(src)
+        stream = spark.readStream.schema("k int, v long").option("maxFilesPerTrigger", 1).parquet(src)
+        stream_rollup(stream, ["k"], specs, out, os.path.join(tmp, f"ckpt-{name}"))
+    assert {r.k: r.v for r in read_rollup(spark, out).collect()} == {1: 204, 2: 6}
+    compact_rollup(spark, out, os.path.join(tmp, "compact"))
+    assert {r.k: r.v for r in read_rollup(spark, os.path.join(tmp, "compact")).collect()} == {1: 204, 2: 6}
