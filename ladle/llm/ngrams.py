@@ -42,8 +42,8 @@ from ladle.llm.shingles import mix
 END = xxhash.xxh64_intdigest(b"\n")
 #: The id of the context before a text's first word.
 BEGIN = (1 << 32) - 1
-CHUNK_TOKENS = 4_000_000
-SCORE_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_500_000
+SCORE_TOKENS = 700_000
 CACHE_ENTRIES = 400_000
 PACKED = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("packed", T.BinaryType()), T.StructField("total", T.LongType()),
                        T.StructField("distinct", T.LongType()), T.StructField("seen", T.ArrayType(T.LongType()))])
