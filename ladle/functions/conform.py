@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,29 +110,48 @@ def json_valid(s: Column) -> Column:
     Spark's JSON parser stops after the first value and ignores what follows,
     so the text is parsed wrapped as ``[s]`` and ``[s,0]``: only a single value
     gives arrays of exactly 1 and 2 elements (a ``]`` inside ``s`` would close
-    the array early and break the second count). Invalid text gives NULL.
+    the array early and break the second count). Invalid text gives NULL. That
+    parser takes single quotes and raw control characters; the VARIANT parser is
+    strict about both (and about an object's keys: each may occur once).
     """
     w1 = F.concat(F.lit("["), s, F.lit("]"))
     w2 = F.concat(F.lit("["), s, F.lit(",0]"))
-    return F.coalesce((F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2), F.lit(False))
+    one_value = (F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2)
+    return F.coalesce(one_value & F.try_parse_json(w1).isNotNull(), F.lit(False))
 
 
-def micros_since_epoch(ts_ntz: Column) -> Column:
-    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ.
+def _session_is_utc() -> bool:
+    """Whether casts between TIMESTAMP and TIMESTAMP_NTZ keep the micros (the cheap way) in this session."""
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
-    Uses the session time zone, which :func:`ladle.session.configure` pins to
-    UTC; under UTC the NTZ -> TIMESTAMP cast keeps the micros unchanged, so
-    this stays a cheap codegen expression.
-    """
-    return F.unix_micros(ts_ntz.cast("timestamp"))
+
+def micros_since_epoch(ts_ntz: Column) -> Column:
+    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ, whatever the session's time zone."""
+    if _session_is_utc():
+        return F.unix_micros(ts_ntz.cast("timestamp"))
+    return ((ts_ntz - _epoch()).cast("interval second").cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint")
 
 
 def ntz_from_micros(m: Column) -> Column:
-    return F.timestamp_micros(m).cast("timestamp_ntz")
+    """The TIMESTAMP_NTZ that many microseconds after 1970-01-01, whatever the session's time zone."""
+    if _session_is_utc():
+        return F.timestamp_micros(m).cast("timestamp_ntz")
+    seconds = (m.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def _utc_wall_clock(ts: Column) -> Column:
+    """An instant's wall clock in UTC."""
+    return ts.cast("timestamp_ntz") if _session_is_utc() else ntz_from_micros(F.unix_micros(ts))
 
 
 def _to_ntz(c: Column, dt: T.DataType) -> Column:
-    """Source value as a UTC wall-clock TIMESTAMP_NTZ (session time zone is UTC).
+    """Source value as a UTC wall-clock TIMESTAMP_NTZ, whatever the session's time zone.
 
     Text with a zone (``Z``, ``+02:00``) is converted to UTC; text without one
     is taken as UTC. Other types (numbers) are not date-times: NULL, i.e. a
@@ -140,17 +159,24 @@ def _to_ntz(c: Column, dt: T.DataType) -> Column:
     """
     if isinstance(dt, T.TimestampNTZType):
         return c
-    if isinstance(dt, (T.TimestampType, T.DateType)):
+    if isinstance(dt, T.DateType):
         return c.cast("timestamp_ntz")
+    if isinstance(dt, T.TimestampType):
+        return _utc_wall_clock(c)
     if isinstance(dt, T.StringType):
-        return F.trim(c).try_cast("timestamp").cast("timestamp_ntz")
+        text = F.trim(c)
+        if _session_is_utc():
+            return text.try_cast("timestamp").cast("timestamp_ntz")
+        # A text that takes another zone behind it has none of its own.
+        instant = F.coalesce(F.concat(text, F.lit("Z")).try_cast("timestamp"), text.try_cast("timestamp"))
+        return F.when(text.rlike(r"^[+-]?[0-9]+(-[0-9]{1,2}){0,2}$"), text.try_cast("timestamp_ntz")).otherwise(_utc_wall_clock(instant))
     return F.lit(None).cast("timestamp_ntz")
 
 
 def _floor_to_scale(ts: Column, scale: int) -> Column:
     if scale >= 6:
         return ts
-    if scale in (0, 3):
+    if scale in (0, 3) and _session_is_utc():
         unit = "second" if scale == 0 else "millisecond"
         return F.date_trunc(unit, ts.cast("timestamp")).cast("timestamp_ntz")
     m = micros_since_epoch(ts)
@@ -164,7 +190,8 @@ def datetime64_ticks(c: Column, dt: T.DataType, scale: int) -> Column:
         s = F.regexp_replace(F.regexp_replace(F.trim(c), "T", " "), "Z$", "")
         whole = F.split_part(s, F.lit("."), F.lit(1)).try_cast("timestamp_ntz")
         frac = F.rpad(F.split_part(s, F.lit("."), F.lit(2)), 9, "0")
-        secs = F.unix_seconds(whole.cast("timestamp"))
+        micros = micros_since_epoch(whole)  # of whole seconds
+        secs = ((micros - F.pmod(micros, F.lit(1_000_000))).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("bigint")
         return F.try_add(F.try_multiply(secs, F.lit(10**scale)), F.substring(frac, 1, scale).try_cast("bigint"))
     m = micros_since_epoch(_to_ntz(c, dt))
     return F.try_multiply(m, F.lit(10 ** (scale - 6)))
@@ -303,8 +330,10 @@ def _conform_value(c: Column, src: T.DataType, t: TargetType, name: str, null_un
         ck = lambda x: conform(x, sk, kt, name + ".key", null_unsigned)
         cv = lambda x: conform(x, sv, vt, name + ".value", null_unsigned)
         v = F.transform_values(F.transform_keys(c, lambda k, _: ck(k).value), lambda _, x: cv(x).value)
+        # Keys that become equal (such as 1 and 01) would raise when the map is built.
+        distinct = F.size(F.array_distinct(F.transform(F.map_keys(c), lambda k: ck(k).value))) == F.size(c)
         ok = ~F.exists(F.map_keys(c), lambda k: ck(k).error.isNotNull()) & ~F.exists(
-            F.map_values(c), lambda x: cv(x).error.isNotNull())
+            F.map_values(c), lambda x: cv(x).error.isNotNull()) & distinct
         return F.when(ok, v), ok
     if n == "Tuple":
         parts, oks = [], []

@@ -173,6 +173,10 @@ def _split_args(s: str) -> list[str]:
 _CALL = re.compile(r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*(?:\((.*)\))?\s*$", re.S)
 
 
+# Other names that table declarations use for these types.
+ALIASES = {"Float": "Float32", "FLOAT": "Float32", "Double": "Float64", "DOUBLE": "Float64"}
+
+
 def parse_type(decl: str | TargetType) -> TargetType:
     """Parse a target type declaration (driver side, once per binding)."""
     if isinstance(decl, TargetType):
@@ -189,7 +193,7 @@ def _parse(decl: str) -> TargetType:
     m = _CALL.match(decl)
     if not m:
         raise UnsupportedTypeError(f"Cannot parse type: {decl!r}")
-    name, inner = m.group(1), m.group(2)
+    name, inner = ALIASES.get(m.group(1), m.group(1)), m.group(2)
     args = _split_args(inner) if inner is not None else []
     if name == "Nullable":
         t = parse_type(args[0])

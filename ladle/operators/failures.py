@@ -58,6 +58,47 @@ def classify_message(message: str | None, kind: str = "io") -> str:
     return FATAL
 
 
+#: Java exception classes that mean the connection failed, whatever their message.
+CONNECT_CLASSES = {"ConnectException", "NoRouteToHostException", "UnknownHostException", "SocketException"}
+TIMEOUT_CLASSES = {"SocketTimeoutException"}
+IO_CLASSES = {"IOException", "EOFException", "InterruptedIOException", "HttpHostConnectException", "NoHttpResponseException"}
+
+
+def classify_exception(error: BaseException) -> str:
+    """RETRIABLE or FATAL for an exception of a write, by its root cause's class first and its message second.
+
+    Only errors of the connection are worth another try. What a user's data or
+    code raised (failed casts, ``raise_error``, Python errors in tasks) is fatal,
+    whatever text the data put into the message.
+    """
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    if java is not None:
+        return _classify_java(java)
+    seen: set[int] = set()
+    while error.__cause__ is not None and id(error) not in seen:
+        seen.add(id(error))
+        error = error.__cause__
+    if isinstance(error, (ConnectionError, TimeoutError)):
+        return RETRIABLE
+    if type(error) is OSError:  # a plain I/O error; its subclasses for files and the like are not the connection's
+        return classify_message(str(error))
+    return FATAL
+
+
+def _classify_java(error) -> str:
+    root, depth = error, 0
+    while root.getCause() is not None and depth < 50:
+        root, depth = root.getCause(), depth + 1
+    name = root.getClass().getSimpleName()
+    if name in CONNECT_CLASSES:
+        return RETRIABLE
+    if name in TIMEOUT_CLASSES:
+        return classify_message(root.getMessage(), "socket_timeout")
+    if name in IO_CLASSES:
+        return classify_message(root.getMessage())
+    return FATAL
+
+
 def mark_bad(df: DataFrame, errors_col: str = "_errors") -> DataFrame:
     """``_bad`` = the row has at least one conformance error."""
     return df.withColumn("_bad", (F.size(F.col(errors_col)) > 0).cast("int"))
@@ -168,7 +209,7 @@ def run_with_timeout(write: Callable[[], None], timeout_s: float | None, spark=N
     if t.is_alive():
         if spark is not None:
             spark.sparkContext.cancelJobGroup(group)
-        t.join(30)
+        t.join()  # an old write must be over before another one starts
         raise BatchTimeout(f"Batch write exceeded its request timeout of {timeout_s} s")
     if err:
         raise err[0]
@@ -177,11 +218,13 @@ def run_with_timeout(write: Callable[[], None], timeout_s: float | None, spark=N
 def retry_batch(write: Callable[[], None], policy: RetryPolicy,
                 classify_exc: Callable[[BaseException], str] | None = None,
                 on_retry: Callable[[int, BaseException], None] | None = None,
-                sleep_s: float = 0.0, timeout_s: float | None = None, on_timeout: str = "fail",
+                sleep_s: float = 1.0, timeout_s: float | None = None, on_timeout: str = "fail",
                 spark=None) -> int:
     """Run ``write`` (one batch) until it succeeds; transient errors are retried
     as the policy allows, others re-raised at once. Returns the attempts used.
 
+    ``sleep_s`` is the pause before the second try; it doubles up to a minute.
+
     ``timeout_s`` bounds each attempt; a timed-out attempt fails the load
     (``on_timeout="fail"``) or is retried (``"retry"``).
 
@@ -190,7 +233,7 @@ def retry_batch(write: Callable[[], None], policy: RetryPolicy,
     """
     if on_timeout not in ("fail", "retry"):
         raise ValueError("on_timeout must be 'fail' or 'retry'")
-    base = classify_exc or (lambda e: classify_message(str(e)))
+    base = classify_exc or classify_exception
 
     def kind(e: BaseException) -> str:
         if isinstance(e, BatchTimeout):
@@ -211,4 +254,4 @@ def retry_batch(write: Callable[[], None], policy: RetryPolicy,
                 on_retry(attempt, e)
             attempt += 1
             if sleep_s:
-                time.sleep(sleep_s)
+                time.sleep(min(60.0, sleep_s * 2 ** min(attempt - 2, 6)))  # longer each time, up to a minute

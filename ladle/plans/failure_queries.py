@@ -177,5 +177,5 @@ def q_retry_batch(spark, sf_dir):
             failures["left"] -= 1
             raise IOError("Connection reset by peer")
 
-    attempts = retry_batch(write, RetryPolicy.limited(3))
+    attempts = retry_batch(write, RetryPolicy.limited(3), sleep_s=0.0)
     return read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("attempts", F.lit(attempts))

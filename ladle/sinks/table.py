@@ -80,7 +80,8 @@ class LoadOptions:
     # casts to the writer. Ask for the batch metrics to have them formed anyway.
     batch_metrics: bool = False
     json_as: str = "string"  # JSON columns stored as validated text, or "variant"
-    retry: RetryPolicy = field(default_factory=RetryPolicy.forever)
+    # Ten more tries, with growing pauses; ``RetryPolicy.forever()`` if asked for.
+    retry: RetryPolicy = field(default_factory=lambda: RetryPolicy.limited(10))
     null_unsigned: str = "zero"
     # Target: any Spark writer ("parquet" by default; e.g. "jdbc" with url/dbtable
     # options, which gets ``max_batch_size`` as its batch size), or "table": a table

@@ -271,3 +271,43 @@ def test_date_bounds_and_float32_range_against_python(spark):
         assert row.ok == (abs(v) <= fmax), v
         if row.ok:
             assert row.v == struct.unpack("f", struct.pack("f", v))[0], v
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_date_times_do_not_follow_the_session_zone(spark, zone):
+    """Instants, zoned and zone-less text, wall clocks and dates give the same values under any session zone."""
+    from ladle.operators.bindings import bind_columns, of
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = [("2024-03-10T02:30:00.123456Z", "2024-03-10 02:30:00.123456"), ("2024-03-10 02:30:00.5", "2024-03-10 02:30:00.5"),
+            ("2024-11-03T01:30:00+02:00", "2024-11-02 23:30:00"), ("1999-12-31", "1999-12-31 00:00:00"), ("nonsense", None)]
+    frame = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(rows)], "i int, s string").selectExpr(
+        "i", "s", "timestamp_micros(1709999999123456 + i) as at", "timestamp_ntz'2024-03-10 02:30:00.654321' as wall")
+    bound = [of(s, f"{s}_{n}", t) for s in ("s", "at", "wall") for n, t in (("d", "Date"), ("t", "Nullable(DateTime)"), ("t6", "DateTime64(6)"), ("t4", "DateTime64(4)"), ("t9", "DateTime64(9)"))]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = bind_columns(frame, [of("i", "i", "Int32"), *bound], mode="report").selectExpr(
+            "i", *[f"cast({s}_{n} as string) as {s}_{n}" for s in ("s", "at", "wall") for n in ("d", "t", "t6", "t4", "t9")]).orderBy("i").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for r, (_, wall) in zip(got, rows):
+        assert r.s_t6 == (wall and wall.removesuffix(" 00:00:00") + " 00:00:00" * (r.i == 3)) and r.s_t == (wall and wall[:19]) and r.s_d == (wall[:10] if r.i == 3 else None)  # text of a Date has no time
+        assert r.at_t6 == f"2024-03-09 15:59:59.12345{6 + r.i}" if r.i < 4 else True
+        assert (r.at_d, r.at_t, r.at_t4) == ("2024-03-09", "2024-03-09 15:59:59", "2024-03-09 15:59:59.1234")
+        assert r.at_t9 == str((1709999999123456 + r.i) * 1000)
+        assert (r.wall_d, r.wall_t, r.wall_t6, r.wall_t4) == ("2024-03-10", "2024-03-10 02:30:00", "2024-03-10 02:30:00.654321", "2024-03-10 02:30:00.6543")
+        assert r.wall_t9 == "1710037800654321000"
+
+
+def test_strict_json_map_keys_and_type_names(spark):
+    from ladle.functions.types import parse_type
+    from ladle.operators.bindings import bind_columns, of
+
+    texts = ['{"a": 1}', "{'a': 1}", '{"a": "x\ty"}', '{"a": "x\\ty"}', "null", "1 2", '[1, {"b": null}]', '{"a": 1', ' "s" ', ""]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+    got = bind_columns(frame, [of("i", "i", "Int32"), of("j", "j", "JSON")], mode="report").orderBy("i").collect()
+    assert [r.j is not None for r in got] == [True, False, False, True, True, False, True, False, True, False]
+    maps = spark.createDataFrame([(1, {"1": 2, "01": 3}), (2, {"1": 2, "2": 3})], "i int, m map<string,int>")
+    got = bind_columns(maps, [of("i", "i", "Int32"), of("m", "m", "Map(Int32, Int32)")], mode="report").orderBy("i").collect()
+    assert got[0].m is None and got[0]["_errors"] and got[1].m == {1: 2, 2: 3}
+    assert (parse_type("Float").name, parse_type("Nullable(Double)").name) == ("Float32", "Float64")

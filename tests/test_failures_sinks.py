@@ -45,13 +45,13 @@ def test_retry_policies():
                 raise IOError("Broken pipe")
         return w
 
-    assert retry_batch(flaky(5), RetryPolicy.forever()) == 5
+    assert retry_batch(flaky(5), RetryPolicy.forever(), sleep_s=0.0) == 5
     calls["n"] = 0
     with pytest.raises(RetriesExhausted):
-        retry_batch(flaky(10), RetryPolicy.limited(2))
+        retry_batch(flaky(10), RetryPolicy.limited(2), sleep_s=0.0)
     assert calls["n"] == 3  # first try + 2 retries
     calls["n"] = 0
-    assert retry_batch(flaky(1), RetryPolicy.limited(0)) == 1
+    assert retry_batch(flaky(1), RetryPolicy.limited(0), sleep_s=0.0) == 1
 
     def fatal():
         raise IOError("Table does not exist")
@@ -377,3 +377,25 @@ def test_load_with_event_time_limit(spark, tmp):
     m = res.metrics
     assert (m["flushes_by_rows"], m["flushes_by_time"], m["flushes_at_end"]) == (by["rows"], by["time"], by["end"])
     assert m["requests"] == len(reasons) and m["records_sent"] == 300
+
+
+def test_data_text_never_decides_a_retry(spark, tmp):
+    """A value that reads like a broken connection is the data's fault; a real one is tried again."""
+    from ladle.operators.bindings import TableSpec
+    from ladle.operators.failures import FATAL, RETRIABLE, classify_exception
+
+    spec = TableSpec.of("t", [("id", "Int32")])
+    lines = spark.createDataFrame([("Broken pipe",), ("Connection reset by peer",)], "value string")
+    with pytest.raises(Exception, match="Cannot convert"):
+        load_raw(lines, spec, os.path.join(tmp, "t"), "csv", LoadOptions(retry=RetryPolicy.forever()))
+    try:
+        spark.range(1).select(F.raise_error(F.lit("Broken pipe"))).collect()
+    except Exception as e:
+        assert classify_exception(e) == FATAL
+    jvm = spark._jvm
+    wrapped = jvm.java.lang.RuntimeException("x", jvm.java.net.ConnectException("refused"))
+    assert classify_exception(type("E", (Exception,), {"java_exception": wrapped})()) == RETRIABLE
+    data = jvm.java.lang.RuntimeException("Broken pipe", jvm.java.lang.NumberFormatException("Broken pipe"))
+    assert classify_exception(type("E", (Exception,), {"java_exception": data})()) == FATAL
+    reset = jvm.java.lang.RuntimeException("x", jvm.java.io.IOException("Connection reset by peer"))
+    assert classify_exception(type("E", (Exception,), {"java_exception": reset})()) == RETRIABLE
