@@ -64,9 +64,19 @@ def remerge(partials: Sequence[DataFrame], key: Sequence[str], specs: Sequence[t
 
 
 def concat_arrays(df: DataFrame, key: Sequence[str], arr: str, out: str = "element") -> DataFrame:
-    """groupArrayArray as a multiset: (key..., element, count)."""
-    e = df.select(*key, F.explode(F.col(arr)).alias(out))
-    return e.groupBy(*key, out).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+    """groupArrayArray as a multiset: (key..., element, count).
+
+    A key with an empty (or null) array keeps a row (key..., NULL, 0): no key is lost.
+    """
+    e = df.select(*key, F.posexplode_outer(F.col(arr)).alias("_pos", out))
+    return e.groupBy(*key, out).agg(F.count("_pos").cast("bigint").alias("count"))
+
+
+def as_array(rows: DataFrame, key: Sequence[str], out: str = "element", most: int = 1_000_000) -> DataFrame:
+    """The multiset as one sorted array per key. A key with more than ``most`` elements raises: its array would not fit a row."""
+    sized = rows.groupBy(*key).agg(F.sum("count").alias("_n"), F.collect_list(F.when(F.col("count") > 0, F.struct(F.col(out).alias("e"), "count"))).alias("_parts"))
+    repeated = F.flatten(F.transform(F.array_sort("_parts"), lambda p: F.array_repeat(p["e"], p["count"].cast("int"))))
+    return sized.select(*key, F.when(F.col("_n") > most, F.raise_error(F.lit(f"More than {most} elements under one key"))).otherwise(repeated).alias("array"))
 
 
 def remerge_concat(partials: Sequence[DataFrame], key: Sequence[str], out: str = "element") -> DataFrame:
@@ -77,8 +87,8 @@ def remerge_concat(partials: Sequence[DataFrame], key: Sequence[str], out: str =
 
 
 def sum_map(df: DataFrame, key: Sequence[str], m: str) -> DataFrame:
-    """sumMap as rows: (key..., map_key, value) summed over the group."""
-    e = df.select(*key, F.explode(F.col(m)).alias("map_key", "_v"))
+    """sumMap as rows: (key..., map_key, value) summed over the group; a key with an empty map keeps a row (key..., NULL, NULL)."""
+    e = df.select(*key, F.explode_outer(F.col(m)).alias("map_key", "_v"))
     return e.groupBy(*key, "map_key").agg(F.sum("_v").alias("value"))
 
 
@@ -89,9 +99,12 @@ def remerge_sum_map(partials: Sequence[DataFrame], key: Sequence[str]) -> DataFr
     return u.groupBy(*key, "map_key").agg(F.sum("value").alias("value"))
 
 
-def as_map(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Materialize sumMap rows as one map per key (only for bounded key sets)."""
-    return rows.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("map_key", "value")))).alias("map"))
+def as_map(rows: DataFrame, key: Sequence[str], most: int = 1_000_000) -> DataFrame:
+    """sumMap rows as one map per key. A key with more than ``most`` map keys raises: its map would not fit a row."""
+    entries = F.collect_list(F.when(F.col("map_key").isNotNull(), F.struct("map_key", "value")))
+    sized = rows.groupBy(*key).agg(F.count("map_key").alias("_n"), entries.alias("_entries"))
+    return sized.select(*key, F.when(F.col("_n") > most, F.raise_error(F.lit(f"More than {most} map keys under one key"))).otherwise(
+        F.map_from_entries(F.array_sort("_entries"))).alias("map"))
 
 
 def streaming_rollup(stream: DataFrame, key: Sequence[str], specs: Sequence[tuple[str, str, str | None]]) -> DataFrame:
