@@ -51,7 +51,7 @@ def _address(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text: str = "text", key: str = "doc_id",
+def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], work: str, *, text: str = "text", key: str = "doc_id",
                sample: int = SAMPLE_ROWS) -> tuple[DataFrame, list[float]]:
     """(bucket, evidence array of a number per domain) for every bucket, and the domains' shares in the sample.
 
@@ -59,26 +59,27 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text
     """
     spark = docs.sparkSession
     known = labelled.where(F.col(key).isNotNull() & F.col("domain").isin(domains)).groupBy(key).agg(F.min("domain").alias("domain"))
-    some = known.orderBy(F.xxhash64(key), key).limit(sample).select(F.col(key).alias("__key"), "domain")
+    known.orderBy(F.xxhash64(key), key).limit(sample).select(F.col(key).alias("__key"), "domain").write.parquet(f"{work}/sample")
+    some = spark.read.parquet(f"{work}/sample")
     words = docs.join(F.broadcast(some), docs[key] == F.col("__key")).select("domain", F.explode(_words(docs[text])).alias("word"))
-    counts = words.groupBy(_bucket(F.col("word")).alias("bucket")).pivot("domain", domains).count()
-    # Bounded by the number of buckets.
-    table = {r[0]: [x or 0 for x in r[1:]] for r in counts.collect()}
+    words.groupBy(_bucket(F.col("word")).alias("bucket")).pivot("domain", domains).count().write.parquet(f"{work}/counts")
+    counts = spark.read.parquet(f"{work}/counts")
+    column = [F.coalesce(F.col(f"`{d}`"), F.lit(0)) for d in domains]
+    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in column]).first()
+    found = [F.log((c + SMOOTHING) / (float(t) + SMOOTHING * BUCKETS)) for c, t in zip(column, total)]
+    mean = sum(found[1:], found[0]) / len(found)
+    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     share = {r.domain: r.n for r in some.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = np.array([sum(x) for x in zip(*table.values())] or [0.0] * len(domains), float)
-    rows = []
-    for bucket in range(BUCKETS):
-        n = np.array(table.get(bucket, [0] * len(domains)), float)
-        found = np.log((n + SMOOTHING) / (total + SMOOTHING * BUCKETS))
-        rows.append((bucket, (found - found.mean()).round(9).tolist()))
     n = sum(share.values())
-    return spark.createDataFrame(rows, "bucket int, evidence array<double>"), [share.get(d, 0) / n if n else 0.0 for d in domains]
+    return every.select("bucket", F.array(*[f - mean for f in found]).alias("evidence")), [share.get(d, 0) / n if n else 0.0 for d in domains]
 
 
 def posteriors(docs: DataFrame, evidence: DataFrame, shares: list[float], *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, address, n_tokens, posterior array) of each distinct (key, text) that has words."""
     k = len(shares)
-    words = docs.select(docs[key].alias("key"), _address(docs[text]).alias("address"), F.posexplode(_words(docs[text])).alias("at", "word"))
+    # The address is taken before the words are laid out, once per row.
+    rows = docs.select(docs[key].alias("key"), _address(docs[text]).alias("address"), _words(docs[text]).alias("words"))
+    words = rows.select("key", "address", F.posexplode("words").alias("at", "word"))
     met = words.select("key", "address", "at", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(evidence), "bucket")
     sums = met.groupBy("key", "address").agg(F.count(F.lit(1)).alias("words"), F.count_if(F.col("at") == 0).alias("rows"),
                                              *[F.sum(F.get("evidence", F.lit(i))).alias(f"e{i}") for i in range(k)])
@@ -118,7 +119,7 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work:
     number of tokens that ``docs`` has. ``work`` is a new folder that all workers share.
     """
     spark, domains = docs.sparkSession, sorted(targets)
-    evidence, shares = classifier(docs, labelled, domains, text=text, key=key, sample=sample)
+    evidence, shares = classifier(docs, labelled, domains, work, text=text, key=key, sample=sample)
     whole = sum(targets.values()) or 1.0
     wanted = [targets[d] / whole for d in domains]
     if not sum(shares):
