@@ -39,8 +39,9 @@ MOST_STEPS = 40
 CLOSE = 1e-9
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _pieces(text: Column) -> Column:
+    """Lower-case words, and empty strings where a text begins or ends with white space or punctuation."""
+    return F.split(F.lower(text), r"[\s\p{Punct}]+")
 
 
 def _bucket(word: Column) -> Column:
@@ -61,8 +62,8 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], work: s
     known = labelled.where(F.col(key).isNotNull() & F.col("domain").isin(domains)).groupBy(key).agg(F.min("domain").alias("domain"))
     known.orderBy(F.xxhash64(key), key).limit(sample).select(F.col(key).alias("__key"), "domain").write.parquet(f"{work}/sample")
     some = spark.read.parquet(f"{work}/sample")
-    words = docs.join(F.broadcast(some), docs[key] == F.col("__key")).select("domain", F.explode(_words(docs[text])).alias("word"))
-    words.groupBy(_bucket(F.col("word")).alias("bucket")).pivot("domain", domains).count().write.parquet(f"{work}/counts")
+    words = docs.join(F.broadcast(some), docs[key] == F.col("__key")).select("domain", F.explode(_pieces(docs[text])).alias("word"))
+    words.where("word <> ''").groupBy(_bucket(F.col("word")).alias("bucket")).pivot("domain", domains).count().write.parquet(f"{work}/counts")
     counts = spark.read.parquet(f"{work}/counts")
     column = [F.coalesce(F.col(f"`{d}`"), F.lit(0)) for d in domains]
     total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in column]).first()
@@ -75,14 +76,14 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], work: s
 
 
 def posteriors(docs: DataFrame, evidence: DataFrame, shares: list[float], *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, address, n_tokens, posterior array) of each distinct (key, text) that has words."""
+    """(key, address, n_tokens, posterior array) of each distinct (key, text) but null texts."""
     k = len(shares)
     # The address is taken before the words are laid out, once per row.
-    rows = docs.select(docs[key].alias("key"), _address(docs[text]).alias("address"), _words(docs[text]).alias("words"))
-    words = rows.select("key", "address", F.posexplode("words").alias("at", "word"))
-    met = words.select("key", "address", "at", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(evidence), "bucket")
-    sums = met.groupBy("key", "address").agg(F.count(F.lit(1)).alias("words"), F.count_if(F.col("at") == 0).alias("rows"),
-                                             *[F.sum(F.get("evidence", F.lit(i))).alias(f"e{i}") for i in range(k)])
+    rows = docs.select(docs[key].alias("key"), _address(docs[text]).alias("address"), _pieces(docs[text]).alias("pieces"))
+    words = rows.select("key", "address", F.posexplode("pieces").alias("at", "word"))
+    met = words.select("key", "address", "at", (F.col("word") != "").alias("is_word"), _bucket(F.col("word")).alias("bucket")).join(F.broadcast(evidence), "bucket")
+    sums = met.groupBy("key", "address").agg(F.count_if("is_word").alias("words"), F.count_if(F.col("at") == 0).alias("rows"),
+                                             *[F.coalesce(F.sum(F.when(F.col("is_word"), F.get("evidence", F.lit(i)))), F.lit(0.0)).alias(f"e{i}") for i in range(k)])
     score = [F.col(f"e{i}") / F.col("rows") / TEMPER + (math.log(shares[i]) if shares[i] else -1e9) for i in range(k)]
     scored = sums.select("key", "address", (F.col("words") / F.col("rows")).cast("long").alias("n_tokens"), F.array(*score).alias("score"))
     weights = F.transform("score", lambda s: F.exp(s - F.array_max("score")))
