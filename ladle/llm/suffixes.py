@@ -109,7 +109,8 @@ class Runs:
         self.gram, self.first = at[first], suffix[first]
         self.last = suffix[np.append(first[1:], len(at)) - 1] if len(at) else suffix
         self.near, self.far = self.gram - self.last, self.gram - self.first
-        self.digit = part.hash(self.gram, self.gram + gram)
+        # Not the hash that ranks grams: that of a least one is small, and would put most digits into a few shards.
+        self.digit = part.hash(self.gram, self.gram + gram, 1 << 23)
         self.around = part.hash(self.first, self.last + length, 1 + self.near + 1024 * self.far)
 
     def cells(self, of: np.ndarray) -> Cells:
