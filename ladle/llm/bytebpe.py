@@ -30,10 +30,10 @@ from pyspark.sql import types as T
 LEAF_BITS = 8
 LEAF_MASK = (1 << LEAF_BITS) - 1
 #: Pre-tokens kept encoded per Python worker, and the longest kept; beyond, the merge runs again.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 250_000
 CACHE_PIECE_CHARS = 64
 #: Characters of text encoded together; a longer document goes alone.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 3_000_000
 
 
 class Merges:

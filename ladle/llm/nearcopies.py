@@ -48,7 +48,7 @@ BANDS, ROWS = 32, 6
 LEAST_AGREEMENT = 0.7
 #: Members of a bucket that are compared with others at a time.
 BLOCK = 2048
-CHUNK_SHINGLES = 1_000_000
+CHUNK_SHINGLES = 300_000
 
 
 def registers(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarray:

@@ -9,7 +9,7 @@ import xxhash
 
 WORDS = re.compile(r"[^ \t-\r]+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
