@@ -80,9 +80,90 @@ def load(folder: str, name: str, dtype: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype)
 
 
+#: Counts from here on stand in a list of their own.
+LARGE = 255
+
+
+def save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """A byte for each count, and the place and value of every count that a byte can't hold."""
+    counts = np.asarray(counts, np.uint64)
+    large = np.flatnonzero(counts >= LARGE)
+    head = np.concatenate((np.array([len(large)], np.uint64), large.astype(np.uint64), counts[large])).astype("<u8")
+    save(folder, name, np.concatenate((head.view(np.uint8), np.minimum(counts, np.uint64(LARGE)).astype(np.uint8))))
+
+
+class Counts:
+    """What ``save_counts`` wrote."""
+
+    def __init__(self, folder: str, name: str) -> None:
+        raw = load(folder, name, "u1")
+        n = int(raw[:8].view("<u8")[0]) if len(raw) else 0
+        self.places, self.values, self.small = raw[8:8 + 8 * n].view("<u8"), raw[8 + 8 * n:8 + 16 * n].view("<u8"), raw[8 + 16 * n:]
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The counts at ``places``; 0 where nothing was written."""
+        if not len(self.small):
+            return np.zeros(places.shape, np.int64)
+        found = self.small[places].astype(np.int64)
+        large = found == LARGE
+        found[large] = self.values[np.searchsorted(self.places, places[large].astype(np.uint64))]
+        return found
+
+
+def save_keys(folder: str, name: str, keys: np.ndarray) -> None:
+    """Ascending keys: the low half of each, and where each high half begins, unless more high halves than keys would be listed."""
+    if not len(keys):
+        return save(folder, name, keys)
+    above = keys - keys[0]
+    high = int(above[-1] >> np.uint64(32)) + 1
+    if high > len(keys):
+        return save(folder, name, np.concatenate((np.array([0, 0], np.uint64), keys)).astype("<u8"))
+    begins = np.searchsorted(above >> np.uint64(32), np.arange(high + 1, dtype=np.uint64)).astype(np.uint64)
+    head = np.concatenate((np.array([high, keys[0]], np.uint64), begins)).astype("<u8")
+    save(folder, name, np.concatenate((head.view(np.uint8), (above & np.uint64(0xFFFFFFFF)).astype("<u4").view(np.uint8))))
+
+
+class Keys:
+    """What ``save_keys`` wrote."""
+
+    def __init__(self, folder: str, name: str) -> None:
+        raw = load(folder, name, "u1")
+        self.high, self.first = (int(x) for x in raw[:16].view("<u8")) if len(raw) else (0, 0)
+        self.begins = raw[16:16 + 8 * (self.high + 1)].view("<u8") if self.high else None
+        self.keys = raw[16 + 8 * (self.high + 1):].view("<u4") if self.high else raw[16:].view("<u8")
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where there is none; ``keys`` ascend."""
+        if not len(self) or not len(keys):
+            return np.full(len(keys), -1, np.int64)
+        if not self.high:
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self) - 1)
+            return np.where(self.keys[at] == keys, at, -1)
+        above = keys - np.uint64(self.first)
+        high, low = (above >> np.uint64(32)).astype(np.int64), (above & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        inside = (keys >= np.uint64(self.first)) & (high < self.high)
+        high = np.where(inside, high, 0)
+        at, end = self.begins[high].astype(np.int64), self.begins[high + 1].astype(np.int64)
+        if self.high * 16 < len(keys):
+            cuts = np.flatnonzero(np.diff(high, prepend=-1, append=-1))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                at[a:b] += np.searchsorted(self.keys[at[a]:end[a]], low[a:b])
+        else:
+            last = end.copy()
+            for _ in range(int((end - at).max()).bit_length()):
+                middle = (at + last) >> 1
+                right = (at < last) & (self.keys[np.minimum(middle, len(self) - 1)] < low)
+                at, last = np.where(right, middle + 1, at), np.where(right, last, middle)
+        there = np.minimum(at, len(self) - 1)
+        return np.where(inside & (at < end) & (self.keys[there] == low), there, -1)
+
+
 def merged(reduced: Callable[[int, np.ndarray, list[np.ndarray]], Iterator[pa.RecordBatch]], width: int,
-           reducers: tuple[np.ufunc, ...] = ()) -> Callable:
-    """A task over whole shards: adds up the packed rows of each and hands them to ``reduced``."""
+           reducers: tuple[np.ufunc, ...] = (), add: Callable | None = None) -> Callable:
+    """A task over whole shards: adds up the packed rows of each (by ``add`` if given) and hands them to ``reduced``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
@@ -90,7 +171,8 @@ def merged(reduced: Callable[[int, np.ndarray, list[np.ndarray]], Iterator[pa.Re
 
         def settle(shard: int) -> None:
             parts = waiting.pop(shard, []) + ([held[shard]] if shard in held else [])
-            held[shard] = add_up(np.concatenate([k for k, _ in parts]), [np.concatenate(c) for c in zip(*(c for _, c in parts))], reducers)
+            keys, columns = np.concatenate([k for k, _ in parts]), [np.concatenate(c) for c in zip(*(c for _, c in parts))]
+            held[shard] = add(keys, columns) if add else add_up(keys, columns, reducers)
 
         for rows in batches:
             for shard, packed in zip(rows.column(0).to_pylist(), rows.column(1)):

@@ -112,7 +112,7 @@ def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scored by a model of the rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
-    model = ngrams.train(docs.where(~ngrams.held_out(F.col("doc_id"))), scratch_path(spark, "ngrams"))
+    model = ngrams.train(docs.where(~ngrams.held_out(F.col("doc_id"))), scratch_path(spark, "ngrams"), order=3)
     return ngrams.score(docs, model).select("doc_id", ngrams.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                                             F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

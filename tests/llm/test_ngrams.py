@@ -1,4 +1,5 @@
 import math
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -76,3 +77,85 @@ def test_better_than_single_words_on_held_out_text(spark, work):
     model = ngrams.train(docs.where(~ngrams.held_out(F.col("doc_id"))), work())
     sums = ngrams.score(held, model).agg(F.sum("base_score"), F.sum("score")).first()
     assert sums[1] > 0.8 * sums[0]
+
+
+def brute_of_order_3(rows, train):
+    """Plain counting; a pair with the mark before a text keeps its count, other lower orders count what is to their left."""
+    split = [(i, (t or "").encode().lower().split() + [b"\n"]) for i, t in rows]
+    words, triples, firsts = Counter(), Counter(), Counter()
+    for i, w in split:
+        if train(i):
+            words.update(w)
+            firsts[None, w[0]] += 1
+            triples.update(zip([None] + w, w, w[1:]))
+    n, v = sum(words.values()), len(words)
+    pairs = Counter((y, z) for _, y, z in triples) + firsts
+    before = Counter(z for _, z in pairs)
+    seen = lambda counts: [Counter(counts)[k] for k in (1, 2, 3, 4)]
+    by = [ngrams.discounts(seen(c.values())) for c in (before, pairs, triples)]
+    off = lambda c, d: (0, *d)[min(c, 3)]
+
+    def contexts(grams):
+        total, kinds = Counter(), defaultdict(lambda: [0, 0, 0])
+        for (*h, _), c in grams.items():
+            total[tuple(h)] += c
+            kinds[tuple(h)][min(c, 3) - 1] += 1
+        return total, kinds
+
+    after = {2: contexts(pairs), 3: contexts(triples)}
+
+    def share(h, w):
+        """The probability of ``w`` after the words ``h``, two at most."""
+        if not h:
+            freed = sum(off(c, by[0]) for c in before.values()) / len(pairs)
+            return (before[w] - off(before[w], by[0])) / len(pairs) + freed / (v + 1)
+        lower, (total, kinds), grams = share(h[1:], w), after[len(h) + 1], (pairs, triples)[len(h) - 1]
+        c, d = grams[(*h, w)], by[len(h)]
+        return (c - off(c, d) + sum(a * b for a, b in zip(d, kinds[h])) * lower) / total[h] if total[h] else lower
+
+    out = []
+    for i, w in split:
+        score = sum(math.log10(share(tuple(([None] + w)[max(0, k - 1):k + 1]), x)) for k, x in enumerate(w))
+        out.append((str(i), len(w), sum(x in words for x in w), sum(math.log10((words[x] + 1) / (n + v + 1)) for x in w), score))
+    return sorted(out), (share, list(words), list(after[3][0]))
+
+
+def test_order_3_against_plain_counting(spark, docs, empty, work):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"v{min(x, 30)}" for x in rng.zipf(1.4, rng.integers(0, 40))) for _ in range(200)]
+    texts[50:55] = ["v1 v2 " * 400] * 5  # counts that a byte can't hold
+    many = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+    for frame in (many, docs):
+        expected, (share, words, contexts) = brute_of_order_3([(d.doc_id, d.text) for d in frame.collect()], lambda i: not held(i))
+        for shards in (1, 5):
+            model = ngrams.train(frame.where(~ngrams.held_out(F.col("doc_id"))), work(), shards=shards, order=3)
+            same(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ngrams.score(frame, model).collect()), expected)
+        for context in contexts[:50]:
+            assert abs(sum(share(context, w) for w in words) + share(context, b"no such word") - 1) < 1e-9
+    none = ngrams.train(empty, work(), order=3)
+    same(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in ngrams.score(docs, none).collect()),
+         brute([(d.doc_id, d.text) for d in docs.collect()], lambda i: False)[0])
+
+
+def test_a_longer_context_tells_more(spark, work):
+    """What follows ``b`` depends on the word before it, which a model of pairs can't see."""
+    docs = spark.createDataFrame([(i, "a b c " * 20 if i % 2 else "d b e " * 20) for i in range(60)], "doc_id long, text string")
+    two, three = (ngrams.score(docs, ngrams.train(docs, work(), order=n)).agg(F.sum("score")).first()[0] for n in (2, 3))
+    assert three > 0.6 * two
+
+
+def test_keys_are_found():
+    rng = np.random.default_rng(1)
+    for top, n in ((1 << 36, 4000), (1 << 63, 3000), (1 << 20, 900), (1 << 45, 1)):
+        keys = np.unique(rng.integers(0, top, n).astype(np.uint64))
+        with tempfile.TemporaryDirectory() as folder:
+            arrays.save_keys(folder, "keys", keys)
+            found = arrays.Keys(folder, "keys")
+            for asked in (keys, np.unique(np.concatenate((keys[::7], keys[::5] + np.uint64(1), rng.integers(0, top, 50).astype(np.uint64)))), keys[:3]):
+                place = dict(zip(keys.tolist(), range(len(keys))))
+                assert found.find(asked).tolist() == [place.get(k, -1) for k in asked.tolist()]
+    for bits in (1, 5, 21, 32):
+        left, right = (rng.integers(0, 1 << bits, 500).astype(np.uint64) for _ in range(2))
+        back = ngrams._ids(ngrams._pair(left, right, bits), bits)
+        assert (back[0] == left).all() and (back[1] == right).all()
