@@ -183,6 +183,14 @@ def _cells(rows: np.ndarray, width: int) -> np.ndarray:
     return rows[:, None] * width + np.arange(width)
 
 
+def _bits(words: int) -> int:
+    """Bits for the ids of so many words and the mark."""
+    bits = max(1, words.bit_length())
+    if bits > MOST_BITS:
+        raise OverflowError(f"{words} words do not fit ids of {MOST_BITS} bits")
+    return bits
+
+
 def _mask(bits: int) -> np.uint64:
     return np.uint64((1 << bits) - 1)
 
@@ -268,7 +276,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
     sums = {r.shard: r for r in kept(dealt(texts.mapInArrow(count_words, PACKED), shards).mapInArrow(merged(save_words, 1), PACKED), "_words").collect()}
     sizes = [sums[i].distinct if i in sums else 0 for i in range(shards)]
     before = tuple(np.cumsum([0, *sizes[:-1]]).tolist())
-    bits = max(1, sum(sizes).bit_length())
+    bits = _bits(sum(sizes))
     # Shards of the last shuffle: words, the mark, pairs, sums over the corpus.
     mark, pairs_from, of_all = shards, shards + 1, 2 * shards + 1
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ladle.llm import arrays, ngrams
@@ -159,3 +160,25 @@ def test_keys_are_found():
         left, right = (rng.integers(0, 1 << bits, 500).astype(np.uint64) for _ in range(2))
         back = ngrams._ids(ngrams._pair(left, right, bits), bits)
         assert (back[0] == left).all() and (back[1] == right).all()
+
+
+def test_large_counts_are_kept_whole():
+    counts = [3, 254, 255, 2 ** 32 - 1, 2 ** 32, 2 ** 40 + 7]
+    hashes = np.arange(10, 10 + len(counts)).astype(np.uint64)
+    stats = np.array(counts * 5, np.uint64).reshape(-1, 5)
+    with tempfile.TemporaryDirectory() as folder:
+        arrays.save(folder, "words-0", hashes)
+        arrays.save_counts(folder, "counts-0", np.array(counts, np.uint64))
+        arrays.save_counts(folder, "stats-0", stats.reshape(-1))
+        arrays.save_keys(folder, "pairs-0", hashes)
+        arrays.save_counts(folder, "pair-counts-0", np.array(counts, np.uint64))
+        own = ngrams.Store(folder, 1, (0,))
+        rows = own.words(hashes, True)[1]
+        assert rows[:, 0].tolist() == counts and (rows[:, 1:] == stats).all()
+        assert own.pairs(hashes, 32, False)[2].tolist() == counts
+
+
+def test_too_many_words_raise():
+    assert ngrams._bits(2 ** 32 - 1) == 32 and ngrams._mask(32) == 2 ** 32 - 1  # ids up to 2 ** 32 - 2, then the mark
+    with pytest.raises(OverflowError):
+        ngrams._bits(2 ** 32)
