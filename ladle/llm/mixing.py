@@ -4,12 +4,16 @@ A naive Bayes classifier over hashed words, fitted on a bounded sample of a labe
 table (``SAMPLE_ROWS`` documents in the order of a hash of the key), gives each document
 its posterior over the domains. A document of n words counts n times its posterior
 towards each domain's tokens. Rates r >= 0 are then fitted so that the totals over all
-documents, sum of r * n * posterior, match the targets: from r = 1 by projected
-gradient steps on the squared gap between totals and targets. The gap is measured in
-the inverse of G = sum of n * posterior * posterior', and the step of a document is
-divided by its n; under that scaling a step length of 1 is exact, and each step lowers
-the gap. A step is one pass over a table of a few numbers per document; the driver
-sees a total per domain.
+documents, sum of r * n * posterior, match the targets, or come as near as rates can: from r = 1
+by projected gradient steps on the squared gap between totals and targets. The gap is
+measured in the inverse of G = sum of n * posterior * posterior', and the step of a
+document is divided by its n; under that scaling a step length of 1 is exact where no
+rate falls to 0, and each step lowers the gap. Where ``MOST_STEPS`` of them are not
+enough, the next ones are implicit, with the gradient at their end: such a step may be
+very long, and is found by Newton's method on one number per domain. They go on until
+the gap, or what a plain step would change, is nothing; rates that don't settle raise.
+A pass is over a table of a few numbers per document; the driver sees sums per domain
+and pair of domains.
 
 ``mixed`` applies the rates: floor(r) copies of a row, and one more with the
 probability of the rest, by a hash of the key.
@@ -37,6 +41,10 @@ SMOOTHING = 0.5
 TEMPER = 2.0
 MOST_STEPS = 40
 CLOSE = 1e-9
+#: Passes after which rates that have not settled raise.
+MOST_PASSES = 400
+#: Lengths of the implicit steps: the first, and the longest; each is ten times the last.
+FIRST_LENGTH, MOST_LENGTH = 1e4, 1e10
 
 
 def _pieces(text: Column) -> Column:
@@ -92,7 +100,7 @@ def posteriors(docs: DataFrame, evidence: DataFrame, shares: list[float], *, tex
 
 
 def fit_rates(table: DataFrame, targets: list[float], work: str) -> DataFrame:
-    """``table`` (with n_tokens, posterior) and its column ``rate``; ``targets`` are tokens per domain."""
+    """``table`` (with n_tokens, posterior) and its column ``rate`` after ``MOST_STEPS`` plain steps, or as many as it takes; ``targets`` are tokens per domain."""
     spark, k = table.sparkSession, len(targets)
     p = [F.get("posterior", F.lit(i)) for i in range(k)]
     gram = table.agg(*[F.coalesce(F.sum(F.col("n_tokens") * p[i] * p[j]), F.lit(0.0)) for i in range(k) for j in range(k)]).first()
@@ -112,6 +120,70 @@ def fit_rates(table: DataFrame, targets: list[float], work: str) -> DataFrame:
     return state.withColumn("rate", rate)
 
 
+def settle_rates(table: DataFrame, targets: list[float], work: str) -> tuple[DataFrame, np.ndarray]:
+    """``table`` with its column ``rate`` moved on until nothing changes, and by how many tokens each domain's total is then off its target.
+
+    The gap is nothing unless no rates meet all targets.
+    """
+    spark, k, wanted = table.sparkSession, len(targets), np.array(targets, float)
+    n, p, rate = F.col("n_tokens"), [F.get("posterior", F.lit(i)) for i in range(k)], F.col("rate")
+    passes = 0
+
+    def sums(state: DataFrame, *of: Column) -> np.ndarray:
+        nonlocal passes
+        passes += 1
+        if passes > MOST_PASSES:
+            raise RuntimeError(f"rates have not settled after {MOST_PASSES} passes")
+        return np.array(state.agg(*[F.coalesce(x, F.lit(0.0)) for x in of]).first(), float)
+
+    def moved(by: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), rate - sum((F.lit(float(m)) * x for m, x in zip(by, p)), F.lit(0.0)))
+
+    def settled(state: DataFrame, gap: np.ndarray) -> bool:
+        move = inverse @ gap
+        return np.abs(gap).max() <= CLOSE * scale or np.abs(move).max() < CLOSE or sums(state, F.max(F.abs(rate - moved(move))))[0] < CLOSE
+
+    totals = [F.sum(rate * n * x) for x in p]
+    found = sums(table, *totals, *[F.sum(n * x * y) for x in p for y in p])
+    gap, gram, scale = found[:k] - wanted, found[k:].reshape(k, k), max(sum(targets), 1.0)
+    inverse = np.linalg.pinv(gram, rcond=1e-9)
+    sizes, ways = np.linalg.eigh(gram)
+    ways = ways[:, sizes > 1e-9 * sizes.max()]  # what the inverse covers: domains that have tokens
+    state, step, length, before = table, 0, FIRST_LENGTH, np.inf
+    while not settled(state, gap):
+        if length == MOST_LENGTH and gap @ inverse @ gap > (1 - CLOSE) * before:
+            break  # all that rounding leaves
+        before = gap @ inverse @ gap
+        if not step:
+            table.write.parquet(f"{work}/plain-steps")
+            state = spark.read.parquet(f"{work}/plain-steps")
+
+        def at(by: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+            """The objective of the step to the rates moved by ``by``, its gradient and its second derivatives."""
+            held = F.when(moved(by) > 0, n).otherwise(F.lit(0.0))
+            x = sums(state, F.sum(n * moved(by) * moved(by)), *[F.sum(n * moved(by) * x) for x in p], *[F.sum(held * x * y) for x in p for y in p])
+            return 0.5 * x[0] + 0.5 * by @ gram @ by / length + by @ wanted, gram @ by / length - x[1:k + 1] + wanted, gram / length + x[k + 1:].reshape(k, k)
+
+        by = np.zeros(k)
+        value, slope, bend = at(by)
+        for _ in range(MOST_STEPS):
+            way, share = -ways @ np.linalg.solve(ways.T @ bend @ ways, ways.T @ slope), 1.0
+            if -(slope @ way) <= 1e-15 * max(abs(value), 1.0):
+                break
+            after = at(by + way)
+            while after[0] > value + 1e-4 * share * (slope @ way) + 1e-15 * abs(value) and share > 1e-6:
+                share /= 2
+                after = at(by + share * way)
+            if share <= 1e-6:
+                break
+            by, (value, slope, bend) = by + share * way, after
+        step += 1
+        state.withColumn("rate", moved(by)).write.parquet(f"{work}/long-step-{step}")
+        state, length = spark.read.parquet(f"{work}/long-step-{step}"), min(10 * length, MOST_LENGTH)
+        gap = sums(state, *totals) - wanted
+    return state, gap
+
+
 def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: str, *, text: str = "text", key: str = "doc_id",
           sample: int = SAMPLE_ROWS) -> DataFrame:
     """(key, address, n_tokens, posterior, rate) of each distinct (key, text) of ``docs``.
@@ -128,7 +200,7 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work:
     posteriors(docs, evidence, shares, text=text, key=key).write.parquet(f"{work}/posteriors")
     table = spark.read.parquet(f"{work}/posteriors")
     tokens = table.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    fitted = fit_rates(table, [w * tokens for w in wanted], work)
+    fitted, _ = settle_rates(fit_rates(table, [w * tokens for w in wanted], work), [w * tokens for w in wanted], work)
     prior = F.array(*[F.lit(float(s)) for s in shares])
     every = docs.select(docs[key].alias("key"), _address(docs[text]).alias("address"))
     found = fitted.select(F.col("key").alias("__key"), F.col("address").alias("__address"), "n_tokens", "posterior", "rate")

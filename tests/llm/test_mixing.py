@@ -61,3 +61,39 @@ def test_copies_and_odd_documents(spark, docs, empty, work):
     assert mixing.mixed(docs, labels, TARGETS, work()).columns == docs.columns
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def converged(n, p, targets):
+    """The least gap that rates can reach, by accelerated projected gradient until the step is nothing."""
+    metric = np.linalg.pinv((p * n[:, None]).T @ p)
+    rate = ahead = np.ones(len(n))
+    momentum = 1.0
+    for _ in range(200_000):
+        after = np.maximum(0, ahead - p @ (metric @ ((ahead * n) @ p - targets)))
+        if (n * (ahead - after)) @ (after - rate) > 0:  # it overshot
+            momentum = 1.0
+        faster = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
+        rate, ahead, momentum = after, after + (momentum - 1) / faster * (after - rate), faster
+        if np.abs(rate - np.maximum(0, rate - p @ (metric @ ((rate * n) @ p - targets)))).max() < 1e-9:
+            break
+    return (rate * n) @ p - targets
+
+
+def test_rates_converge_where_many_fall_to_nothing(spark, work):
+    """Targets that can be met, but not in 40 plain steps; and some that can't be."""
+    rng = np.random.default_rng(5)
+    met = []
+    for alpha, wanted in (((0.3, 0.6, 0.6), (0.96, 0.02, 0.02)), ((0.2, 2, 2), (0.96, 0.02, 0.02))):
+        p = rng.dirichlet(alpha, 600)
+        n = rng.integers(1, 500, 600)
+        targets = [float(n.sum() * x) for x in wanted]
+        table = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, posterior array<double>").coalesce(1)
+        folder = work()
+        fitted, gap = mixing.settle_rates(mixing.fit_rates(table, targets, folder), targets, folder)
+        rows = fitted.collect()
+        assert min(x.rate for x in rows) == 0
+        totals = np.array([x.rate * x.n_tokens for x in rows]) @ np.array([x.posterior for x in rows])
+        assert np.allclose(totals - targets, gap, atol=1e-6 * n.sum())
+        assert np.allclose(gap, converged(n, p, np.array(targets)), atol=1e-5 * n.sum())
+        met.append(bool(np.abs(gap).max() < 1e-6 * n.sum()))
+    assert met == [True, False]
