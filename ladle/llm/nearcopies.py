@@ -44,8 +44,8 @@ from ladle.llm.shingles import GOLDEN, WordHashes, mix, shingles
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
-#: Below this share of equal registers no pair is compared exactly: 3.5 standard deviations under ``SIMILARITY``.
-LEAST_AGREEMENT = 0.7
+#: Below this share of equal registers no pair is compared exactly; of pairs with ``SIMILARITY`` itself, 5e-7 fall below.
+LEAST_AGREEMENT = 0.65
 #: Members of a bucket that are compared with others at a time.
 BLOCK = 2048
 CHUNK_SHINGLES = 300_000

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import numpy as np
@@ -107,3 +108,29 @@ def test_classes(spark, docs, empty, work, monkeypatch):
     assert sorted(map(tuple, nearcopies.classes(docs, work()).collect()), key=key) == sorted(brute_classes(odd), key=key)
     assert nearcopies.keep_one(docs, work()).columns == docs.columns
     assert nearcopies.classes(empty, work()).collect() == []
+
+
+def test_pairs_at_the_threshold_are_compared_exactly(spark, work):
+    """Similarity 0.8025, but fewer than 0.7 of the registers agree."""
+    texts = []
+    for seed in (6812, 21238):
+        rng = random.Random(seed)
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+        other = list(words)
+        for i in range(16):
+            other[-1 - i] = f"x{rng.randrange(10 ** 6)}"
+        texts += [" ".join(words), " ".join(other)]
+    hashes = WordHashes()
+    signed = nearcopies.registers([shingles(t, 5, hashes) for t in texts], nearcopies.BANDS * nearcopies.ROWS) & np.uint64(255)
+    for k in (0, 2):
+        assert (signed[k] == signed[k + 1]).mean() < 0.7
+        assert plain_similarity(*(weighted(t, hashes) for t in texts[k:k + 2])) >= 0.8
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, nearcopies.classes(frame, work()).collect())) == [(0, 0), (1, 0), (2, 2), (3, 2)]
+
+
+def test_few_pairs_fail_the_register_test():
+    """The share of pairs of similarity 0.8 that are never compared, against what the bands lose."""
+    n, x = nearcopies.BANDS * nearcopies.ROWS, nearcopies.SIMILARITY
+    lost = sum(math.comb(n, k) * x ** k * (1 - x) ** (n - k) for k in range(n) if k / n < nearcopies.LEAST_AGREEMENT)
+    assert lost < 1e-6 < (1 - x ** nearcopies.ROWS) ** nearcopies.BANDS
