@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 
-from ladle.llm import nearcopies
+from ladle.llm import nearcopies, queries
 from ladle.llm.components import components
 from ladle.llm.shingles import WordHashes, shingles
+from ladle.plans.registry import table
 
 
 def plain_similarity(x, y):
@@ -134,3 +135,10 @@ def test_few_pairs_fail_the_register_test():
     n, x = nearcopies.BANDS * nearcopies.ROWS, nearcopies.SIMILARITY
     lost = sum(math.comb(n, k) * x ** k * (1 - x) ** (n - k) for k in range(n) if k / n < nearcopies.LEAST_AGREEMENT)
     assert lost < 1e-6 < (1 - x ** nearcopies.ROWS) ** nearcopies.BANDS
+
+
+def test_whole_rows_of_the_query(spark):
+    """The registered query, with its own parameters, against all pairs."""
+    rows = [(d.doc_id, d.text) for d in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()]
+    got = queries.QUERIES["op2_near_copies"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted((i, c, i == c) for i, c in brute_classes(rows))

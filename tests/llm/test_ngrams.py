@@ -7,7 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ladle.llm import arrays, ngrams
+from ladle.llm import arrays, ngrams, queries
+from ladle.plans.registry import table
+
+SF = "/root/testdata/sf0.001"
 
 
 def brute(rows, train):
@@ -103,12 +106,11 @@ def brute_of_order_3(rows, train):
             kinds[tuple(h)][min(c, 3) - 1] += 1
         return total, kinds
 
-    after = {2: contexts(pairs), 3: contexts(triples)}
+    after, freed = {2: contexts(pairs), 3: contexts(triples)}, sum(off(c, by[0]) for c in before.values()) / len(pairs)
 
     def share(h, w):
         """The probability of ``w`` after the words ``h``, two at most."""
         if not h:
-            freed = sum(off(c, by[0]) for c in before.values()) / len(pairs)
             return (before[w] - off(before[w], by[0])) / len(pairs) + freed / (v + 1)
         lower, (total, kinds), grams = share(h[1:], w), after[len(h) + 1], (pairs, triples)[len(h) - 1]
         c, d = grams[(*h, w)], by[len(h)]
@@ -182,3 +184,14 @@ def test_too_many_words_raise():
     assert ngrams._bits(2 ** 32 - 1) == 32 and ngrams._mask(32) == 2 ** 32 - 1  # ids up to 2 ** 32 - 2, then the mark
     with pytest.raises(OverflowError):
         ngrams._bits(2 ** 32)
+
+
+def test_whole_rows_of_the_query(spark):
+    """The registered query, with its own parameters, against plain counting."""
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+    rows = [(d.doc_id, d.text) for d in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    expected, _ = brute_of_order_3(rows, lambda i: not held(i))
+    got = queries.QUERIES["op10_kneser_ney"](spark, SF).collect()
+    same(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in got), expected)
+    assert all(r.held_out == held(r.doc_id) for r in got)
+    assert {r.train_tokens for r in got} == {sum(e[1] for e in expected if not held(e[0]))}
