@@ -80,6 +80,12 @@ def load(folder: str, name: str, dtype: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype)
 
 
+def remove(folder: str) -> None:
+    """Deletes a folder with what ``save`` put there."""
+    files, base = _file_system(folder)
+    files.delete_dir(base)
+
+
 #: Counts from here on stand in a list of their own.
 LARGE = 255
 

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, secrets, sequences, suffixes
+from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, repair, secrets, sequences, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -144,3 +144,72 @@ def op3_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.rates(table(spark, sf_dir, "documents"), labelled, TARGETS, scratch_path(spark, "mixing"))
     shares = [F.get("posterior", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(sorted(TARGETS))]
     return found.select("doc_id", "n_tokens", *shares, "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired: its faults, the cheapest edits, and a digest of the repaired turns."""
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.audit(repair.damaged(turns), scratch_path(spark, "repair"))
+    keys = turns.select(F.col("conv_id").alias("conv")).distinct()
+    none = {**{x: F.lit(0).cast("long") for x in repair.COUNTS}, "audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return keys.join(found, F.col("conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("conv").alias("conv_id"), *(F.coalesce(F.col(x), empty).alias(x) for x, empty in none.items()))
+
+
+ORACLES["op13_structure_repair"] = r"""
+WITH RECURSIVE codes AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations),
+sums AS (
+    SELECT name, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(name, ''), lambda c: CAST(ord(c) AS BIGINT))),
+        lambda sum, byte: list_reduce(list_prepend(xor(sum, byte), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS fault
+    FROM (SELECT DISTINCT name FROM codes)),
+damaged AS (
+    SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE fault WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM codes JOIN sums USING (name) WHERE fault <> 0),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+           lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS before,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged),
+judged AS (
+    SELECT *, body = '' AS blank, body <> '' AND again AS duplicate, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated FROM ordered),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+           count(*) FILTER (before IS NOT NULL AND (left(before, 1) || left(role, 1)) NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS rows_after
+    FROM judged GROUP BY conv_id),
+inserts(place, behind, letters, said) AS (
+    VALUES ('0', '0', '', CAST([] AS VARCHAR[])), ('0', 'u', 'I', ['user:']), ('0', 'a', 'II', ['user:', 'assistant:']), ('s', 's', '', []), ('s', 'u', 'I', ['user:']),
+           ('s', 'a', 'II', ['user:', 'assistant:']), ('u', 'u', '', []), ('u', 'a', 'I', ['assistant:']), ('a', 'a', '', []), ('a', 'u', 'I', ['user:'])),
+moves(place, edit, initial, behind, price) AS (
+    SELECT p, 'D', CAST(NULL AS VARCHAR), p, 4 FROM (VALUES ('0'), ('s'), ('u'), ('a')) x(p)
+    UNION ALL VALUES ('0', 'R', CAST(NULL AS VARCHAR), 'u', 3), ('s', 'R', NULL, 'u', 3), ('u', 'R', NULL, 'a', 3), ('a', 'R', NULL, 'u', 3),
+                     ('0', 'K', 's', 's', 0), ('0', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0), ('a', 'K', 'u', 'u', 0)),
+ways AS (
+    SELECT i.place, m.behind, m.edit, m.initial, i.letters || m.edit AS letters, i.said, 3 * length(i.letters) + m.price AS price
+    FROM inserts i JOIN moves m ON m.place = i.behind),
+paths AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS n, '0' AS place, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM counts
+    UNION ALL
+    SELECT conv_id, n, place, best.cost, best.audit, best.said
+    FROM (SELECT p.conv_id, p.n + 1 AS n, w.behind AS place,
+                 min({'cost': p.cost + w.price + CASE WHEN w.edit <> 'D' AND r.truncated THEN 3 ELSE 0 END, 'audit': p.audit || w.letters,
+                      'said': p.said || w.said || CASE w.edit WHEN 'K' THEN [r.role || ':' || r.text]
+                              WHEN 'R' THEN [CASE w.behind WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text] ELSE [] END}) AS best
+          FROM paths p JOIN judged r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.n = p.n + 1 JOIN ways w ON w.place = p.place
+          WHERE (w.edit = 'D' OR NOT r.blank AND NOT r.duplicate) AND (w.edit <> 'K' OR w.initial = left(r.role, 1))
+          GROUP BY p.conv_id, p.n, w.behind)),
+ends AS (
+    SELECT p.conv_id, min({'cost': p.cost + 3 * length(i.letters), 'audit': p.audit || i.letters, 'said': p.said || i.said}) AS best
+    FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.rows_after = p.n JOIN inserts i ON i.place = p.place AND i.behind IN ('0', 'a')
+    GROUP BY p.conv_id)
+SELECT k.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM k.conv_id"""
