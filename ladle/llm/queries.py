@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, repair, secrets, sequences, suffixes
+from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, repair, secrets, sequences, simhash, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -146,6 +146,13 @@ def op3_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *shares, "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
+@query
+def op12_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every whole text, and the least doc_id that links of fingerprints lead to."""
+    found = simhash.classes(table(spark, sf_dir, "documents"), scratch_path(spark, "simhash"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.col("class_id").alias("component_id"))
+
+
 @query
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired: its faults, the cheapest edits, and a digest of the repaired turns."""
