@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, repair, secrets, sequences, simhash, suffixes
+from ladle.llm import alignment, bytebpe, chat, lines, mixing, nearcopies, neighbours, ngrams, repair, secrets, sequences, simhash, suffixes
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
@@ -146,6 +146,13 @@ def op3_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *shares, "rate", mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every whole text's tokens by two tokenizers, and how the links' ids are counted in the corpus."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                           scratch_path(spark, "alignment"), pattern=public_tokenizers.PATTERN)
+
+
 @query
 def op12_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every whole text, and the least doc_id that links of fingerprints lead to."""
