@@ -6,7 +6,7 @@ Semantics (one writer = one shard, rows in a total order within the shard):
   or ``>= max_bytes`` bytes, a batch is flushed. A flush takes at most
   ``max_rows`` rows from the head and stops *before* the row that would push the
   batch over ``max_bytes``; a batch that reaches the byte cap exactly is flushed
-  with that row.
+  with that row. A row above the cap on its own is a batch of its own.
 * A timer of ``max_time`` starts when a row enters an empty buffer and no timer
   is pending; when it fires it flushes everything buffered. A size flush does
   not cancel it. On event time, a row at or after the firing instant arrives
@@ -127,9 +127,13 @@ def _fold_run(sz, ts, st, max_rows, max_bytes, max_time, batch, close, prev):
                 j = k + 1
             else:
                 if k == j and c == 0:
-                    raise ValueError(f"Record of {int(sz[j])} bytes exceeds the batch byte limit {max_bytes}")
-                batch[j:k] = bid
-                prev[k] = "bytes"
+                    # A record above the limit on its own.
+                    batch[j] = bid
+                    close[j] = "bytes"
+                    k += 1
+                else:
+                    batch[j:k] = bid
+                    prev[k] = "bytes"
                 bid += 1
                 c = b = 0
                 j = k
@@ -380,7 +384,7 @@ def simulate_flush(sizes, times=None, max_rows=NO_LIMIT, max_bytes=NO_LIMIT, max
             fire = None
         if max_time is not None and fire is None and c == 0:
             fire = t + max_time
-        if b + sz > max_bytes:
+        if c > 0 and b + sz > max_bytes:
             reasons[bid] = "bytes"
             bid += 1
             c, b = 1, sz

@@ -38,7 +38,7 @@ def fold_sql(base: str, order: str, max_rows: int | None = None, max_bytes: int
     prev_t = f"(CASE WHEN {fired} AND f.c > 0 THEN 'time' END)"
     fire1 = f"(CASE WHEN {fired} THEN NULL ELSE f.fire END)"
     fire2 = f"(CASE WHEN {c1} = 0 AND {fire1} IS NULL THEN s.t + {T} ELSE {fire1} END)" if use_t else "NULL::BIGINT"
-    ovf = f"({b1} + s.sz > {B})"
+    ovf = f"({c1} > 0 AND {b1} + s.sz > {B})"
     bid2 = f"(CASE WHEN {ovf} THEN {bid1} + 1 ELSE {bid1} END)"
     c2 = f"(CASE WHEN {ovf} THEN 1 ELSE {c1} + 1 END)"
     b2 = f"(CASE WHEN {ovf} THEN s.sz ELSE {b1} + s.sz END)"

@@ -2,11 +2,13 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ladle.operators.batching import NO_LIMIT, _make_fold, annotate_batches, batch_summary, simulate_flush
+from ladle.streaming.batching_stream import stream_annotate_batches
 
 
 def _run_fold(sizes, times, shard, max_rows, max_bytes, max_time, chunk, complete=False, bad=None):
@@ -44,7 +46,7 @@ def _reasons(batch, close, prev):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.integers(0, 50), min_size=1, max_size=120), st.integers(1, 9), st.integers(50, 200),
+@given(st.lists(st.one_of(st.integers(0, 50), st.integers(40, 400)), min_size=1, max_size=120), st.integers(1, 9), st.integers(50, 200),
        st.one_of(st.none(), st.integers(1, 30)), st.integers(1, 40), st.data())
 def test_fold_matches_simulation(sizes, max_rows, max_bytes, max_time, chunk, data):
     gaps = data.draw(st.lists(st.integers(0, 10), min_size=len(sizes), max_size=len(sizes)))
@@ -58,7 +60,7 @@ def test_fold_matches_simulation(sizes, max_rows, max_bytes, max_time, chunk, da
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 50), st.integers(0, 10), st.integers(0, 30)),
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.integers(1, 50), st.integers(40, 400)), st.integers(0, 10), st.integers(0, 30)),
                 min_size=1, max_size=120),
        st.integers(1, 9), st.integers(50, 200), st.one_of(st.none(), st.integers(1, 30)), st.integers(1, 40))
 def test_complete_batches_match_simulation(rows, max_rows, max_bytes, max_time, chunk):
@@ -114,6 +116,37 @@ def test_exact_cap_flushes_with_the_row():
     assert b == [0, 0, 1] and reasons == {0: "bytes", 1: "end"}
 
 
+OVERSIZED = {"first": [500, 10, 10, 10], "middle": [10, 500, 10, 10], "last": [10, 10, 10, 500], "two in a row": [10, 500, 700, 10], "alone": [500]}
+OVERSIZED_BATCHES = {"first": ([0, 1, 1, 1], ["bytes", "end"]), "middle": ([0, 1, 2, 2], ["bytes", "bytes", "end"]),
+                     "last": ([0, 0, 0, 1], ["bytes", "bytes"]), "two in a row": ([0, 1, 2, 3], ["bytes", "bytes", "bytes", "end"]),
+                     "alone": ([0], ["bytes"])}
+
+
+@pytest.mark.parametrize("where", OVERSIZED)
+@pytest.mark.parametrize("chunk", [1, 2, 10])
+def test_a_record_above_the_byte_limit_is_a_batch_of_its_own(where, chunk):
+    sizes, (batches, reasons) = OVERSIZED[where], OVERSIZED_BATCHES[where]
+    n = len(sizes)
+    assert simulate_flush(sizes, max_bytes=100) == (batches, dict(enumerate(reasons)))
+    batch, close, prev, _ = _run_fold(sizes, [0] * n, [0] * n, NO_LIMIT, 100, None, chunk)
+    assert list(batch) == batches and _reasons(batch, close, prev) == dict(enumerate(reasons))
+    out = _run_fold(sizes, [0] * n, [0] * n, NO_LIMIT, 100, None, chunk, complete=True)
+    assert sum((rb.column("batch").to_pylist() for rb in out), []) == batches
+    assert sum((rb.column("reason").to_pylist() for rb in out), []) == [reasons[b] for b in batches]
+
+
+def test_records_above_the_byte_limit_on_a_stream(spark, tmp):
+    sizes = [10, 500, 700, 10, 90, 20, 500]
+    for at in range(0, len(sizes), 2):  # a file per micro-batch, so that state goes over
+        spark.createDataFrame([(i, sizes[i]) for i in range(at, min(at + 2, len(sizes)))], "k long, sz long").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    stream = spark.readStream.schema("k long, sz long").option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in")
+    batched = stream_annotate_batches(stream, F.lit(0), ["k"], F.col("sz"), max_bytes=100)
+    query = batched.select("k", "batch").writeStream.option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start(f"{tmp}/out", "parquet", "append")
+    query.awaitTermination()
+    got = [r.batch for r in spark.read.parquet(f"{tmp}/out").orderBy("k").collect()]
+    assert got == simulate_flush(sizes, max_bytes=100)[0] == [0, 1, 2, 3, 3, 4, 5]
+
+
 def test_annotate_batches_on_spark(spark):
     rows = [(i, (i * 37) % 90 + 1, i // 3) for i in range(200)]
     df = spark.createDataFrame(rows, "k long, sz long, shard_key long")
