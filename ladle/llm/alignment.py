@@ -36,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -48,76 +49,92 @@ RUN_CHARS, RUN_DOCS = 4_000_000, 4096
 RADICES = 256
 #: Into so many parts the radices are dealt, besides the salt, when counts stream back.
 PARTS = 16
-CACHE_ENTRIES, CACHED_CHARS = 300_000, 64
-#: Words tokenized in one call.
+#: Stems that each tokenizer keeps with their ids, and the longest of them.
+CACHED_STEMS, CACHED_CHARS = 500_000, 64
+#: Stems tokenized in one call.
 JOINED = 256
 #: Pairs, and documents, that a task holds before it hands on what it has added up.
 HELD = 2_000_000
-#: Characters whose classes all versions of the splitting pattern agree on.
+#: Characters whose classes all versions of the splitting pattern agree on, and white space among them that isn't
+#: a space or line feed by itself between others.
 SETTLED = re.compile("[\t-\r -~\xa0-ɏͰ-ԯ]*").fullmatch
-PLAIN = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+ODD_SPACE = ("\t", "\x0b", "\f", "\r", "\xa0", "  ", "\n\n", " \n", "\n ")
+PLAIN = re.compile("[ \n][A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: A word, and marks behind it.
+MARKED = "^(?P<stem>\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
 
 
 class Side:
     """One tokenizer behind a cache of the chunks it never merges across.
 
     ``chunks`` cuts a text (null: it can't be cut), ``encode`` gives the ids of each of some
-    chunks, ``whole`` those of whole texts, ``pieces`` each id's bytes.
+    chunks, ``whole`` those of whole texts, ``pieces`` each id's bytes; ``marks_apart`` if it
+    never merges a letter with a mark behind it.
     """
 
-    def __init__(self, chunks: Callable[[str], list[str]] | None, encode: Callable, whole: Callable, pieces: list[bytes]) -> None:
-        self.chunks, self.encode, self.whole, self.pieces = chunks, encode, whole, pieces
+    def __init__(self, chunks: Callable[[str], list[str]] | None, encode: Callable, whole: Callable, pieces: list[bytes], marks_apart: bool) -> None:
+        self.chunks, self.encode, self.whole, self.pieces, self.marks_apart = chunks, encode, whole, pieces, marks_apart
         self.lengths = np.array(list(map(len, pieces)), np.int64)
         self.dtype = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         self.odd: set[str] = set()
 
     def _same(self, ids: list[int], raw: bytes) -> bool:
         return b"".join(map(self.pieces.__getitem__, ids)) == raw
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found, plain, alone = {}, [], []
-        for word in words:
-            (plain if PLAIN(word) else alone).append(word)
+    def _learn(self, stems: list[str]) -> None:
+        plain, alone = [], []
+        for stem in stems:
+            (plain if PLAIN(stem) else alone).append(stem)
         for at in range(0, len(plain), JOINED):
             some = plain[at:at + JOINED]
-            ids = self.encode(["".join(some)])[0]
-            ends, want = np.cumsum(self.lengths[ids]), np.cumsum([len(x.encode()) for x in some])
+            joined = "".join(some)
+            ids = np.array(self.encode([joined])[0], np.int64)
+            ends = np.cumsum(self.lengths[ids])
+            want = np.cumsum([len(x.encode()) for x in some])
             cuts = np.searchsorted(ends, want)
-            if len(ids) and cuts[-1] == len(ids) - 1 and (ends[cuts] == want).all() and self._same(ids, "".join(some).encode()):
-                raw, cuts = np.array(ids, self.dtype).tobytes(), [0, *((cuts + 1) * self.dtype.itemsize).tolist()]
-                found.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+            if len(ids) and cuts[-1] == len(ids) - 1 and (ends[cuts] == want).all() and self._same(ids.tolist(), joined.encode()):
+                raw, cuts = ids.astype(self.dtype).tobytes(), [0, *((cuts + 1) * self.dtype.itemsize).tolist()]
+                self.stems.update(zip(some, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
             else:
                 alone += some
-        for word, ids in zip(alone, self.encode(alone) if alone else []):
-            found[word] = np.array(ids, self.dtype).tobytes()
-            if not self._same(ids, word.encode()):
-                self.odd.add(word)
-        return found
+        for stem, ids in zip(alone, self.encode(alone) if alone else []):
+            self.stems[stem] = np.array(ids, self.dtype).tobytes()
+            if not self._same(ids, stem.encode()):
+                self.odd.add(stem)
+
+    def ids_of(self, stems: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """The ids of distinct stems, as ``dtype``, and whether their bytes are the stem's."""
+        if len(self.stems) > CACHED_STEMS:
+            self.stems.clear()
+            self.odd.clear()
+        found = list(map(self.stems.get, stems))
+        new = [x for x, ids in zip(stems, found) if ids is None]
+        if new:
+            self._learn(new)
+            found = list(map(self.stems.__getitem__, stems))
+        same = np.ones(len(stems), bool)
+        if self.odd:
+            same[[i for i, x in enumerate(stems) if x in self.odd]] = False
+        for x in [x for x in new if len(x) > CACHED_CHARS]:
+            del self.stems[x]
+        return found, same
 
     def ids(self, texts: list[str]) -> list[bytes | None]:
         """The ids of each text, as ``dtype``; none where their bytes aren't the text's. Texts begin with their space."""
         out: list[bytes | None] = [None] * len(texts)
         fast = [i for i, x in enumerate(texts) if self.chunks and SETTLED(x)]
-        rest = sorted(set(range(len(texts))) - set(fast))
+        split = [self.chunks(texts[i]) for i in fast]
+        words = list({w for x in split for w in x})
+        found, same = self.ids_of(words)
+        known, odd = dict(zip(words, found)), {w for w, ok in zip(words, same) if not ok}
+        rest = sorted(set(range(len(texts))) - {i for i, x in zip(fast, split) if odd.isdisjoint(x)})
+        for i, x in zip(fast, split):
+            if odd.isdisjoint(x):
+                out[i] = b"".join(map(known.__getitem__, x))
         for i, ids in zip(rest, self.whole([texts[i] for i in rest]) if rest else []):
             if self._same(ids, texts[i].encode()):
                 out[i] = np.array(ids, self.dtype).tobytes()
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-            self.odd.clear()
-        get = self.cache.get
-        split = [self.chunks(texts[i]) for i in fast]
-        known = [list(map(get, x)) for x in split]
-        missing = [i for i, x in enumerate(known) if None in x]
-        new = self._learn(list({w for i in missing for w, x in zip(split[i], known[i]) if x is None}))
-        self.cache.update((w, x) for w, x in new.items() if len(w) <= CACHED_CHARS)
-        for i in missing:
-            known[i] = [new[w] if x is None else x for w, x in zip(split[i], known[i])]
-        for i, words, found in zip(fast, split, known):
-            raw = b"".join(found)
-            if not self.odd or self.odd.isdisjoint(words) or self._same(np.frombuffer(raw, self.dtype).tolist(), texts[i].encode()):
-                out[i] = raw
         return out
 
 
@@ -144,14 +161,15 @@ def byte_level(path: str, pattern: str) -> Side:
     def encode(texts: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Side(regex.compile(pattern).findall, encode, encode, pieces)
+    split = regex.compile(pattern).findall
+    return Side(split, encode, encode, pieces, split(" ab.") == [" ab", "."])
 
 
 @lru_cache(maxsize=4)
 def sentence_pieces(path: str) -> Side:
     """A model of the sentencepiece library, which adds the space itself.
 
-    If none of its pieces has a word mark behind another character, or a line feed
+    If none of its pieces has a space behind another character, or a line feed
     beside anything, texts are cut there. A line feed in front keeps the added space off a chunk.
     """
     import sentencepiece
@@ -169,7 +187,9 @@ def sentence_pieces(path: str) -> Side:
     def whole(texts: list[str]) -> list[list[int]]:
         return model.encode([x[1:] for x in texts], num_threads=1)
 
-    return Side(re.compile("\n| *[^ \n]+| +").findall if cuts else None, encode, whole, pieces)
+    joined = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]").search
+    apart = cuts and not any(joined(x) for i, x in enumerate(names) if not model.is_byte(i))
+    return Side(re.compile("\n| *[^ \n]+| +").findall if cuts else None, encode, whole, pieces, apart)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -200,6 +220,13 @@ ARROW_DOC = pa.struct([("key", pa.int64()), *((x, pa.int64()) for x in ("n_a", "
 ARROW_RUNS = pa.schema([("run", pa.int64()), ("radix", pa.int32()), ("pairs", pa.binary()), ("postings", pa.binary()), ("docs", pa.list_(ARROW_DOC))])
 
 
+def gathered(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The entries ``at`` of a list of arrays of some ``sizes``, which lie one behind the other in ``flat``, the same way."""
+    begins, own = np.cumsum(sizes) - sizes, sizes[at]
+    ends = np.cumsum(own)
+    return flat[np.arange(own.sum()) + np.repeat(begins[at] - ends + own, own)]
+
+
 class Aligner:
     """Groups and links of some documents at a time."""
 
@@ -207,19 +234,62 @@ class Aligner:
         self.a, self.b = a, b
         if len(a.pieces) > 1 << 20 or len(b.pieces) > 1 << 20:
             raise ValueError("Ids of more than 20 bits")
-        self.shown = [f"{i}{end}" for i in range(len(a.pieces)) for end in ",|"] + [f"{i}{end}" for i in range(len(b.pieces)) for end in ",;"]
+        shown = [f"{i}{end}".encode() for i in range(len(a.pieces)) for end in ",|"] + [f"{i}{end}".encode() for i in range(len(b.pieces)) for end in ",;"]
+        self.sizes = np.array(list(map(len, shown)))
+        self.shown = np.array(shown).view(np.uint8).reshape(len(shown), -1)
+
+    def tokens(self, texts: list[str]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+        """The numbers of the texts that both tokenizers give back, their ids by each (one behind the other), and how many those are.
+
+        Where white space is single spaces and line feeds, Arrow splits texts into words and tells
+        equal ones apart; each distinct word is looked up once for both tokenizers, and ids are gathered by their places.
+        """
+        plain = [i for i, x in enumerate(texts) if self.a.chunks and self.b.chunks and SETTLED(x) and x[0] not in " \n" and x[-1] not in " \n" and not any(
+            y in x for y in ODD_SPACE)]
+        places, ids, counts = [], [[], []], [[], []]
+        if plain:
+            split = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in plain]), "\n", " \n"), " ")
+            coded = split.flatten().dictionary_encode()
+            word, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+            stem, marks = coded.dictionary, pa.array([""] * len(coded.dictionary), pa.string())
+            if self.a.marks_apart and self.b.marks_apart:
+                cut = pc.extract_regex(stem, MARKED)
+                stem, marks = (pc.coalesce(pc.struct_field(cut, i), x) for i, x in enumerate((stem, marks)))
+            stem, marks = stem.dictionary_encode(), marks.dictionary_encode()
+            known = [w if w[0] == "\n" else " " + w for w in stem.dictionary.to_pylist()]
+            # Each distinct word is a stem and marks, each of those a number.
+            parts = np.stack((stem.indices.to_numpy(), len(known) + marks.indices.to_numpy()), 1)
+            known += marks.dictionary.to_pylist()
+            found = [side.ids_of(known) for side in (self.a, self.b)]
+            good = np.logical_and.reduceat((found[0][1] & found[1][1])[parts].all(1)[word], ends[:-1])
+            words_of = np.diff(ends)
+            word, words_of = word[np.repeat(good, words_of)], words_of[good]
+            places, plain = [i for i, ok in zip(plain, good) if ok], [i for i, ok in zip(plain, good) if ok]
+            for k, (side, (raw, _)) in enumerate(zip((self.a, self.b), found)):
+                sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // side.dtype.itemsize
+                flat = gathered(np.frombuffer(b"".join(raw), side.dtype), sizes, parts.ravel())
+                sizes = sizes[parts].sum(1)
+                ids[k].append(gathered(flat, sizes, word).astype(np.int64))
+                counts[k].append(np.diff(np.concatenate(([0], np.cumsum(sizes[word])))[np.concatenate(([0], np.cumsum(words_of)))]))
+        rest = sorted(set(range(len(texts))) - set(plain))
+        raw = [f" {texts[i]}" for i in rest]
+        for i, *own in zip(rest, self.a.ids(raw), self.b.ids(raw)):
+            if own[0] is not None and own[1] is not None:
+                places.append(i)
+                for k, side in enumerate((self.a, self.b)):
+                    ids[k].append(np.frombuffer(own[k], side.dtype).astype(np.int64))
+                    counts[k].append(np.array([len(ids[k][-1])]))
+        return places, [np.concatenate(x) if x else np.empty(0, np.int64) for x in ids], [np.concatenate(x) if x else np.empty(0, np.int64) for x in counts]
 
     def run(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray]:
         """(n_a, n_b, n_groups, n_links, digest) of each text, and all links as one number each."""
         rows: list[tuple] = [(0, 0, 0, 0, "")] * len(texts)
         some = [i for i, x in enumerate(texts) if x]
-        raw = [f" {texts[i]}" for i in some]
-        found = [(i, x, y) for i, x, y in zip(some, self.a.ids(raw), self.b.ids(raw)) if x is not None and y is not None]
+        found, (a, b), (of_a, of_b) = self.tokens([texts[i] for i in some])
         if not found:
             return rows, np.empty(0, np.uint64)
-        places, of_a, of_b = zip(*found)
-        a, b = (np.frombuffer(b"".join(x), side.dtype).astype(np.int64) for x, side in ((of_a, self.a), (of_b, self.b)))
-        last_a, last_b = (np.cumsum([len(x) // side.dtype.itemsize for x in of]) for of, side in ((of_a, self.a), (of_b, self.b)))
+        places = [some[i] for i in found]
+        last_a, last_b = np.cumsum(of_a), np.cumsum(of_b)
         ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
         # The b token that holds a token's last byte, and so on; equal ends close a group.
         b_of_a = np.searchsorted(ends_b, ends_a)
@@ -236,13 +306,12 @@ class Aligner:
         written[np.arange(len(a)) + np.concatenate(([0], upto_b))[group_a]] = 2 * a + shared_a
         written[np.arange(len(b)) + upto_a[group_b]] = 2 * (len(self.a.pieces) + b) + shared_b
         n_groups = np.diff(np.cumsum(shared_a)[last_a - 1], prepend=0).tolist()
-        counts_a, counts_b = np.diff(last_a, prepend=0).tolist(), np.diff(last_b, prepend=0).tolist()
-        at, shown = 0, self.shown.__getitem__
-        for place, n_a, n_b, n in zip(places, counts_a, counts_b, n_groups):
-            text = "".join(map(shown, written[at:at + n_a + n_b].tolist()))
-            at += n_a + n_b
-            rows[place] = (n_a, n_b, n, n_a + n_b - n, hashlib.sha256(text[:-1].encode()).hexdigest())
-        slot = np.repeat(np.array(places), counts_a)[linked_a]
+        sizes = self.sizes[written]
+        text = self.shown[written][np.arange(self.shown.shape[1]) < sizes[:, None]].tobytes()
+        ends = np.cumsum(sizes)[last_a + last_b - 1].tolist()
+        for place, n_a, n_b, n, low, high in zip(places, of_a.tolist(), of_b.tolist(), n_groups, [0, *ends], ends):
+            rows[place] = (n_a, n_b, n, n_a + n_b - n, hashlib.sha256(text[low:high - 1]).hexdigest())
+        slot = np.repeat(np.array(places), of_a)[linked_a]
         side = b[linked_b]
         links = (side & 255) << 56 | (side >> 8) << 44 | a[linked_a] << 24 | slot
         return rows, np.sort(links.view(np.uint64))
