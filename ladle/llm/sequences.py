@@ -36,14 +36,12 @@ from pyspark.sql import types as T
 LENGTH = 2048
 SEQUENCES = 256
 CACHE_ENTRIES = 800_000
-#: Characters of text tokenized together; a longer document goes alone.
-CHUNK_CHARS = 6_000_000
+#: Bytes of text tokenized together; a longer document goes alone.
+CHUNK_BYTES = 8_000_000
 #: Words of one call of the tokenizer.
 TOGETHER = 512
 #: A word that any tokenizer with word ends takes as one piece, and what may follow it up to white space.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)").fullmatch
-INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
-WORDS = re.compile(r"[^ \t-\r]+")
 
 
 class WordTokenizer:
@@ -99,22 +97,44 @@ class WordTokenizer:
         for word, stem, marks in plain:
             cache[word] = stems[stem] + stems[marks] if marks else stems[stem]
 
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """The ids of each text and the end id, little-endian, as ``dtype``."""
-        split = [WORDS.findall(x) if INFORMATION_SEPARATORS.search(x) else x.split() for x in texts]
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, little-endian, as ``dtype``."""
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
         if len(self.stems) > CACHE_ENTRIES:
             self.stems.clear()
-        ids = self.cache.get
-        found = [list(map(ids, words)) for words in split]
-        missing = [i for i, x in enumerate(found) if None in x]
-        new = {w for i in missing for w, x in zip(split[i], found[i]) if x is None}
+        found = list(map(self.cache.get, words))
+        new = [w for w, x in zip(words, found) if x is None]
         if new:
-            self._learn(list(new))
-            for i in missing:
-                found[i] = map(ids, split[i])
-        return [b"".join(x) + end for x in found]
+            self._learn(new)
+            found = list(map(self.cache.__getitem__, words))
+        return found
+
+    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
+        """The ids of each text and the end id, little-endian, as ``dtype``."""
+        return self.encode_column(pa.array(texts, pa.string()), int.from_bytes(end, "little")).to_pylist()
+
+    def encode_column(self, texts: pa.StringArray, end_id: int) -> pa.BinaryArray:
+        """The ids of each text and the end id, little-endian, as ``dtype``.
+
+        Words are split and told apart by Arrow; each distinct one is looked up once, and
+        the ids of all are gathered from those by their places.
+        """
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        raw = self._ids_of(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
+        flat, begins = np.frombuffer(b"".join(raw), self.dtype), np.cumsum(sizes) - sizes
+        upto = np.concatenate(([0], np.cumsum(sizes[word])))
+        docs, before = len(texts), upto[split.offsets.to_numpy()]
+        ends = before[1:] + np.arange(1, docs + 1)
+        out = np.empty(int(upto[-1]) + docs, self.dtype)
+        source = np.arange(upto[-1]) + np.repeat(begins[word] - upto[:-1], sizes[word])
+        out[np.arange(upto[-1]) + np.repeat(np.arange(docs), np.diff(before))] = flat[source]
+        out[ends - 1] = end_id
+        offsets = np.concatenate(([0], ends * self.dtype.itemsize)).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), docs, [None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.binary())
 
 
 @lru_cache(maxsize=4)
@@ -142,24 +162,18 @@ def tokenize(docs: DataFrame, path: str, end_id: int, cuts: list[int], *, text:
 
     def tokenize_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_tokenizer(path)
-        end = np.array([end_id], own.dtype).tobytes()
-
-        def batch(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            values = keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            shard = np.searchsorted(np.array(cuts, np.int64), values, side="left").astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(shard), keys, pa.array(own.encode(texts, end), pa.binary())], names=schema.fieldNames())
-
         for rows in batches:
-            keys, chunk, held, first = rows.column(0), [], 0, 0
-            for value in rows.column(1):
-                value = value.as_py() or ""
-                if chunk and held + len(value) > CHUNK_CHARS:
-                    yield batch(keys.slice(first, len(chunk)), chunk)
-                    first, chunk, held = first + len(chunk), [], 0
-                chunk.append(value)
-                held += len(value)
-            if chunk:
-                yield batch(keys.slice(first, len(chunk)), chunk)
+            keys, texts = rows.column(0), rows.column(1).fill_null("")
+            values = keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            shard = pa.array(np.searchsorted(np.array(cuts, np.int64), values, side="left").astype(np.int32))
+            upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < rows.num_rows:
+                before = upto[first - 1] if first else 0
+                end = max(first + 1, int(np.searchsorted(upto, before + CHUNK_BYTES, side="right")))
+                some = slice(first, end)
+                yield pa.RecordBatch.from_arrays([shard[some], keys[some], own.encode_column(texts[some], end_id)], names=schema.fieldNames())
+                first = end
 
     return docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text")).mapInArrow(tokenize_batches, schema)
 
