@@ -1,9 +1,10 @@
-"""Repeated byte strings by a depth-limited radix sort of suffixes.
+"""Repeated byte strings by grouping suffixes, in place of a depth-limited radix sort.
 
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else too.
-Suffixes are ordered by their first ``length`` bytes only, most significant digit
-first, and what matters is which groups hold two or more. Three digits of growing
-length are compared; a suffix whose digit occurs once drops out at once:
+Of a sort of suffixes by their first ``length`` bytes, what matters is which groups hold two
+or more. A most-significant-digit sort sends every suffix through a shuffle for its first
+digit at least; here three nested stretches are compared by hashes instead of consecutive
+digits, and neighbouring suffixes share a record. A suffix whose stretch occurs once drops out at once:
 
 1. the *gram*: of the ``GRAM``-byte grams inside the suffix's ``length`` bytes the one
    with the least hash, the leftmost of equals. Neighbouring suffixes mostly share it,
@@ -23,9 +24,9 @@ before the shuffle, so a passage in every document costs each task one record; t
 groups end as sorted arrays in a shared folder, and the next pass looks its digits up
 there by memory map. Nothing is sent back per position, and no group is gathered.
 
-Digits are compared by 64-bit polynomial hashes over random byte values; n strings
-that are compared whole take n * n / 2 ** 65 false matches, which at a hundred
-million strings is 3 in ten thousand.
+Stretches are compared by 64 bits mixed from two polynomial hashes, one modulo 2^64 over
+random byte values and one modulo the prime 2^61 - 1; n strings that are compared whole take
+n * n / 2^65 false matches, which at a hundred million strings is 3 in ten thousand.
 
 Edge cases: a null text has no bytes; texts shorter than ``length`` bytes keep all;
 null keys and repeated rows are handled row by row (equal rows repeat each other); an
@@ -57,28 +58,78 @@ POSITION_BITS = np.uint64(22)
 PACKED = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("packed", T.BinaryType())])
 
 
+#: A prime: residues are of numbers below 2^61, so that products are put together from 64-bit halves.
+PRIME = np.uint64((1 << 61) - 1)
+LOW, HALF = np.uint64((1 << 31) - 1), np.uint64(31)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo ``PRIME``."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _half_up(x: np.ndarray) -> np.ndarray:
+    """``x`` * 2^31, less multiples of ``PRIME``; ``x`` is below 2^62."""
+    return (x >> np.uint64(30)) + ((x & np.uint64((1 << 30) - 1)) << HALF)
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x`` * ``y`` modulo ``PRIME``."""
+    x_high, x_low, y_high, y_low = x >> HALF, x & LOW, y >> HALF, y & LOW
+    return _reduced(np.uint64(2) * x_high * y_high + _half_up(x_high * y_low + x_low * y_high) + _reduced(x_low * y_low))
+
+
+def _residue_powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        some = min(done, n - done)
+        out[done:done + some] = _times(out[:some], np.uint64(pow(base, done, int(PRIME))))
+        done += some
+    return out
+
+
 @lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random odd base's powers and inverse powers, and a random value for each byte (fixed seed: all tasks agree)."""
+def _powers() -> tuple[np.ndarray, ...]:
+    """A random value for each byte, and random bases' powers and inverse powers: modulo 2^64 and modulo ``PRIME``
+    (those in halves). Fixed seeds: all tasks agree."""
     values = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
-    base = int(mix(np.array([0x5EED], np.uint64))[0]) | 1
+    base, other = (int(x) for x in mix(np.array([0x5EED, 0x0DD5EED], np.uint64)))
+    base, other = base | 1, other % int(PRIME)
     n = 2 * PART + 2 * LENGTH + 1
     up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64), values
+    powers = _residue_powers(other, n)
+    return (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64), values, (powers >> HALF).astype(np.uint32), (powers & LOW).astype(np.uint32),
+            _residue_powers(pow(other, -1, int(PRIME)), n))
 
 
 class Part:
     """Bytes of several texts (or a part of one) and hashes of any stretch of them."""
 
     def __init__(self, flat: np.ndarray) -> None:
-        up, self.down, values = _powers()
-        self.sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(values[flat] * up[:len(flat)], out=self.sums[1:])
+        up, self.down, values, high, low, self.residue_down = _powers()
+        n = len(flat)
+        self.sums, self.high, self.low = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(values[flat] * up[:n], out=self.sums[1:])
+        # Sums of at most 2^21 and some products below 2^40.
+        byte = flat.astype(np.uint64) + np.uint64(1)
+        np.cumsum(byte * high[:n], out=self.high[1:])
+        np.cumsum(byte * low[:n], out=self.low[1:])
+
+    def rank(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A number for the bytes from ``start`` up to ``end``: equal for equal bytes, mostly another for others."""
+        return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
     def hash(self, start: np.ndarray, end: np.ndarray, tag: np.ndarray | int = 0) -> np.ndarray:
-        """Of the bytes from ``start`` up to ``end``; stretches with different tags never agree."""
-        return mix((self.sums[end] - self.sums[start]) * self.down[start] + mix(np.atleast_1d(np.asarray(tag + 1, np.uint64)) * GOLDEN))
+        """Of the bytes from ``start`` up to ``end``; stretches with different tags never agree.
+
+        A sum modulo 2^64 alone is equal for some words of doubled-up patterns, so a residue
+        modulo a prime goes with it.
+        """
+        residue = _times(_reduced(_half_up(_reduced(self.high[end] - self.high[start])) + _reduced(self.low[end] - self.low[start])), self.residue_down[start])
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + mix(residue + mix(np.atleast_1d(np.asarray(tag + 1, np.uint64)) * GOLDEN)))
 
 
 def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -100,7 +151,7 @@ class Runs:
         self.part = part = Part(flat)
         self.length = length
         all_grams = np.arange(len(flat) - gram + 1)
-        ranked = part.hash(all_grams, all_grams + gram) >> POSITION_BITS << POSITION_BITS | all_grams.astype(np.uint64)
+        ranked = part.rank(all_grams, all_grams + gram) >> POSITION_BITS << POSITION_BITS | all_grams.astype(np.uint64)
         least = _least_in_windows(ranked, length - gram + 1) & (np.uint64(1) << POSITION_BITS) - np.uint64(1)
         suffix = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         at = least[suffix].astype(np.int64)

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from ladle.llm import suffixes
 
 
@@ -58,3 +60,30 @@ def test_long_texts_are_taken_in_parts(spark, work, monkeypatch):
     parts = list(suffixes._parts(flat, 200))
     assert sum(int(sizes.sum()) for _, _, sizes, _, _ in parts) == sum(max(0, len(t) - 199) for t in flat)
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2), work)
+
+
+def test_doubled_up_words_are_told_apart(spark, work):
+    """Texts of words w, u doubled into wu, uw some times: a sum modulo 2^64 is equal for such pairs of 128 bytes, yet nothing repeats."""
+    rng = random.Random(8)
+    texts = []
+    for a in "abcdefgh":
+        for b in "mnop":
+            w, u = a, b
+            for _ in range(7):
+                w, u = w + u, u + w
+            frame = "".join(rng.choices("qrstuvwxyz", k=72))
+            texts += [f"{frame[:30]}{w}{frame[30:]}", f"{frame[:30]}{u}{frame[30:]}"]
+    assert {len(t) for t in texts} == {200} and len(set(texts)) == len(texts)
+    got = check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), work)
+    assert all(not spans for _, _, spans, _ in got)
+
+
+def test_residues():
+    rng = random.Random(9)
+    prime = int(suffixes.PRIME)
+    x, y = ([rng.randrange(prime) for _ in range(500)] + [0, 1, prime - 1, prime - 1] for _ in range(2))
+    assert suffixes._times(np.array(x, np.uint64), np.array(y, np.uint64)).tolist() == [a * b % prime for a, b in zip(x, y)]
+    _, _, _, high, low, down = suffixes._powers()
+    base = int(high[1]) << 31 | int(low[1])
+    for i in (0, 1, 2, 77, 100_000, len(down) - 1):
+        assert int(high[i]) << 31 | int(low[i]) == pow(base, i, prime) and int(down[i]) == pow(base, -i, prime)
