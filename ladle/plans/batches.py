@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import header_bytes, raw_payload_bytes, row_payload_bytes
-from ladle.operators.batching import (
-    annotate_batches,
-    batch_by_count,
-    batch_summary,
-    count_batch_summary,
-)
+from ladle.operators.batching import annotate_batches, batch_by_count, batch_summary
 from ladle.operators.bindings import bind_columns, of
+from ladle.operators.packing import pack_batches, packed_summary
 from ladle.plans.oracle_sql import fold_sql, str_bytes_sql
 from ladle.plans.registry import register, table
 
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 # Virtual writers: a fixed number per query (an argument of each), whatever the
-# table's size, so that a row's shard never changes as the table grows. A larger
-# cluster passes more; a task takes several shards if there are more than tasks.
+# table's size, so that a row's shard never changes as the table grows. A writer's
+# stream is packed by as many tasks as the session has shuffle partitions; only
+# batches with a time limit (events) take a writer's stream in one task.
 LINEITEM_SHARDS = 64
 ORDER_SHARDS = 16
 DOC_SHARDS = 16
@@ -65,9 +62,9 @@ def lineitem_shard_key():
 
 def lineitem_count_batches(spark, sf_dir, max_rows=500, shards=LINEITEM_SHARDS):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-    b = batch_by_count(li, max_rows, F.pmod(lineitem_shard_key(), F.lit(shards)).cast("int"), LINEITEM_ORDER)
-    return count_batch_summary(b, max_rows, [F.min("l_orderkey").alias("min_orderkey"),
-                                             F.max("l_orderkey").alias("max_orderkey")])
+    packed = pack_batches(li, F.pmod(lineitem_shard_key(), F.lit(shards)), LINEITEM_ORDER, max_rows=max_rows)
+    found = packed_summary(packed, max_rows, extra_aggs=[F.min("l_orderkey").alias("min_orderkey"), F.max("l_orderkey").alias("max_orderkey")])
+    return found.drop("n_bytes")
 
 
 @register("batch_by_count", f"""
@@ -89,9 +86,8 @@ def q_batch_by_count(spark, sf_dir):
 def doc_batches(spark, sf_dir, max_rows=None, max_bytes=DOC_BATCH_BYTES, shards=DOC_SHARDS):
     # A document above the byte limit is a batch of its own: none is left out.
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(raw_payload_bytes(F.col("text")), F.lit(0)).alias("sz"))
-    a = annotate_batches(d, F.pmod(F.col("doc_id"), F.lit(shards)), ["doc_id"], size=F.col("sz"),
-                         max_rows=max_rows, max_bytes=max_bytes, complete=True)
-    return batch_summary(a)
+    packed = pack_batches(d, F.pmod(F.col("doc_id"), F.lit(shards)), ["doc_id"], F.col("sz"), max_rows, max_bytes)
+    return packed_summary(packed, max_rows, max_bytes)
 
 
 DOC_BASE = (f"SELECT doc_id, {pmod_sql('doc_id', DOC_SHARDS)} AS shard, 0::BIGINT AS t, "

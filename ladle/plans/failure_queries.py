@@ -9,18 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ladle.operators.batching import annotate_batches
 from ladle.operators.bindings import TableSpec, bind_columns, of
 from ladle.operators.failures import (
     CORRUPTION_CODES,
     RetryPolicy,
     classify,
-    drop_corrupt_batches,
     error_rows,
     mark_bad,
     retry_batch,
-    STOP_MESSAGE,
+    stop_on_corrupt,
 )
+from ladle.operators.packing import pack_batches
 from ladle.plans.batches import ORDER_SHARDS, pmod_sql
 from ladle.plans.registry import register, scratch_path, table
 from ladle.sinks.table import parse_raw, read_table
@@ -129,8 +128,7 @@ def corrupt_batches(spark, sf_dir):
         .otherwise(F.col("o_totalprice").cast("string")).alias("price"))
     typed = bind_columns(o, [of("o_orderkey", "o_orderkey", "Int64"), of("price", "o_totalprice", "Float64")],
                          mode="report")
-    return annotate_batches(mark_bad(typed), F.pmod(F.col("o_orderkey"), F.lit(ORDER_SHARDS)), ["o_orderkey"], max_rows=500,
-                            complete=True, bad="_bad")
+    return pack_batches(mark_bad(typed).drop("_errors"), F.pmod(F.col("o_orderkey"), F.lit(ORDER_SHARDS)), ["o_orderkey"], max_rows=500)
 
 
 CORRUPT_BATCHES_SQL = f"""
@@ -146,22 +144,29 @@ pb AS (SELECT shard, batch, count(*) AS n, max(bad) AS bad FROM b GROUP BY shard
 SELECT shard, sum(n)::BIGINT AS kept_rows, count(*)::BIGINT AS kept_batches FROM pb WHERE bad = 0 GROUP BY shard""")
 def q_drop_corrupt_batch(spark, sf_dir):
     """One bad row drops its whole batch; the other batches are kept."""
-    kept = drop_corrupt_batches(corrupt_batches(spark, sf_dir))
-    per = kept.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"))
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"), F.max("_bad").alias("bad")).where("bad = 0")
     return per.groupBy("shard").agg(F.sum("n").cast("bigint").alias("kept_rows"),
                                     F.count(F.lit(1)).cast("bigint").alias("kept_batches"))
 
 
-@register("stop_on_corrupt", CORRUPT_BATCHES_SQL + """
-SELECT shard, batch, CAST(n AS BIGINT) AS n_rows, CASE WHEN bad = 1 THEN 'Corrupt row in batch' END AS stopped_by FROM pb""")
+@register("stop_on_corrupt", """
+SELECT o_orderpriority, count(*)::BIGINT AS n_rows, CASE WHEN max(o_orderkey % 997 = 0) THEN 'Corrupt row in batch' END AS stopped_by,
+       CASE WHEN NOT max(o_orderkey % 997 = 0) THEN sum(o_orderkey) END::BIGINT AS key_sum
+FROM orders GROUP BY o_orderpriority""")
 def q_stop_on_corrupt(spark, sf_dir):
-    """What the default policy says of each batch of corrupt orders: nothing, or the error that stops the load.
-
-    The message is the one that :func:`stop_on_corrupt` raises; that it can't be
-    pruned away, whichever columns are read, is tested.
-    """
-    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n_rows"), F.max("_bad").alias("bad"))
-    return per.select("shard", "batch", "n_rows", F.when(F.col("bad") == 1, F.lit(STOP_MESSAGE)).alias("stopped_by"))
+    """The default policy at work: each priority's orders are loaded by themselves, and the first corrupt row stops the load."""
+    o = table(spark, sf_dir, "orders").withColumn("_bad", (F.col("o_orderkey") % 997 == 0).cast("int"))
+    out = []
+    for r in o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).orderBy("o_orderpriority").collect():  # five of them
+        own = stop_on_corrupt(o.where(F.col("o_orderpriority").eqNullSafe(F.lit(r.o_orderpriority))))
+        try:
+            stopped, total = None, own.agg(F.sum("o_orderkey")).first()[0]
+        except Exception as e:  # noqa: BLE001 - only the policy's own error is an answer
+            if "Corrupt row in batch" not in str(e):
+                raise
+            stopped, total = "Corrupt row in batch", None
+        out.append((r.o_orderpriority, r.n, stopped, total))
+    return spark.createDataFrame(out, "o_orderpriority string, n_rows long, stopped_by string, key_sum long")
 
 
 @register("retry_batch", "SELECT count(*) AS n_rows, 3 AS attempts FROM orders")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ladle.functions.sizes import row_payload_bytes
-from ladle.operators.batching import batch_by_count, count_batch_summary
+from ladle.operators.batching import batch_by_count
 from ladle.operators.metrics import flush_reason_counts, latency_window, send_time
+from ladle.operators.packing import pack_batches, packed_summary
 from ladle.plans.batches import (
     DOC_BASE,
     DOC_BATCH_BYTES,
@@ -45,8 +46,7 @@ def q_metric_bytes_sent(spark, sf_dir):
 
 def lineitem_batches(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-    b = batch_by_count(li, 500, F.pmod(lineitem_shard_key(), F.lit(LINEITEM_SHARDS)).cast("int"), LINEITEM_ORDER)
-    return count_batch_summary(b, 500)
+    return packed_summary(pack_batches(li, F.pmod(lineitem_shard_key(), F.lit(LINEITEM_SHARDS)), LINEITEM_ORDER, max_rows=500), 500)
 
 
 LI_BATCH_SQL = f"""
@@ -109,7 +109,7 @@ def q_metric_flush_reasons(spark, sf_dir):
 SELECT shard, count(*) FILTER (WHERE bad = 1)::BIGINT AS dropped_batches FROM pb GROUP BY shard""")
 def q_metric_dropped_batches(spark, sf_dir):
     """Batches dropped as corrupt, per shard."""
-    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_batch_bad").alias("bad"))
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_bad").alias("bad"))
     return per.groupBy("shard").agg(F.count_if(F.col("bad") == 1).cast("bigint").alias("dropped_batches"))
 
 
@@ -117,7 +117,7 @@ def q_metric_dropped_batches(spark, sf_dir):
 SELECT shard, coalesce(sum(n) FILTER (WHERE bad = 1), 0)::BIGINT AS dropped_records FROM pb GROUP BY shard""")
 def q_metric_dropped_records(spark, sf_dir):
     """Rows dropped with their corrupt batches, per shard."""
-    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_batch_bad").alias("bad"),
+    per = corrupt_batches(spark, sf_dir).groupBy("shard", "batch").agg(F.max("_bad").alias("bad"),
                                                                        F.count(F.lit(1)).alias("n"))
     return per.groupBy("shard").agg(
         F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).cast("bigint").alias("dropped_records"))
