@@ -18,6 +18,7 @@ from ladle.operators.bindings import (
     match_by_name,
     of,
 )
+from ladle.operators.selection import split_by_ordinal
 from ladle.plans.registry import register, table
 
 
@@ -133,14 +134,9 @@ SELECT CASE WHEN o_orderkey <= kth THEN 'first' ELSE 'rest' END AS part, count(*
        min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
 FROM orders, k GROUP BY 1""")
 def q_split_by_ordinal(spark, sf_dir):
-    """First 5000 orders by key, and the rest (no global window)."""
-    o = table(spark, sf_dir, "orders")
-    # The N-th key is one scalar from a bounded top-N; the split is then two
-    # range filters that reach the Parquet scan (no join, no global window).
-    kth = o.select("o_orderkey").orderBy("o_orderkey").limit(SPLIT_N).agg(F.max("o_orderkey")).first()[0]
-    part = F.when(F.col("o_orderkey") <= F.lit(kth), F.lit("first")).otherwise(F.lit("rest"))
-    return o.select("o_orderkey", part.alias("part")).groupBy("part").agg(
-        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("min_key"), F.max("o_orderkey").alias("max_key"))
+    """First 5000 orders by key, and the rest: the 5000th key is selected, nothing is sorted."""
+    parts = split_by_ordinal(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", SPLIT_N)
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("min_key"), F.max("o_orderkey").alias("max_key"))
 
 
 @register("project_composites", """
