@@ -166,9 +166,10 @@ class TableSpec:
         return T.StructType([T.StructField(c.name, c.type.spark_type(), True) for c in self.columns])
 
 
-def default_for_omitted(df: DataFrame, table: TableSpec) -> DataFrame:
+def default_for_omitted(df: DataFrame, table: TableSpec, keep: Iterable[str] = ()) -> DataFrame:
     """Columns of the table that the load left unbound get the table DEFAULT
-    (or NULL) for every row; bound columns - including explicit NULLs - are kept."""
+    (or NULL) for every row; bound columns - including explicit NULLs - are kept,
+    and so are the extra columns ``keep``."""
     cols = []
     for c in table.columns:
         if c.name in df.columns:
@@ -177,7 +178,7 @@ def default_for_omitted(df: DataFrame, table: TableSpec) -> DataFrame:
             cols.append(F.expr(c.default).cast(c.type.spark_type()).alias(c.name))
         else:
             cols.append(F.lit(None).cast(c.type.spark_type()).alias(c.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def map_records(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:

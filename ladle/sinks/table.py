@@ -14,10 +14,11 @@ total order).
 
 from __future__ import annotations
 
+import json
 import os
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Sequence
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ladle.functions.conform import json_valid
 from ladle.functions.sizes import header_bytes, normalize_raw_line, raw_payload_bytes, row_payload_bytes
 from ladle.operators.batching import annotate_batches, hash_shard, reject_oversized
 from ladle.operators.bindings import (
@@ -37,6 +39,7 @@ from ladle.operators.bindings import (
 )
 from ladle.operators.failures import RetryPolicy, mark_bad, retry_batch
 from ladle.operators.metrics import observed_load_metrics, sent_metrics
+from ladle.sinks.connection import Connection
 
 
 class SchemaDriftError(ValueError):
@@ -79,6 +82,9 @@ class LoadOptions:
     # Under "stop" batches change nothing that is written, so rows go from the
     # casts to the writer. Ask for the batch metrics to have them formed anyway.
     batch_metrics: bool = False
+    # Rows go to writers by ranges of the declared table's sort key, so that a file holds one
+    # span of it and readers' filters leave files out by their least and greatest values.
+    cluster: bool = False
     json_as: str = "string"  # JSON columns stored as validated text, or "variant"
     # Ten more tries, with growing pauses; ``RetryPolicy.forever()`` if asked for.
     retry: RetryPolicy = field(default_factory=lambda: RetryPolicy.limited(10))
@@ -88,6 +94,9 @@ class LoadOptions:
     # of the catalog, by name. Free-form writer options are passed through unchanged.
     target_format: str = "parquet"
     writer_options: dict = field(default_factory=dict)
+    # A database target with typed options: stands for target_format "jdbc" and its writer
+    # options; ``writer_options`` are then settings that go over the connection's.
+    connection: Connection | None = None
     require_table: bool = False  # preflight: the target must already exist
     # Request timeout per batch write: past it the write's Spark jobs are
     # cancelled and the load fails ("fail") or the write is retried ("retry").
@@ -105,6 +114,11 @@ class LoadOptions:
             raise ValueError("max_batch_bytes must be at least max_record_bytes")
         if self.failure not in ("stop", "drop_batch"):
             raise ValueError("failure must be 'stop' or 'drop_batch'")
+        if self.connection is not None and self.target_format not in ("parquet", "jdbc"):
+            raise ValueError("a connection is a jdbc target")
+        if self.connection is not None and self.target_format == "parquet":
+            settings = {"batchsize": self.max_batch_size} if "batchsize" not in self.connection.settings else {}
+            return replace(self, target_format="jdbc", writer_options=self.connection.writer_options(settings | self.writer_options)).validate()
         if self.shards is not None and (not isinstance(self.shards, int) or self.shards <= 0):
             raise ValueError("shards must be a positive number or None")
         return self
@@ -121,11 +135,52 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+#: Where a table of files keeps its columns, so that a load needn't read every file's footer.
+SCHEMA_FILE = os.path.join("_ladle", "schema.json")
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def known_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns that loads have noted for the table at ``path``."""
+    fs, p = _file(spark, os.path.join(path, SCHEMA_FILE))
+    if not fs.exists(p):
+        return None
+    size, source = int(fs.getFileStatus(p).getLen()), fs.open(p)
+    try:
+        raw = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source, size)
+    finally:
+        source.close()
+    return T.StructType.fromJson(json.loads(bytes(raw).decode()))
+
+
+def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Notes columns that the table at ``path`` has from now on, beside those it had."""
+    had = known_schema(spark, path)
+    names = {f.name for f in had.fields} if had else set()
+    whole = T.StructType([*(had.fields if had else []), *(f for f in schema.fields if f.name not in names)])
+    if had is None or len(whole) != len(had):
+        write_schema(spark, path, whole)
+
+
+def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _file(spark, os.path.join(path, SCHEMA_FILE))
+    out = fs.create(p, True)
+    try:
+        out.write(json.dumps(schema.jsonValue()).encode())
+    finally:
+        out.close()
+
+
 def target_schema(spark: SparkSession, path: str, options: "LoadOptions | None" = None) -> T.StructType | None:
     """The target's columns, or None if it does not exist yet (or its reader cannot tell).
 
-    Files are found below ``path`` at any depth, so a table that streams and batch
-    loads have written in turn is seen whole.
+    A table of files is asked for the columns that loads have noted. Where none are, its files
+    are found below ``path`` at any depth, so a table that streams and batch loads have
+    written in turn is seen whole.
     """
     fmt = options.target_format if options else "parquet"
     if fmt == "table":
@@ -141,6 +196,9 @@ def target_schema(spark: SparkSession, path: str, options: "LoadOptions | None"
         return None
     if fmt not in ("parquet", "orc"):
         return T.StructType([])
+    noted = known_schema(spark, path)
+    if noted is not None:
+        return noted
     try:
         return read_table(spark, path, fmt=fmt).schema
     except AnalysisException as e:
@@ -167,14 +225,26 @@ def preflight(spark: SparkSession, path: str, must_exist: bool = False, attempts
     raise FileNotFoundError(f"Target table {path} does not exist")
 
 
+def _family(kind: T.DataType) -> str:
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return "number"
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "time"
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return "text"
+    return kind.simpleString()
+
+
 def check_drift(spark: SparkSession, path: str, declared: T.StructType, options: "LoadOptions | None" = None) -> None:
     """Reject a load whose declared types differ from the existing table's."""
     existing = target_schema(spark, path, options)
     if existing is None:
         return
     have = {f.name: f.dataType for f in existing.fields}
+    jdbc = options is not None and options.target_format == "jdbc"
     for f in declared.fields:
-        if f.name in have and have[f.name] != f.dataType and (options is None or options.target_format != "jdbc"):
+        # A database may name another width; whether it holds numbers, texts or times is no matter of width.
+        if f.name in have and (_family(have[f.name]) != _family(f.dataType) if jdbc else have[f.name] != f.dataType):
             raise SchemaDriftError(f"Column {f.name}: declared {f.dataType.simpleString()}, "
                                    f"table has {have[f.name].simpleString()}")
         if have and f.name not in have and options is not None and options.target_format in ("jdbc", "table"):
@@ -197,6 +267,8 @@ def check_declared(bindings: Sequence[Binding], table: TableSpec | None) -> None
 def _write(df: DataFrame, path: str, table: TableSpec | None, mode: str = "append",
            options: LoadOptions | None = None) -> None:
     if table is not None and table.sort_key:
+        if options is not None and options.cluster:
+            df = df.repartitionByRange(*table.sort_key)
         df = df.sortWithinPartitions(*table.sort_key)
     fmt = options.target_format if options else "parquet"
     extra = dict(options.writer_options) if options else {}
@@ -289,6 +361,8 @@ def load(df: DataFrame, bindings: Sequence[Binding], path: str, options: LoadOpt
     names = [b.name for b in bindings]
     hdr = header_bytes([(b.name, b.type) for b in bindings])
     metrics = _write_observed(ann, names, path, table, options, hdr, write_mode)
+    if check_target and options.target_format in ("parquet", "orc"):
+        note_schema(spark, path, table.schema() if table is not None else declared)
     return LoadResult(path, metrics)
 
 
@@ -326,6 +400,28 @@ def _write_observed(ann: DataFrame, names: Sequence[str], path: str, table: Tabl
 
 # -- raw text lines ------------------------------------------------------------
 
+#: The text formats of raw loads.
+RAW_FORMATS = ("csv", "json", "tsv", "json_rows")
+#: The field that means NULL, and what may follow a backslash (another character stands for itself).
+NULL_FIELD = "\\N"
+ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "0": "\0", "a": "\a", "v": "\v"}
+
+
+def unescaped(field: Column) -> Column:
+    """A field of escaped text with its escapes resolved, in column expressions.
+
+    What lies between doubled backslashes is resolved by itself, so none of its backslashes is an escaped one.
+    """
+
+    def resolved(part: Column) -> Column:
+        for letter, character in ESCAPES.items():
+            part = F.replace(part, F.lit("\\" + letter), F.lit(character))
+        return F.replace(part, F.lit("\\"), F.lit(""))
+
+    parts = F.split(field, r"\\\\", -1)
+    return F.when(field.contains("\\"), F.array_join(F.transform(parts, resolved), "\\")).otherwise(field)
+
+
 CSV_QUOTED_RE = r'"(?:[^"]|"")*"'
 
 
@@ -339,14 +435,16 @@ def _csv_field_count(body):
 
 def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_col: str = "value",
               mode: str = "report", keep: Sequence[str] = ()) -> DataFrame:
-    """Parse raw CSV / JSON lines against the *table* schema (the server-side
+    """Parse raw lines of a text format against the *table* schema (the server-side
     parse of a raw load), with the table's null and default rules.
 
-    CSV: an empty field takes the column DEFAULT, else '' for strings and NULL
-    otherwise (an error for a non-nullable column); a line with the wrong
-    number of fields (quotes respected) is corrupt. JSON: an absent key takes
+    ``csv``: an empty field takes the column DEFAULT, else '' for strings and NULL
+    otherwise (an error for a non-nullable column); ``\\N`` is NULL; a line with the wrong
+    number of fields (quotes respected) is corrupt. ``json``: an absent key takes
     the DEFAULT, else NULL; an explicit ``null`` stays NULL; a line that is not
-    a JSON object is corrupt.
+    a JSON object is corrupt. ``tsv``: fields between tabs, with backslash escapes; ``\\N`` is
+    NULL, an empty field is as in CSV. ``json_rows``: a JSON array of the columns' values
+    in order; ``null`` is NULL.
 
     Staged projections: each line is parsed once (one struct column), then the
     typed values come from :func:`bind_columns` over plain field references.
@@ -363,8 +461,8 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
                        .alias("__rec"), _csv_field_count(F.col("__body")).alias("__nf"))
         shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
                      .when(F.col("__nf") != F.lit(n), F.lit(f"Expected {n} fields")))
-        fields = [F.col("__rec")[f"_f{i}"] for i in range(n)]
-        absent = [f.isNull() for f in fields]
+        held = [F.col("__rec")[f"_f{i}"] for i in range(n)]
+        fields, absent = [F.when(f != NULL_FIELD, f) for f in held], [f.isNull() for f in held]
     elif raw_format == "json":
         schema = ", ".join(f"`{c.name}` STRING" for c in table.columns)
         s2 = s1.select(*keep, "__line", F.from_json("__body", schema, {"mode": "PERMISSIVE"}).alias("__rec"),
@@ -373,13 +471,27 @@ def parse_raw(lines: DataFrame, table: TableSpec, raw_format: str = "csv", line_
                      .when(F.col("__keys").isNull() | F.col("__rec").isNull(), F.lit("Cannot parse JSON object")))
         fields = [F.col("__rec")[c.name] for c in table.columns]
         absent = [~F.coalesce(F.array_contains("__keys", c.name), F.lit(False)) for c in table.columns]
+    elif raw_format == "tsv":
+        s2 = s1.select(*keep, "__line", F.split("__body", "\t", -1).alias("__rec"))
+        shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
+                     .when(F.size("__rec") != F.lit(n), F.lit(f"Expected {n} fields")))
+        held = [F.get("__rec", F.lit(i)) for i in range(n)]
+        fields = [F.when((f != "") & (f != NULL_FIELD), unescaped(f)) for f in held]
+        absent = [F.coalesce(f == "", F.lit(False)) for f in held]
+    elif raw_format == "json_rows":
+        s2 = s1.select(*keep, "__line", F.from_json("__body", "array<string>", {"mode": "PERMISSIVE"}).alias("__rec"), (json_valid(F.col("__body")) & F.ltrim("__body").startswith("[")).alias("__ok"))
+        shape_err = (F.when(F.col("__line").isNull(), F.lit("Null record"))
+                     .when(~F.col("__ok") | F.col("__rec").isNull(), F.lit("Cannot parse JSON array"))
+                     .when(F.size("__rec") != F.lit(n), F.lit(f"Expected {n} fields")))
+        fields = [F.get("__rec", F.lit(i)) for i in range(n)]
+        absent = [F.lit(False)] * n
     else:
-        raise ValueError("raw_format must be 'csv' or 'json'")
+        raise ValueError(f"raw_format must be one of {', '.join(RAW_FORMATS)}")
     srcs = []
     for i, (c, f, miss) in enumerate(zip(table.columns, fields, absent)):
         if c.default is not None:
             src = F.when(miss, F.expr(c.default).cast("string")).otherwise(f)
-        elif raw_format == "csv" and c.type.name in ("String", "FixedString"):
+        elif raw_format in ("csv", "tsv") and c.type.name in ("String", "FixedString"):
             src = F.when(miss, F.lit("")).otherwise(f)
         else:
             src = F.when(~miss, f)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.operators.bindings import Binding, TableSpec
-from ladle.sinks.table import LoadOptions, check_before_load, load, read_table
+from ladle.sinks.table import LoadOptions, check_before_load, load, note_schema, read_table
 
 BATCH_COL = "_batch_id"
 STREAM_COL = "_stream"
@@ -73,14 +73,10 @@ class StreamLoadReport:
 
 def batch_writer(bindings: Sequence[Binding], path: str, stream: str, table: TableSpec | None = None,
                  options: LoadOptions | None = None, order: Sequence[str] | None = None,
-                 event_time: str | None = None, report: StreamLoadReport | None = None,
-                 fault: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
+                 event_time: str | None = None, report: StreamLoadReport | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of a stream load: the same :func:`load`
     (checked casts, batching, failure policy, observed metrics) per micro-batch,
     written to the micro-batch's folder with overwrite so a replay is idempotent.
-
-    ``fault(batch_id)`` is a test hook called after the batch is written and
-    before it is committed (it may raise to simulate a crash).
     """
     options = options or LoadOptions()
 
@@ -89,8 +85,6 @@ def batch_writer(bindings: Sequence[Binding], path: str, stream: str, table: Tab
                    event_time=event_time, write_mode="overwrite", check_target=False)
         if report is not None:
             report.add(batch_id, res.metrics)
-        if fault is not None:
-            fault(batch_id)
 
     return write
 
@@ -99,7 +93,7 @@ def stream_load(stream: DataFrame, bindings: Sequence[Binding], path: str, check
                 table: TableSpec | None = None, options: LoadOptions | None = None,
                 order: Sequence[str] | None = None, event_time: str | None = None,
                 available_now: bool = True, processing_time: str | None = None,
-                fault: Callable[[int], None] | None = None, query_name: str | None = None,
+                query_name: str | None = None,
                 report: StreamLoadReport | None = None):
     """Start (and, with ``available_now``, finish) a stream load.
 
@@ -109,8 +103,9 @@ def stream_load(stream: DataFrame, bindings: Sequence[Binding], path: str, check
     spark, options = stream.sparkSession, (options or LoadOptions()).validate()
     declared = T.StructType([T.StructField(b.name, b.type.spark_type(), True) for b in bindings])
     check_before_load(spark, path, declared, options)  # once, not per micro-batch
-    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, stream_id(spark, checkpoint), table, options, order, event_time, report,
-                                                     fault))
+    if options.target_format in ("parquet", "orc"):
+        note_schema(spark, path, table.schema() if table is not None else declared)
+    w = stream.writeStream.foreachBatch(batch_writer(bindings, path, stream_id(spark, checkpoint), table, options, order, event_time, report))
     w = w.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

@@ -134,19 +134,30 @@ def test_defaults_and_null(spark):
     assert [tuple(r) for r in out] == [(1, "omg", None), (2, "omg", 5)]
 
 
-def test_stream_restart_no_loss(spark, tmp):
+def test_stream_restart_no_loss(spark, tmp, monkeypatch):
     src = os.path.join(tmp, "in")
     spark.range(200).select(F.col("id").alias("k")).repartition(5).write.parquet(src)
     schema = spark.read.parquet(src).schema
     out, ckpt = os.path.join(tmp, "out"), os.path.join(tmp, "ckpt")
     b = [of("k", "k", "Int64")]
 
-    def crash(batch_id):
-        if batch_id == 2:
-            raise RuntimeError("boom")
+    from ladle.streaming import stream as module
 
-    with pytest.raises(Exception):
-        stream_load(file_stream(spark, src, schema, 1), b, out, ckpt, fault=crash)
+    whole = module.batch_writer
+
+    def crashing(*args):
+        own = whole(*args)
+
+        def write(df, batch_id):
+            own(df, batch_id)
+            if batch_id == 2:
+                raise RuntimeError("boom")
+
+        return write
+
+    with monkeypatch.context() as m, pytest.raises(Exception, match="boom"):
+        m.setattr(module, "batch_writer", crashing)
+        stream_load(file_stream(spark, src, schema, 1), b, out, ckpt)
     from ladle.streaming.stream import StreamLoadReport
 
     rep = StreamLoadReport()
