@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,11 +72,21 @@ def concat_arrays(df: DataFrame, key: Sequence[str], arr: str, out: str = "eleme
     return e.groupBy(*key, out).agg(F.count("_pos").cast("bigint").alias("count"))
 
 
+def _at_most(rows: DataFrame, key: Sequence[str], size: Column, most: int, of: str) -> DataFrame:
+    """``rows``; a key whose ``size`` exceeds ``most`` raises before any of its rows is collected.
+
+    The window and what is then grouped by the key share one shuffle.
+    """
+    sized = rows.withColumn("_n", size.over(Window.partitionBy(*key)))
+    checked = F.when(F.col("_n") > most, F.raise_error(F.lit(f"More than {most} {of} under one key")).cast("bigint")).otherwise(F.col("_n"))
+    return sized.withColumn("_n", checked).where(F.col("_n").isNull() | (F.col("_n") >= 0)).drop("_n")
+
+
 def as_array(rows: DataFrame, key: Sequence[str], out: str = "element", most: int = 1_000_000) -> DataFrame:
     """The multiset as one sorted array per key. A key with more than ``most`` elements raises: its array would not fit a row."""
-    sized = rows.groupBy(*key).agg(F.sum("count").alias("_n"), F.collect_list(F.when(F.col("count") > 0, F.struct(F.col(out).alias("e"), "count"))).alias("_parts"))
-    repeated = F.flatten(F.transform(F.array_sort("_parts"), lambda p: F.array_repeat(p["e"], p["count"].cast("int"))))
-    return sized.select(*key, F.when(F.col("_n") > most, F.raise_error(F.lit(f"More than {most} elements under one key"))).otherwise(repeated).alias("array"))
+    checked = _at_most(rows, key, F.sum("count"), most, "elements")
+    held = checked.groupBy(*key).agg(F.collect_list(F.when(F.col("count") > 0, F.struct(F.col(out).alias("e"), "count"))).alias("_parts"))
+    return held.select(*key, F.flatten(F.transform(F.array_sort("_parts"), lambda p: F.array_repeat(p["e"], p["count"].cast("int")))).alias("array"))
 
 
 def remerge_concat(partials: Sequence[DataFrame], key: Sequence[str], out: str = "element") -> DataFrame:
@@ -101,10 +111,9 @@ def remerge_sum_map(partials: Sequence[DataFrame], key: Sequence[str]) -> DataFr
 
 def as_map(rows: DataFrame, key: Sequence[str], most: int = 1_000_000) -> DataFrame:
     """sumMap rows as one map per key. A key with more than ``most`` map keys raises: its map would not fit a row."""
-    entries = F.collect_list(F.when(F.col("map_key").isNotNull(), F.struct("map_key", "value")))
-    sized = rows.groupBy(*key).agg(F.count("map_key").alias("_n"), entries.alias("_entries"))
-    return sized.select(*key, F.when(F.col("_n") > most, F.raise_error(F.lit(f"More than {most} map keys under one key"))).otherwise(
-        F.map_from_entries(F.array_sort("_entries"))).alias("map"))
+    checked = _at_most(rows, key, F.count("map_key"), most, "map keys")
+    held = checked.groupBy(*key).agg(F.collect_list(F.when(F.col("map_key").isNotNull(), F.struct("map_key", "value"))).alias("_entries"))
+    return held.select(*key, F.map_from_entries(F.array_sort("_entries")).alias("map"))
 
 
 def streaming_rollup(stream: DataFrame, key: Sequence[str], specs: Sequence[tuple[str, str, str | None]]) -> DataFrame:

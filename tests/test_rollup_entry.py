@@ -50,9 +50,9 @@ def test_oracles_on_smallest_tables(spark):
     assert not bad, bad
 
 
-def test_streaming_rollup_equals_batch_rollup(spark, tmp):
+def test_streaming_rollup_equals_batch_rollup(spark, tmp, monkeypatch):
     from ladle.streaming.rollup_stream import read_rollup, stream_rollup
-    from ladle.streaming.stream import file_stream
+    from ladle.streaming.stream import batch_folder, file_stream
 
     o = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet")).select(
         "o_custkey", F.col("o_totalprice").alias("mx"), F.col("o_orderstatus").alias("last"),
@@ -82,12 +82,22 @@ def test_streaming_rollup_is_exactly_once_across_a_crash(spark, tmp):
     out, ckpt = os.path.join(tmp, "rollup"), os.path.join(tmp, "ckpt")
     schema = spark.read.parquet(src).schema
 
-    def crash(batch_id):
+    from ladle.streaming import rollup_stream as module
+
+    tries = {"n": 0}
+
+    def crashing(path, name, batch_id):
+        # The folder is asked for when a partial is written; the next micro-batch's write fails behind it.
+        tries["n"] += 1
         if batch_id == 2:
+            rollup(spark.read.schema(schema).parquet(src), ["o_custkey"], specs).write.mode("overwrite").parquet(batch_folder(path, name, batch_id))
             raise RuntimeError("crash after writing version 2")
+        return batch_folder(path, name, batch_id)
 
-    with pytest.raises(Exception):
-        stream_rollup(file_stream(spark, src, schema, 1), ["o_custkey"], specs, out, ckpt, fault=crash)
+    with monkeypatch.context() as m, pytest.raises(Exception, match="crash after writing"):
+        m.setattr(module, "batch_folder", crashing)
+        stream_rollup(file_stream(spark, src, schema, 1), ["o_custkey"], specs, out, ckpt)
+    assert tries["n"] == 3
     stream_rollup(file_stream(spark, src, schema, 1), ["o_custkey"], specs, out, ckpt)
     got = {r.o_custkey: (r.mx, r.tot) for r in read_rollup(spark, out).collect()}
     exp = {r.o_custkey: (r.mx, r.tot) for r in rollup(o, ["o_custkey"], specs).collect()}
@@ -143,3 +153,47 @@ def test_keys_with_only_empty_collections_stay(spark):
     maps = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2, "b": 3}), (2, {}), (3, None)], "k int, m map<string,long>")
     rows = sum_map(maps, ["k"], "m")
     assert {r.k: r.map for r in as_map(remerge_sum_map([rows, rows], ["k"]), ["k"]).collect()} == {1: {"a": 6, "b": 6}, 2: {}, 3: {}}
+
+
+def test_compaction_in_place(spark, tmp):
+    """Partials are merged into snapshots while streams go on; a replayed micro-batch isn't counted twice; old snapshots stay until they expire."""
+    import os
+
+    import pytest
+
+    from ladle.operators.rollup import rollup
+    from ladle.streaming.rollup_stream import _keep_spec, compact_in_place, expire_snapshots, read_rollup, snapshots
+    from ladle.streaming.stream import batch_folder
+
+    path, specs = os.path.join(tmp, "t"), [("mx", "max", None), ("tot", "sum", None)]
+    assert read_rollup(spark, path) is None
+    _keep_spec(spark, path, ["k"], specs)
+    assert read_rollup(spark, path) is None and compact_in_place(spark, path) == 0
+
+    def batch(stream, number, *rows):
+        df = spark.createDataFrame([(k, v, v) for k, v in rows], "k int, mx long, tot long")
+        rollup(df, ["k"], specs).write.mode("overwrite").parquet(batch_folder(path, stream, number))
+
+    def found(snapshot=None):
+        return {r.k: (r.mx, r.tot) for r in read_rollup(spark, path, snapshot).collect()}
+
+    batch("a", 0, (1, 5), (2, 7))
+    batch("a", 1, (1, 6))
+    batch("b", 0, (1, 1))
+    assert compact_in_place(spark, path) == 1 and compact_in_place(spark, path) == 1 and found() == found(1) == {1: (6, 12), 2: (7, 7)}
+    batch("a", 1, (1, 6))  # replayed: its driver was lost before it committed
+    batch("a", 2, (3, 4))
+    assert found() == {1: (6, 12), 2: (7, 7), 3: (4, 4)} and found(1) == {1: (6, 12), 2: (7, 7)}
+    os.makedirs(batch_folder(path, "c", 0))  # being written: nothing of it counts yet
+    rollup(spark.createDataFrame([(9, 9, 9)], "k int, mx long, tot long"), ["k"], specs).write.parquet(os.path.join(path, "_snapshot=2"))  # an interrupted compaction
+    assert found() == {1: (6, 12), 2: (7, 7), 3: (4, 4)}
+    assert compact_in_place(spark, path) == 2 and found(2) == found() == {1: (6, 12), 2: (7, 7), 3: (4, 4)}
+    assert snapshots(spark, path) == {1: {"a": 1, "b": 0}, 2: {"a": 2, "b": 0}}
+    expire_snapshots(spark, path, keep=2)
+    assert found(1) == {1: (6, 12), 2: (7, 7)} and not os.path.exists(batch_folder(path, "a", 0)) and os.path.exists(batch_folder(path, "a", 2))
+    expire_snapshots(spark, path)
+    assert found() == {1: (6, 12), 2: (7, 7), 3: (4, 4)} and not os.path.exists(batch_folder(path, "a", 2))
+    with pytest.raises(ValueError):
+        found(1)
+    batch("b", 1, (2, 1))
+    assert found() == {1: (6, 12), 2: (7, 8), 3: (4, 4)}
