@@ -88,14 +88,21 @@ def _conform_wide_int(c: Column, t: TargetType) -> tuple[Column, Column]:
 
 
 def _conform_wide_decimal(c: Column, t: TargetType) -> tuple[Column, Column]:
-    """Decimal with precision above 38: exact digit-string check and canonical text."""
+    """Decimal with precision above 38: exact digit strings, rounded half up to the scale as Spark's own decimals are, and canonical text."""
     p, s = t.precision, t.scale
     txt = F.trim(c.cast("string"))
     ok_fmt = txt.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$")
     unsigned = F.regexp_replace(txt, r"^[+-]", "")
-    int_part = F.regexp_replace(F.split_part(unsigned, F.lit("."), F.lit(1)), r"^0+", "")
-    frac_part = F.regexp_replace(F.split_part(unsigned, F.lit("."), F.lit(2)), r"0+$", "")
-    fits = (F.length(int_part) <= p - s) & (F.length(frac_part) <= s)
+    frac = F.split_part(unsigned, F.lit("."), F.lit(2))
+    # The digits without a point, as far as the scale goes; rounding up turns the nines at the end to zeros and adds one before.
+    digits = F.concat(F.lit("0"), F.split_part(unsigned, F.lit("."), F.lit(1)), F.rpad(F.substring(frac, 1, s), s, "0") if s else F.lit(""))
+    kept = F.regexp_replace(digits, "9+$", "")
+    raised = F.concat(F.substring(kept, F.lit(1), F.length(kept) - 1), (F.substring(kept, -1, 1).cast("int") + 1).cast("string"),
+                      F.repeat(F.lit("0"), F.length(digits) - F.length(kept)))
+    rounded = F.when(F.substring(frac, s + 1, 1) >= "5", raised).otherwise(digits)
+    int_part = F.regexp_replace(F.substring(rounded, F.lit(1), F.length(rounded) - s), r"^0+", "")
+    frac_part = F.regexp_replace(F.substring(rounded, F.length(rounded) - s + 1, F.lit(s)), r"0+$", "") if s else F.lit("")
+    fits = F.length(int_part) <= p - s
     int_txt = F.when(int_part == "", F.lit("0")).otherwise(int_part)
     body = int_txt if s == 0 else F.concat(int_txt, F.lit("."), F.rpad(frac_part, s, "0"))
     is_zero = (int_part == "") & (frac_part == "")
@@ -105,19 +112,17 @@ def _conform_wide_decimal(c: Column, t: TargetType) -> tuple[Column, Column]:
 
 
 def json_valid(s: Column) -> Column:
-    """True where ``s`` is exactly one JSON value.
-
-    Spark's JSON parser stops after the first value and ignores what follows,
-    so the text is parsed wrapped as ``[s]`` and ``[s,0]``: only a single value
-    gives arrays of exactly 1 and 2 elements (a ``]`` inside ``s`` would close
-    the array early and break the second count). Invalid text gives NULL. That
-    parser takes single quotes and raw control characters; the VARIANT parser is
-    strict about both (and about an object's keys: each may occur once).
+    """True where ``s`` is exactly one JSON value, by one parse.
+
+    The VARIANT parser is strict (about quotes, control characters, and an object's
+    keys: each may occur once), but stops after the first value and ignores what
+    follows. So the text is parsed as the first entry of an array whose second is its own
+    digest: more than one value, or a bracket that closes the array early, puts
+    something else in that place.
     """
-    w1 = F.concat(F.lit("["), s, F.lit("]"))
-    w2 = F.concat(F.lit("["), s, F.lit(",0]"))
-    one_value = (F.json_array_length(w1) == 1) & (F.json_array_length(w2) == 2)
-    return F.coalesce(one_value & F.try_parse_json(w1).isNotNull(), F.lit(False))
+    digest = F.md5(s)
+    parsed = F.try_parse_json(F.concat(F.lit("["), s, F.lit(',"'), digest, F.lit('"]')))
+    return F.coalesce(F.try_variant_get(parsed, "$[1]", "string") == digest, F.lit(False))
 
 
 def _session_is_utc() -> bool:
