@@ -49,8 +49,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality rules", quality), ("near copies", near_copies), ("secrets", no_secrets), ("mixture", mixture), ("token ids", token_ids)]
-#: The stages' classifiers, hashes and tokenizer are beyond SQL; tests hold each stage's rows against its operator's decisions,
-#: and the ids against an outside tokenizer.
+#: The stages' classifiers, hashes and tokenizer are beyond SQL; tests hold the rows of run() on a small folder against plain Python.
 ORACLE_SQL = None
 
 
