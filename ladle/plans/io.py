@@ -99,8 +99,9 @@ def q_sink_batches(spark, sf_dir):
     path = scratch_path(spark, "orders-batches")
     load_batches(table(spark, sf_dir, "orders"), [of(c, c, t) for c, t in ORDER_BINDINGS], path, "all", LoadOptions(max_batch_size=BATCH_ROWS))
     files = read_table(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
-    read = files.agg(F.sum("n").alias("rows_read"), F.sum("keys").cast("bigint").alias("key_sum"), F.max("n").alias("most"), F.count(F.lit(1)).alias("files"))
-    return load_log(spark, path).crossJoin(read).select(  # a row each
+    read = files.groupBy(F.regexp_extract("file", "([^/]+)/part-[^/]+/[^/]+$", 1).alias("load_id")).agg(
+        F.sum("n").alias("rows_read"), F.sum("keys").cast("bigint").alias("key_sum"), F.max("n").alias("most"), F.count(F.lit(1)).alias("files"))
+    return load_log(spark, path).join(read, "load_id").select(
         F.col("rows").alias("n_rows"), F.col("bytes").alias("n_bytes"), "rows_read", "key_sum",
         (F.col("most") <= BATCH_ROWS).alias("within_limit"), (F.col("files") == F.col("batches")).alias("file_per_batch"))
 

@@ -183,6 +183,7 @@ def test_wide_integers_against_python_ints(spark):
 
 def test_decimal256_against_python_decimals(spark):
     import random
+    from decimal import ROUND_HALF_UP, localcontext
     from decimal import Decimal as D
 
     rng = random.Random(11)
@@ -196,15 +197,26 @@ def test_decimal256_against_python_decimals(spark):
     p, sc = 76, 3
     r = conform(F.col("s"), T.StringType(), f"Decimal({p}, {sc})", "c")
     for row in df.select("s", r.value.alias("v"), r.error.isNull().alias("ok")).collect():
-        d = D(row.s)
+        with localcontext(prec=120):  # digits beyond the scale are rounded half up, as for narrower decimals
+            d = D(row.s).quantize(D(1).scaleb(-sc), ROUND_HALF_UP)
         int_digits = len(str(abs(int(d)))) if abs(int(d)) > 0 else 0
-        frac = row.s.split(".")[1].rstrip("0") if "." in row.s else ""
-        exp_ok = int_digits <= p - sc and len(frac) <= sc
+        exp_ok = int_digits <= p - sc
         assert row.ok == exp_ok, row.s
         if exp_ok:
             assert D(row.v) == d and len(row.v.split(".")[1]) == sc, (row.s, row.v)
 
 
+def test_decimal256_carries(spark):
+    """Rounding up through nines, to another digit, out of the precision, and to nothing."""
+    cases = {"9.9995": "10.000", "-0.9999": "-1.000", "0.0004": "0.000", "-0.0004": "0.000", "1.0005": "1.001", "9" * 72 + ".9995": "1" + "0" * 72 + ".000",
+             "9" * 73 + ".9995": None, "9" * 73 + ".9994": "9" * 73 + ".999", ".5": "0.500", "7.": "7.000", "+1.9": "1.900", "": None, ".": None, "1e3": None}
+    df = spark.createDataFrame([(v,) for v in cases], "s string")
+    r = conform(F.col("s"), T.StringType(), "Decimal(76, 3)", "c")
+    assert {x.s: x.v if x.ok else None for x in df.select("s", r.value.alias("v"), r.error.isNull().alias("ok")).collect()} == cases
+    r = conform(F.col("s"), T.StringType(), "Decimal(40, 0)", "c")
+    assert {x.v for x in spark.createDataFrame([("9.5",), ("9.4",)], "s string").select(r.value.alias("v")).collect()} == {"10", "9"}
+
+
 def test_narrow_integers_against_python(spark):
     import random
 

@@ -50,7 +50,7 @@ def test_oracles_on_smallest_tables(spark):
     assert not bad, bad
 
 
-def test_streaming_rollup_equals_batch_rollup(spark, tmp, monkeypatch):
+def test_streaming_rollup_equals_batch_rollup(spark, tmp):
     from ladle.streaming.rollup_stream import read_rollup, stream_rollup
     from ladle.streaming.stream import batch_folder, file_stream
 
@@ -68,11 +68,11 @@ def test_streaming_rollup_equals_batch_rollup(spark, tmp, monkeypatch):
     assert got == exp
 
 
-def test_streaming_rollup_is_exactly_once_across_a_crash(spark, tmp):
+def test_streaming_rollup_is_exactly_once_across_a_crash(spark, tmp, monkeypatch):
     import pytest
 
     from ladle.streaming.rollup_stream import read_rollup, stream_rollup
-    from ladle.streaming.stream import file_stream
+    from ladle.streaming.stream import batch_folder, file_stream
 
     o = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet")).select(
         "o_custkey", F.col("o_totalprice").alias("mx"), F.col("o_totalprice").cast("decimal(38,4)").alias("tot"))
