@@ -100,8 +100,10 @@ def _conform_wide_decimal(c: Column, t: TargetType) -> tuple[Column, Column]:
     raised = F.concat(F.substring(kept, F.lit(1), F.length(kept) - 1), (F.substring(kept, -1, 1).cast("int") + 1).cast("string"),
                       F.repeat(F.lit("0"), F.length(digits) - F.length(kept)))
     rounded = F.when(F.substring(frac, s + 1, 1) >= "5", raised).otherwise(digits)
-    int_part = F.regexp_replace(F.substring(rounded, F.lit(1), F.length(rounded) - s), r"^0+", "")
-    frac_part = F.regexp_replace(F.substring(rounded, F.length(rounded) - s + 1, F.lit(s)), r"0+$", "") if s else F.lit("")
+    # Most values have no digits beyond the scale: nothing of the rounding is worked out for them.
+    beyond = F.substring(frac, s + 1, p).rlike("[1-9]")
+    int_part = F.regexp_replace(F.when(beyond, F.substring(rounded, F.lit(1), F.length(rounded) - s)).otherwise(F.split_part(unsigned, F.lit("."), F.lit(1))), r"^0+", "")
+    frac_part = F.regexp_replace(F.when(beyond, F.substring(rounded, F.length(rounded) - s + 1, F.lit(s))).otherwise(F.substring(frac, 1, s)), r"0+$", "") if s else F.lit("")
     fits = F.length(int_part) <= p - s
     int_txt = F.when(int_part == "", F.lit("0")).otherwise(int_part)
     body = int_txt if s == 0 else F.concat(int_txt, F.lit("."), F.rpad(frac_part, s, "0"))
