@@ -4,8 +4,10 @@ On a bounded sample (``SAMPLE`` vectors, in the order of a hash of their id) the
 of nearest neighbours is cut into parts of equal size by spectral bisection, and a
 small softmax classifier learns which parts a vector's neighbours lie in. Every vector
 is then indexed under its ``SPILL`` most probable parts, and every query looks through
-the ``PROBES`` most probable ones (more, while those hold too few vectors), comparing the
-original vectors exactly.
+the most probable ones (more, while those hold too few vectors), comparing the
+original vectors exactly. How many it looks through is measured: the fewest by which ``HELD_OUT``
+further vectors find ``RECALL`` of their nearest ones in the sample. Where vectors lie in
+clusters that is a few parts; where their directions are independent, it is most.
 
 A part is split into blocks of about ``BLOCK`` vectors by a hash of the id, so neither
 a large part nor a vector that many rows share ends in one task; of rows with equal
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE = 4096
+SAMPLE, HELD_OUT = 4096, 512
 DEGREE = 12
-PARTS = 32
-#: Parts that a vector is indexed under, and parts that a query looks through.
-SPILL = 2
-PROBES = 16
+PARTS = 128
+#: Parts that a vector is indexed under.
+SPILL = 1
+#: The share of nearest vectors that held-out ones have to find in the sample.
+RECALL = 0.95
 NEIGHBOURS = 5
 BLOCK = 16_384
 STEPS = 200
@@ -44,11 +47,12 @@ STEPS = 200
 
 @dataclass(frozen=True)
 class Router:
-    """A softmax classifier from unit vectors to parts."""
+    """A softmax classifier from unit vectors to parts, and how many parts a query should look through."""
 
     size: int
     weights: np.ndarray
     bias: np.ndarray
+    probes: int = 1
 
     def scores(self, unit: np.ndarray) -> np.ndarray:
         return unit @ self.weights + self.bias
@@ -59,8 +63,13 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, number) & F.exists(vector, lambda x: x != 0)
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest components are about 1 and no square over- or underflows."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, initial=0))[1][:, None])
+
+
 def matrix(vectors: pa.Array, size: int) -> np.ndarray:
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    return scaled(vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size))
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -127,13 +136,30 @@ def _usable(vectors: DataFrame, vector: str, key: str) -> DataFrame:
     return vectors.select(vectors[key].cast("long").alias("id"), vectors[vector].cast(kind).alias("vector")).where(F.col("id").isNotNull() & valid(F.col("vector")))
 
 
-def fit(vectors: DataFrame, *, vector: str = "embedding", key: str = "vec_id", parts: int = PARTS, sample: int = SAMPLE) -> Router | None:
-    """The router, from at most ``sample`` vectors; None for a table without usable ones."""
-    rows = [r.vector for r in _usable(vectors, vector, key).orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
+def fit(vectors: DataFrame, *, vector: str = "embedding", key: str = "vec_id", parts: int = PARTS, sample: int = SAMPLE, held_out: int = HELD_OUT,
+        recall: float = RECALL) -> Router | None:
+    """The router, from at most ``sample`` vectors, and its probes, from ``held_out`` more; None for a table without usable ones."""
+    rows = [r.vector for r in _usable(vectors, vector, key).orderBy(F.xxhash64("id"), "id").limit(sample + held_out).collect()]
     if not rows:
         return None
     size = Counter(map(len, rows)).most_common(1)[0][0]
-    return fit_router(np.array([r for r in rows if len(r) == size], np.float64), parts)
+    found = scaled(np.array([r for r in rows if len(r) == size], np.float64))
+    router = fit_router(found[:sample], parts)
+    return replace(router, probes=measured_probes(router, found[:sample], found[sample:], recall))
+
+
+def measured_probes(router: Router, rows: np.ndarray, asks: np.ndarray, recall: float, count: int = NEIGHBOURS, spill: int = SPILL) -> int:
+    """The fewest parts by which ``asks`` find ``recall`` of their ``count`` nearest ``rows``; all parts without enough of either."""
+    parts = len(router.bias)
+    if len(rows) <= count or not len(asks):
+        return parts
+    asks, rows = unit_rows(asks), unit_rows(rows)
+    under = np.argsort(-router.scores(rows), axis=1, kind="stable")[:, :spill]
+    rank = np.argsort(np.argsort(-router.scores(asks), axis=1, kind="stable"), axis=1, kind="stable")
+    near = np.argpartition(-(asks @ rows.T), count - 1, axis=1)[:, :count]
+    # The first look that meets each of the nearest.
+    first = np.sort(np.array([rank[i, under[own]].min(1) for i, own in enumerate(near)]).ravel())
+    return int(first[min(len(first), max(1, int(np.ceil(recall * len(first))))) - 1]) + 1
 
 
 def _nearest(asking: np.ndarray, ask: np.ndarray, ids: np.ndarray, rows: np.ndarray, count: int) -> list[tuple[int, int, float]]:
@@ -166,13 +192,17 @@ def _nearest(asking: np.ndarray, ask: np.ndarray, ids: np.ndarray, rows: np.ndar
 
 
 def search(vectors: DataFrame, queries: DataFrame, router: Router | None, *, vector: str = "embedding", key: str = "vec_id", count: int = NEIGHBOURS,
-           probes: int = PROBES, spill: int = SPILL, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the ``count`` nearest rows of ``vectors`` to each row of ``queries``, by cosine."""
+           probes: int | None = None, spill: int = SPILL, block: int = BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the ``count`` nearest rows of ``vectors`` to each row of ``queries``, by cosine.
+
+    A query looks through ``probes`` parts: as many as the router was measured to need, unless told.
+    """
     spark = vectors.sparkSession
     result = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()),
                            T.StructField("score", T.DoubleType())])
     if router is None:
         return spark.createDataFrame([], result)
+    probes = probes or router.probes
     rows = _usable(vectors, vector, key).where(F.size("vector") == router.size)
     asks = _usable(queries, vector, key).where(F.size("vector") == router.size).dropDuplicates(["id"])
     indexed_type = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("id", T.LongType()), rows.schema["vector"]])
