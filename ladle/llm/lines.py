@@ -7,7 +7,7 @@ others, those are kept whose content lines (by Viterbi decoding) hold at least
 
 The field is fitted on a bounded sample of labelled documents: up to
 ``SAMPLE_ROWS`` of each quality, in the order of a hash of the key, up to
-``SAMPLE_CHARS`` characters long. All lines of a document bear its quality as
+``SAMPLE_CHARS`` characters and ``SAMPLE_LINES`` lines long (of rows that share a key, the least text). All lines of a document bear its quality as
 label; the features, shared by all, decide which lines of a mixed document look
 like either kind. Without labels of both kinds every line is content.
 
@@ -34,7 +34,7 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 SAMPLE_ROWS = 600
-SAMPLE_CHARS = 50_000
+SAMPLE_CHARS, SAMPLE_LINES = 50_000, 1000
 #: Lines of a training sequence; longer documents are cut into several.
 SEQUENCE_LINES = 64
 STEPS = 120
@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
     known = labels.select(labels[key].alias("key"), labels[label].alias("label")).where("key is not null and label in (0, 1)")
     some = known.where("label = 0").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).union(
         known.where("label = 1").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS)).groupBy("key").agg(F.min("label").alias("label"))
-    texts = docs.select(docs[key].alias("key"), docs[text].alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    short = (F.length("text") <= SAMPLE_CHARS) & (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < SAMPLE_LINES)
+    texts = docs.select(docs[key].alias("key"), docs[text].alias("text")).where(short)
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("lines", T.BinaryType())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "d
             raw = [np.array(_lines(x or "")[1], np.float32).tobytes() for x in rows.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(raw, pa.binary())], names=schema.fieldNames())
 
-    sample = texts.join(F.broadcast(some), "key").select(F.col("key").cast("long"), F.col("label").cast("int"), "text")
-    rows = sorted(sample.mapInArrow(measure, schema).limit(4 * SAMPLE_ROWS).collect())
+    # A text of each key, whatever rows repeat it.
+    one = texts.join(F.broadcast(some), "key").groupBy("key").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+    rows = sorted(one.select(F.col("key").cast("long"), F.col("label").cast("int"), "text").mapInArrow(measure, schema).collect())
     return fit_field([np.frombuffer(r.lines, np.float32).reshape(-1, FEATURES).astype(float) for r in rows], [1 - r.label for r in rows])
 
 
@@ -236,4 +238,6 @@ def keep(docs: DataFrame, field: Field, *, text: str = "text", keep_share: float
         for rows in batches:
             yield rows.filter(pa.array([passes(x.as_py() or "") for x in rows.column(place)], pa.bool_()))
 
-    return docs.mapInArrow(keep_batches, docs.schema)
+    # Under plain names: Spark takes a point in a name for a field's.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep_batches, plain.schema).toDF(*docs.columns)

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from ladle.llm.arrays import load, save
 from ladle.llm.components import components
+from ladle.llm.names import every, unused
 from ladle.llm.shingles import GOLDEN, WordHashes, mix, shingles
 
 WIDTH = 5
@@ -321,8 +322,8 @@ def classes(docs: DataFrame, work: str, *, text: str = "text", key: str = "doc_i
 def keep_one(docs: DataFrame, work: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each class, that of the least key; rows with a null key stay."""
     found = classes(docs, work, text=text, key=key)
-    name = "__kept"
+    name, = unused(docs, "kept")
     first = found.where(F.col(key) == F.col("class_id")).select(F.col(key).cast(docs.schema[key].dataType).alias(name)).distinct()
     kept = docs.join(first.hint("shuffle_hash"), docs[key] == F.col(name), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(docs[key].isNull())).select(*docs.columns)
+    return kept.unionByName(docs.where(docs[key].isNull())).select(*every(docs))
 

@@ -45,7 +45,7 @@ def test_rates_stay_nonnegative_where_targets_clash(spark, work):
     metric = np.linalg.pinv((p * n[:, None]).T @ p)
     plain = np.ones(200)
     for _ in range(mixing.MOST_STEPS):
-        plain = np.maximum(0, plain - p @ (metric @ gap(plain)))
+        plain = np.clip(plain - p @ (metric @ gap(plain)), 0, mixing.MOST_RATE)
     assert abs(gap(rates) @ metric @ gap(rates) - gap(plain) @ metric @ gap(plain)) < 1e-6 * n.sum()
 
 
@@ -89,7 +89,7 @@ def test_rates_converge_where_many_fall_to_nothing(spark, work):
         targets = [float(n.sum() * x) for x in wanted]
         table = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, posterior array<double>").coalesce(1)
         folder = work()
-        fitted, gap = mixing.settle_rates(mixing.fit_rates(table, targets, folder), targets, folder)
+        fitted, gap = mixing.settle_rates(mixing.fit_rates(table, targets, folder, 1e6), targets, folder, 1e6)
         rows = fitted.collect()
         assert min(x.rate for x in rows) == 0
         totals = np.array([x.rate * x.n_tokens for x in rows]) @ np.array([x.posterior for x in rows])
@@ -97,3 +97,37 @@ def test_rates_converge_where_many_fall_to_nothing(spark, work):
         assert np.allclose(gap, converged(n, p, np.array(targets)), atol=1e-5 * n.sum())
         met.append(bool(np.abs(gap).max() < 1e-6 * n.sum()))
     assert met == [True, False]
+
+
+def test_no_rate_exceeds_its_bound(spark, work):
+    """Three good documents among many poor ones can't make up most of the tokens; what is short is reported."""
+    rows = [(i, "stone river walks slowly home again quiet evening" if i < 3 else "click buy free now offer deal cheap best price") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "good" if i < 3 else "poor") for i in range(40)], "doc_id long, domain string")
+    for most in (mixing.MOST_RATE, 3.0):
+        folder = work()
+        found = {r.doc_id: r.rate for r in mixing.rates(docs, labels, {"good": 0.9, "poor": 0.1}, folder, most=most).collect()}
+        assert max(found.values()) == most and all(abs(found[i] - most) < 1e-9 for i in range(3)) and min(found.values()) >= 0
+        gap = {r.domain: (r.target, r.gap) for r in spark.read.parquet(f"{folder}/gap").collect()}
+        assert gap["good"][1] < -0.5 * gap["good"][0]
+    out = mixing.mixed(docs, labels, {"good": 0.9, "poor": 0.1}, work(), most=3.0)
+    assert {r.doc_id: r["count"] for r in out.where("doc_id < 3").groupBy("doc_id").count().collect()} == {0: 3, 1: 3, 2: 3}
+
+
+def test_bounded_rates_against_a_plain_solver(spark, work):
+    """Targets that some documents' bounds stand in the way of: the same least gap as projected gradient run to the end."""
+    rng = np.random.default_rng(5)
+    p, n = rng.dirichlet((0.4, 0.4, 0.4), 150), rng.integers(1, 40, 150)
+    targets = np.array([0.8, 0.15, 0.05]) * n.sum()
+    table = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(n, p))], "at long, n_tokens long, posterior array<double>")
+    metric = np.linalg.pinv((p * n[:, None]).T @ p)
+    for most in (1.2, 2.0, 8.0):
+        folder = work()
+        fitted, gap = mixing.settle_rates(mixing.fit_rates(table, targets.tolist(), folder, most), targets.tolist(), folder, most)
+        rate = np.array([r.rate for r in fitted.orderBy("at").collect()])
+        plain = np.ones(150)
+        for _ in range(30_000):
+            plain = np.clip(plain - p @ (metric @ ((plain * n) @ p - targets)), 0, most)
+        least = (plain * n) @ p - targets
+        assert rate.min() >= 0 and rate.max() <= most and np.allclose((rate * n) @ p - targets, gap, atol=1e-6 * n.sum())
+        assert gap @ metric @ gap <= least @ metric @ least + 1e-6 * n.sum()

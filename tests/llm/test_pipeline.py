@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered(spark):
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == []
     assert "pipeline" in names and "op4_chat_format" in entry.oracle_sql()
 
 
