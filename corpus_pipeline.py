@@ -17,14 +17,20 @@ from ladle.llm.queries import TARGETS
 from ladle.plans.registry import scratch_path, table
 from ladle.session import configure
 
+#: Bytes of rows handed to a Python worker at once. Executors go from stage to stage with a heap that has grown to its
+#: full size, so what a batch takes beside it, in the executor and in each worker, is kept small.
+BATCH_BYTES = 4 * 1024 * 1024
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or hold mostly boilerplate lines go."""
+    configure(spark, BATCH_BYTES)
     return lines.keep(docs, lines.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of exact and near copies stays, the one of the least id."""
+    configure(spark, BATCH_BYTES)
     return nearcopies.keep_one(docs, scratch_path(spark, "pipeline-copies"))
 
 
@@ -44,6 +50,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of each document."""
+    configure(spark, BATCH_BYTES)
     coded = bytebpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,8 +103,8 @@ class RankQueue:
         return rank, np.unique(bucket[0] if len(bucket) == 1 else np.concatenate(bucket))
 
 
-def merge(pieces: list[bytes], merges: Merges) -> list[tuple[int, ...]]:
-    """Ids of each pre-token."""
+def merge(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pre-tokens, and how many each has."""
     flat = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(flat)
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -160,13 +159,28 @@ def merge(pieces: list[bytes], merges: Merges) -> list[tuple[int, ...]]:
         pair_rank[changed] = ranks
         pair_rank[n] = -1
         queue.push(ranks[has], changed[has])
-    out = ids[:n][alive].tolist()
-    cuts = np.append(0, np.cumsum(np.bincount(piece[alive], minlength=len(pieces)))).tolist()
-    return [tuple(out[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return ids[:n][alive], np.bincount(piece[alive], minlength=len(pieces))
+
+
+class Numbers(dict):
+    """A number for each pre-token, in the order they are first asked for."""
+
+    def __init__(self) -> None:
+        self.fresh, self.asked = [], 0
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = self.asked
+        self.asked += 1
+        self.fresh.append(piece)
+        return number
 
 
 class Codec:
-    """Encoder and decoder of one rank file, with a bounded cache of pre-tokens."""
+    """Encoder and decoder of one rank file, with a bounded store of pre-tokens.
+
+    A pre-token is kept as a number, and the ids of all of them as one array: that
+    takes far less memory than an object for each id.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         import regex
@@ -176,21 +190,41 @@ class Codec:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.merges = Merges(self.ranks)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.flat, self.sizes = Numbers(), np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's end. The pre-tokens that aren't kept yet merge together."""
+        if self.numbers.asked > CACHE_ENTRIES:
+            self._forget()
+        numbers = self.numbers
+        split = []
+        for text in texts:
+            pieces = self.pieces(text)
+            split.append(np.fromiter(map(numbers.__getitem__, pieces), np.int32, len(pieces)))
+        fresh, numbers.fresh = numbers.fresh, []
+        found, of_each = merge([x.encode() for x in fresh], self.merges)
+        flat, sizes = np.concatenate((self.flat, found)), np.concatenate((self.sizes, of_each))
+        long = [k for k, x in enumerate(fresh) if len(x) > CACHE_PIECE_CHARS]
+        if long:
+            found = np.delete(found, np.flatnonzero(np.isin(np.repeat(np.arange(len(fresh)), of_each), long)))
+            of_each[long] = 0
+            for k in long:
+                del numbers[fresh[k]]
+        self.flat, self.sizes = np.concatenate((self.flat, found)), np.concatenate((self.sizes, of_each))
+        begins = np.cumsum(sizes) - sizes
+        asked = np.concatenate(split) if split else np.empty(0, np.int32)
+        upto = np.append(0, np.cumsum(sizes[asked]))
+        source = np.repeat(begins[asked] - upto[:-1], sizes[asked])
+        source += np.arange(len(source))
+        return flat[source], upto[np.cumsum([len(x) for x in split], dtype=np.int64)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. The pre-tokens of all of them that aren't kept yet merge together."""
-        split = [self.pieces(text) for text in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.cache))
-        found = self.cache
-        found.update(zip(new, merge([x.encode() for x in new], self.merges)))
-        out = [list(chain.from_iterable(map(found.__getitem__, pieces))) for pieces in split]
-        for piece in new:
-            if len(piece) > CACHE_PIECE_CHARS:
-                del found[piece]
-        return out
+        """Ids of each text."""
+        flat, ends = self.encode_flat(texts)
+        return [flat[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -214,25 +248,27 @@ def encode(docs: DataFrame, path: str, pattern: str, *, text: str = "text", key:
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
 
-        def batch(keys: pa.Array, lists: list[list[int]]) -> pa.RecordBatch:
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(lists), np.int32, ends[-1])
-            columns = [keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+        def batch(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
+            flat, ends = own.encode_flat(texts)
+            columns = [keys, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat))]
             if decoded:
-                columns.append(pa.array(map(own.decode, lists), pa.binary()))
+                raw = map(own.decode, (flat[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())))
+                columns.append(pa.array(raw, pa.binary()))
             return pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
+        keys, chunk, held = [], [], 0
         for rows in batches:
-            keys, chunk, held, first = rows.column(0), [], 0, 0
-            for value in rows.column(1):
+            first = 0
+            for at, value in enumerate(rows.column(1)):
                 value = value.as_py() or ""
                 if chunk and held + len(value) > CHUNK_CHARS:
-                    yield batch(keys.slice(first, len(chunk)), own.encode(chunk))
-                    first, chunk, held = first + len(chunk), [], 0
+                    yield batch(pa.concat_arrays([*keys, rows.column(0).slice(first, at - first)]), chunk)
+                    keys, chunk, held, first = [], [], 0, at
                 chunk.append(value)
                 held += len(value)
-            if chunk:
-                yield batch(keys.slice(first, len(chunk)), own.encode(chunk))
+            keys.append(rows.column(0).slice(first))
+        if chunk:
+            yield batch(pa.concat_arrays(keys), chunk)
 
     return docs.select(docs[key], docs[text]).mapInArrow(encode_batches, schema)
 

@@ -36,17 +36,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 ARROW_BATCH_BYTES = 64 * 1024 * 1024
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, batch_bytes: int = ARROW_BATCH_BYTES) -> SparkSession:
     """Set the session options the loader relies on: UTC everywhere, and an
-    Arrow batch byte cap so wide rows cannot make one Python batch huge."""
+    Arrow batch byte cap so wide rows cannot make one Python batch huge. A lower
+    cap that is set already stays."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     try:
         cur = int(str(spark.conf.get(key)).rstrip("bB").rstrip("kKmMgG") or 0)
     except (ValueError, Exception):  # noqa: BLE001 - unparsable / unknown: leave it
         cur = 0
-    if cur <= 0 or cur > ARROW_BATCH_BYTES:
-        spark.conf.set(key, str(ARROW_BATCH_BYTES))
+    if cur <= 0 or cur > batch_bytes:
+        spark.conf.set(key, str(batch_bytes))
     ensure_checkpoint_dir(spark)
     return spark
 
