@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,32 +49,48 @@ END = xxhash.xxh64_intdigest(b"\n")
 #: Bits of a word's id, at most; the id of all ones marks what is before a text's first word.
 MOST_BITS = 32
 ROUNDS = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
-CHUNK_TOKENS = 1_500_000
-SCORE_TOKENS = 700_000
-CACHE_ENTRIES = 400_000
+#: Bytes of text counted and scored together.
+CHUNK_BYTES = 10_000_000
+SCORE_BYTES = 5_000_000
 PACKED = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("packed", T.BinaryType()), T.StructField("total", T.LongType()),
                        T.StructField("distinct", T.LongType()), T.StructField("seen", T.ArrayType(T.LongType()))])
 PAIR_STATS = ("after", "after1", "after2", "after3")
 WORD_STATS = ("before", *PAIR_STATS)
 
 
-class Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def tokens(texts: list[str], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all tokens, and how many each text has; ``bytes.split`` cuts at ASCII white space exactly."""
-    if len(hashes) > CACHE_ENTRIES:
-        hashes.clear()
-    found = []
-    for text in texts:
-        words = text.encode().lower().split()
-        found.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-        found.append(np.array([END], np.uint64))
-    sizes = np.fromiter((len(x) + 1 for x in found[::2]), np.int64, len(texts))
-    return (np.concatenate(found) if found else np.empty(0, np.uint64)), sizes
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct tokens' hashes, ascending; the place of every token among them; how many tokens each text has.
+
+    Arrow lowers, cuts at ASCII white space and tells words apart, so each distinct word is hashed once.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded = split.flatten().dictionary_encode()
+    code, ends = coded.indices.to_numpy(), split.offsets.to_numpy().astype(np.int64)
+    ends = ends - ends[0]
+    data, upto = coded.dictionary.buffers()[2], np.append(0, np.cumsum(pc.binary_length(coded.dictionary).to_numpy(), dtype=np.int64))
+    raw, upto = data.to_pybytes() if data else b"", upto.tolist()
+    words = list(map(raw.__getitem__, map(slice, upto, upto[1:])))
+    used = np.arange(len(words))
+    if b"" in words:  # what Arrow sees before, after and instead of words
+        blank = words.index(b"")
+        there = code != blank
+        code, ends, used = code[there], np.append(0, np.cumsum(there))[ends], np.delete(used, blank)
+    of_code = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    hashes, place = np.unique(np.append(of_code[used], np.array([END] if len(texts) else [], np.uint64)), return_inverse=True)
+    of_all = np.zeros(len(words) + 1, np.int64)
+    of_all[used] = place[:len(used)]
+    if len(texts):
+        of_all[-1] = place[-1]
+    return hashes, of_all[np.insert(code, ends[1:], len(words))], np.diff(ends) + 1
+
+
+def _cuts(texts: pa.Array, size: int) -> list[int]:
+    """Where to cut texts into runs of about ``size`` bytes; a longer text stands alone."""
+    upto, cuts = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64), [0]
+    while cuts[-1] < len(texts):
+        before = upto[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(upto, before + size, side="right"))))
+    return cuts
 
 
 def _batch(shards: list[int], packed: list[bytes | None], total: list[int] | None = None, distinct: list[int] | None = None,
@@ -83,20 +100,22 @@ def _batch(shards: list[int], packed: list[bytes | None], total: list[int] | Non
                                        pa.array(distinct or none, pa.int64()), pa.array(seen or none, pa.list_(pa.int64()))], names=PACKED.fieldNames())
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Token hashes of whole texts, about ``size`` at a time, and the texts' sizes."""
-    hashes, held, sizes, n = Hashes(), [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``tokens`` of whole texts, about ``size`` bytes at a time."""
+    held, n = [], 0
     for rows in batches:
-        for first in range(0, rows.num_rows, 200):
-            own, own_sizes = tokens([x or "" for x in rows.column(0).slice(first, 200).to_pylist()], hashes)
-            held.append(own)
-            sizes.append(own_sizes)
-            n += len(own)
-            if n >= size:
-                yield np.concatenate(held), np.concatenate(sizes)
-                held, sizes, n = [], [], 0
+        texts = rows.column(0)
+        cuts = _cuts(texts, size)
+        for first, end in zip(cuts, cuts[1:]):
+            some = texts.slice(first, end - first)
+            more = pc.sum(pc.binary_length(some)).as_py() or 0
+            if held and n + more > size:
+                yield tokens(pa.concat_arrays(held))
+                held, n = [], 0
+            held.append(some)
+            n += more
     if held:
-        yield np.concatenate(held), np.concatenate(sizes)
+        yield tokens(pa.concat_arrays(held))
 
 
 @dataclass(frozen=True)
@@ -263,9 +282,8 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
         return spark.read.schema(PACKED).parquet(f"{folder}/{name}")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, _ in _chunks(batches, CHUNK_TOKENS):
-            words, counts = np.unique(hashes, return_counts=True)
-            yield _batch(*packed_rows(shard_of(words, shards), words, [counts.astype(np.uint64)]))
+        for words, at, _ in _chunks(batches, CHUNK_BYTES):
+            yield _batch(*packed_rows(shard_of(words, shards), words, [np.bincount(at, minlength=len(words)).astype(np.uint64)]))
 
     def save_words(shard: int, words: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         save(folder, f"words-{shard}", words.astype("<u8"))
@@ -282,8 +300,7 @@ def train(docs: DataFrame, folder: str, *, text: str = "text", shards: int | Non
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = store(folder, shards, before)
-        for hashes, sizes in _chunks(batches, CHUNK_TOKENS):
-            words, at = np.unique(hashes, return_inverse=True)
+        for words, at, sizes in _chunks(batches, CHUNK_BYTES):
             ids = own.words(words, False)[0][at].astype(np.uint64)
             left = _previous(ids, sizes, bits)
             pairs, place, counts = np.unique(_pair(left, ids, bits), return_inverse=True, return_counts=True)
@@ -353,9 +370,8 @@ def _discount(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
     return np.array((0.0, *by))[np.minimum(counts, 3)]
 
 
-def _log_shares(model: Model, own: Store, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _log_shares(model: Model, own: Store, words: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: whether it is known, the base log10 share, the model's log10 probability."""
-    words, at = np.unique(hashes, return_inverse=True)
     ids, rows = own.words(words, True)
     count, before = rows[:, 0], rows[:, 1]
     base = np.log10((count + 1) / (model.tokens + model.words + 1))
@@ -403,21 +419,15 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", key: str = "doc_
                            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, hashes = store(model.folder, model.shards, model.before), Hashes()
+        own = store(model.folder, model.shards, model.before)
         for rows in batches:
-            first, held, sizes, total = 0, [], [], 0
-            for at, value in enumerate(rows.column(1)):
-                found, size = tokens([value.as_py() or ""], hashes)
-                held.append(found)
-                sizes.append(size)
-                total += len(found)
-                if total >= SCORE_TOKENS or at + 1 == rows.num_rows:
-                    n = np.concatenate(sizes)
-                    starts = np.cumsum(n) - n
-                    known, base, share = _log_shares(model, own, np.concatenate(held), n)
-                    yield pa.RecordBatch.from_arrays([rows.column(0).slice(first, len(n)), pa.array(n), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                                                      pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(share, starts))], names=schema.fieldNames())
-                    first, held, sizes, total = at + 1, [], [], 0
+            cuts = _cuts(rows.column(1), SCORE_BYTES)
+            for first, end in zip(cuts, cuts[1:]):
+                words, at, n = tokens(rows.column(1).slice(first, end - first))
+                starts = np.cumsum(n) - n
+                known, base, share = _log_shares(model, own, words, at, n)
+                yield pa.RecordBatch.from_arrays([rows.column(0).slice(first, len(n)), pa.array(n), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                                                  pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(share, starts))], names=schema.fieldNames())
 
     return docs.select(docs[key], docs[text]).mapInArrow(score_batches, schema)
 

@@ -4,7 +4,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ladle.llm import arrays, ngrams, queries
@@ -195,3 +197,19 @@ def test_whole_rows_of_the_query(spark):
     same(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in got), expected)
     assert all(r.held_out == held(r.doc_id) for r in got)
     assert {r.train_tokens for r in got} == {sum(e[1] for e in expected if not held(e[0]))}
+
+
+def test_each_distinct_word_is_hashed_once(monkeypatch):
+    """Splitting, lowering and hashing go by distinct words, and white space counts as ``bytes.split`` has it."""
+    texts = [" A b\t", "", None, "\x0b \n", "b\x1cc B É é a" + " a" * 500, "x\r\ny\x85z w\x0c"]
+    split = [(x or "").encode().lower().split() + [b"\n"] for x in texts]
+    asked = []
+    monkeypatch.setattr(ngrams, "xxhash", type("X", (), {"xxh64_intdigest": staticmethod(lambda w: asked.append(w) or xxhash.xxh64_intdigest(w))}))
+    for column in (pa.array(texts), pa.array(["skipped", *texts]).slice(1)):
+        asked.clear()
+        hashes, at, sizes = ngrams.tokens(column)
+        assert len(asked) == len(set(asked))
+        assert sizes.tolist() == [len(x) for x in split]
+        assert hashes[at].tolist() == [xxhash.xxh64_intdigest(w) for x in split for w in x]
+        assert hashes.tolist() == sorted(set(hashes[at].tolist()))
+    assert [len(x) for x in ngrams.tokens(pa.array([], pa.string()))] == [0, 0, 0]
